@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from cashloom.functions import let, quoted, quoted_list
 
 # Fixed values of the cycle text: count, unit, optional stub sign.
 CYCLE_PATTERN = r"^P?([0-9]+)([DWMQHY])([+-]|L[01])?$"
@@ -12,67 +11,61 @@ UNIT_DAYS = {"D": 1, "W": 7}
 LONG_STUBS = ("+", "L0")
 
 DAYS_PER_YEAR = 365.0
+NO_DATES = "cast(array() AS array<date>)"
 
 
-def _units(unit: Column, table: dict[str, int]) -> Column:
-    size = F.lit(0)
-    for name, value in table.items():
-        size = F.when(unit == name, value).otherwise(size)
-    return size
+def parse_cycle(text: str) -> str:
+    """Cycle text to ``struct(months, days, long_stub)``; null if malformed or of no length."""
+    parts = f"split(regexp_replace({text}, {quoted(CYCLE_PATTERN)}, '$1 $2 $3'), ' ')"
+    count = "try_cast(part[0] AS int)"
 
+    def length(units: dict[str, int]) -> str:
+        sizes = " ".join(f"WHEN {quoted(unit)} THEN {size}" for unit, size in units.items())
+        return f"{count} * CASE part[1] {sizes} ELSE 0 END"
 
-def parse_cycle(text: Column) -> Column:
-    """Cycle text to ``struct(months, days, long_stub)``; null if malformed or of no length."""
-    length = F.length(text)
-    prefix = F.when(text.startswith("P"), 1).otherwise(0)
-    # The pattern leaves three endings: no stub sign, one character, or L and a digit.
-    sign = F.when(F.right(text, F.lit(1)).isin("+", "-"), 1).when(F.substring(text, -2, 1) == "L", 2).otherwise(0)
-    unit = F.substr(text, length - sign, F.lit(1))
-    stub = F.right(text, sign)
-    count = F.substr(text, prefix + 1, length - sign - prefix - 1).try_cast("int")
-    return F.when(
-        text.rlike(CYCLE_PATTERN) & (count > 0),
-        F.struct(
-            (count * _units(unit, UNIT_MONTHS)).alias("months"),
-            (count * _units(unit, UNIT_DAYS)).alias("days"),
-            stub.isin(*LONG_STUBS).alias("long_stub"),
-        ),
+    step = (
+        f"CASE WHEN size(part) = 3 AND {count} > 0 THEN named_struct('months', {length(UNIT_MONTHS)},"
+        f" 'days', {length(UNIT_DAYS)}, 'long_stub', part[2] IN ({quoted_list(LONG_STUBS)})) END"
     )
+    return let("part", parts, step)
 
 
-def tenor_years(text: Column) -> Column:
+def tenor_years(text: str) -> str:
     """Tenor text to years: months in twelfths, days over 365."""
-    cycle = parse_cycle(text)
-    return cycle.months / 12.0 + cycle.days / DAYS_PER_YEAR
+    return let("tenor", parse_cycle(text), f"tenor.months / 12D + tenor.days / {DAYS_PER_YEAR}D")
 
 
-def month_number(date: Column) -> Column:
-    return F.year(date) * 12 + F.month(date)
+def month_number(date: str) -> str:
+    return f"(year({date}) * 12 + month({date}))"
 
 
-def plus_cycle(date: Column, cycle: Column) -> Column:
-    return F.when(cycle.months > 0, F.add_months(date, cycle.months)).otherwise(F.date_add(date, cycle.days))
+def plus_cycle(date: str, step: str) -> str:
+    return f"CASE WHEN {step}.months > 0 THEN add_months({date}, {step}.months) ELSE date_add({date}, {step}.days) END"
 
 
-def regular_dates(anchor: Column, cycle: Column, until: Column) -> Column:
-    """The dates ``anchor + k * cycle`` up to ``until``, ascending.
+def regular_dates(anchor: str, step: str, until: str) -> str:
+    """The dates ``anchor + k * step`` up to ``until``, ascending.
 
     Each is counted from the anchor, so a month-end anchor keeps its month ends.
     """
-    step = F.make_interval(months=cycle.months, days=cycle.days)
-    return F.coalesce(F.when(anchor <= until, F.sequence(anchor, until, step)), F.array().cast("array<date>"))
+    interval = f"make_interval(0, {step}.months, 0, {step}.days)"
+    return f"coalesce(CASE WHEN {anchor} <= {until} THEN sequence({anchor}, {until}, {interval}) END, {NO_DATES})"
 
 
-def regular_count(anchor: Column, cycle: Column, until: Column) -> Column:
+def regular_count(anchor: str, step: str, until: str) -> str:
     """How many dates ``regular_dates`` would give, by arithmetic alone."""
-    months = F.floor((month_number(until) - month_number(anchor)) / cycle.months).cast("int")
-    beyond = F.when(F.add_months(anchor, months * cycle.months) > until, 1).otherwise(0)
-    days = F.floor(F.datediff(until, anchor) / cycle.days).cast("int")
-    count = F.when(cycle.months > 0, months - beyond).otherwise(days) + 1
-    return F.coalesce(F.when(anchor <= until, count), F.lit(0))
+    months = f"cast(floor(({month_number(until)} - {month_number(anchor)}) / {step}.months) AS int)"
+    return (
+        f"CASE WHEN {anchor} <= {until} THEN CASE WHEN {step}.months > 0"
+        f" THEN {months} + if(add_months({anchor}, {months} * {step}.months) > {until}, 0, 1)"
+        f" ELSE cast(floor(datediff({until}, {anchor}) / {step}.days) AS int) + 1 END ELSE 0 END"
+    )
 
 
-def without_stub(dates: Column, cycle: Column, end: Column) -> Column:
+def without_stub(dates: str, step: str, end: str) -> str:
     """The regular dates strictly before ``end``; under a long stub the last of them goes too."""
-    drop_last = (F.get(dates, F.size(dates) - 1) == end) | cycle.long_stub
-    return F.when(drop_last, F.slice(dates, F.lit(1), F.size(dates) - 1)).otherwise(dates)
+    last = f"size({dates}) - 1"
+    return (
+        f"CASE WHEN size({dates}) > 0 AND (get({dates}, {last}) = {end} OR {step}.long_stub)"
+        f" THEN slice({dates}, 1, {last}) ELSE {dates} END"
+    )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Names of the conventions.
 ACTUAL_365 = "A/365"
 ACTUAL_360 = "A/360"
@@ -12,25 +9,25 @@ THIRTY_E_360 = "30E/360"
 ACTUAL_ACTUAL = "A/A ISDA"
 
 
-def year_fraction(start: Column, end: Column, convention: Column) -> Column:
+def year_fraction(start: str, end: str, convention: str) -> str:
     """Years from ``start`` to ``end``; null for an unknown convention.
 
     Actual/actual counts whole calendar years apart from the fractions of a year at either end.
     """
     return (
-        F.when(convention == ACTUAL_365, F.datediff(end, start) / 365.0)
-        .when(convention == ACTUAL_360, F.datediff(end, start) / 360.0)
-        .when(convention == THIRTY_E_360, (_thirty(end) - _thirty(start)) / 360.0)
-        .when(convention == ACTUAL_ACTUAL, (F.year(end) - F.year(start)) + (_elapsed(end) - _elapsed(start)))
+        f"CASE {convention}"
+        f" WHEN '{ACTUAL_365}' THEN datediff({end}, {start}) / 365D"
+        f" WHEN '{ACTUAL_360}' THEN datediff({end}, {start}) / 360D"
+        f" WHEN '{THIRTY_E_360}' THEN ({_thirty(end)} - {_thirty(start)}) / 360D"
+        f" WHEN '{ACTUAL_ACTUAL}' THEN year({end}) - year({start}) + ({_elapsed(end)} - {_elapsed(start)}) END"
     )
 
 
-def _thirty(date: Column) -> Column:
+def _thirty(date: str) -> str:
     """Days on a calendar of 30-day months."""
-    return F.year(date) * 360 + F.month(date) * 30 + F.least(F.day(date), F.lit(30))
+    return f"(year({date}) * 360 + month({date}) * 30 + least(day({date}), 30))"
 
 
-def _elapsed(date: Column) -> Column:
+def _elapsed(date: str) -> str:
     """Fraction of the calendar year gone by."""
-    days_in_year = F.dayofyear(F.make_date(F.year(date), F.lit(12), F.lit(31)))
-    return (F.dayofyear(date) - 1) / days_in_year
+    return f"(dayofyear({date}) - 1) / dayofyear(make_date(year({date}), 12, 31))"

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
 # An exact half can come out of the arithmetic a little below itself. Half-up rounding takes what
 # lies this close below a half, in units of the last digit kept, as the half.
 HALF_TOLERANCE = 0.001
 
 
-def half_up(value: Column, digits: int) -> Column:
+def half_up(value: str, digits: int) -> str:
     """``value`` rounded half up to ``digits`` decimals; never negative zero."""
-    return scaled(value, digits) / 10.0**digits
+    return f"({scaled(value, digits)} / 1e{digits}D)"
 
 
-def scaled(value: Column, digits: int) -> Column:
+def scaled(value: str, digits: int) -> str:
     """``value`` rounded half up, in whole units of its last digit, as a long."""
-    return F.floor(value * 10.0**digits + (0.5 + HALF_TOLERANCE))
+    return f"floor(({value}) * 1e{digits}D + {0.5 + HALF_TOLERANCE}D)"

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from cashloom.functions import quoted
 
 # Fixed values of the input format.
 FIELD_SEPARATOR = ";"
@@ -12,40 +11,42 @@ WORD_SEPARATOR = " "
 NULL_MARKER = "NULL"
 DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}(T([01][0-9]|2[0-4]))?$"
 
+NO_TEXTS = "cast(array() AS array<string>)"
 
-def split_trimmed(text: Column, separator: str) -> Column:
+
+def split_trimmed(text: str, separator: str) -> str:
     """Tokens of ``text`` without the empty ones at its end.
 
     Inner and leading empty tokens stay. An empty text is one empty token, a text of
     separators only has none.
     """
-    trimmed = F.rtrim(text, F.lit(separator))
+    mark = quoted(separator)
+    trimmed = f"rtrim({mark}, {text})"
     return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(trimmed == "", F.array().cast("array<string>"))
-        .otherwise(F.split(trimmed, separator))
+        f"CASE WHEN {text} = '' THEN array('') WHEN {trimmed} = '' THEN {NO_TEXTS}"
+        f" ELSE split({trimmed}, {mark}) END"
     )
 
 
-def unmarked(text: Column) -> Column:
+def unmarked(text: str) -> str:
     """The text, or null where it is the marker of an absent value."""
-    return F.nullif(text, F.lit(NULL_MARKER))
+    return f"nullif({text}, {quoted(NULL_MARKER)})"
 
 
-def to_double(text: Column) -> Column:
+def to_double(text: str) -> str:
     """A number; null for the marker and for anything that does not read as one."""
-    return unmarked(text).try_cast("double")
+    return f"try_cast({unmarked(text)} AS double)"
 
 
-def to_date(text: Column) -> Column:
+def to_date(text: str) -> str:
     """``yyyy-MM-dd`` or ``yyyy-MM-ddTHH`` to a date, anything else to null."""
-    return F.when(text.rlike(DATE_PATTERN), F.left(text, F.lit(10)).try_cast("date"))
+    return f"CASE WHEN {text} RLIKE {quoted(DATE_PATTERN)} THEN try_cast(left({text}, 10) AS date) END"
 
 
-def doubles(text: Column) -> Column:
+def doubles(text: str) -> str:
     """A ``!`` list of numbers to an array."""
-    return F.transform(split_trimmed(text, LIST_SEPARATOR), to_double)
+    return f"transform({split_trimmed(text, LIST_SEPARATOR)}, number -> {to_double('number')})"
 
 
-def date_text(date: Column) -> Column:
-    return F.date_format(date, "yyyy-MM-dd")
+def date_text(date: str) -> str:
+    return f"cast({date} AS string)"

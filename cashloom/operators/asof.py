@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashloom.functions import let, quoted_list
 from cashloom.functions.cycles import month_number
 from cashloom.functions.text import to_date
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup
-from cashloom.sources.market import EXCHANGE_RATE, REFERENCE_INDEX, REFERENCE_RATE
-
-DATED_KINDS = (REFERENCE_RATE, REFERENCE_INDEX, EXCHANGE_RATE)
+from cashloom.sources.market import DATED_KINDS
 
 
 def with_series(market: DataFrame, kinds: tuple[str, ...] = DATED_KINDS) -> DataFrame:
@@ -20,48 +19,37 @@ def with_series(market: DataFrame, kinds: tuple[str, ...] = DATED_KINDS) -> Data
     observations lie up to the end of that month. A date therefore finds its place from its
     month number and a look at the observations of that one month.
     """
-    pairs = F.zip_with(
-        "points", "values", lambda p, v: F.struct(to_date(p).alias("date"), v.alias("value"))
-    )
-    numbered = F.transform(pairs, lambda o, i: F.struct(o.date.alias("date"), i.alias("rank"), o.value.alias("value")))
-    usable = F.filter(numbered, lambda o: o.date.isNotNull() & o.value.isNotNull())
-    obs = F.col("_observations")
-    counts = F.flatten(
-        F.transform(
-            obs,
-            lambda o, i: F.array_repeat(
-                i + 1,
-                F.coalesce(month_number(F.get(obs, i + 1).date) - month_number(o.date), F.lit(1)),
-            ),
-        )
-    )
-    series = F.struct(
-        F.transform(obs, lambda o: o.date).alias("dates"),
-        F.transform(obs, lambda o: o.value).alias("values"),
-        counts.alias("counts"),
-        month_number(F.get(obs, F.lit(0)).date).alias("first_month"),
+    pairs = f"zip_with(points, values, (p, v) -> named_struct('date', {to_date('p')}, 'value', v))"
+    ranked = f"transform({pairs}, (o, i) -> named_struct('date', o.date, 'rank', i, 'value', o.value))"
+    usable = f"filter({ranked}, o -> o.date IS NOT NULL AND o.value IS NOT NULL)"
+    # An observation opens as many months as pass until the next one; the last closes its own.
+    next_month = month_number("get(observations, i + 1).date")
+    months = f"coalesce({next_month} - {month_number('o.date')}, 1)"
+    series = (
+        "named_struct('dates', observations.date, 'values', observations.value,"
+        f" 'counts', flatten(transform(observations, (o, i) -> array_repeat(i + 1, {months}))),"
+        f" 'first_month', {month_number('get(observations, 0).date')})"
     )
-    return (
-        market.withColumn("_observations", F.when(F.col("kind").isin(*kinds), F.sort_array(usable)))
-        .withColumn("series", F.when(F.size("_observations") > 0, series))
-        .drop("_observations")
+    observed = market.selectExpr(
+        "*", f"if(kind IN ({quoted_list(kinds)}), sort_array({usable}), NULL) AS observations"
     )
+    return observed.withColumn("series", F.expr(f"if(size(observations) > 0, {series}, NULL)")).drop("observations")
 
 
-def as_of(series: Column, date: Column) -> Column:
+def as_of(series: str, date: str) -> str:
     """The series value in force at ``date``; null before the first observation."""
-    month = month_number(date) - series.first_month
-    upto = F.coalesce(F.get(series.counts, month), F.size(series.dates))
-    earlier = F.coalesce(F.get(series.counts, F.least(month, F.size(series.counts)) - 1), F.lit(0))
-    same_month = F.slice(series.dates, earlier + 1, upto - earlier)
-    seen = earlier + F.size(F.filter(same_month, lambda d: d <= date))
-    return F.when(month >= 0, F.get(series.values, seen - 1))
+    upto = f"coalesce(get({series}.counts, month), size({series}.dates))"
+    same_month = f"slice({series}.dates, earlier + 1, {upto} - earlier)"
+    seen = f"earlier + size(filter({same_month}, day -> day <= {date}))"
+    earlier = f"coalesce(get({series}.counts, least(month, size({series}.counts)) - 1), 0)"
+    value = let("earlier", earlier, f"get({series}.values, {seen} - 1)")
+    return let("month", f"{month_number(date)} - {series}.first_month", f"if(month >= 0, {value}, NULL)")
 
 
 def asof_join(
     probes: DataFrame, market: DataFrame, code: str, date: str, value: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``probes`` plus the value at ``date`` of the series named by ``code``."""
-    table = with_series(market).select(F.col("code").alias(code), "series")
+    table = with_series(market).selectExpr(f"code AS {code}", "series")
     found = lookup(probes, table, [code], limit)
-    return found.withColumn(value, as_of(F.col("series"), F.col(date))).drop("series")
+    return found.withColumn(value, F.expr(as_of("series", date))).drop("series")

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashloom.functions import quoted
 from cashloom.functions.cycles import DAYS_PER_YEAR, tenor_years
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup
 from cashloom.sources.market import TERM_STRUCTURE
 
-FOREVER = float("inf")
-
 
 def curve_segments(market: DataFrame) -> DataFrame:
     """Straight pieces of every curve, flat before the first and after the last tenor.
@@ -18,60 +17,51 @@ def curve_segments(market: DataFrame) -> DataFrame:
     One row per piece and the other columns of ``market`` but its points and values:
     ``from_years <= t < to_years`` with the rate ``base_rate + (t - base_years) * slope``.
     """
-    pairs = F.zip_with("points", "values", lambda p, v: F.struct(tenor_years(p).alias("years"), v.alias("rate")))
-    usable = F.filter(pairs, lambda p: p.years.isNotNull() & p.rate.isNotNull())
-    points = F.col("_points")
-    first = F.get(points, F.lit(0))
+    pairs = f"zip_with(points, values, (p, v) -> named_struct('years', {tenor_years('p')}, 'rate', v))"
+    usable = f"filter({pairs}, p -> p.years IS NOT NULL AND p.rate IS NOT NULL)"
+    follower = "get(curve, i + 1)"
+    rise = f"coalesce(try_divide({follower}.rate - p.rate, {follower}.years - p.years), 0D)"
+    until = f"coalesce({follower}.years, double('Infinity'))"
 
-    def piece(p: Column, i: Column) -> Column:
-        after = F.get(points, i + 1)
-        return F.struct(
-            p.years.alias("from_years"),
-            F.coalesce(after.years, F.lit(FOREVER)).alias("to_years"),
-            p.years.alias("base_years"),
-            p.rate.alias("base_rate"),
-            F.coalesce(F.try_divide(after.rate - p.rate, after.years - p.years), F.lit(0.0)).alias("slope"),
-        )
+    def piece(low: str, high: str, years: str, rate: str, slope: str) -> str:
+        values = {"from_years": low, "to_years": high, "base_years": years, "base_rate": rate, "slope": slope}
+        return f"named_struct({', '.join(f'{quoted(k)}, {v}' for k, v in values.items())})"
 
-    before = F.struct(
-        F.lit(-FOREVER).alias("from_years"),
-        first.years.alias("to_years"),
-        first.years.alias("base_years"),
-        first.rate.alias("base_rate"),
-        F.lit(0.0).alias("slope"),
-    )
+    first = "get(curve, 0)"
+    before = piece("double('-Infinity')", f"{first}.years", f"{first}.years", f"{first}.rate", "0D")
+    after = piece("p.years", until, "p.years", "p.rate", rise)
+    pieces = f"concat(array({before}), transform(curve, (p, i) -> {after}))"
     kept = [c for c in market.columns if c not in ("points", "values", "place", "kind", "series")]
-    curves = market.where(F.col("kind") == TERM_STRUCTURE).withColumn("_points", F.sort_array(usable))
-    pieces = F.concat(F.array(before), F.transform(points, piece))
-    return curves.select(*kept, F.inline_outer(pieces)).where(F.col("base_years").isNotNull())
+    curves = market.where(f"kind = '{TERM_STRUCTURE}'").selectExpr(*kept, f"sort_array({usable}) AS curve")
+    return curves.selectExpr(*kept, f"inline_outer({pieces})").where("base_years IS NOT NULL")
 
 
 def interpolate(
     probes: DataFrame,
     segments: DataFrame,
     on: dict[str, str],
-    years: Column,
+    years: str,
     rate: str,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``probes`` plus the curve rate at ``years``; ``on`` maps probe columns to segment columns."""
-    renamed = segments.select(
-        *[F.col(s).alias(f"_segment_{s}") for s in on.values()],
-        "from_years", "to_years", "base_years", "base_rate", "slope",
+    pieces = segments.selectExpr(
+        *[f"{s} AS segment_{s}" for s in on.values()], "from_years", "to_years", "base_years", "base_rate", "slope"
+    )
+    keys = " AND ".join(f"{probe} = segment_{segment}" for probe, segment in on.items())
+    found = lookup(
+        probes.withColumn("at_years", F.expr(years)),
+        pieces,
+        F.expr(f"{keys} AND at_years >= from_years AND at_years < to_years"),
+        limit,
     )
-    placed = probes.withColumn("_years", years)
-    match = (F.col("_years") >= F.col("from_years")) & (F.col("_years") < F.col("to_years"))
-    for probe, segment in on.items():
-        match = match & (F.col(probe) == F.col(f"_segment_{segment}"))
-    found = lookup(placed, renamed, match, limit)
-    value = F.col("base_rate") + (F.col("_years") - F.col("base_years")) * F.col("slope")
-    return found.select(*probes.columns, value.alias(rate))
+    return found.selectExpr(*probes.columns, f"base_rate + (at_years - base_years) * slope AS {rate}")
 
 
-def years_after(t0: Column, date: Column) -> Column:
-    return F.datediff(date, t0) / DAYS_PER_YEAR
+def years_after(t0: str, date: str) -> str:
+    return f"datediff({date}, {t0}) / {DAYS_PER_YEAR}D"
 
 
-def discount_factor(rate: Column, years: Column) -> Column:
+def discount_factor(rate: str, years: str) -> str:
     """Annual compounding."""
-    return F.pow(1.0 + rate, -years)
+    return f"pow(1D + {rate}, -({years}))"

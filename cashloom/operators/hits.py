@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: points per slice.
@@ -15,17 +15,14 @@ def random_points(spark: SparkSession, slices: int = 2, seed: int = 0) -> DataFr
     return ids.select((F.rand(seed) * 2 - 1).alias("x"), (F.rand(seed + 1) * 2 - 1).alias("y"))
 
 
-def spread_points(rows: DataFrame, x: Column, y: Column) -> DataFrame:
+def spread_points(rows: DataFrame, x: str, y: str) -> DataFrame:
     """``x, y`` from two numbers of each row, by their fractional parts; the same on every run."""
-
-    def place(value: Column) -> Column:
-        return (value - F.floor(value)) * 2 - 1
-
-    return rows.select(place(x).alias("x"), place(y).alias("y"))
+    return rows.selectExpr(f"{x} AS a", f"{y} AS b").selectExpr(
+        "(a - floor(a)) * 2 - 1 AS x", "(b - floor(b)) * 2 - 1 AS y"
+    )
 
 
 def hit_ratio(points: DataFrame) -> DataFrame:
     """One row ``hits, n, ratio``."""
-    hit = F.when(F.col("x") * F.col("x") + F.col("y") * F.col("y") < 1, 1).otherwise(0)
-    totals = points.agg(F.sum(hit).alias("hits"), F.count("*").alias("n"))
-    return totals.withColumn("ratio", 4.0 * F.col("hits") / F.col("n"))
+    totals = points.selectExpr("sum(if(x * x + y * y < 1, 1, 0)) AS hits", "count(*) AS n")
+    return totals.selectExpr("hits", "n", "4D * hits / n AS ratio")

@@ -6,37 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cashloom.functions import quoted_list
 from cashloom.sources.market import RATE_KINDS, REFERENCE_INDEX
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def row_bytes(schema: T.StructType) -> Column:
+def row_bytes(schema: T.StructType) -> str:
     """Bytes a row of this schema holds: text by its length, anything else in 8-byte words."""
 
-    def size(value: Column, kind: T.DataType) -> Column:
+    def size(value: str, kind: T.DataType, depth: int = 0) -> str:
         if isinstance(kind, T.StructType):
-            return sum((size(value[f.name], f.dataType) for f in kind), F.lit(8))
+            return " + ".join(["8", *[size(f"{value}.{f.name}", f.dataType, depth) for f in kind]])
         if isinstance(kind, T.StringType):
-            return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+            return f"coalesce(octet_length({value}), 0) + 16"
         if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.StructType, T.ArrayType)):
-            inner = F.aggregate(value, F.lit(0), lambda total, v: total + size(v, kind.elementType).cast("int"))
-            return F.coalesce(inner, F.lit(0)) + 24
+            item = f"item{depth}"
+            inner = size(item, kind.elementType, depth + 1)
+            return f"coalesce(aggregate({value}, 0L, (total, {item}) -> total + {inner}), 0) + 24"
         if isinstance(kind, T.ArrayType):
-            return F.greatest(F.size(value), F.lit(0)) * 8 + 24
-        return F.lit(8)
+            return f"coalesce(size({value}), 0) * 8 + 24"
+        return "8"
 
-    return sum((size(F.col(f.name), f.dataType) for f in schema), F.lit(16))
+    return " + ".join(["16L", *[size(f"`{f.name}`", f.dataType) for f in schema]])
 
 
 def fits_broadcast(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    total = frame.agg(F.sum(row_bytes(frame.schema).cast("long"))).first()[0]
+    total = frame.selectExpr(f"sum({row_bytes(frame.schema)})").first()[0]
     return (total or 0) <= limit
 
 
-def lookup(
-    rows: DataFrame, table: DataFrame, on: Column | list[str], limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, on: Column | list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
     """``rows`` with the matching row of ``table``, or nulls.
 
     A table within ``limit`` is broadcast, so ``rows`` are not moved. A larger one is left to a
@@ -47,11 +47,8 @@ def lookup(
 
 def with_reset_object(contracts: DataFrame, market: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The market object named by ``reset_code``: ``reset_kind, reset_points, reset_values``."""
-    table = market.select(
-        F.col("code").alias("reset_code"),
-        F.col("kind").alias("reset_kind"),
-        F.col("points").alias("reset_points"),
-        F.col("values").alias("reset_values"),
+    table = market.selectExpr(
+        "code AS reset_code", "kind AS reset_kind", "points AS reset_points", "values AS reset_values"
     )
     return lookup(contracts, table, ["reset_code"], limit)
 
@@ -61,30 +58,27 @@ def with_scaling_object(contracts: DataFrame, market: DataFrame, limit: int = BR
 
     Its values are handed on only if it is an index; ``scaling_kind`` shows what was found.
     """
-    is_index = F.col("kind") == REFERENCE_INDEX
-    table = market.select(
-        F.col("code").alias("scaling_code"),
-        F.col("kind").alias("scaling_kind"),
-        F.when(is_index, F.col("points")).alias("scaling_points"),
-        F.when(is_index, F.col("values")).alias("scaling_values"),
+    is_index = f"kind = '{REFERENCE_INDEX}'"
+    table = market.selectExpr(
+        "code AS scaling_code",
+        "kind AS scaling_kind",
+        f"if({is_index}, points, NULL) AS scaling_points",
+        f"if({is_index}, values, NULL) AS scaling_values",
     )
     return lookup(contracts, table, ["scaling_code"], limit)
 
 
-def reset_status() -> Column:
+def reset_status() -> str:
     """How the reset lookup ended, from ``reset_code`` and ``reset_kind``."""
-    return (
-        F.when(F.col("reset_code").isNull(), "none")
-        .when(F.col("reset_kind").isNull(), "missing")
-        .when(~F.col("reset_kind").isin(*RATE_KINDS), "unsupported_type")
-        .otherwise("ok")
-    )
+    return _status("reset_code", "reset_kind", RATE_KINDS)
+
+
+def scaling_status() -> str:
+    return _status("scaling_code", "scaling_kind", (REFERENCE_INDEX,))
 
 
-def scaling_status() -> Column:
+def _status(code: str, kind: str, usable: tuple[str, ...]) -> str:
     return (
-        F.when(F.col("scaling_code").isNull(), "none")
-        .when(F.col("scaling_kind").isNull(), "missing")
-        .when(F.col("scaling_kind") != REFERENCE_INDEX, "unsupported_type")
-        .otherwise("ok")
+        f"CASE WHEN {code} IS NULL THEN 'none' WHEN {kind} IS NULL THEN 'missing'"
+        f" WHEN {kind} NOT IN ({quoted_list(usable)}) THEN 'unsupported_type' ELSE 'ok' END"
     )

@@ -7,27 +7,33 @@ stay two contracts, as they are in the input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from cashloom.functions.cycles import parse_cycle, plus_cycle, regular_count, regular_dates, without_stub
+from pyspark.sql import DataFrame
+
+from cashloom.functions import quoted_list
+from cashloom.functions.cycles import (
+    NO_DATES,
+    parse_cycle,
+    plus_cycle,
+    regular_count,
+    regular_dates,
+    without_stub,
+)
 
 # Order of events on one day.
 IED, IP, RRF, RR, PRD, TD, MD = range(1, 8)
 EVENT_NAMES = ["IED", "IP", "RRF", "RR", "PRD", "TD", "MD"]
-CLEARING = [IP, TD, MD]
 
 # Contract roles.
-ROLE_SIGNS = {"RPA": 1.0, "RPL": -1.0}
+ASSET, LIABILITY = "RPA", "RPL"
 
 
-def role_sign(role: Column) -> Column:
+def role_sign(role: str) -> str:
     """+1 for an asset, -1 for a liability, null for anything else."""
-    return F.when(role == "RPA", ROLE_SIGNS["RPA"]).when(role == "RPL", ROLE_SIGNS["RPL"])
+    return f"CASE {role} WHEN '{ASSET}' THEN 1D WHEN '{LIABILITY}' THEN -1D END"
 
 
-def event_name(kind: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in EVENT_NAMES]), kind)
+def event_name(kind: str) -> str:
+    return f"element_at(array({quoted_list(EVENT_NAMES)}), {kind})"
 
 
 def with_schedule(contracts: DataFrame) -> DataFrame:
@@ -38,131 +44,98 @@ def with_schedule(contracts: DataFrame) -> DataFrame:
     their initial exchange at the analysis date; interest accrues from ``since``, their last
     payment up to then.
     """
-    ied, md, t0 = F.col("initial_exchange_date"), F.col("maturity_date"), F.col("t0")
-    purchase, termination = F.col("purchase_date"), F.col("termination_date")
-    stops_early = (termination >= ied) & (termination <= md)
-    life = contracts.withColumns(
-        {
-            "sign": role_sign(F.col("role")),
-            "running": t0 >= ied,
-            "begin": F.greatest(ied, t0),
-            "terminated_on": F.when(stops_early, termination),
-            "interest_step": parse_cycle(F.col("interest_cycle")),
-            "reset_step": parse_cycle(F.col("reset_cycle")),
-        }
-    ).withColumns(
-        {
-            "last_day": F.coalesce("terminated_on", "maturity_date"),
-            "interest_from": F.coalesce(F.col("interest_anchor"), plus_cycle(ied, F.col("interest_step"))),
-            "reset_from": F.coalesce(F.col("reset_anchor"), plus_cycle(ied, F.col("reset_step"))),
-        }
+    ied, md = "initial_exchange_date", "maturity_date"
+    stop = f"if(termination_date >= {ied} AND termination_date <= {md}, termination_date, NULL)"
+    life = contracts.selectExpr(
+        "*",
+        f"{role_sign('role')} AS sign",
+        f"t0 >= {ied} AS running",
+        f"greatest({ied}, t0) AS begin",
+        f"{stop} AS terminated_on",
+        f"coalesce({stop}, {md}) AS last_day",
+        f"{parse_cycle('interest_cycle')} AS interest_step",
+        f"{parse_cycle('reset_cycle')} AS reset_step",
+    ).selectExpr(
+        "*",
+        f"coalesce(last_day <= t0 OR {md} < {ied}, true) AS ended",
+        f"if(purchase_date > t0 AND purchase_date >= {ied} AND purchase_date <= last_day, purchase_date, NULL)"
+        " AS purchased_on",
+        f"coalesce(interest_anchor, {plus_cycle(ied, 'interest_step')}) AS interest_from",
+        f"coalesce(reset_anchor, {plus_cycle(ied, 'reset_step')}) AS reset_from",
     )
-    last_day, begin = F.col("last_day"), F.col("begin")
-    gridded = life.withColumns(
-        {
-            "ended": F.coalesce((last_day <= t0) | (md < ied), F.lit(True)),
-            "purchased_on": F.when((purchase > t0) & (purchase >= ied) & (purchase <= last_day), purchase),
-            "interest_grid": regular_dates(F.col("interest_from"), F.col("interest_step"), md),
-            "reset_grid": regular_dates(F.col("reset_from"), F.col("reset_step"), md),
-        }
-    ).withColumns({f"{name}_grid": _before_maturity(name, md) for name in ("interest", "reset")})
-
-    def future(name: str) -> Column:
-        return F.filter(f"{name}_grid", lambda d: (d > begin) & (d <= last_day))
-
-    paid = F.filter("interest_grid", lambda d: (d > ied) & (d <= t0))
-    return (
-        gridded.withColumns(
-            {
-                "regular_interest": future("interest"),
-                "reset_dates": future("reset"),
-                "paid": F.when(F.col("running"), paid),
-            }
-        )
-        .withColumns(
-            {
-                "interest_dates": F.when(
-                    last_day == md, F.concat("regular_interest", F.array(md))
-                ).otherwise(F.col("regular_interest")),
-                "since": F.coalesce(F.get("paid", F.size("paid") - 1), ied),
-            }
-        )
-        .drop("interest_grid", "reset_grid", "paid")
+    gridded = life.selectExpr(
+        "*",
+        f"{regular_dates('interest_from', 'interest_step', md)} AS interest_all",
+        f"{regular_dates('reset_from', 'reset_step', md)} AS reset_all",
+    ).selectExpr(
+        "*",
+        f"{without_stub('interest_all', 'interest_step', md)} AS interest_grid",
+        f"{without_stub('reset_all', 'reset_step', md)} AS reset_grid",
     )
+    listed = gridded.selectExpr(
+        "*",
+        "filter(interest_grid, d -> d > begin AND d <= last_day) AS regular_interest",
+        "filter(reset_grid, d -> d > begin AND d <= last_day) AS reset_dates",
+        f"if(running, array_max(filter(interest_grid, d -> d > {ied} AND d <= t0)), NULL) AS last_paid",
+    )
+    return listed.selectExpr(
+        "*",
+        f"if(last_day = {md}, concat(regular_interest, array({md})), regular_interest) AS interest_dates",
+        f"coalesce(last_paid, {ied}) AS since",
+    ).drop("interest_all", "reset_all", "interest_grid", "reset_grid", "last_paid")
 
 
-def _before_maturity(name: str, md: Column) -> Column:
-    grid = F.col(f"{name}_grid")
-    return F.when(F.size(grid) > 0, without_stub(grid, F.col(f"{name}_step"), md)).otherwise(grid)
-
-
-def _no_dates() -> Column:
-    return F.array().cast("array<date>")
-
-
-def regular_upto(name: str, dates: str, until: Column) -> Column:
+def _regular_upto(name: str, dates: str, until: str) -> str:
     """How many of the regular future dates of a schedule lie up to ``until``, without a search."""
 
-    def count(day: Column) -> Column:
-        return regular_count(F.col(f"{name}_from"), F.col(f"{name}_step"), day)
+    def count(day: str) -> str:
+        return regular_count(f"{name}_from", f"{name}_step", day)
 
-    found = count(until) - count(F.col("begin"))
-    return F.greatest(F.least(found, F.size(dates)), F.lit(0))
+    return f"greatest(least({count(until)} - {count('begin')}, size({dates})), 0)"
 
 
-def resets_upto(date: Column) -> Column:
-    return regular_upto("reset", "reset_dates", date)
+def resets_upto(date: str) -> str:
+    return _regular_upto("reset", "reset_dates", date)
 
 
-def payments_upto(date: Column) -> Column:
+def payments_upto(date: str) -> str:
     """How many of ``interest_dates`` lie up to ``date``."""
-    return F.when(date >= F.col("maturity_date"), F.size("interest_dates")).otherwise(
-        regular_upto("interest", "regular_interest", date)
-    )
+    regular = f"coalesce({_regular_upto('interest', 'regular_interest', date)}, 0)"
+    return f"if({date} >= maturity_date, size(interest_dates), {regular})"
 
 
 def with_event_dates(scheduled: DataFrame) -> DataFrame:
     """Add ``event_dates``, all of them by kind, and ``kind_ends``, where each kind ends in it."""
-    day = {
-        IED: F.when(~F.col("running"), F.col("initial_exchange_date")),
-        PRD: F.col("purchased_on"),
-        TD: F.col("terminated_on"),
-        MD: F.when(F.col("terminated_on").isNull(), F.col("maturity_date")),
-    }
-
-    def single(kind: int) -> Column:
-        return F.when(day[kind].isNotNull(), F.array(day[kind])).otherwise(_no_dates())
-
-    groups = [single(IED), F.col("interest_dates"), F.col("reset_dates"), single(PRD), single(TD)]
-    ends, total = [], F.lit(0)
-    for dates in groups:
-        total = total + F.size(dates)
-        ends.append(total)
-    every = F.concat(*groups, single(MD))
-    return scheduled.withColumns(
-        {
-            "event_dates": F.when(F.col("ended"), _no_dates()).otherwise(every),
-            "kind_ends": F.array(*ends),
-        }
+
+    def single(date: str, there: str) -> str:
+        return f"if({there}, array({date}), {NO_DATES})"
+
+    groups = [
+        single("initial_exchange_date", "NOT running"),
+        "interest_dates",
+        "reset_dates",
+        single("purchased_on", "purchased_on IS NOT NULL"),
+        single("terminated_on", "terminated_on IS NOT NULL"),
+    ]
+    ends = [" + ".join(f"size({g})" for g in groups[: n + 1]) for n in range(len(groups))]
+    maturity = single("maturity_date", "terminated_on IS NULL")
+    return scheduled.selectExpr(
+        "*",
+        f"if(ended, {NO_DATES}, concat({', '.join(groups)}, {maturity})) AS event_dates",
+        f"array({', '.join(ends)}) AS kind_ends",
     )
 
 
-def event_kind(position: Column) -> Column:
+def event_kind(position: str) -> str:
     """Kind of the event at a position of ``event_dates``."""
-    ends = F.col("kind_ends")
-    fixed = F.col("next_reset_rate").isNotNull() & (position == ends[1])
+    fixed = f"next_reset_rate IS NOT NULL AND {position} = kind_ends[1]"
     return (
-        F.when(position < ends[0], IED)
-        .when(position < ends[1], IP)
-        .when(fixed & (position < ends[2]), RRF)
-        .when(position < ends[2], RR)
-        .when(position < ends[3], PRD)
-        .when(position < ends[4], TD)
-        .otherwise(MD)
+        f"CASE WHEN {position} < kind_ends[0] THEN {IED} WHEN {position} < kind_ends[1] THEN {IP}"
+        f" WHEN {position} < kind_ends[2] THEN if({fixed}, {RRF}, {RR})"
+        f" WHEN {position} < kind_ends[3] THEN {PRD} WHEN {position} < kind_ends[4] THEN {TD} ELSE {MD} END"
     )
 
 
-def given_out(date: Column, kind: Column) -> Column:
+def given_out(date: str, kind: str) -> str:
     """Whether an event is in the result: a buyer sees nothing from before the purchase."""
-    bought = F.col("purchased_on")
-    return bought.isNull() | (date > bought) | ((date == bought) & (kind >= PRD))
+    return f"purchased_on IS NULL OR {date} > purchased_on OR ({date} = purchased_on AND {kind} >= {PRD})"

@@ -9,12 +9,13 @@ its ranks by arithmetic and adds up only the resets that have no payment between
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashloom.functions import let
 from cashloom.functions.daycount import year_fraction
+from cashloom.functions.text import date_text
 from cashloom.operators.schedule import (
-    CLEARING,
     IED,
     IP,
     MD,
@@ -30,196 +31,170 @@ from cashloom.operators.schedule import (
     with_event_dates,
 )
 
+CLEARING = f"({IP}, {TD}, {MD})"
+CLOSING = f"({TD}, {MD})"
+RESETTING = f"({RRF}, {RR})"
 
-def with_states(scheduled: DataFrame, observed: Column | None = None) -> DataFrame:
+
+def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") -> DataFrame:
     """Add rates and interest amounts of the resets, and the event dates.
 
-    ``observed`` is a column with the market rate at each of ``reset_dates``. Where it has none
-    the rate stays as it was. An observation once made stays available, so the resets without
-    one come first, and the rate they keep is the first fixed or the contract's own.
+    ``observed`` is the market rate at a reset date ``d``. Where there is none the rate stays as
+    it was. An observation once made stays available, so the resets without one come first, and
+    the rate they keep is the first fixed or the contract's own. ``unobserved`` tells whether
+    there are any.
     """
-    if observed is None:
-        observed = F.transform("reset_dates", lambda d: F.lit(None).cast("double"))
-    fixed = F.col("next_reset_rate")
-    rates = F.transform(
-        observed,
-        lambda rate, rank: F.when((rank == 0) & fixed.isNotNull(), fixed).otherwise(
-            F.coalesce(rate, fixed, F.col("nominal_rate"))
-        ),
-    )
-    resets = F.size("reset_dates")
-    rated = scheduled.withColumns({"principal": F.col("sign") * F.col("notional"), "reset_rates": rates})
-    ranked = rated.withColumns(
-        {
-            "paid_upto_reset": F.transform("reset_dates", payments_upto),
-            "resets_upto_paid": F.when(resets > 0, F.transform("interest_dates", resets_upto)),
-            "resets_before_paid": F.when(
-                resets > 0, F.transform("interest_dates", lambda d: resets_upto(F.date_sub(d, 1)))
-            ),
-            "purchase_paid": F.when(F.col("purchased_on").isNotNull(), payments_upto(F.col("purchased_on"))),
-            "termination_paid": F.when(F.col("terminated_on").isNotNull(), payments_upto(F.col("terminated_on"))),
-        }
+    fixed = "rank = 0 AND next_reset_rate IS NOT NULL"
+    rate = f"if({fixed}, next_reset_rate, coalesce(seen, next_reset_rate, nominal_rate))"
+    day_before = "date_sub(d, 1)"
+    ranked = scheduled.selectExpr(
+        "*", "sign * notional AS principal", f"transform(reset_dates, d -> {observed}) AS observed_rates"
+    ).selectExpr(
+        "*",
+        f"transform(observed_rates, (seen, rank) -> {rate}) AS reset_rates",
+        "get(observed_rates, if(next_reset_rate IS NULL, 0, 1)) IS NULL"
+        " AND size(reset_dates) > if(next_reset_rate IS NULL, 0, 1) AS unobserved",
+        f"transform(reset_dates, d -> {payments_upto('d')}) AS payments_at_reset",
+        f"if(size(reset_dates) > 0, transform(interest_dates, d -> {resets_upto('d')}), NULL) AS resets_at_payment",
+        f"if(size(reset_dates) > 0, transform(interest_dates, d -> {resets_upto(day_before)}), NULL)"
+        " AS resets_before_payment",
+        f"if(purchased_on IS NULL, NULL, {payments_upto('purchased_on')}) AS payments_at_purchase",
+        f"if(terminated_on IS NULL, NULL, {payments_upto('terminated_on')}) AS payments_at_termination",
     )
-    return with_event_dates(
-        ranked.withColumn("reset_dues", F.transform("reset_dates", _reset_due)).withColumns(
-            {
-                "interest_dues": F.when(resets > 0, F.transform("interest_dates", _payment_due)),
-                "purchase_due": _due_at(F.col("purchased_on"), F.col("purchase_paid")),
-                "termination_due": _due_at(F.col("terminated_on"), F.col("termination_paid")),
-            }
-        )
+    resets = ranked.withColumn("reset_dues", F.expr(f"transform(reset_dates, (d, rank) -> {_reset_due('d', 'rank')})"))
+    payment = _due("d", "rank", "get(resets_before_payment, rank)")
+    amounts = resets.selectExpr(
+        "*",
+        f"if(size(reset_dates) > 0, transform(interest_dates, (d, rank) -> {payment}), NULL) AS interest_dues",
+        f"{_due_at('purchased_on', 'payments_at_purchase')} AS purchase_due",
+        f"{_due_at('terminated_on', 'payments_at_termination')} AS termination_due",
     )
+    return with_event_dates(amounts)
 
 
-def _paid_before(count: Column) -> Column:
+def _paid_before(count: str) -> str:
     """Date of the last of ``count`` payments, or where accrual began."""
-    return F.coalesce(F.get("interest_dates", count - 1), F.col("since"))
+    return f"coalesce(get(interest_dates, {count} - 1), since)"
 
 
-def _rate_after(resets: Column) -> Column:
-    return F.coalesce(F.get("reset_rates", resets - 1), F.col("nominal_rate"))
+def _rate_after(resets: str) -> str:
+    return f"coalesce(get(reset_rates, {resets} - 1), nominal_rate)"
 
 
-def _interest(start: Column, end: Column, rate: Column) -> Column:
-    return year_fraction(start, end, F.col("day_count")) * rate * F.col("principal")
+def _interest(start: str, end: str, rate: str) -> str:
+    return f"({year_fraction(start, end, 'day_count')}) * {rate} * principal"
 
 
-def _resets_by_then(payments: Column) -> Column:
+def _resets_by_then(payments: str) -> str:
     """How many resets lie up to the last of ``payments`` payments."""
-    return F.coalesce(F.get("resets_upto_paid", payments - 1), F.lit(0))
+    return f"coalesce(get(resets_at_payment, {payments} - 1), 0)"
 
 
-def _reset_due(date: Column, rank: Column) -> Column:
+def _reset_due(date: str, rank: str) -> str:
     """Interest accrued up to a reset since the last payment, reset by reset."""
-    dates, rates = F.col("reset_dates"), F.col("reset_rates")
-    payments = F.get("paid_upto_reset", rank)
+    payments = f"get(payments_at_reset, {rank})"
+    opening = let("paid", _paid_before(payments), _interest("paid", "get(reset_dates, first)", _rate_after("first")))
+    later = f"if(first < {rank}, sequence(first + 1, {rank}), cast(array() AS array<int>))"
+    step = _interest("get(reset_dates, r - 1)", "get(reset_dates, r)", "get(reset_rates, r - 1)")
+    summed = f"aggregate({later}, {opening}, (due, r) -> due + {step})"
     # A payment on the day of the reset comes before it, and nothing has accrued since.
-    first = F.least(_resets_by_then(payments), rank)
-    later = F.when(first < rank, F.sequence(first + 1, rank)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(
-        later,
-        _interest(_paid_before(payments), F.get(dates, first), _rate_after(first)),
-        lambda due, r: due + _interest(F.get(dates, r - 1), F.get(dates, r), F.get(rates, r - 1)),
-    )
+    return let("first", f"least({_resets_by_then(payments)}, {rank})", summed)
 
 
-def _due(date: Column, payments: Column, resets: Column) -> Column:
+def _due(date: str, payments: str, resets: str) -> str:
     """Interest due at ``date`` after that many payments and resets."""
-    last = resets - 1
-    on_top = _interest(F.get("reset_dates", last), date, F.get("reset_rates", last))
-    whole = _interest(_paid_before(payments), date, _rate_after(resets))
-    return F.when(resets > _resets_by_then(payments), F.get("reset_dues", last) + on_top).otherwise(whole)
-
+    on_top = _interest("get(reset_dates, n - 1)", date, "get(reset_rates, n - 1)")
+    whole = let("paid", _paid_before(payments), _interest("paid", date, _rate_after("n")))
+    return let("n", resets, f"if(n > {_resets_by_then(payments)}, get(reset_dues, n - 1) + {on_top}, {whole})")
 
-def _payment_due(date: Column, rank: Column) -> Column:
-    return _due(date, rank, F.get("resets_before_paid", rank))
 
+def _due_at(date: str, payments: str) -> str:
+    resets = f"if(size(reset_dates) > 0, {resets_upto(f'date_sub({date}, 1)')}, 0)"
+    return f"if({date} IS NULL, NULL, {_due(date, payments, resets)})"
 
-def _due_at(date: Column, payments: Column) -> Column:
-    resets = F.when(F.size("reset_dates") > 0, resets_upto(F.date_sub(date, 1))).otherwise(0)
-    return F.when(date.isNotNull(), _due(date, payments, resets))
 
-
-def event_due(date: Column, kind: Column, position: Column) -> Column:
-    """Interest accrued up to the event, before it pays any."""
-    ends = F.col("kind_ends")
-    payment = position - ends[0]
-    fixed = _interest(_paid_before(payment), date, F.col("nominal_rate"))
+def event_due(date: str, kind: str, position: str, paid: str) -> str:
+    """Interest accrued up to the event, before it pays any; ``paid`` is the payment before it."""
     return (
-        F.when(kind == IP, F.coalesce(F.get("interest_dues", payment), fixed))
-        .when(kind.isin(RRF, RR), F.get("reset_dues", position - ends[1]))
-        .when(kind == PRD, F.col("purchase_due"))
-        .when(kind == TD, F.col("termination_due"))
-        .otherwise(0.0)
+        f"CASE WHEN {kind} = {IP} THEN coalesce(get(interest_dues, {position} - kind_ends[0]),"
+        f" {_interest(paid, date, 'nominal_rate')})"
+        f" WHEN {kind} IN {RESETTING} THEN get(reset_dues, {position} - kind_ends[1])"
+        f" WHEN {kind} = {PRD} THEN purchase_due WHEN {kind} = {TD} THEN termination_due ELSE 0D END"
     )
 
 
-def event_value(kind: Column, due: Column) -> Column:
-    sign = F.col("sign")
-    premium = F.coalesce(F.col("premium_discount"), F.lit(0.0))
+def event_value(kind: str, due: str) -> str:
     return (
-        F.when(kind == IED, -sign * (F.col("notional") + premium))
-        .when(kind == IP, due)
-        .when(kind == PRD, -sign * F.col("purchase_price") - due)
-        .when(kind == TD, sign * F.col("termination_price") + due)
-        .when(kind == MD, F.col("principal") + due)
-        .otherwise(0.0)
+        f"CASE {kind} WHEN {IED} THEN -sign * (notional + coalesce(premium_discount, 0D)) WHEN {IP} THEN {due}"
+        f" WHEN {PRD} THEN -sign * purchase_price - {due} WHEN {TD} THEN sign * termination_price + {due}"
+        f" WHEN {MD} THEN principal + {due} ELSE 0D END"
     )
 
 
-def nominal_after(kind: Column) -> Column:
-    return F.when(kind.isin(TD, MD), 0.0).otherwise(F.col("principal"))
+def nominal_after(kind: str) -> str:
+    return f"if({kind} IN {CLOSING}, 0D, principal)"
 
 
-def accrued_after(kind: Column, due: Column) -> Column:
-    return F.when(kind.isin(*CLEARING), 0.0).otherwise(due)
+def accrued_after(kind: str, due: str) -> str:
+    return f"if({kind} IN {CLEARING}, 0D, {due})"
 
 
-def rate_set(kind: Column, position: Column) -> Column:
+def rate_set(kind: str, position: str) -> str:
     """Rate from a reset on; null at other events."""
-    return F.when(kind.isin(RRF, RR), F.get("reset_rates", position - F.col("kind_ends")[1]))
+    return f"if({kind} IN {RESETTING}, get(reset_rates, {position} - kind_ends[1]), NULL)"
 
 
 def event_rows(evaluated: DataFrame) -> DataFrame:
     """One row per event of the schedule, contract columns kept: ``position, date, kind``."""
     # The outer form: from an inner one the optimizer derives a filter on the array's size and
     # pushes it to the scan, where the whole schedule would be built a second time.
-    rows = evaluated.select("*", F.posexplode_outer("event_dates").alias("position", "date"))
-    placed = rows.where(F.col("date").isNotNull()).withColumn("kind", event_kind(F.col("position")))
-    return placed.where(given_out(F.col("date"), F.col("kind")))
+    rows = evaluated.selectExpr("*", "posexplode_outer(event_dates) AS (position, date)")
+    placed = rows.where("date IS NOT NULL").withColumn("kind", F.expr(event_kind("position")))
+    return placed.where(given_out("date", "kind"))
 
 
 def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per event: ``contract_id, date, kind, type, currency, value, nominal, accrued, rate``."""
-    date, kind, position, due = F.col("date"), F.col("kind"), F.col("position"), F.col("due")
-    return (
-        event_rows(evaluated)
-        .withColumn("due", event_due(date, kind, position))
-        .select(
-            *keep,
-            "contract_id",
-            "date",
-            "kind",
-            event_name(kind).alias("type"),
-            "currency",
-            event_value(kind, due).alias("value"),
-            nominal_after(kind).alias("nominal"),
-            accrued_after(kind, due).alias("accrued"),
-            rate_set(kind, position).alias("rate"),
-        )
+    paid = f"if(kind = {IP}, {_paid_before('position - kind_ends[0]')}, NULL)"
+    owed = event_rows(evaluated).withColumn("paid", F.expr(paid))
+    return owed.withColumn("due", F.expr(event_due("date", "kind", "position", "paid"))).selectExpr(
+        *keep,
+        "contract_id",
+        "date",
+        "kind",
+        f"{event_name('kind')} AS type",
+        "currency",
+        f"{event_value('kind', 'due')} AS value",
+        f"{nominal_after('kind')} AS nominal",
+        f"{accrued_after('kind', 'due')} AS accrued",
+        f"{rate_set('kind', 'position')} AS rate",
     )
 
 
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per contract with parallel arrays in event order, empty ones for no events."""
-    listed = F.transform(
-        "event_dates",
-        lambda d, i: F.struct(d.alias("date"), event_kind(i).alias("kind"), i.alias("position")),
-    )
-    given = F.filter(F.sort_array(listed), lambda e: given_out(e.date, e.kind))
-    rows = evaluated.withColumn("events", given).withColumn(
-        "events",
-        F.transform(
-            "events",
-            lambda e: F.struct(
-                e.date.alias("date"), e.kind.alias("kind"), event_due(e.date, e.kind, e.position).alias("due")
-            ),
-        ),
+    listed = f"transform(event_dates, (d, i) -> named_struct('date', d, 'kind', {event_kind('i')}, 'position', i))"
+    paid = _paid_before("e.position - kind_ends[0]")
+    due = let("paid", paid, event_due("e.date", "e.kind", "e.position", "paid"))
+    rows = evaluated.selectExpr(
+        "*", f"filter(sort_array({listed}), e -> {given_out('e.date', 'e.kind')}) AS given"
+    ).selectExpr(
+        "*", f"transform(given, e -> named_struct('date', e.date, 'kind', e.kind, 'due', {due})) AS events"
     )
-    return rows.select(
+    return rows.selectExpr(
         *keep,
-        F.array_repeat("contract_id", F.size("events")).alias("id"),
-        F.transform("events", lambda e: F.date_format(e.date, "yyyy-MM-dd")).alias("date"),
-        F.transform("events", lambda e: event_name(e.kind)).alias("type"),
-        F.array_repeat("currency", F.size("events")).alias("currency"),
-        F.transform("events", lambda e: event_value(e.kind, e.due)).alias("value"),
-        F.transform("events", lambda e: nominal_after(e.kind)).alias("nominal"),
-        F.transform("events", lambda e: accrued_after(e.kind, e.due)).alias("accrued"),
+        "array_repeat(contract_id, size(events)) AS id",
+        f"transform(events, e -> {date_text('e.date')}) AS date",
+        f"transform(events, e -> {event_name('e.kind')}) AS type",
+        "array_repeat(currency, size(events)) AS currency",
+        f"transform(events, e -> {event_value('e.kind', 'e.due')}) AS value",
+        f"transform(events, e -> {nominal_after('e.kind')}) AS nominal",
+        f"transform(events, e -> {accrued_after('e.kind', 'e.due')}) AS accrued",
     )
 
 
 def unnested(nested: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parallel arrays back to one row per event."""
     arrays = [c for c in nested.columns if c not in keep]
-    rows = nested.select(*keep, F.inline_outer(F.arrays_zip(*[F.col(a) for a in arrays])))
-    return rows.where(F.col(arrays[0]).isNotNull())
+    rows = nested.selectExpr(*keep, f"inline_outer(arrays_zip({', '.join(arrays)}))")
+    return rows.where(f"{arrays[0]} IS NOT NULL")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashloom.functions import quoted, quoted_list
 from cashloom.functions.cycles import tenor_years
+from cashloom.functions.text import date_text
 from cashloom.operators.asof import as_of, with_series
 from cashloom.operators.curve import curve_segments, discount_factor, interpolate, years_after
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup, reset_status
@@ -31,49 +33,37 @@ def evaluate(
     has a ``scenario`` column. Without it every contract keeps the rates of its own terms.
     """
     dated = with_analysis_date(with_full_terms(contracts), t0)
-    scheduled = with_schedule(dated).withColumn("scenario", F.explode(F.array(*[F.lit(s) for s in scenarios])))
+    scheduled = with_schedule(dated).selectExpr("*", f"explode(array({quoted_list(scenarios)})) AS scenario")
     if market is None:
         return with_states(scheduled).withColumn("reset_status", F.lit("none"))
     if "scenario" not in market.columns:
         market = market.withColumn("scenario", F.lit(BASE_SCENARIO))
-    rated = _with_market_rates(scheduled, market, limit)
-    observed = rated.withColumn("observed_rates", F.transform("reset_dates", _reset_rate))
-    status = reset_status()
-    unseen = F.get("observed_rates", F.when(F.col("next_reset_rate").isNull(), 0).otherwise(1)).isNull() & (
-        F.size("reset_dates") > F.when(F.col("next_reset_rate").isNull(), 0).otherwise(1)
-    )
-    flagged = observed.withColumn(
-        "reset_status", F.when((status == "ok") & unseen, "no_observation").otherwise(status)
-    )
-    return with_states(flagged.drop("series", "curve_rate"), F.col("observed_rates"))
+    seen = f"coalesce(curve_rate, {as_of('series', 'd')})"
+    rate = f"coalesce(rate_multiplier, 1D) * {seen} + coalesce(rate_spread, 0D)"
+    rated = with_states(_with_market_rates(scheduled, market, limit), rate)
+    status = f"CASE {reset_status()} WHEN 'ok' THEN if(unobserved, 'no_observation', 'ok') ELSE {reset_status()} END"
+    return rated.withColumn("reset_status", F.expr(status)).drop("series", "curve_rate")
 
 
 def _with_market_rates(contracts: DataFrame, market: DataFrame, limit: int) -> DataFrame:
-    series = with_series(market, (REFERENCE_RATE,)).select(
-        "scenario", F.col("code").alias("reset_code"), F.col("kind").alias("reset_kind"), "series"
+    """Attach what a reset date needs: the series of the reset code, or the rate of its curve."""
+    series = with_series(market, (REFERENCE_RATE,)).selectExpr(
+        "scenario", "code AS reset_code", "kind AS reset_kind", "series"
     )
     on_curve = {"scenario": "scenario", "reset_code": "code"}
-    priced = interpolate(
-        contracts, curve_segments(market), on_curve, tenor_years(F.col("rate_term")), "curve_rate", limit
-    )
+    priced = interpolate(contracts, curve_segments(market), on_curve, tenor_years("rate_term"), "curve_rate", limit)
     return lookup(priced, series, ["scenario", "reset_code"], limit)
 
 
-def _reset_rate(date: Column) -> Column:
-    seen = F.coalesce(F.col("curve_rate"), as_of(F.col("series"), date))
-    multiplier = F.coalesce(F.col("rate_multiplier"), F.lit(1.0))
-    return multiplier * seen + F.coalesce(F.col("rate_spread"), F.lit(0.0))
-
-
 def discounted(events: DataFrame, market: DataFrame, curve: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``discount``: the factor of the event date on the curve, from the analysis date on.
 
     ``events`` carry ``scenario``, ``t0`` and ``date``.
     """
-    segments = curve_segments(market.where(F.col("code") == curve))
-    years = years_after(F.col("t0"), F.col("date"))
+    segments = curve_segments(market.where(f"code = {quoted(curve)}"))
+    years = years_after("t0", "date")
     rated = interpolate(events, segments, {"scenario": "scenario"}, years, "zero_rate", limit)
-    return rated.withColumn("discount", discount_factor(F.col("zero_rate"), years)).drop("zero_rate")
+    return rated.withColumn("discount", F.expr(discount_factor("zero_rate", years))).drop("zero_rate")
 
 
 def event_records(evaluated: DataFrame, market: DataFrame, curve: str) -> DataFrame:
@@ -82,11 +72,11 @@ def event_records(evaluated: DataFrame, market: DataFrame, curve: str) -> DataFr
     ``evaluated`` carries a ``portfolio`` column.
     """
     events = flat_events(evaluated, keep=("scenario", "portfolio", "t0"))
-    return discounted(events, market, curve).select(
-        F.col("scenario").alias("riskScenario"),
+    return discounted(events, market, curve).selectExpr(
+        "scenario AS riskScenario",
         "portfolio",
-        F.col("contract_id").alias("id"),
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        "contract_id AS id",
+        f"{date_text('date')} AS date",
         "type",
         "currency",
         "value",

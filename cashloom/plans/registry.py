@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashloom.functions import quoted, quoted_list
 from cashloom.functions.cycles import parse_cycle
 from cashloom.functions.daycount import ACTUAL_360, ACTUAL_365, ACTUAL_ACTUAL, THIRTY_E_360, year_fraction
 from cashloom.functions.numbers import half_up, scaled
@@ -53,16 +54,13 @@ NESTED_SCHEMA = (
 FLAT_SCHEMA = "id string, date string, type string, currency string, value double, nominal double, accrued double"
 
 
-def _money(name: str) -> Column:
-    return half_up(F.col(name), MONEY_DIGITS).alias(name)
-
-
-def _term_columns(layout: list[Term]) -> list[Column]:
-    return [(date_text(F.col(t.name)) if t.kind == DATE else F.col(t.name)).alias(t.name) for t in layout]
+def _money(*names: str) -> list[str]:
+    return [f"{half_up(name, MONEY_DIGITS)} AS {name}" for name in names]
 
 
 def _parsed(contracts: DataFrame, layout: list[Term]) -> DataFrame:
-    return contracts.select(*_term_columns(layout), F.array_join("term_errors", ",").alias("term_errors"))
+    columns = [f"{date_text(t.name)} AS {t.name}" if t.kind == DATE else t.name for t in layout]
+    return contracts.selectExpr(*columns, "array_join(term_errors, ',') AS term_errors")
 
 
 def _full_contracts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -75,15 +73,8 @@ def _short_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_table(events: DataFrame) -> DataFrame:
-    return events.select(
-        "contract_id",
-        date_text(F.col("date")).alias("date"),
-        "type",
-        "currency",
-        _money("value"),
-        _money("nominal"),
-        _money("accrued"),
-    )
+    amounts = _money("value", "nominal", "accrued")
+    return events.selectExpr("contract_id", f"{date_text('date')} AS date", "type", "currency", *amounts)
 
 
 # --- reading ---------------------------------------------------------------------------------
@@ -108,11 +99,12 @@ def contract_parse_truncating(spark: SparkSession, sf_dir: str) -> DataFrame:
 def analysis_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line of a file of order days, attached to every contract."""
     path = new_folder(spark, "days")
-    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
-    days.orderBy("day").select(F.concat(F.col("day").cast("string"), F.lit("T00;x")).alias("value")).write.text(path)
+    days = table(spark, sf_dir, "orders").selectExpr("cast(o_orderdate AS date) AS day").distinct()
+    days.orderBy("day").selectExpr("concat(cast(day AS string), 'T00;x') AS value").write.text(path)
     dated = with_analysis_date(_short_contracts(spark, sf_dir), first_date(read_lines(spark, path)))
-    running = (F.col("t0") >= F.col("initial_exchange_date")).cast("int")
-    return dated.select("contract_id", date_text(F.col("t0")).alias("t0"), running.alias("running"))
+    return dated.selectExpr(
+        "contract_id", f"{date_text('t0')} AS t0", "cast(t0 >= initial_exchange_date AS int) AS running"
+    )
 
 
 def riskfactor_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,21 +123,20 @@ def _market_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _object_summary(market: DataFrame) -> DataFrame:
-    total = F.aggregate("values", F.lit(0).cast("bigint"), lambda t, v: t + scaled(v, 6))
-    return market.select(
+    return market.selectExpr(
         "code",
         "kind",
-        F.size("points").alias("n_points"),
-        F.get("points", F.lit(0)).alias("first_point"),
-        F.get("points", F.size("points") - 1).alias("last_point"),
-        total.alias("total_micro"),
+        "size(points) AS n_points",
+        "get(points, 0) AS first_point",
+        "get(points, size(points) - 1) AS last_point",
+        f"aggregate(values, 0L, (total, v) -> total + {scaled('v', 6)}) AS total_micro",
     )
 
 
 def riskfactor_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     market = market_table(spark, sf_dir)
-    dated = dated_points(market).select("code", "kind", date_text(F.col("date")).alias("point"), "value")
-    curves = curve_points(market).select("code", "kind", F.col("tenor").alias("point"), "value")
+    dated = dated_points(market).selectExpr("code", "kind", f"{date_text('date')} AS point", "value")
+    curves = curve_points(market).selectExpr("code", "kind", "tenor AS point", "value")
     return dated.unionByName(curves)
 
 
@@ -154,44 +145,39 @@ def riskfactor_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cycle_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cycle texts of every form, malformed ones included, by order key."""
-    k = F.col("o_orderkey")
 
-    def pick(key: Column, *texts: str) -> Column:
-        return F.element_at(F.array(*[F.lit(t) for t in texts]), (key % len(texts)).cast("int") + 1)
+    def pick(every: int, *texts: str) -> str:
+        return f"element_at(array({quoted_list(texts)}), cast(o_orderkey div {every} % {len(texts)} AS int) + 1)"
 
-    text = F.concat(
-        pick(F.floor(k / 2), "", "P"),
-        (k % 13).cast("string"),
-        pick(F.floor(k / 3), "D", "W", "M", "Q", "H", "Y", "X"),
-        pick(F.floor(k / 5), "", "-", "+", "L0", "L1", "L2"),
+    prefix, unit = pick(2, "", "P"), pick(3, "D", "W", "M", "Q", "H", "Y", "X")
+    stub = pick(5, "", "-", "+", "L0", "L1", "L2")
+    orders = table(spark, sf_dir, "orders")
+    texts = orders.selectExpr("o_orderkey", f"concat({prefix}, o_orderkey % 13, {unit}, {stub}) AS cycle")
+    steps = texts.selectExpr("*", f"{parse_cycle('cycle')} AS step")
+    return steps.selectExpr(
+        "o_orderkey", "cycle", "step.months", "step.days", "cast(step.long_stub AS int) AS long_stub"
     )
-    texts = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("cycle"))
-    step = texts.withColumn("step", parse_cycle(F.col("cycle")))
-    long_stub = F.col("step.long_stub").cast("int")
-    return step.select("o_orderkey", "cycle", "step.months", "step.days", long_stub.alias("long_stub"))
 
 
 def contract_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order status stands in for the role, one of the three being no role at all."""
-    status = F.col("o_orderstatus")
-    role = F.when(status == "F", "RPA").when(status == "P", "RPL").otherwise("BUY")
-    roles = table(spark, sf_dir, "orders").select("o_orderkey", role.alias("role"))
-    sign = role_sign(F.col("role"))
-    return roles.select("o_orderkey", "role", sign.alias("sign"), sign.isNull().cast("int").alias("unknown"))
+    role = "CASE o_orderstatus WHEN 'F' THEN 'RPA' WHEN 'P' THEN 'RPL' ELSE 'BUY' END AS role"
+    signed = table(spark, sf_dir, "orders").selectExpr("o_orderkey", role).selectExpr("*", f"{role_sign('role')} AS sign")
+    return signed.selectExpr("*", "cast(sign IS NULL AS int) AS unknown")
 
 
 def day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year fractions from the ship date over a span of up to 2000 days, by every convention."""
-    start = F.col("l_shipdate").cast("date")
-    end = F.date_add(start, (F.col("l_orderkey") % 2000).cast("int"))
-    spans = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", start.alias("a"), end.alias("b"))
+    start = "cast(l_shipdate AS date)"
+    end = f"date_add({start}, cast(l_orderkey % 2000 AS int))"
+    spans = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{start} AS a", f"{end} AS b")
     names = {"a365": ACTUAL_365, "a360": ACTUAL_360, "e30360": THIRTY_E_360, "aa": ACTUAL_ACTUAL}
-    fractions = [
-        half_up(year_fraction(F.col("a"), F.col("b"), F.lit(convention)), RATE_DIGITS).alias(name)
-        for name, convention in names.items()
-    ]
-    return spans.select(
-        "l_orderkey", "l_linenumber", date_text(F.col("a")).alias("a"), date_text(F.col("b")).alias("b"), *fractions
+    return spans.selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        f"{date_text('a')} AS a",
+        f"{date_text('b')} AS b",
+        *[f"{half_up(year_fraction('a', 'b', quoted(c)), RATE_DIGITS)} AS {n}" for n, c in names.items()],
     )
 
 
@@ -200,12 +186,7 @@ def day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rf_lookup_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_reset_object(_full_contracts(spark, sf_dir), market_table(spark, sf_dir))
-    return found.select(
-        "contract_id",
-        "reset_code",
-        "reset_kind",
-        F.coalesce(F.size("reset_points"), F.lit(0)).alias("n_points"),
-    )
+    return found.selectExpr("contract_id", "reset_code", "reset_kind", "coalesce(size(reset_points), 0) AS n_points")
 
 
 def rf_lookup_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,12 +194,12 @@ def rf_lookup_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     market = market_table(spark, sf_dir)
     found = with_scaling_object(_full_contracts(spark, sf_dir), market)
     valued = asof_join(found, market, "scaling_code", "initial_exchange_date", "index_value")
-    return valued.select(
+    return valued.selectExpr(
         "contract_id",
         "scaling_code",
         "scaling_kind",
-        F.coalesce(F.size("scaling_points"), F.lit(0)).alias("n_points"),
-        half_up(F.col("index_value") / F.col("scaling_index"), FACTOR_DIGITS).alias("index_ratio"),
+        "coalesce(size(scaling_points), 0) AS n_points",
+        f"{half_up('index_value / scaling_index', FACTOR_DIGITS)} AS index_ratio",
     )
 
 
@@ -228,35 +209,35 @@ def rf_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     A contract's scaling code, where it has one, takes the place of its reset code and the reset
     code that of the scaling code.
     """
-    contracts = _full_contracts(spark, sf_dir).withColumns(
-        {"reset_code": F.coalesce("scaling_code", "reset_code"), "scaling_code": F.col("reset_code")}
+    contracts = _full_contracts(spark, sf_dir).selectExpr(
+        "contract_id", "coalesce(scaling_code, reset_code) AS reset_code", "reset_code AS scaling_code"
     )
     market = market_table(spark, sf_dir)
     found = with_scaling_object(with_reset_object(contracts, market), market)
-    return found.select(
-        "contract_id", reset_status().alias("reset_status"), scaling_status().alias("scaling_status")
+    return found.selectExpr(
+        "contract_id", f"{reset_status()} AS reset_status", f"{scaling_status()} AS scaling_status"
     )
 
 
 def rate_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference rate per order at dates from before the first observation to after the last."""
-    k = F.col("o_orderkey")
-    date = F.add_months(F.col("o_orderdate").cast("date"), (6 * (k % 20) - 12).cast("int"))
-    code = F.when(k % 17 == 0, "MISSING").otherwise(F.concat(F.lit("REF_"), (k % 5).cast("string")))
-    probes = table(spark, sf_dir, "orders").select("o_orderkey", code.alias("code"), date.alias("date"))
+    probes = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "if(o_orderkey % 17 = 0, 'MISSING', concat('REF_', o_orderkey % 5)) AS code",
+        "add_months(cast(o_orderdate AS date), cast(6 * (o_orderkey % 20) - 12 AS int)) AS date",
+    )
     found = asof_join(probes, market_table(spark, sf_dir), "code", "date", "rate")
-    return found.select("o_orderkey", "code", date_text(F.col("date")).alias("date"), "rate")
+    return found.selectExpr("o_orderkey", "code", f"{date_text('date')} AS date", "rate")
 
 
 def curve_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A curve rate per order at terms from zero days to twelve years."""
-    k = F.col("o_orderkey")
-    probes = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.concat(F.lit("CRV_"), (k % 5).cast("string")).alias("curve"), (k % 4380).alias("days")
+    probes = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "concat('CRV_', o_orderkey % 5) AS curve", "o_orderkey % 4380 AS days"
     )
     segments = curve_segments(market_table(spark, sf_dir))
-    found = interpolate(probes, segments, {"curve": "code"}, F.col("days") / 365.0, "rate")
-    return found.select("o_orderkey", "curve", "days", half_up(F.col("rate"), RATE_DIGITS).alias("rate"))
+    found = interpolate(probes, segments, {"curve": "code"}, "days / 365D", "rate")
+    return found.selectExpr("o_orderkey", "curve", "days", f"{half_up('rate', RATE_DIGITS)} AS rate")
 
 
 # --- contract evaluation ---------------------------------------------------------------------
@@ -264,15 +245,15 @@ def curve_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pam_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_rows(evaluate(_full_contracts(spark, sf_dir), BEFORE_ALL))
-    return rows.select("contract_id", date_text(F.col("date")).alias("date"), event_name(F.col("kind")).alias("type"))
+    return rows.selectExpr("contract_id", f"{date_text('date')} AS date", f"{event_name('kind')} AS type")
 
 
 def pam_rate_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate from every reset on, resets without an observation included."""
     evaluated = evaluate(_full_contracts(spark, sf_dir), BEFORE_ALL, market_table(spark, sf_dir))
-    resets = flat_events(evaluated, keep=("reset_status",)).where(F.col("type").isin("RR", "RRF"))
-    rate = half_up(F.col("rate"), RATE_DIGITS).alias("rate")
-    return resets.select("contract_id", date_text(F.col("date")).alias("date"), "type", rate, "reset_status")
+    resets = flat_events(evaluated, keep=("reset_status",)).where("type IN ('RR', 'RRF')")
+    rate = f"{half_up('rate', RATE_DIGITS)} AS rate"
+    return resets.selectExpr("contract_id", f"{date_text('date')} AS date", "type", rate, "reset_status")
 
 
 def pam_events_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,15 +277,12 @@ def pam_purchase_termination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discount_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factor of every maturity date, seen from the middle of the contracts' lives."""
     contracts = with_analysis_date(_short_contracts(spark, sf_dir), MIDWAY)
-    ahead = contracts.where(F.col("maturity_date") > F.col("t0")).select(
-        "contract_id", "t0", F.col("maturity_date").alias("date"), F.lit("base").alias("scenario")
+    ahead = contracts.where("maturity_date > t0").selectExpr(
+        "contract_id", "t0", "maturity_date AS date", "'base' AS scenario"
     )
     factors = discounted(ahead, market_table(spark, sf_dir, scenarios=True), DISCOUNT_CURVE)
-    return factors.select(
-        "contract_id",
-        date_text(F.col("date")).alias("date"),
-        half_up(F.col("discount"), FACTOR_DIGITS).alias("discount"),
-    )
+    factor = half_up("discount", FACTOR_DIGITS)
+    return factors.selectExpr("contract_id", f"{date_text('date')} AS date", f"{factor} AS discount")
 
 
 # --- shapes and sinks ------------------------------------------------------------------------
@@ -316,18 +294,18 @@ def _floating_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested_table(nested: DataFrame) -> DataFrame:
-    def amounts(name: str) -> Column:
-        return F.array_join(F.transform(name, lambda v: scaled(v, MONEY_DIGITS).cast("string")), "|").alias(name)
+    def amounts(name: str) -> str:
+        return f"array_join(transform({name}, v -> cast({scaled('v', MONEY_DIGITS)} AS string)), '|') AS {name}"
 
-    return nested.select(
-        *[F.array_join(name, "|").alias(name) for name in ("id", "date", "type", "currency")],
+    return nested.selectExpr(
+        *[f"array_join({name}, '|') AS {name}" for name in ("id", "date", "type", "currency")],
         *[amounts(name) for name in ("value", "nominal", "accrued")],
     )
 
 
 def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = nested_events(evaluate(_short_contracts(spark, sf_dir), MIDWAY), keep=("contract_id",))
-    return nested.select("contract_id", F.size("id").alias("n_events"))
+    return nested.selectExpr("contract_id", "size(id) AS n_events")
 
 
 def events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,17 +317,15 @@ def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     contracts = _full_contracts(spark, sf_dir, portfolio=True)
     market = market_table(spark, sf_dir, scenarios=True)
     records = event_records(evaluate(contracts, BEFORE_ALL, market, list(SHIFTS)), market, DISCOUNT_CURVE)
-    return records.select(
+    return records.selectExpr(
         "riskScenario",
         "portfolio",
         "id",
         "date",
         "type",
         "currency",
-        _money("value"),
-        _money("nominal"),
-        _money("accrued"),
-        half_up(F.col("discount"), FACTOR_DIGITS).alias("discount"),
+        *_money("value", "nominal", "accrued"),
+        f"{half_up('discount', FACTOR_DIGITS)} AS discount",
     )
 
 
@@ -366,8 +342,8 @@ def csv_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = nested_events(evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL))
     for _ in range(2):
         append_csv(unnested(nested), path)
-    return read_csv(spark, path, FLAT_SCHEMA).select(
-        "id", "date", "type", "currency", _money("value"), _money("nominal"), _money("accrued")
+    return read_csv(spark, path, FLAT_SCHEMA).selectExpr(
+        "id", "date", "type", "currency", *_money("value", "nominal", "accrued")
     )
 
 
@@ -376,32 +352,23 @@ def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = new_folder(spark, "order_days")
     name = location.rsplit("/", 1)[1].replace("-", "_")
     create_table(spark, name, "id INT, datum STRING", location)
-    datum = F.date_format(F.col("o_orderdate").cast("date"), "dd.MM.yyyy")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("int").alias("id"), datum.alias("datum"))
-    insert_rows(orders, name)
+    orders = table(spark, sf_dir, "orders")
+    insert_rows(orders.selectExpr("cast(o_orderkey AS int) AS id", "date_format(o_orderdate, 'dd.MM.yyyy') AS datum"), name)
     return select_all(spark, name)
 
 
 def run_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order priority: its contracts, and the days between its first and last."""
     path = new_folder(spark, "runs")
-    day = F.unix_date(F.col("o_orderdate").cast("date"))
-    runs = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("run")).agg(
-        F.count("*").alias("contracts"), F.min(day).alias("start"), F.max(day).alias("stop")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderpriority AS run", "unix_date(cast(o_orderdate AS date)) AS day"
     )
-    codes = market_table(spark, sf_dir).agg(F.count("*").alias("n")).scalar()
-    append_runs(
-        runs.withColumns(
-            {
-                "class_name": F.lit("events"),
-                "output": F.lit("parquet"),
-                "ram": F.lit("4g"),
-                "risk_factors": codes,
-                "nodes": F.lit("8"),
-            }
-        ),
-        path,
+    runs = orders.groupBy("run").agg(
+        F.count("*").alias("contracts"), F.min("day").alias("start"), F.max("day").alias("stop")
     )
+    codes = market_table(spark, sf_dir).agg(F.count("*").alias("n")).scalar()
+    fixed = ["'events' AS class_name", "'parquet' AS output", "'4g' AS ram", "'8' AS nodes"]
+    append_runs(runs.selectExpr("*", *fixed).withColumn("risk_factors", codes), path)
     return read_runs(spark, path)
 
 
@@ -411,11 +378,11 @@ def run_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document: how many, the second, and a digest of all in order."""
     lines = token_arrays(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-    return lines.select(
+    return lines.selectExpr(
         "doc_id",
-        F.size("tokens").alias("n_tokens"),
-        F.get("tokens", F.lit(1)).alias("second"),
-        F.md5(F.array_join("tokens", "|").cast("binary")).alias("digest"),
+        "size(tokens) AS n_tokens",
+        "get(tokens, 1) AS second",
+        "md5(cast(array_join(tokens, '|') AS binary)) AS digest",
     )
 
 
@@ -425,10 +392,9 @@ def token_flatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monte_carlo_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One point per line item, placed by multiples of irrational numbers."""
-    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    x = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 0.6180339887498949
-    y = (F.col("l_partkey") * 8 + F.col("l_linenumber")) * 0.41421356237309515
-    return hit_ratio(spread_points(items, x, y))
+    x = "(l_orderkey * 8 + l_linenumber) * 0.6180339887498949D"
+    y = "(l_partkey * 8 + l_linenumber) * 0.41421356237309515D"
+    return hit_ratio(spread_points(table(spark, sf_dir, "lineitem"), x, y))
 
 
 ALL = [

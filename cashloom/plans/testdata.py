@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashloom.functions import quoted, quoted_list
 from cashloom.functions.text import FIELD_SEPARATOR, LIST_SEPARATOR, NULL_MARKER
 from cashloom.session import materialised, spread
 from cashloom.sources.layouts import FULL_LAYOUT, SHORT_LAYOUT, Term
@@ -36,71 +37,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def contract_terms(orders: DataFrame, spoiled: bool = False) -> dict[str, Column]:
+def contract_terms(spoiled: bool = False) -> dict[str, str]:
     """Each term as the text of a contract line, null where the term is absent.
 
     ``spoiled`` plants an unreadable purchase price in every 101st contract.
     """
-    k, notional = F.col("o_orderkey"), F.col("o_totalprice")
-    start = F.col("o_orderdate").cast("date")
-    priority = F.left("o_orderpriority", F.lit(1))
-    cycle_months = F.element_at(F.array(*[F.lit(m) for m in (1, 3, 6, 12)]), priority.cast("int"))
-    has_cycle = priority != "5"
-    bought, closed, scaled = k % 11 == 0, k % 13 == 0, k % 7 == 0
-    reset_code = (
-        F.when(k % 17 == 0, "MISSING")
-        .when(k % 6 == 1, F.concat(F.lit("CRV_"), (k % 5).cast("string")))
-        .when(k % 2 == 1, F.concat(F.lit("REF_"), (k % 5).cast("string")))
-    )
-    resets = reset_code.isNotNull()
-    price = F.when(bought, (F.lit(0.99) * notional).cast("string"))
-    date = {
-        "status_date": start,
-        "interest_anchor": F.when(has_cycle, F.add_months(start, cycle_months)),
-        "deal_date": start,
-        "initial_exchange_date": start,
-        "maturity_date": F.add_months(start, (12 + 6 * (k % 9)).cast("int")),
-        "purchase_date": F.when(bought, F.add_months(start, 5)),
-        "termination_date": F.when(closed, F.add_months(start, 9)),
-        "reset_anchor": F.when(resets, F.add_months(start, 6)),
-    }
+    k, priority, start = "o_orderkey", "left(o_orderpriority, 1)", "cast(o_orderdate AS date)"
+    resets = f"({k} % 17 = 0 OR {k} % 2 = 1)"
+    price = f"if({k} % 11 = 0, cast(0.99D * o_totalprice AS string), NULL)"
+
+    def day(date: str) -> str:
+        return f"concat(cast({date} AS string), 'T00')"
+
     return {
-        **{name: F.concat(day.cast("string"), F.lit("T00")) for name, day in date.items()},
-        "role": F.when(F.col("o_orderstatus") == "P", "RPL").otherwise("RPA"),
-        "contract_id": F.concat(F.lit("CT"), k.cast("string")),
-        "interest_cycle": F.when(
-            has_cycle, F.element_at(F.array(*[F.lit(c) for c in ("1M-", "1Q-", "6M-", "1Y-")]), priority.cast("int"))
+        "status_date": day(start),
+        "role": "if(o_orderstatus = 'P', 'RPL', 'RPA')",
+        "contract_id": f"concat('CT', {k})",
+        "interest_anchor": day(
+            f"add_months({start}, CASE {priority} WHEN '1' THEN 1 WHEN '2' THEN 3 WHEN '3' THEN 6 WHEN '4' THEN 12 END)"
         ),
-        "nominal_rate": ((10 + 5 * (k % 8)) / 1000).cast("string"),
+        "interest_cycle": f"CASE {priority} WHEN '1' THEN '1M-' WHEN '2' THEN '1Q-' WHEN '3' THEN '6M-'"
+        " WHEN '4' THEN '1Y-' END",
+        "nominal_rate": f"cast((10 + 5 * ({k} % 8)) / 1000 AS string)",
         "day_count": _choice(k, ["A/365", "A/360", "30E/360", "A/A ISDA"]),
         "currency": _choice(k, ["EUR", "USD", "CHF"]),
-        "notional": notional.cast("string"),
-        "purchase_price": F.when(k % 101 == 0, "n/a").otherwise(price) if spoiled else price,
-        "termination_price": F.when(closed, (F.lit(1.01) * notional).cast("string")),
-        "scaling_code": F.when(scaled, F.concat(F.lit("IDX_"), (k % 5).cast("string"))),
-        "scaling_index": F.when(scaled, "100.0"),
-        "reset_cycle": F.when(resets, "6M-"),
-        "rate_spread": (5 * (k % 3) / 1000).cast("string"),
-        "reset_code": reset_code,
-        "reset_cycle_point": F.lit("B"),
-        "fixing_days": F.lit("2D"),
-        "next_reset_rate": F.when(k % 4 == 1, "0.03"),
-        "rate_multiplier": F.lit("1.0"),
-        "rate_term": F.lit("6M"),
-        "premium_discount": F.when(k % 10 == 0, "-100.0").otherwise("0.0"),
+        "deal_date": day(start),
+        "initial_exchange_date": day(start),
+        "maturity_date": day(f"add_months({start}, cast(12 + 6 * ({k} % 9) AS int))"),
+        "notional": "cast(o_totalprice AS string)",
+        "purchase_date": f"if({k} % 11 = 0, {day(f'add_months({start}, 5)')}, NULL)",
+        "purchase_price": f"if({k} % 101 = 0, 'n/a', {price})" if spoiled else price,
+        "termination_date": f"if({k} % 13 = 0, {day(f'add_months({start}, 9)')}, NULL)",
+        "termination_price": f"if({k} % 13 = 0, cast(1.01D * o_totalprice AS string), NULL)",
+        "scaling_code": f"if({k} % 7 = 0, concat('IDX_', {k} % 5), NULL)",
+        "scaling_index": f"if({k} % 7 = 0, '100.0', NULL)",
+        "reset_anchor": f"if({resets}, {day(f'add_months({start}, 6)')}, NULL)",
+        "reset_cycle": f"if({resets}, '6M-', NULL)",
+        "rate_spread": f"cast(5 * ({k} % 3) / 1000 AS string)",
+        "reset_code": f"CASE WHEN {k} % 17 = 0 THEN 'MISSING' WHEN {k} % 6 = 1 THEN concat('CRV_', {k} % 5)"
+        f" WHEN {k} % 2 = 1 THEN concat('REF_', {k} % 5) END",
+        "reset_cycle_point": "'B'",
+        "fixing_days": "'2D'",
+        "next_reset_rate": f"if({k} % 4 = 1, '0.03', NULL)",
+        "rate_multiplier": "'1.0'",
+        "rate_term": "'6M'",
+        "premium_discount": f"if({k} % 10 = 0, '-100.0', '0.0')",
     }
 
 
-def _choice(key: Column, names: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (key % len(names)).cast("int") + 1)
+def _choice(key: str, names: list[str]) -> str:
+    return f"element_at(array({quoted_list(names)}), cast({key} % {len(names)} AS int) + 1)"
 
 
-def rendered(terms: dict[str, Column], layout: Sequence[Term]) -> Column:
+def rendered(terms: dict[str, str], layout: Sequence[Term]) -> str:
     """One ``;`` line; positions the layout does not read stay empty."""
-    tokens = [F.lit("")] * (max(t.position for t in layout) + 1)
+    tokens = ["''"] * (max(t.position for t in layout) + 1)
     for term in layout:
         tokens[term.position] = terms[term.name]
-    return F.array_join(F.array(*tokens), FIELD_SEPARATOR, NULL_MARKER)
+    return f"array_join(array({', '.join(tokens)}), {quoted(FIELD_SEPARATOR)}, {quoted(NULL_MARKER)})"
 
 
 def contract_lines(
@@ -111,14 +105,13 @@ def contract_lines(
     portfolio: bool = False,
 ) -> DataFrame:
     """Contract lines as ``value``, on request with the customer's segment as ``portfolio``."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     kept = []
-    orders = spread(orders, "o_orderkey")
     if portfolio:
         customer = table(spark, sf_dir, "customer")
         orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-        kept = [F.col("c_mktsegment").alias("portfolio")]
-    return orders.select(rendered(contract_terms(orders, spoiled), layout).alias("value"), *kept)
+        kept = ["c_mktsegment AS portfolio"]
+    return orders.selectExpr(f"{rendered(contract_terms(spoiled), layout)} AS value", *kept)
 
 
 def short_contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,12 +125,12 @@ def monthly_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     large share of the lines leaves every scan task as one row a month. Sums are over whole
     numbers (the columns have at most two decimals) and so do not depend on row order.
     """
-    items = table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey",
-        F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("month"),
-        F.round(F.col("l_discount") * 100).cast("long").alias("discount"),
-        F.col("l_quantity").cast("long").alias("quantity"),
-        F.round(F.col("l_tax") * 100).cast("long").alias("tax"),
+        "trunc(cast(l_shipdate AS date), 'MM') AS month",
+        "cast(round(l_discount * 100) AS bigint) AS discount",
+        "cast(l_quantity AS bigint) AS quantity",
+        "cast(round(l_tax * 100) AS bigint) AS tax",
     )
     columns = ["discount", "quantity", "tax"]
     per_supplier = items.groupBy("l_suppkey", "month").agg(
@@ -146,17 +139,17 @@ def monthly_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     placed = per_supplier.join(supplier, per_supplier.l_suppkey == supplier.s_suppkey).join(
-        nation, F.col("s_nationkey") == nation.n_nationkey
+        nation, supplier.s_nationkey == nation.n_nationkey
     )
     totals = placed.groupBy(F.col("n_regionkey").alias("region"), "month").agg(
         *[F.sum(c).alias(c) for c in ["n", *columns]]
     )
-    return totals.select(
+    return totals.selectExpr(
         "region",
         "month",
-        F.expr(f"(2 * discount * {MICRO // 100} + n) div (2 * n)").alias("discount"),
-        F.expr(f"(2 * quantity * {MICRO} + n) div (2 * n)").alias("quantity"),
-        F.expr(f"(2 * tax * {MICRO // 100} + n) div (2 * n)").alias("tax"),
+        f"(2 * discount * {MICRO // 100} + n) div (2 * n) AS discount",
+        f"(2 * quantity * {MICRO} + n) div (2 * n) AS quantity",
+        f"(2 * tax * {MICRO // 100} + n) div (2 * n) AS tax",
     )
 
 
@@ -167,38 +160,27 @@ def market_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     months = F.sort_array(F.collect_list(F.struct("month", "discount", "quantity", "tax"))).alias("m")
     series = monthly_averages(spark, sf_dir).groupBy("region").agg(months)
-    points = F.array_join(F.transform("m", lambda p: F.concat(p.month.cast("string"), F.lit("T00"))), LIST_SEPARATOR)
-
-    def texts(value) -> Column:
-        return F.array_join(F.transform("m", lambda p: (value(p) / MICRO).cast("string")), LIST_SEPARATOR)
-
-    def record(place: int, prefix: str, kind: str, values: Column) -> Column:
-        name = F.concat(F.lit(prefix), F.col("region").cast("string"))
-        line = F.concat_ws(FIELD_SEPARATOR, name, F.lit("x"), F.lit(kind), points, values)
-        return F.struct((F.col("region") * 8 + place).cast("long").alias("place"), line.alias("value"))
-
-    dated = series.select(
-        F.inline(
-            F.array(
-                record(0, "REF_", REFERENCE_RATE, texts(lambda p: F.lit(0))),
-                record(1, "IDX_", REFERENCE_INDEX, texts(lambda p: p.quantity + 100 * MICRO)),
-                record(2, "FX_", EXCHANGE_RATE, texts(lambda p: p.tax + MICRO)),
-                record(3, "REF_", REFERENCE_RATE, texts(lambda p: p.discount)),
-            )
-        )
-    )
-    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("region"))
-    rates = [((5 + F.col("region") + 2 * i) / 1000).cast("string") for i in range(len(TENORS))]
-    curves = region.select(
-        (F.col("region") * 8 + 4).cast("long").alias("place"),
-        F.concat_ws(
-            FIELD_SEPARATOR,
-            F.concat(F.lit("CRV_"), F.col("region").cast("string")),
-            F.lit("x"),
-            F.lit(TERM_STRUCTURE),
-            F.lit(LIST_SEPARATOR.join(TENORS)),
-            F.concat_ws(LIST_SEPARATOR, *rates),
-        ).alias("value"),
+    points = f"array_join(transform(m, p -> concat(cast(p.month AS string), 'T00')), {quoted(LIST_SEPARATOR)})"
+
+    def record(place: int, prefix: str, kind: str, micros: str) -> str:
+        values = f"array_join(transform(m, p -> cast({micros} / {MICRO} AS string)), {quoted(LIST_SEPARATOR)})"
+        line = f"concat_ws({quoted(FIELD_SEPARATOR)}, concat('{prefix}', region), 'x', '{kind}', {points}, {values})"
+        return f"struct(cast(region * 8 + {place} AS bigint), {line})"
+
+    records = [
+        record(0, "REF_", REFERENCE_RATE, "0"),
+        record(1, "IDX_", REFERENCE_INDEX, f"(p.quantity + {100 * MICRO})"),
+        record(2, "FX_", EXCHANGE_RATE, f"(p.tax + {MICRO})"),
+        record(3, "REF_", REFERENCE_RATE, "p.discount"),
+    ]
+    dated = series.selectExpr(f"inline(array({', '.join(records)})) AS (place, value)")
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey AS region")
+    rates = ", ".join(f"cast((5 + region + {2 * i}) / 1000 AS string)" for i in range(len(TENORS)))
+    curve = f"concat_ws({quoted(LIST_SEPARATOR)}, {rates})"
+    curves = region.selectExpr(
+        "cast(region * 8 + 4 AS bigint) AS place",
+        f"concat_ws({quoted(FIELD_SEPARATOR)}, concat('CRV_', region), 'x', '{TERM_STRUCTURE}',"
+        f" {quoted(LIST_SEPARATOR.join(TENORS))}, {curve}) AS value",
     )
     return dated.unionByName(curves)
 

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashloom.functions import quoted
 from cashloom.functions.text import FIELD_SEPARATOR, split_trimmed, to_date
 
 
 def first_date(lines: DataFrame) -> DataFrame:
     """One row ``t0``: the date that opens the first line; fails if it is not a date."""
-    first = lines.orderBy("place").limit(1)
-    token = F.get(split_trimmed(F.col("value"), FIELD_SEPARATOR), F.lit(0))
-    return first.select(checked_date(token).alias("t0"))
+    first = lines.orderBy("place").limit(1).selectExpr(f"get({split_trimmed('value', FIELD_SEPARATOR)}, 0) AS token")
+    return first.selectExpr(f"{checked_date('token')} AS t0")
 
 
-def checked_date(text: Column) -> Column:
-    complaint = F.concat(F.lit("not an analysis date: "), F.coalesce(text, F.lit("<nothing>")))
-    return F.coalesce(to_date(text), F.raise_error(complaint).cast("date"))
+def checked_date(text: str) -> str:
+    complaint = f"concat('not an analysis date: ', coalesce({text}, 'nothing'))"
+    return f"coalesce({to_date(text)}, cast(raise_error({complaint}) AS date))"
 
 
 def with_analysis_date(contracts: DataFrame, t0: str | DataFrame) -> DataFrame:
     """Attach the analysis date: a constant, or the single row of ``first_date``."""
-    value = checked_date(F.lit(t0)) if isinstance(t0, str) else t0.scalar()
+    value = F.expr(checked_date(quoted(t0))) if isinstance(t0, str) else t0.scalar()
     return contracts.withColumn("t0", value)

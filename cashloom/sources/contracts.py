@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from cashloom.functions import quoted, quoted_list
 from cashloom.functions.text import FIELD_SEPARATOR, split_trimmed, to_date, to_double, unmarked
 from cashloom.sources.layouts import DATE, DOUBLE, FULL_LAYOUT, TEXT, Term
 
@@ -28,45 +28,38 @@ def parse_contracts(
     absent token and an absent number count as failures too, and ``term_errors`` holds only
     the first.
     """
-    tokens = lines.select(*keep, split_trimmed(F.col("value"), FIELD_SEPARATOR).alias("tokens"))
-    texts = tokens.select(*keep, *[F.get("tokens", F.lit(t.position)).alias(_text(t)) for t in layout])
-    typed = texts.select("*", *[_READERS[t.kind](F.col(_text(t))).alias(t.name) for t in layout])
-    if on_error == KEEP_GOOD:
-        errors = F.array_compact(F.array(*[F.when(_unreadable(t), F.lit(t.name)) for t in layout]))
-        return typed.select(*keep, *[t.name for t in layout], errors.alias("term_errors"))
-    if on_error != TRUNCATE:
+    if on_error not in (KEEP_GOOD, TRUNCATE):
         raise ValueError(f"unknown fault policy {on_error!r}")
-    failed = [F.when(_fails(t), F.lit(rank)) for rank, t in enumerate(layout)]
-    ranked = typed.withColumn("first_failed", F.coalesce(F.least(*failed), F.lit(len(layout))))
-    return ranked.select(
+    tokens = lines.selectExpr(*keep, f"{split_trimmed('value', FIELD_SEPARATOR)} AS tokens")
+    typed = tokens.selectExpr(*keep, "tokens", *[f"{_READERS[t.kind](_token(t))} AS {t.name}" for t in layout])
+    if on_error == KEEP_GOOD:
+        errors = ", ".join(f"if({_unreadable(t)}, {quoted(t.name)}, NULL)" for t in layout if t.kind != TEXT)
+        return typed.selectExpr(*keep, *[t.name for t in layout], f"array_compact(array({errors})) AS term_errors")
+    failed = ", ".join(f"if({_fails(t)}, {rank}, NULL)" for rank, t in enumerate(layout))
+    ranked = typed.selectExpr("*", f"coalesce(least({failed}), {len(layout)}) AS cut")
+    names = quoted_list(t.name for t in layout)
+    return ranked.selectExpr(
         *keep,
-        *[F.when(F.col("first_failed") > rank, F.col(t.name)).alias(t.name) for rank, t in enumerate(layout)],
-        F.array_compact(F.array(F.get(_names(layout), F.col("first_failed")))).alias("term_errors"),
+        *[f"if(cut > {rank}, {t.name}, NULL) AS {t.name}" for rank, t in enumerate(layout)],
+        f"array_compact(array(get(array({names}), cut))) AS term_errors",
     )
 
 
 def with_full_terms(contracts: DataFrame) -> DataFrame:
     """Add the terms of the full layout that a shorter one lacks, as nulls."""
-    missing = {t.name: F.lit(None).cast(t.kind) for t in FULL_LAYOUT if t.name not in contracts.columns}
-    return contracts.withColumns(missing) if missing else contracts
-
-
-def _text(term: Term) -> str:
-    return f"{term.name}_text"
+    missing = [t for t in FULL_LAYOUT if t.name not in contracts.columns]
+    return contracts.selectExpr("*", *[f"cast(NULL AS {t.kind}) AS {t.name}" for t in missing])
 
 
-def _names(layout: Sequence[Term]) -> Column:
-    return F.array(*[F.lit(t.name) for t in layout])
+def _token(term: Term) -> str:
+    return f"get(tokens, {term.position})"
 
 
-def _unreadable(term: Term) -> Column:
-    return unmarked(F.col(_text(term))).isNotNull() & F.col(term.name).isNull()
+def _unreadable(term: Term) -> str:
+    return f"{unmarked(_token(term))} IS NOT NULL AND {term.name} IS NULL"
 
 
-def _fails(term: Term) -> Column:
-    absent = F.col(_text(term)).isNull()
-    if term.kind == TEXT:
-        return absent
-    if term.kind == DOUBLE:
-        return absent | F.col(term.name).isNull()
-    return absent | _unreadable(term)
+def _fails(term: Term) -> str:
+    """An absent token, an absent number, or a text that does not read as a date."""
+    absent = f"{_token(term)} IS NULL"
+    return {TEXT: absent, DOUBLE: f"{term.name} IS NULL", DATE: f"{absent} OR ({_unreadable(term)})"}[term.kind]

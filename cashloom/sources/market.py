@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashloom.functions import quoted, quoted_list
 from cashloom.functions.cycles import tenor_years
 from cashloom.functions.text import FIELD_SEPARATOR, LIST_SEPARATOR, doubles, split_trimmed, to_date
 
@@ -15,20 +16,20 @@ TERM_STRUCTURE = "TermStructure"
 REFERENCE_RATE = "ReferenceRate"
 REFERENCE_INDEX = "ReferenceIndex"
 EXCHANGE_RATE = "ForeignExchangeRate"
-KINDS = [TERM_STRUCTURE, REFERENCE_RATE, REFERENCE_INDEX, EXCHANGE_RATE]
-RATE_KINDS = [TERM_STRUCTURE, REFERENCE_RATE]
+DATED_KINDS = (REFERENCE_RATE, REFERENCE_INDEX, EXCHANGE_RATE)
+RATE_KINDS = (TERM_STRUCTURE, REFERENCE_RATE)
 
 BASE_SCENARIO = "base"
 
 
 def parse_market(lines: DataFrame) -> DataFrame:
     """``code, kind, points, values, place``; points stay text, for they are dates or tenors."""
-    tokens = lines.select(split_trimmed(F.col("value"), FIELD_SEPARATOR).alias("t"), "place")
-    return tokens.select(
-        F.get("t", F.lit(0)).alias("code"),
-        F.get("t", F.lit(2)).alias("kind"),
-        split_trimmed(F.get("t", F.lit(3)), LIST_SEPARATOR).alias("points"),
-        doubles(F.get("t", F.lit(4))).alias("values"),
+    tokens = lines.selectExpr(f"{split_trimmed('value', FIELD_SEPARATOR)} AS token", "place")
+    return tokens.selectExpr(
+        "get(token, 0) AS code",
+        "get(token, 2) AS kind",
+        f"{split_trimmed('get(token, 3)', LIST_SEPARATOR)} AS points",
+        f"{doubles('get(token, 4)')} AS values",
         "place",
     )
 
@@ -42,31 +43,27 @@ def last_per_code(market: DataFrame) -> DataFrame:
 
 def dated_points(market: DataFrame, *kinds: str) -> DataFrame:
     """``code, kind, date, value`` of the dated kinds asked for; all three by default."""
-    return _points(market, kinds or (REFERENCE_RATE, REFERENCE_INDEX, EXCHANGE_RATE)).select(
-        "code", "kind", to_date(F.col("point")).alias("date"), "value"
-    )
+    return _points(market, kinds or DATED_KINDS).selectExpr("code", "kind", f"{to_date('point')} AS date", "value")
 
 
 def curve_points(market: DataFrame) -> DataFrame:
     """``code, kind, tenor, years, value`` of the term structures."""
-    return _points(market, (TERM_STRUCTURE,)).select(
-        "code", "kind", F.col("point").alias("tenor"), tenor_years(F.col("point")).alias("years"), "value"
+    return _points(market, (TERM_STRUCTURE,)).selectExpr(
+        "code", "kind", "point AS tenor", f"{tenor_years('point')} AS years", "value"
     )
 
 
 def _points(market: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    wanted = market.where(F.col("kind").isin(*kinds))
-    zipped = F.arrays_zip(F.col("points").alias("point"), F.col("values").alias("value"))
-    return wanted.select("code", "kind", F.inline_outer(zipped).alias("point", "value")).where(
-        F.col("point").isNotNull()
-    )
+    wanted = market.where(f"kind IN ({quoted_list(kinds)})")
+    # The outer form: from an inner one the optimizer derives a filter on the array's size and
+    # pushes it down, where the arrays would be built a second time.
+    pairs = wanted.selectExpr("code", "kind", "inline_outer(arrays_zip(points, values)) AS (point, value)")
+    return pairs.where("point IS NOT NULL")
 
 
 def in_scenarios(market: DataFrame, shifts: Mapping[str, float]) -> DataFrame:
     """The market once per scenario, with the scenario's shift added to every rate."""
-    named = F.array(*[F.struct(F.lit(n).alias("scenario"), F.lit(float(s)).alias("shift")) for n, s in shifts.items()])
-    spread = market.select("*", F.inline(named).alias("scenario", "shift"))
-    moved = F.transform("values", lambda v: v + F.col("shift"))
-    return spread.withColumn("values", F.when(F.col("kind").isin(*RATE_KINDS), moved).otherwise(F.col("values"))).drop(
-        "shift"
-    )
+    named = ", ".join(f"struct({quoted(name)}, {float(shift)}D)" for name, shift in shifts.items())
+    spread = market.selectExpr("*", f"inline(array({named})) AS (scenario, shift)")
+    moved = f"if(kind IN ({quoted_list(RATE_KINDS)}), transform(values, v -> v + shift), values)"
+    return spread.withColumn("values", F.expr(moved)).drop("shift")

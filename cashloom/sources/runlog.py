@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cashloom.sources.sinks import append_csv, read_csv
 
@@ -14,8 +13,8 @@ RUN_SCHEMA = ", ".join(f"{name} string" for name in RUN_FIELDS) + ", elapsed big
 
 def run_records(runs: DataFrame) -> DataFrame:
     """Records of runs given with ``start`` and ``stop``."""
-    elapsed = F.col("stop").cast("bigint") - F.col("start").cast("bigint")
-    return runs.select(*[F.col(name).cast("string") for name in RUN_FIELDS], elapsed.alias("elapsed"))
+    texts = [f"cast({name} AS string) AS {name}" for name in RUN_FIELDS]
+    return runs.selectExpr(*texts, "cast(stop AS bigint) - cast(start AS bigint) AS elapsed")
 
 
 def append_runs(runs: DataFrame, path: str) -> None:

@@ -88,7 +88,7 @@ def main() -> None:
         try:
             found = difference(spark, con, query, oracle[name], sf_dir)
         except Exception as error:  # report and go on with the next query
-            found = f"{type(error).__name__}: {str(error)[:1500]}"
+            found = f"{type(error).__name__}: {str(error)[:400]}"
         print(f"{name}: {'ok' if not found else found} [{time.time() - start:.1f}s]", flush=True)
 
 
