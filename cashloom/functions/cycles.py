@@ -54,11 +54,12 @@ def regular_dates(anchor: str, step: str, until: str) -> str:
 
 def regular_count(anchor: str, step: str, until: str) -> str:
     """How many dates ``regular_dates`` would give, by arithmetic alone."""
-    months = f"cast(floor(({month_number(until)} - {month_number(anchor)}) / {step}.months) AS int)"
+    span = f"({month_number(until)} - {month_number(anchor)})"
+    # In a month that is not on the grid the last date is surely past; in one that is, days decide.
+    last = f"if({span} % {step}.months > 0 OR add_months({anchor}, {span}) <= {until}, 1, 0)"
     return (
-        f"CASE WHEN {anchor} <= {until} THEN CASE WHEN {step}.months > 0"
-        f" THEN {months} + if(add_months({anchor}, {months} * {step}.months) > {until}, 0, 1)"
-        f" ELSE cast(floor(datediff({until}, {anchor}) / {step}.days) AS int) + 1 END ELSE 0 END"
+        f"CASE WHEN {anchor} <= {until} THEN CASE WHEN {step}.months > 0 THEN {span} div {step}.months + {last}"
+        f" ELSE datediff({until}, {anchor}) div {step}.days + 1 END ELSE 0 END"
     )
 
 

@@ -82,16 +82,15 @@ def with_schedule(contracts: DataFrame) -> DataFrame:
         "*",
         f"if(last_day = {md}, concat(regular_interest, array({md})), regular_interest) AS interest_dates",
         f"coalesce(last_paid, {ied}) AS since",
+        f"{regular_count('interest_from', 'interest_step', 'begin')} AS interest_passed",
+        f"{regular_count('reset_from', 'reset_step', 'begin')} AS reset_passed",
     ).drop("interest_all", "reset_all", "interest_grid", "reset_grid", "last_paid")
 
 
 def _regular_upto(name: str, dates: str, until: str) -> str:
     """How many of the regular future dates of a schedule lie up to ``until``, without a search."""
-
-    def count(day: str) -> str:
-        return regular_count(f"{name}_from", f"{name}_step", day)
-
-    return f"greatest(least({count(until)} - {count('begin')}, size({dates})), 0)"
+    count = regular_count(f"{name}_from", f"{name}_step", until)
+    return f"greatest(least({count} - {name}_passed, size({dates})), 0)"
 
 
 def resets_upto(date: str) -> str:

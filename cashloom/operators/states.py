@@ -1,10 +1,10 @@
 """Contract states at the events, and the event values.
 
 The notional is constant between the initial exchange and the end, so the interest due at an
-event follows from the last payment before it and the resets since. A payment of a contract
-without resets needs only the payment before it and is computed in its own row, after the dates
-are exploded. With resets, the amounts are laid out in arrays beside the dates: each looks up
-its ranks by arithmetic and adds up only the resets that have no payment between them.
+event follows from the last payment before it and the resets since. Both are found by rank, with
+month arithmetic, in the date arrays of the row. Only resets without a payment between them have
+to be added up, which is done once per reset, in ``reset_dues``; amounts and values are computed
+event by event, after the dates are exploded.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ RESETTING = f"({RRF}, {RR})"
 
 
 def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") -> DataFrame:
-    """Add rates and interest amounts of the resets, and the event dates.
+    """Add the rates from the resets on, the interest due at them, and the event dates.
 
     ``observed`` is the market rate at a reset date ``d``. Where there is none the rate stays as
     it was. An observation once made stays available, so the resets without one come first, and
@@ -46,30 +46,26 @@ def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") ->
     """
     fixed = "rank = 0 AND next_reset_rate IS NOT NULL"
     rate = f"if({fixed}, next_reset_rate, coalesce(seen, next_reset_rate, nominal_rate))"
-    day_before = "date_sub(d, 1)"
-    ranked = scheduled.selectExpr(
+    opening = "if(next_reset_rate IS NULL, 0, 1)"
+    floats = "size(reset_dates) > 0"
+    rated = scheduled.selectExpr(
         "*", "sign * notional AS principal", f"transform(reset_dates, d -> {observed}) AS observed_rates"
     ).selectExpr(
         "*",
         f"transform(observed_rates, (seen, rank) -> {rate}) AS reset_rates",
-        "get(observed_rates, if(next_reset_rate IS NULL, 0, 1)) IS NULL"
-        " AND size(reset_dates) > if(next_reset_rate IS NULL, 0, 1) AS unobserved",
-        f"transform(reset_dates, d -> {payments_upto('d')}) AS payments_at_reset",
-        f"if(size(reset_dates) > 0, transform(interest_dates, d -> {resets_upto('d')}), NULL) AS resets_at_payment",
-        f"if(size(reset_dates) > 0, transform(interest_dates, d -> {resets_upto(day_before)}), NULL)"
-        " AS resets_before_payment",
-        f"if(purchased_on IS NULL, NULL, {payments_upto('purchased_on')}) AS payments_at_purchase",
-        f"if(terminated_on IS NULL, NULL, {payments_upto('terminated_on')}) AS payments_at_termination",
+        f"get(observed_rates, {opening}) IS NULL AND size(reset_dates) > {opening} AS unobserved",
+        f"transform(reset_dates, d -> {_paid_before(payments_upto('d'))}) AS paid_at_reset",
+        f"if(purchased_on IS NULL, NULL, {_paid_before(payments_upto('purchased_on'))}) AS paid_at_purchase",
+        f"if(terminated_on IS NULL, NULL, {_paid_before(payments_upto('terminated_on'))}) AS paid_at_termination",
+        # A reset on the day of a payment comes after it, on any other event's day before it.
+        f"if({floats}, transform(interest_dates, d -> {resets_upto('date_sub(d, 1)')}), NULL) AS resets_at_payment",
+        f"if({floats} AND purchased_on IS NOT NULL, {resets_upto('purchased_on')}, 0) AS resets_at_purchase",
+        f"if({floats} AND terminated_on IS NOT NULL, {resets_upto('terminated_on')}, 0) AS resets_at_termination",
     )
-    resets = ranked.withColumn("reset_dues", F.expr(f"transform(reset_dates, (d, rank) -> {_reset_due('d', 'rank')})"))
-    payment = _due("d", "rank", "get(resets_before_payment, rank)")
-    amounts = resets.selectExpr(
-        "*",
-        f"if(size(reset_dates) > 0, transform(interest_dates, (d, rank) -> {payment}), NULL) AS interest_dues",
-        f"{_due_at('purchased_on', 'payments_at_purchase')} AS purchase_due",
-        f"{_due_at('terminated_on', 'payments_at_termination')} AS termination_due",
+    ranked = rated.selectExpr("*", f"transform(paid_at_reset, d -> {resets_upto('d')}) AS resets_at_paid")
+    return with_event_dates(
+        ranked.withColumn("reset_dues", F.expr(f"transform(reset_dates, (d, rank) -> {_reset_due('rank')})"))
     )
-    return with_event_dates(amounts)
 
 
 def _paid_before(count: str) -> str:
@@ -85,41 +81,43 @@ def _interest(start: str, end: str, rate: str) -> str:
     return f"({year_fraction(start, end, 'day_count')}) * {rate} * principal"
 
 
-def _resets_by_then(payments: str) -> str:
-    """How many resets lie up to the last of ``payments`` payments."""
-    return f"coalesce(get(resets_at_payment, {payments} - 1), 0)"
-
-
-def _reset_due(date: str, rank: str) -> str:
+def _reset_due(rank: str) -> str:
     """Interest accrued up to a reset since the last payment, reset by reset."""
-    payments = f"get(payments_at_reset, {rank})"
-    opening = let("paid", _paid_before(payments), _interest("paid", "get(reset_dates, first)", _rate_after("first")))
+    opening = _interest(f"get(paid_at_reset, {rank})", "get(reset_dates, first)", _rate_after("first"))
     later = f"if(first < {rank}, sequence(first + 1, {rank}), cast(array() AS array<int>))"
     step = _interest("get(reset_dates, r - 1)", "get(reset_dates, r)", "get(reset_rates, r - 1)")
     summed = f"aggregate({later}, {opening}, (due, r) -> due + {step})"
     # A payment on the day of the reset comes before it, and nothing has accrued since.
-    return let("first", f"least({_resets_by_then(payments)}, {rank})", summed)
+    return let("first", f"least(get(resets_at_paid, {rank}), {rank})", summed)
+
+
+def paid_before(kind: str, position: str) -> str:
+    """Date of the last payment before the event, or where accrual began; null if nothing accrues."""
+    return (
+        f"CASE {kind} WHEN {IP} THEN {_paid_before(f'{position} - kind_ends[0]')}"
+        f" WHEN {PRD} THEN paid_at_purchase WHEN {TD} THEN paid_at_termination END"
+    )
 
 
-def _due(date: str, payments: str, resets: str) -> str:
-    """Interest due at ``date`` after that many payments and resets."""
-    on_top = _interest("get(reset_dates, n - 1)", date, "get(reset_rates, n - 1)")
-    whole = let("paid", _paid_before(payments), _interest("paid", date, _rate_after("n")))
-    return let("n", resets, f"if(n > {_resets_by_then(payments)}, get(reset_dues, n - 1) + {on_top}, {whole})")
+def resets_before(kind: str, position: str) -> str:
+    """How many resets come before the event, where that matters."""
+    return (
+        f"CASE {kind} WHEN {IP} THEN coalesce(get(resets_at_payment, {position} - kind_ends[0]), 0)"
+        f" WHEN {PRD} THEN resets_at_purchase WHEN {TD} THEN resets_at_termination ELSE 0 END"
+    )
 
 
-def _due_at(date: str, payments: str) -> str:
-    resets = f"if(size(reset_dates) > 0, {resets_upto(f'date_sub({date}, 1)')}, 0)"
-    return f"if({date} IS NULL, NULL, {_due(date, payments, resets)})"
+def accrual_start(paid: str, resets: str) -> str:
+    """Where the accrual up to the event starts anew: the last payment or a reset after it."""
+    return f"greatest({paid}, get(reset_dates, {resets} - 1))"
 
 
-def event_due(date: str, kind: str, position: str, paid: str) -> str:
-    """Interest accrued up to the event, before it pays any; ``paid`` is the payment before it."""
+def event_due(date: str, kind: str, position: str, paid: str, resets: str, start: str) -> str:
+    """Interest accrued up to the event, before it pays any."""
+    carried = f"if({start} > {paid}, get(reset_dues, {resets} - 1), 0D)"
     return (
-        f"CASE WHEN {kind} = {IP} THEN coalesce(get(interest_dues, {position} - kind_ends[0]),"
-        f" {_interest(paid, date, 'nominal_rate')})"
-        f" WHEN {kind} IN {RESETTING} THEN get(reset_dues, {position} - kind_ends[1])"
-        f" WHEN {kind} = {PRD} THEN purchase_due WHEN {kind} = {TD} THEN termination_due ELSE 0D END"
+        f"CASE WHEN {paid} IS NOT NULL THEN {carried} + {_interest(start, date, _rate_after(resets))}"
+        f" WHEN {kind} IN {RESETTING} THEN get(reset_dues, {position} - kind_ends[1]) ELSE 0D END"
     )
 
 
@@ -155,9 +153,14 @@ def event_rows(evaluated: DataFrame) -> DataFrame:
 
 def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per event: ``contract_id, date, kind, type, currency, value, nominal, accrued, rate``."""
-    paid = f"if(kind = {IP}, {_paid_before('position - kind_ends[0]')}, NULL)"
-    owed = event_rows(evaluated).withColumn("paid", F.expr(paid))
-    return owed.withColumn("due", F.expr(event_due("date", "kind", "position", "paid"))).selectExpr(
+    ranked = event_rows(evaluated).selectExpr(
+        "*",
+        f"{paid_before('kind', 'position')} AS paid",
+        f"{resets_before('kind', 'position')} AS resets",
+    )
+    started = ranked.withColumn("start", F.expr(f"if(paid IS NULL, NULL, {accrual_start('paid', 'resets')})"))
+    owed = started.withColumn("due", F.expr(event_due("date", "kind", "position", "paid", "resets", "start")))
+    return owed.selectExpr(
         *keep,
         "contract_id",
         "date",
@@ -174,12 +177,18 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per contract with parallel arrays in event order, empty ones for no events."""
     listed = f"transform(event_dates, (d, i) -> named_struct('date', d, 'kind', {event_kind('i')}, 'position', i))"
-    paid = _paid_before("e.position - kind_ends[0]")
-    due = let("paid", paid, event_due("e.date", "e.kind", "e.position", "paid"))
-    rows = evaluated.selectExpr(
-        "*", f"filter(sort_array({listed}), e -> {given_out('e.date', 'e.kind')}) AS given"
-    ).selectExpr(
-        "*", f"transform(given, e -> named_struct('date', e.date, 'kind', e.kind, 'due', {due})) AS events"
+    paid = paid_before("e.kind", "e.position")
+    resets = resets_before("e.kind", "e.position")
+    due = event_due("e.date", "e.kind", "e.position", "e.paid", "e.resets", "start")
+    due = let("start", accrual_start("e.paid", "e.resets"), due)
+    rows = (
+        evaluated.selectExpr("*", f"filter({listed}, e -> {given_out('e.date', 'e.kind')}) AS given")
+        .selectExpr(
+            "*",
+            "transform(sort_array(given), e -> named_struct('date', e.date, 'kind', e.kind,"
+            f" 'position', e.position, 'paid', {paid}, 'resets', {resets})) AS placed",
+        )
+        .selectExpr("*", f"transform(placed, e -> named_struct('date', e.date, 'kind', e.kind, 'due', {due})) AS events")
     )
     return rows.selectExpr(
         *keep,
