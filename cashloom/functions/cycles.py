@@ -17,22 +17,22 @@ NO_DATES = "cast(array() AS array<date>)"
 def parse_cycle(text: str) -> str:
     """Cycle text to ``struct(months, days, long_stub)``; null if malformed or of no length."""
     parts = f"split(regexp_replace({text}, {quoted(CYCLE_PATTERN)}, '$1 $2 $3'), ' ')"
-    count = "try_cast(part[0] AS int)"
+    count = "try_cast(__part[0] AS int)"
 
     def length(units: dict[str, int]) -> str:
         sizes = " ".join(f"WHEN {quoted(unit)} THEN {size}" for unit, size in units.items())
-        return f"{count} * CASE part[1] {sizes} ELSE 0 END"
+        return f"{count} * CASE __part[1] {sizes} ELSE 0 END"
 
     step = (
-        f"CASE WHEN size(part) = 3 AND {count} > 0 THEN named_struct('months', {length(UNIT_MONTHS)},"
-        f" 'days', {length(UNIT_DAYS)}, 'long_stub', part[2] IN ({quoted_list(LONG_STUBS)})) END"
+        f"CASE WHEN size(__part) = 3 AND {count} > 0 THEN named_struct('months', {length(UNIT_MONTHS)},"
+        f" 'days', {length(UNIT_DAYS)}, 'long_stub', __part[2] IN ({quoted_list(LONG_STUBS)})) END"
     )
-    return let("part", parts, step)
+    return let("__part", parts, step)
 
 
 def tenor_years(text: str) -> str:
     """Tenor text to years: months in twelfths, days over 365."""
-    return let("tenor", parse_cycle(text), f"tenor.months / 12D + tenor.days / {DAYS_PER_YEAR}D")
+    return let("__tenor", parse_cycle(text), f"__tenor.months / 12D + __tenor.days / {DAYS_PER_YEAR}D")
 
 
 def month_number(date: str) -> str:

@@ -45,7 +45,7 @@ def to_date(text: str) -> str:
 
 def doubles(text: str) -> str:
     """A ``!`` list of numbers to an array."""
-    return f"transform({split_trimmed(text, LIST_SEPARATOR)}, number -> {to_double('number')})"
+    return f"transform({split_trimmed(text, LIST_SEPARATOR)}, __number -> {to_double('__number')})"
 
 
 def date_text(date: str) -> str:

@@ -38,12 +38,12 @@ def with_series(market: DataFrame, kinds: tuple[str, ...] = DATED_KINDS) -> Data
 
 def as_of(series: str, date: str) -> str:
     """The series value in force at ``date``; null before the first observation."""
-    upto = f"coalesce(get({series}.counts, month), size({series}.dates))"
-    same_month = f"slice({series}.dates, earlier + 1, {upto} - earlier)"
-    seen = f"earlier + size(filter({same_month}, day -> day <= {date}))"
-    earlier = f"coalesce(get({series}.counts, least(month, size({series}.counts)) - 1), 0)"
-    value = let("earlier", earlier, f"get({series}.values, {seen} - 1)")
-    return let("month", f"{month_number(date)} - {series}.first_month", f"if(month >= 0, {value}, NULL)")
+    upto = f"coalesce(get({series}.counts, __month), size({series}.dates))"
+    same_month = f"slice({series}.dates, __earlier + 1, {upto} - __earlier)"
+    seen = f"__earlier + size(filter({same_month}, __day -> __day <= {date}))"
+    earlier = f"coalesce(get({series}.counts, least(__month, size({series}.counts)) - 1), 0)"
+    value = let("__earlier", earlier, f"get({series}.values, {seen} - 1)")
+    return let("__month", f"{month_number(date)} - {series}.first_month", f"if(__month >= 0, {value}, NULL)")
 
 
 def asof_join(

@@ -10,6 +10,7 @@ from cashloom.functions import quoted_list
 from cashloom.sources.market import RATE_KINDS, REFERENCE_INDEX
 
 BROADCAST_BYTES = 256 * 1024 * 1024
+SALTS = 16
 
 
 def row_bytes(schema: T.StructType) -> str:
@@ -39,10 +40,19 @@ def fits_broadcast(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def lookup(rows: DataFrame, table: DataFrame, on: Column | list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
     """``rows`` with the matching row of ``table``, or nulls.
 
-    A table within ``limit`` is broadcast, so ``rows`` are not moved. A larger one is left to a
-    sort-merge join, where adaptive execution splits the partitions of hot keys.
+    A table within ``limit`` is broadcast, so ``rows`` are not moved. A larger one is joined by
+    sort-merge, on a salt as well: the rows of one key, or of none, are spread over ``SALTS``
+    groups by a hash of their content, and the table goes to each. The hash is the same when a
+    lost task is run again. What is still uneven is left to adaptive execution.
     """
-    return rows.join(F.broadcast(table) if fits_broadcast(table, limit) else table, on, "left")
+    if fits_broadcast(table, limit):
+        return rows.join(F.broadcast(table), on, "left")
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    if isinstance(on, list):
+        copies = table.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS __salt")
+        return salted.join(copies, [*on, "__salt"], "left").drop("__salt")
+    copies = table.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS __copy")
+    return salted.join(copies, on & F.expr("__salt = __copy"), "left").drop("__salt", "__copy")
 
 
 def with_reset_object(contracts: DataFrame, market: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -174,15 +174,24 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def _given_events() -> str:
+    listed = f"transform(event_dates, (d, i) -> named_struct('date', d, 'kind', {event_kind('i')}, 'position', i))"
+    return f"filter({listed}, e -> {given_out('e.date', 'e.kind')})"
+
+
+def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``n_events`` of every contract, without computing them."""
+    return evaluated.selectExpr(*keep, "contract_id", f"size({_given_events()}) AS n_events")
+
+
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per contract with parallel arrays in event order, empty ones for no events."""
-    listed = f"transform(event_dates, (d, i) -> named_struct('date', d, 'kind', {event_kind('i')}, 'position', i))"
     paid = paid_before("e.kind", "e.position")
     resets = resets_before("e.kind", "e.position")
     due = event_due("e.date", "e.kind", "e.position", "e.paid", "e.resets", "start")
     due = let("start", accrual_start("e.paid", "e.resets"), due)
     rows = (
-        evaluated.selectExpr("*", f"filter({listed}, e -> {given_out('e.date', 'e.kind')}) AS given")
+        evaluated.selectExpr("*", f"{_given_events()} AS given")
         .selectExpr(
             "*",
             "transform(sort_array(given), e -> named_struct('date', e.date, 'kind', e.kind,"

@@ -13,6 +13,7 @@ from cashloom.functions.daycount import ACTUAL_360, ACTUAL_365, ACTUAL_ACTUAL, T
 from cashloom.functions.numbers import half_up, scaled
 from cashloom.functions.text import date_text
 from cashloom.operators.asof import asof_join
+from cashloom.operators import states
 from cashloom.operators.curve import curve_segments, interpolate
 from cashloom.operators.hits import hit_ratio, spread_points
 from cashloom.operators.lookup import reset_status, scaling_status, with_reset_object, with_scaling_object
@@ -304,8 +305,7 @@ def _nested_table(nested: DataFrame) -> DataFrame:
 
 
 def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = nested_events(evaluate(_short_contracts(spark, sf_dir), MIDWAY), keep=("contract_id",))
-    return nested.selectExpr("contract_id", "size(id) AS n_events")
+    return states.event_counts(evaluate(_short_contracts(spark, sf_dir), MIDWAY))
 
 
 def events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
