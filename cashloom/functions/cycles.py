@@ -52,17 +52,6 @@ def regular_dates(anchor: str, step: str, until: str) -> str:
     return f"coalesce(CASE WHEN {anchor} <= {until} THEN sequence({anchor}, {until}, {interval}) END, {NO_DATES})"
 
 
-def regular_count(anchor: str, step: str, until: str) -> str:
-    """How many dates ``regular_dates`` would give, by arithmetic alone."""
-    span = f"({month_number(until)} - {month_number(anchor)})"
-    # In a month that is not on the grid the last date is surely past; in one that is, days decide.
-    last = f"if({span} % {step}.months > 0 OR add_months({anchor}, {span}) <= {until}, 1, 0)"
-    return (
-        f"CASE WHEN {anchor} <= {until} THEN CASE WHEN {step}.months > 0 THEN {span} div {step}.months + {last}"
-        f" ELSE datediff({until}, {anchor}) div {step}.days + 1 END ELSE 0 END"
-    )
-
-
 def without_stub(dates: str, step: str, end: str) -> str:
     """The regular dates strictly before ``end``; under a long stub the last of them goes too."""
     last = f"size({dates}) - 1"

@@ -1,8 +1,7 @@
 """Event dates of a principal-at-maturity contract, held in the contract's own row.
 
-Interest and reset dates are regular, so the dates come from ``sequence`` and their number up to
-any day from month arithmetic. Nothing is joined or shuffled, and two lines with one contract id
-stay two contracts, as they are in the input.
+Interest and reset dates are regular and come from ``sequence``. Nothing is joined or shuffled,
+and two lines with one contract id stay two contracts, as they are in the input.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from cashloom.functions.cycles import (
     NO_DATES,
     parse_cycle,
     plus_cycle,
-    regular_count,
     regular_dates,
     without_stub,
 )
@@ -74,33 +72,15 @@ def with_schedule(contracts: DataFrame) -> DataFrame:
     )
     listed = gridded.selectExpr(
         "*",
-        "filter(interest_grid, d -> d > begin AND d <= last_day) AS regular_interest",
+        "filter(interest_grid, d -> d > begin AND d <= last_day) AS regular_payments",
         "filter(reset_grid, d -> d > begin AND d <= last_day) AS reset_dates",
         f"if(running, array_max(filter(interest_grid, d -> d > {ied} AND d <= t0)), NULL) AS last_paid",
     )
     return listed.selectExpr(
         "*",
-        f"if(last_day = {md}, concat(regular_interest, array({md})), regular_interest) AS interest_dates",
+        f"if(last_day = {md}, concat(regular_payments, array({md})), regular_payments) AS interest_dates",
         f"coalesce(last_paid, {ied}) AS since",
-        f"{regular_count('interest_from', 'interest_step', 'begin')} AS interest_passed",
-        f"{regular_count('reset_from', 'reset_step', 'begin')} AS reset_passed",
-    ).drop("interest_all", "reset_all", "interest_grid", "reset_grid", "last_paid")
-
-
-def _regular_upto(name: str, dates: str, until: str) -> str:
-    """How many of the regular future dates of a schedule lie up to ``until``, without a search."""
-    count = regular_count(f"{name}_from", f"{name}_step", until)
-    return f"greatest(least({count} - {name}_passed, size({dates})), 0)"
-
-
-def resets_upto(date: str) -> str:
-    return _regular_upto("reset", "reset_dates", date)
-
-
-def payments_upto(date: str) -> str:
-    """How many of ``interest_dates`` lie up to ``date``."""
-    regular = f"coalesce({_regular_upto('interest', 'regular_interest', date)}, 0)"
-    return f"if({date} >= maturity_date, size(interest_dates), {regular})"
+    ).drop("interest_all", "reset_all", "interest_grid", "reset_grid", "regular_payments", "last_paid")
 
 
 def with_event_dates(scheduled: DataFrame) -> DataFrame:

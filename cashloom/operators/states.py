@@ -1,10 +1,10 @@
 """Contract states at the events, and the event values.
 
 The notional is constant between the initial exchange and the end, so the interest due at an
-event follows from the last payment before it and the resets since. Both are found by rank, with
-month arithmetic, in the date arrays of the row. Only resets without a payment between them have
-to be added up, which is done once per reset, in ``reset_dues``; amounts and values are computed
-event by event, after the dates are exploded.
+event follows from the last payment before it and the resets since. For contracts with resets a
+``timeline`` of payments and resets in one order gives the rank of either among the other. Only
+resets without a payment between them have to be added up, which is done once per reset, in
+``reset_dues``; amounts and values are computed event by event, after the dates are exploded.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ from cashloom.operators.schedule import (
     event_kind,
     event_name,
     given_out,
-    payments_upto,
-    resets_upto,
     with_event_dates,
 )
 
@@ -47,25 +45,50 @@ def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") ->
     fixed = "rank = 0 AND next_reset_rate IS NOT NULL"
     rate = f"if({fixed}, next_reset_rate, coalesce(seen, next_reset_rate, nominal_rate))"
     opening = "if(next_reset_rate IS NULL, 0, 1)"
-    floats = "size(reset_dates) > 0"
+    timeline = (
+        f"sort_array(concat(transform(interest_dates, d -> {_payment_mark('d')}),"
+        f" transform(reset_dates, d -> {_reset_mark('d')})))"
+    )
     rated = scheduled.selectExpr(
-        "*", "sign * notional AS principal", f"transform(reset_dates, d -> {observed}) AS observed_rates"
+        "*",
+        "sign * notional AS principal",
+        f"transform(reset_dates, d -> {observed}) AS observed_rates",
+        f"if(size(reset_dates) > 0, {timeline}, NULL) AS timeline",
     ).selectExpr(
         "*",
         f"transform(observed_rates, (seen, rank) -> {rate}) AS reset_rates",
         f"get(observed_rates, {opening}) IS NULL AND size(reset_dates) > {opening} AS unobserved",
-        f"transform(reset_dates, d -> {_paid_before(payments_upto('d'))}) AS paid_at_reset",
-        f"if(purchased_on IS NULL, NULL, {_paid_before(payments_upto('purchased_on'))}) AS paid_at_purchase",
-        f"if(terminated_on IS NULL, NULL, {_paid_before(payments_upto('terminated_on'))}) AS paid_at_termination",
-        # A reset on the day of a payment comes after it, on any other event's day before it.
-        f"if({floats}, transform(interest_dates, d -> {resets_upto('date_sub(d, 1)')}), NULL) AS resets_at_payment",
-        f"if({floats} AND purchased_on IS NOT NULL, {resets_upto('purchased_on')}, 0) AS resets_at_purchase",
-        f"if({floats} AND terminated_on IS NOT NULL, {resets_upto('terminated_on')}, 0) AS resets_at_termination",
-    )
-    ranked = rated.selectExpr("*", f"transform(paid_at_reset, d -> {resets_upto('d')}) AS resets_at_paid")
-    return with_event_dates(
-        ranked.withColumn("reset_dues", F.expr(f"transform(reset_dates, (d, rank) -> {_reset_due('rank')})"))
+        f"transform(reset_dates, (d, rank) -> {_before(_reset_mark('d'), 'rank')}) AS payments_at_reset",
+        *_single("purchase", "purchased_on"),
+        *_single("termination", "terminated_on"),
     )
+    return with_event_dates(rated.selectExpr("*", f"transform(reset_dates, (d, rank) -> {_reset_due('rank')}) AS reset_dues"))
+
+
+def _payment_mark(date: str) -> str:
+    """Place of a payment on the timeline; a reset on the same day comes after it."""
+    return f"unix_date({date}) * 2"
+
+
+def _reset_mark(date: str) -> str:
+    return f"unix_date({date}) * 2 + 1"
+
+
+def _before(mark: str, rank: str) -> str:
+    """How many marks of the other kind come before the one that is ``rank``-th of its own."""
+    return f"cast(array_position(timeline, {mark}) - 1 - {rank} AS int)"
+
+
+def _single(name: str, date: str) -> list[str]:
+    """What came before an event that a contract has at most once, that day's events included."""
+
+    def upto(dates: str) -> str:
+        return f"size(filter({dates}, d -> d <= {date}))"
+
+    return [
+        f"if({date} IS NULL, NULL, {_paid_before(upto('interest_dates'))}) AS paid_at_{name}",
+        f"if({date} IS NULL, 0, {upto('reset_dates')}) AS resets_at_{name}",
+    ]
 
 
 def _paid_before(count: str) -> str:
@@ -83,12 +106,13 @@ def _interest(start: str, end: str, rate: str) -> str:
 
 def _reset_due(rank: str) -> str:
     """Interest accrued up to a reset since the last payment, reset by reset."""
-    opening = _interest(f"get(paid_at_reset, {rank})", "get(reset_dates, first)", _rate_after("first"))
+    payments = f"get(payments_at_reset, {rank})"
+    last_payment = f"get(interest_dates, {payments} - 1)"
+    first = f"if({payments} = 0, 0, {_before(_payment_mark(last_payment), f'({payments} - 1)')})"
+    opening = _interest(_paid_before(payments), "get(reset_dates, first)", _rate_after("first"))
     later = f"if(first < {rank}, sequence(first + 1, {rank}), cast(array() AS array<int>))"
     step = _interest("get(reset_dates, r - 1)", "get(reset_dates, r)", "get(reset_rates, r - 1)")
-    summed = f"aggregate({later}, {opening}, (due, r) -> due + {step})"
-    # A payment on the day of the reset comes before it, and nothing has accrued since.
-    return let("first", f"least(get(resets_at_paid, {rank}), {rank})", summed)
+    return let("first", first, f"aggregate({later}, {opening}, (due, r) -> due + {step})")
 
 
 def paid_before(kind: str, position: str) -> str:
@@ -99,10 +123,11 @@ def paid_before(kind: str, position: str) -> str:
     )
 
 
-def resets_before(kind: str, position: str) -> str:
+def resets_before(date: str, kind: str, position: str) -> str:
     """How many resets come before the event, where that matters."""
+    of_payment = _before(_payment_mark(date), f"({position} - kind_ends[0])")
     return (
-        f"CASE {kind} WHEN {IP} THEN coalesce(get(resets_at_payment, {position} - kind_ends[0]), 0)"
+        f"CASE {kind} WHEN {IP} THEN coalesce({of_payment}, 0)"
         f" WHEN {PRD} THEN resets_at_purchase WHEN {TD} THEN resets_at_termination ELSE 0 END"
     )
 
@@ -156,7 +181,7 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ranked = event_rows(evaluated).selectExpr(
         "*",
         f"{paid_before('kind', 'position')} AS paid",
-        f"{resets_before('kind', 'position')} AS resets",
+        f"{resets_before('date', 'kind', 'position')} AS resets",
     )
     started = ranked.withColumn("start", F.expr(f"if(paid IS NULL, NULL, {accrual_start('paid', 'resets')})"))
     owed = started.withColumn("due", F.expr(event_due("date", "kind", "position", "paid", "resets", "start")))
@@ -187,7 +212,7 @@ def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per contract with parallel arrays in event order, empty ones for no events."""
     paid = paid_before("e.kind", "e.position")
-    resets = resets_before("e.kind", "e.position")
+    resets = resets_before("e.date", "e.kind", "e.position")
     due = event_due("e.date", "e.kind", "e.position", "e.paid", "e.resets", "start")
     due = let("start", accrual_start("e.paid", "e.resets"), due)
     rows = (

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from cashloom import session
-from cashloom.functions.cycles import parse_cycle, regular_count, regular_dates, tenor_years
+from cashloom.functions.cycles import parse_cycle, tenor_years
 from cashloom.functions.daycount import year_fraction
 from cashloom.functions.numbers import half_up
 from cashloom.functions.text import split_trimmed, to_date, to_double
@@ -68,17 +68,6 @@ def test_cycles(spark):
     assert value(spark, tenor_years("'73D'")) == 0.2
 
 
-def test_count_of_regular_dates_is_their_number(spark):
-    days = spark.range(4000).selectExpr(
-        "date_add(DATE'2015-01-29', cast(id % 5 AS int)) AS a",
-        "date_add(DATE'2014-12-20', cast(id * 7 % 1500 AS int)) AS u",
-        f"{parse_cycle('element_at(array(`1`, `2`, `3`, `4`), cast(id % 4 AS int) + 1)')} AS s".replace("`1`", "'1M'")
-        .replace("`2`", "'1Q'").replace("`3`", "'1Y'").replace("`4`", "'11D'"),
-    )
-    wrong = days.where(f"size({regular_dates('a', 's', 'u')}) <> {regular_count('a', 's', 'u')}")
-    assert wrong.count() == 0
-
-
 def test_day_counts(spark):
     def years(a, b, convention):
         return value(spark, year_fraction(f"DATE'{a}'", f"DATE'{b}'", f"'{convention}'"))
