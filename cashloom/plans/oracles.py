@@ -142,11 +142,16 @@ named AS (
 )"""
 
 
+def shifts(scenarios: bool) -> str:
+    """CTE ``shifts``: what every scenario adds to the rates."""
+    rows = SHIFTS if scenarios else {"base": 0.0}
+    return "shifts(scenario, shift) AS (VALUES " + ", ".join(f"('{n}', {s}::DOUBLE)" for n, s in rows.items()) + ")"
+
+
 def observed(scenarios: bool) -> str:
     """CTE ``obs``: the market rate of every reset, by scenario."""
-    shifts = ", ".join(f"('{n}', {s}::DOUBLE)" for n, s in SHIFTS.items()) if scenarios else "('base', 0::DOUBLE)"
     return f"""
-shifts(scenario, shift) AS (VALUES {shifts}),
+{shifts(scenarios)},
 probes AS (
   SELECT n.k, n.d, c.reset_code, c.spread, x.scenario, x.shift
   FROM named n JOIN contracts c ON n.k = c.k, shifts x WHERE n.seq = 4
@@ -159,8 +164,8 @@ obs AS MATERIALIZED (
 )"""
 
 
-UNOBSERVED = """
-shifts(scenario, shift) AS (VALUES ('base', 0::DOUBLE)),
+UNOBSERVED = f"""
+{shifts(False)},
 obs AS (SELECT NULL::BIGINT AS k, NULL::DATE AS d, 'base' AS scenario, NULL::DOUBLE AS seen WHERE false)"""
 
 
@@ -414,11 +419,11 @@ SELECT e.scenario AS "riskScenario", c_mktsegment AS portfolio, contract_id AS i
 FROM events e LEFT JOIN customer ON custkey = c_custkey
 LEFT JOIN pieces p ON e.scenario = p.key AND date_diff('day', DATE '{BEFORE_ALL}', d) / 365e0 >= lo
   AND date_diff('day', DATE '{BEFORE_ALL}', d) / 365e0 < hi""",
-        "discount_factor": f"""WITH {CONTRACTS}, {MARKET}, shifts(scenario, shift) AS (VALUES ('base', 0::DOUBLE)),
+        "discount_factor": f"""WITH {CONTRACTS}, {MARKET}, {shifts(True)},
 pieces AS ({segments(zero_curve)}),
 ahead AS (SELECT contract_id, md, date_diff('day', DATE '{MIDWAY}', md) / 365e0 AS y FROM contracts WHERE md > DATE '{MIDWAY}')
-SELECT contract_id, md::VARCHAR AS date, {half_up('pow(1 + v + (y - base) * slope, -y)', 8)} AS discount
-FROM ahead LEFT JOIN pieces ON y >= lo AND y < hi""",
+SELECT contract_id, key AS scenario, md::VARCHAR AS date, {half_up('pow(1 + v + (y - base) * slope, -y)', 8)} AS discount
+FROM ahead JOIN pieces ON y >= lo AND y < hi""",
         "csv_append_roundtrip": states(BEFORE_ALL, False, False)
         + f"""
 SELECT contract_id AS id, d::VARCHAR AS date, type, currency, {money('value')} AS value, {money('nominal')} AS nominal,

@@ -32,7 +32,7 @@ from cashloom.plans.testdata import (
     short_contract_lines,
     table,
 )
-from cashloom.session import configure, new_folder
+from cashloom.session import configure, new_folder, spread
 from cashloom.sources.analysis_date import first_date, with_analysis_date
 from cashloom.sources.catalog import create_table, insert_rows, select_all
 from cashloom.sources.contracts import TRUNCATE, parse_contracts
@@ -222,7 +222,7 @@ def rf_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rate_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference rate per order at dates from before the first observation to after the last."""
-    probes = table(spark, sf_dir, "orders").selectExpr(
+    probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey",
         "if(o_orderkey % 17 = 0, 'MISSING', concat('REF_', o_orderkey % 5)) AS code",
         "add_months(cast(o_orderdate AS date), cast(6 * (o_orderkey % 20) - 12 AS int)) AS date",
@@ -233,7 +233,7 @@ def rate_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def curve_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A curve rate per order at terms from zero days to twelve years."""
-    probes = table(spark, sf_dir, "orders").selectExpr(
+    probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey", "concat('CRV_', o_orderkey % 5) AS curve", "o_orderkey % 4380 AS days"
     )
     segments = curve_segments(market_table(spark, sf_dir))
@@ -276,14 +276,14 @@ def pam_purchase_termination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def discount_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Factor of every maturity date, seen from the middle of the contracts' lives."""
+    """Factor of every maturity date in every scenario, seen from the middle of the contracts' lives."""
     contracts = with_analysis_date(_short_contracts(spark, sf_dir), MIDWAY)
     ahead = contracts.where("maturity_date > t0").selectExpr(
-        "contract_id", "t0", "maturity_date AS date", "'base' AS scenario"
+        "contract_id", "t0", "maturity_date AS date", f"explode(array({quoted_list(SHIFTS)})) AS scenario"
     )
     factors = discounted(ahead, market_table(spark, sf_dir, scenarios=True), DISCOUNT_CURVE)
     factor = half_up("discount", FACTOR_DIGITS)
-    return factors.selectExpr("contract_id", f"{date_text('date')} AS date", f"{factor} AS discount")
+    return factors.selectExpr("contract_id", "scenario", f"{date_text('date')} AS date", f"{factor} AS discount")
 
 
 # --- shapes and sinks ------------------------------------------------------------------------
@@ -377,7 +377,8 @@ def run_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document: how many, the second, and a digest of all in order."""
-    lines = token_arrays(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = token_arrays(spread(documents, "doc_id"), "text")
     return lines.selectExpr(
         "doc_id",
         "size(tokens) AS n_tokens",
@@ -387,7 +388,8 @@ def token_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_flatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), "text")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(spread(documents, "doc_id"), "text")
 
 
 def monte_carlo_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:

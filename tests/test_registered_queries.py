@@ -16,6 +16,13 @@ def test_query_agrees_with_sql(spark, con, small, name):
     assert difference(spark, con, entry.queries()[name], entry.oracle_sql()[name], small) == ""
 
 
+@pytest.mark.parametrize("name", ["rf_status", "rate_asof", "curve_interpolate", "events_flat", "discount_factor"])
+def test_no_nested_loops_and_no_python(spark, small, name):
+    plan = entry.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("NestedLoop", "CartesianProduct", "Window", "Python", "Pandas", "Arrow"):
+        assert operator not in plan
+
+
 def test_every_query_has_sql():
     assert entry.queries().keys() == entry.oracle_sql().keys()
 
