@@ -201,7 +201,7 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def _given_events() -> str:
     listed = f"transform(event_dates, (d, i) -> named_struct('date', d, 'kind', {event_kind('i')}, 'position', i))"
-    return f"filter({listed}, e -> {given_out('e.date', 'e.kind')})"
+    return f"if(purchased_on IS NULL, {listed}, filter({listed}, e -> {given_out('e.date', 'e.kind')}))"
 
 
 def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -222,17 +222,23 @@ def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
             "transform(sort_array(given), e -> named_struct('date', e.date, 'kind', e.kind,"
             f" 'position', e.position, 'paid', {paid}, 'resets', {resets})) AS placed",
         )
-        .selectExpr("*", f"transform(placed, e -> named_struct('date', e.date, 'kind', e.kind, 'due', {due})) AS events")
+        .selectExpr("*", f"transform(placed, e -> named_struct('date', e.date, 'kind', e.kind, 'due', {due})) AS owed")
+        .selectExpr(
+            "*",
+            f"transform(owed, e -> named_struct('date', {date_text('e.date')}, 'type', {event_name('e.kind')},"
+            f" 'value', {event_value('e.kind', 'e.due')}, 'nominal', {nominal_after('e.kind')},"
+            f" 'accrued', {accrued_after('e.kind', 'e.due')})) AS events",
+        )
     )
     return rows.selectExpr(
         *keep,
         "array_repeat(contract_id, size(events)) AS id",
-        f"transform(events, e -> {date_text('e.date')}) AS date",
-        f"transform(events, e -> {event_name('e.kind')}) AS type",
+        "events.date AS date",
+        "events.type AS type",
         "array_repeat(currency, size(events)) AS currency",
-        f"transform(events, e -> {event_value('e.kind', 'e.due')}) AS value",
-        f"transform(events, e -> {nominal_after('e.kind')}) AS nominal",
-        f"transform(events, e -> {accrued_after('e.kind', 'e.due')}) AS accrued",
+        "events.value AS value",
+        "events.nominal AS nominal",
+        "events.accrued AS accrued",
     )
 
 
