@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cashloom.llm.exact_dedup import deduplicated
+from cashloom.llm.packing import packed, token_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +38,21 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ranked
 """
 
 
+def tokenizer_file() -> str:
+    """The tokenizer of the packing query, among the installed public ones."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
+    pieces = token_pieces(_table(spark, sf_dir, "documents"), tokenizer_file())
+    return packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing}
 
 
 def oracle_sql() -> dict[str, str]:
