@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cashloom.llm.exact_dedup import deduplicated
 from cashloom.llm.packing import packed, token_pieces
+from cashloom.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +52,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
