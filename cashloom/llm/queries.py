@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, unescaped
 from cashloom.llm.exact_dedup import deduplicated
 from cashloom.llm.packing import packed, token_pieces
 from cashloom.llm.simhash import near_duplicates
@@ -58,9 +59,60 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: A conversation whose texts look like a template's control strings, added to all others.
+ODD_CONVERSATION, ODD_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the formatted conversations and their examples hold, read back from them."""
+    odd = spark.range(2).select(
+        F.lit(ODD_CONVERSATION).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ODD_TEXT).alias("text"),
+    )
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = formatted_turns(given.unionByName(odd))
+    whole = conversation_texts(turns).withColumn("turns", parsed_turns(F.col("formatted")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = whole.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+    replies = F.array_sort(F.collect_list(F.struct("example", unescaped(F.col("reply")).alias("text"))))
+    loss = examples(turns).groupBy(F.col("conv_id").alias("of")).agg(
+        F.array_join(F.transform(replies, lambda r: r["text"]), "").alias("loss")
+    )
+    both = read.join(loss, F.col("conv_id").eqNullSafe(F.col("of")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
+    return both.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+OP4_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|start|><|text|><|end|>') + 2 * length(concat(role, text))
+    - length(regexp_replace(concat(role, text), '[\\<\[]', '', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL}
