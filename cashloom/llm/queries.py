@@ -11,6 +11,7 @@ from cashloom.llm.chat import conversation_texts, examples, formatted_turns, par
 from cashloom.llm.exact_dedup import deduplicated
 from cashloom.llm.packing import packed, token_pieces
 from cashloom.llm.simhash import near_duplicates
+from cashloom.llm.url_filter import ALLOW, BLOCK, judged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,9 +111,76 @@ FROM turns GROUP BY conv_id
 """
 
 
+URL_RULES = [
+    (ALLOW, "com", "/"),
+    (BLOCK, "example.com", "/en/"),
+    (ALLOW, "www.example.com", "/en/"),
+    (BLOCK, "net", "/es/"),
+    (BLOCK, "net", "/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op5_sql() -> str:
+    """The same counts, smoothing and calibration, a join for each length of context."""
+    kinds = ("accepted", "rejected")
+    odds = {kind: "1.0e0 / 256.0e0" for kind in kinds}
+    tables, joins = [], []
+    for k in range(1, 6):
+        tables.append(
+            f"end{k} AS (SELECT right(gram, {k}) AS e, sum(accepted) AS accepted, sum(rejected) AS rejected FROM grams GROUP BY 1),"
+            f" known{k} AS (SELECT e, accepted, rejected, sum(accepted) OVER w AS all_accepted, sum(rejected) OVER w AS all_rejected"
+            f" FROM end{k} WINDOW w AS (PARTITION BY left(e, {k - 1})))"
+        )
+        joins.append(f"JOIN known{k} ON known{k}.e = right(gram, {k})")
+        for kind in kinds:
+            odds[kind] = f"(known{k}.{kind}::DOUBLE + 4.0e0 * ({odds[kind]})) / (known{k}.all_{kind}::DOUBLE + 4.0e0)"
+    return rf"""
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+ruled AS (
+  SELECT page_id, url, host, path, f.rule, f.verdict FROM parts LEFT JOIN LATERAL (
+    SELECT concat(h, p) AS rule, verdict FROM rules
+    WHERE starts_with(path, p) AND (host = h OR ends_with(host, concat('.', h))) ORDER BY length(concat(h, p)) DESC LIMIT 1) f ON true),
+urls AS (
+  SELECT url, count(*) FILTER (WHERE verdict = 'allow') AS accepted, count(*) FILTER (WHERE verdict = 'block') AS rejected,
+    md5(url) < '4' AS held FROM ruled GROUP BY url),
+positions AS (
+  SELECT url, held, accepted, rejected, substr(concat(repeat(chr(2), 4), url, chr(3)), i::INT, 5) AS gram
+  FROM urls, unnest(range(1, length(url) + 2)) AS t(i)),
+grams AS (
+  SELECT gram, sum(CASE WHEN held THEN 0 ELSE accepted END) AS accepted, sum(CASE WHEN held THEN 0 ELSE rejected END) AS rejected
+  FROM positions GROUP BY gram),
+{", ".join(tables)},
+ratios AS (SELECT gram, round(ln(({odds["accepted"]}) / ({odds["rejected"]})) * 1048576)::BIGINT AS ratio FROM grams {" ".join(joins)}),
+scores AS (SELECT url, sum(ratio)::DOUBLE / 1048576.0e0 / count(*) AS score FROM positions JOIN ratios USING (gram) GROUP BY url),
+bins AS (
+  SELECT floor(score * 200)::BIGINT AS bin, sum(accepted) AS accepted, sum(rejected) AS rejected
+  FROM urls JOIN scores USING (url) WHERE held AND accepted + rejected > 0 GROUP BY 1),
+edges AS (
+  SELECT bin, (sum(accepted) OVER f)::DOUBLE / sum(accepted) OVER () + coalesce((sum(rejected) OVER b)::DOUBLE, 0) / sum(rejected) OVER () AS hits
+  FROM bins WINDOW f AS (ORDER BY bin ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), b AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+chosen AS (SELECT bin / 200.0e0 AS edge FROM edges WHERE hits IS NOT NULL ORDER BY hits DESC, abs(bin), bin DESC LIMIT 1)
+SELECT page_id, host, path, rule,
+  coalesce(verdict, CASE WHEN score >= coalesce((SELECT edge FROM chosen), -1e300) THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled JOIN scores USING (url)
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting,
+        "op5_url_filter": op5_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filter": _op5_sql()}

@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from compare import connect, difference
+
+from cashloom.llm import queries
+from cashloom.llm.url_filter import judged, with_rules
+
+
+@pytest.fixture
+def pages(spark):
+    def made(urls):
+        return spark.createDataFrame([(i, u, 0, "x") for i, u in enumerate(urls)], "page_id long, url string, gram int, score string").select("page_id", "url")
+
+    return made
+
+
+def test_rules_host_and_path(pages):
+    cases = {
+        None: ("", "", None, None),
+        "no scheme": ("", "", None, None),
+        "://": ("", "", None, None),
+        "http://A.CoM": ("a.com", "", None, None),
+        "http://A.CoM/": ("a.com", "/", "com/", "allow"),
+        "x://É.com/é?x#/": ("É.com", "/é", "com/", "allow"),
+        "http://com/": ("com", "/", "com/", "allow"),
+        "http://xcom/": ("xcom", "/", None, None),
+        "http://example.com/en/": ("example.com", "/en/", "example.com/en/", "block"),
+        "http://www.example.com/en/a": ("www.example.com", "/en/a", "www.example.com/en/", "allow"),
+        "http://a.www.example.com/en/": ("a.www.example.com", "/en/", "www.example.com/en/", "allow"),
+        "http://wwww.example.com/en/": ("wwww.example.com", "/en/", "example.com/en/", "block"),
+        "http://a.net/es/?p": ("a.net", "/es/", "net/es/", "block"),
+        "http://a.net/es?p/": ("a.net", "/es", None, None),
+        "http://a.net?/es/": ("a.net", "", None, None),
+        "a\nhttp://b.net#://c": ("b.net", "", None, None),
+    }
+    got = {r.url: (r.host, r.path, r.rule, r.verdict) for r in with_rules(pages(list(cases)), queries.URL_RULES).collect()}
+    assert got == cases
+
+
+def plain_scores(rows):
+    """Scores by the recursive definition, from (url, weight, verdict) of different URLs."""
+    counts = {k: [Counter() for _ in range(6)] for k in ("allow", "block")}
+    totals = {k: [Counter() for _ in range(6)] for k in ("allow", "block")}
+    for url, n, verdict in rows:
+        if verdict and hashlib.md5(url.encode()).hexdigest()[0] not in "0123":
+            text = "\x02" * 4 + url + "\x03"
+            for i in range(4, len(text)):
+                for k in range(1, 6):
+                    counts[verdict][k][text[i - k + 1 : i + 1]] += n
+                    totals[verdict][k][text[i - k + 1 : i]] += n
+
+    def probability(kind, gram):
+        p = 1 / 256
+        for k in range(1, 6):
+            p = (counts[kind][k][gram[-k:]] + 4 * p) / (totals[kind][k][gram[-k:-1]] + 4)
+        return p
+
+    scores = {}
+    for url, _, _ in rows:
+        text = "\x02" * 4 + url + "\x03"
+        grams = [text[i - 4 : i + 1] for i in range(4, len(text))]
+        scores[url] = sum(round(math.log(probability("allow", g) / probability("block", g)) * 2**20) for g in grams) / 2**20 / len(grams)
+    return scores
+
+
+def plain_edge(rows, scores):
+    held = [(scores[u], n, v) for u, n, v in rows if v and hashlib.md5(u.encode()).hexdigest()[0] in "0123"]
+    total = {k: sum(n for _, n, v in held if v == k) for k in ("allow", "block")}
+    if not all(total.values()):
+        return float("-inf")
+    edges = {math.floor(s * 200) for s, _, _ in held}
+
+    def rate(edge):
+        up = sum(n for s, n, v in held if v == "allow" and math.floor(s * 200) >= edge)
+        down = sum(n for s, n, v in held if v == "block" and math.floor(s * 200) < edge)
+        return up / total["allow"] + down / total["block"], -abs(edge), edge
+
+    return max(map(rate, edges))[2] / 200
+
+
+def test_scores_and_verdicts_against_plain_python(pages):
+    rng = random.Random(6)
+    urls = [f"http://{rng.choice('abc')}.{rng.choice(['example.com', 'b.net', 'c.org'])}/{rng.choice(['en', 'fr', 'es', 'de'])}/{rng.randint(0, 60)}" for _ in range(600)]
+    urls += [None, "", "://", "é" * 3000, "http://x.net/es/"] + ["http://q.com/hot"] * 200
+    got = judged(pages(urls), queries.URL_RULES).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(urls)))
+    verdicts, weights = {}, Counter()
+    for r in got:
+        verdicts[r.url or ""] = r.verdict if r.rule else None
+        weights[r.url or ""] += 1
+    rows = [(u, n, verdicts[u]) for u, n in weights.items()]
+    scores = plain_scores(rows)
+    edge = plain_edge(rows, scores)
+    by = defaultdict(set)
+    for r in got:
+        assert abs(r.score - scores[r.url or ""]) < 1e-5
+        if not r.rule and abs(r.score - edge) > 1e-5:
+            assert r.verdict == ("allow" if scores[r.url or ""] >= edge else "block")
+        by[r.url].add(r.verdict)
+    assert all(len(v) == 1 for v in by.values())
+
+
+def test_without_labels_and_empty(pages):
+    assert [r.verdict for r in judged(pages(["http://a.org/", None]), queries.URL_RULES).collect()] == ["allow"] * 2
+    assert judged(pages([]), queries.URL_RULES).count() == 0
+
+
+def test_query_agrees_with_sql(spark, middle):
+    name = "op5_url_filter"
+    assert difference(spark, connect(middle), queries.queries()[name], queries.oracle_sql()[name], middle) == ""
