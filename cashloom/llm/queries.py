@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, unescaped
 from cashloom.llm.exact_dedup import deduplicated
+from cashloom.llm.mixing import mixed
 from cashloom.llm.packing import packed, token_pieces
+from cashloom.llm.sharding import sharded
 from cashloom.llm.simhash import near_duplicates
 from cashloom.llm.url_filter import ALLOW, BLOCK, judged
 
@@ -177,10 +179,45 @@ FROM ruled JOIN scores USING (url)
 """
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixed(docs).select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.copies") * F.col("mix.size")).alias("taken")
+    )
+
+
+OP6_SQL = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
+weighed AS (
+  SELECT source, source_size, [3, 1, 2][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3]::DOUBLE AS weight,
+    source_size * 2e0 AS top, sum(source_size) OVER () * 1.5e0 AS budget FROM totals),
+tried AS (
+  SELECT *, top / weight AS level,
+    (budget - coalesce(sum(top) OVER (ORDER BY top / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
+      / sum(weight) OVER (ORDER BY top / weight, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM weighed),
+targets AS (
+  SELECT source, source_size, least(top, coalesce(max(share) FILTER (WHERE share <= level) OVER () * weight, top)) AS target FROM tried),
+rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0e0 END AS rate FROM targets)
+SELECT doc_id, size, source_size, target,
+  (size * (floor(rate) + (('0x' || left(md5(concat('mix-1:', coalesce(doc_id::VARCHAR, 'null'))), 13))::BIGINT::DOUBLE / 4503599627370496e0
+    < rate - floor(rate))::INT))::BIGINT AS taken
+FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source
+"""
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharded(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def queries() -> dict[str, Query]:
     return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting,
-        "op5_url_filter": op5_url_filter}
+        "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op8_sharding": op8_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filter": _op5_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filter": _op5_sql(), "op6_mixing": OP6_SQL}
