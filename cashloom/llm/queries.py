@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, unescaped
 from cashloom.llm.exact_dedup import deduplicated
+from cashloom.llm.language_id import held_out, identified, trained
 from cashloom.llm.mixing import mixed
 from cashloom.llm.packing import packed, token_pieces
 from cashloom.llm.sharding import sharded
@@ -214,9 +215,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, from a model that has not seen the held-out ones."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = trained(docs.where(~held_out(F.col("doc_id"))))
+    found = identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting,
-        "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op8_sharding": op8_sharding}
+        "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op8_sharding": op8_sharding,
+        "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
