@@ -14,6 +14,7 @@ from cashloom.llm.mixing import mixed
 from cashloom.llm.packing import packed, token_pieces
 from cashloom.llm.sharding import sharded
 from cashloom.llm.simhash import near_duplicates
+from cashloom.llm.topk import searched_table
 from cashloom.llm.url_filter import ALLOW, BLOCK, judged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,6 +211,29 @@ FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source
 """
 
 
+#: The query set of the search: vectors whose id is divisible by this.
+QUERY_EVERY = 50
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best matches of every query vector among all vectors."""
+    found = searched_table(_table(spark, sf_dir, "embeddings"), QUERY_EVERY)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+OP7_SQL = """
+WITH whole AS (
+  SELECT vec_id, [floor(256 * c::DOUBLE) for c in embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+  FROM whole q JOIN whole v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+ranked AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharded(_table(spark, sf_dir, "documents")).drop("row")
@@ -225,9 +249,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting,
-        "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op8_sharding": op8_sharding,
+        "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op7_exact_topk": op7_exact_topk, "op8_sharding": op8_sharding,
         "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filter": _op5_sql(), "op6_mixing": OP6_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filter": _op5_sql(), "op6_mixing": OP6_SQL, "op7_exact_topk": OP7_SQL}
