@@ -16,6 +16,7 @@ from cashloom.llm.sharding import sharded
 from cashloom.llm.simhash import near_duplicates
 from cashloom.llm.topk import searched_table
 from cashloom.llm.url_filter import ALLOW, BLOCK, judged
+from cashloom.llm.warc import archive_folder, read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,6 +240,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives, and what the archives say when they are read back."""
+    folder = archive_folder(spark)
+    write_archives(_table(spark, sf_dir, "pages"), folder)
+    records = read_archives(spark, folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, from a model that has not seen the held-out ones."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -250,7 +259,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting,
         "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op7_exact_topk": op7_exact_topk, "op8_sharding": op8_sharding,
-        "op10_language_id": op10_language_id}
+        "op9_warc": op9_warc, "op10_language_id": op10_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
