@@ -112,6 +112,29 @@ def deduplicated(
     )
 
 
+def unique_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts.
+
+    Which one is as in ``deduplicated``. A document moves once, and only if it is the best of its group
+    in its own split.
+    """
+    ambiguous = ambiguous_chunks(docs.select(F.col(text).alias("text")))
+    columns = docs.columns
+    packed = docs.select(
+        F.struct(*columns).alias("row"),
+        F.length(F.coalesce(text, F.lit(""))).alias("points"),
+        F.col(doc_id).alias("doc_id"),
+        F.transform(chunks(normalised(F.col(text))), lambda c: F.xxhash64(c)).alias("recipe"),
+    ).withColumn("variants", F.array().cast("array<int>"))
+    if not ambiguous.isEmpty():
+        digest = F.sha2(F.encode(normalised(F.col(f"row.`{text}`")), "UTF-8"), 256)
+        source = docs.select(F.col(text).alias("text"))
+        packed = _resolved(source, packed.withColumn("text_sha256", digest), ambiguous, F.xxhash64, MIN_CHUNK, MAX_CHUNK)
+    order = F.struct("points", F.col("doc_id").isNotNull(), F.bitwise_not("doc_id"))
+    best = packed.groupBy("recipe", "variants").agg(F.max_by("row", order).alias("row"))
+    return best.select("row.*")
+
+
 def _resolved(
     source: DataFrame,
     recipes: DataFrame,

@@ -116,9 +116,11 @@ def pooled(network: Network, texts: list[bytes]) -> np.ndarray:
 
 
 def identified(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score, the pooled probability of that language."""
-    if clash := {"lang_pred", "score", "language_text"} & set(docs.columns):
-        raise ValueError(f"the documents have columns named {sorted(clash)} already")
+    """``docs`` with lang_pred and score, the pooled probability of that language.
+
+    Columns of these names, and one named language_text, are replaced.
+    """
+    docs = docs.drop("lang_pred", "score", "language_text")
     if model.network is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     readable = F.when(F.col(text).rlike(r"\p{L}"), F.encode(text, "UTF-8"))

@@ -79,8 +79,10 @@ def mixed(
     """``docs`` with ``mix``: a struct of size, source_size, target, rate and copies.
 
     ``size`` is the number of words by default. The rates are stored, one row a source, so that their
-    size is known where they are joined.
+    size is known where they are joined. Columns named mix, mix_source, mix_rate and mix_copy are
+    replaced.
     """
+    docs = docs.drop("mix", "mix_source", "mix_rate", "mix_copy")
     sized = F.coalesce(words(F.col("text")) if size is None else size, F.lit(0)).cast("long")
     found = rates(docs.select(F.col(source).alias("source"), sized.alias("size")), weights, share, most)
     known = stored(found, "rates").select(F.col("source").alias("mix_source"), F.struct("source_size", "target", "rate").alias("mix_rate"))

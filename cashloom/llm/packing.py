@@ -33,6 +33,13 @@ REMEMBERED_WORDS = 400_000
 BATCH_BYTES = 4 << 20
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The place of an installed public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class WordIds(dict):
     """Ids of white-space separated words, as little-endian 32-bit integers, filled as words come up.
 
@@ -197,10 +204,10 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROU
     """``pieces`` (with a ``length`` of 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
     The pieces are stored first, so that a task that runs again deals them out the same way. Pieces
-    that fill a sequence don't take part in the packing.
+    that fill a sequence don't take part in the packing. Columns of these names, and ones named
+    packing_row and packing_group, are replaced.
     """
-    if clash := {"sequence_id", "offset", "packing_row", "packing_group"} & set(pieces.columns):
-        raise ValueError(f"the pieces have columns named {sorted(clash)} already")
+    pieces = pieces.drop("sequence_id", "offset", "packing_row", "packing_group")
     rows = stored(pieces.withColumn("packing_row", F.monotonically_increasing_id()), "pieces")
     whole = rows.where(F.col("length") == capacity)
     rest = rows.where(F.col("length") != capacity)

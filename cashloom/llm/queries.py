@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, unescaped
 from cashloom.llm.exact_dedup import deduplicated
 from cashloom.llm.language_id import held_out, identified, trained
 from cashloom.llm.mixing import mixed
-from cashloom.llm.packing import packed, token_pieces
+from cashloom.llm.packing import packed, token_pieces, tokenizer_file
 from cashloom.llm.sharding import sharded
 from cashloom.llm.simhash import near_duplicates
 from cashloom.llm.topk import searched_table
@@ -46,13 +47,6 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM ranked
 """
 
 
-def tokenizer_file() -> str:
-    """The tokenizer of the packing query, among the installed public ones."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies in the packed sequences."""
     pieces = token_pieces(_table(spark, sf_dir, "documents"), tokenizer_file())
@@ -257,10 +251,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_simhash_near_dedup": op3_simhash_near_dedup, "op4_chat_formatting": op4_chat_formatting,
-        "op5_url_filter": op5_url_filter, "op6_mixing": op6_mixing, "op7_exact_topk": op7_exact_topk, "op8_sharding": op8_sharding,
-        "op9_warc": op9_warc, "op10_language_id": op10_language_id}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op4_chat_formatting": op4_chat_formatting,
+        "op5_url_filter": op5_url_filter,
+        "op6_mixing": op6_mixing,
+        "op7_exact_topk": op7_exact_topk,
+        "op8_sharding": op8_sharding,
+        "op9_warc": op9_warc,
+        "op10_language_id": op10_language_id,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op4_chat_formatting": OP4_SQL, "op5_url_filter": _op5_sql(), "op6_mixing": OP6_SQL, "op7_exact_topk": OP7_SQL}
+    return {
+        "op1_exact_dedup": OP1_SQL,
+        "op4_chat_formatting": OP4_SQL,
+        "op5_url_filter": _op5_sql(),
+        "op6_mixing": OP6_SQL,
+        "op7_exact_topk": OP7_SQL,
+    }

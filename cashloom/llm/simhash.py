@@ -135,3 +135,24 @@ def near_duplicates(
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = rooted.join(firsts, "root").select("fingerprint", "component_id")
     return hashed.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "row")
+
+
+def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one document of each component.
+
+    The smallest doc_id of a component stays, null last; a document is its id and text, so that repeated
+    rows stay or go together. Only the ones that go are brought to the rows.
+    """
+    columns = docs.columns
+    key = F.xxhash64(F.coalesce(text, F.lit(""))).alias("key")
+    source = docs.select(F.col(doc_id).alias("doc_id"), key, F.col(text).alias("text"))
+    hashed = stored(with_fingerprints(source, options.pop("words", SHINGLE_WORDS), "text", ("doc_id", "key")), "fingerprints")
+    prints = stored(hashed.select("fingerprint").distinct(), "different-fingerprints")
+    groups = components(close_links(prints, **options)).withColumnRenamed("node", "fingerprint")
+    rooted = hashed.join(groups, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    firsts = rooted.groupBy("root").agg(F.min(order).alias("first"))
+    going = rooted.join(firsts, "root").where(order != F.col("first"))
+    going = stored(going.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct(), "near-copies")
+    is_gone = F.col(doc_id).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key"))
+    return docs.join(going, is_gone, "left_anti").select(*columns)

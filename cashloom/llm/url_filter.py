@@ -120,13 +120,12 @@ def threshold(scored: DataFrame) -> float:
 def judged(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, score and verdict: the rule's, else the model's.
 
-    The URLs that rules allow and block are what the model learns from.
+    The URLs that rules allow and block are what the model learns from. Columns of these names, and one
+    named scored_url, are replaced.
     """
-    ruled = with_rules(pages, rules, url)
+    ruled = with_rules(pages.drop("score", "scored_url"), rules, url)
     key = F.coalesce(url, F.lit(""))
-    urls = ruled.groupBy(key.alias("url")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.col("verdict")).alias("verdict")
-    )
+    urls = ruled.groupBy(key.alias("url")).agg(F.count(F.lit(1)).alias("n"), F.max("verdict").alias("verdict"))
     held = F.substring(F.md5(F.encode("url", "UTF-8")), 1, 1).isin(*HELD_BACK)
     kinds = {"accepted": F.col("verdict") == ALLOW, "rejected": F.col("verdict") == BLOCK}
     weights = [F.when(is_kind, F.col("n")).otherwise(F.lit(0)).alias(kind) for kind, is_kind in kinds.items()]
