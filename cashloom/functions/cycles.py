@@ -10,24 +10,38 @@ UNIT_MONTHS = {"M": 1, "Q": 3, "H": 6, "Y": 12}
 UNIT_DAYS = {"D": 1, "W": 7}
 LONG_STUBS = ("+", "L0")
 
+# The years 1 to 9999: no date is so far from another.
+CALENDAR_MONTHS, CALENDAR_DAYS = 120_000, 3_652_425
+
 DAYS_PER_YEAR = 365.0
 NO_DATES = "cast(array() AS array<date>)"
 
 
 def parse_cycle(text: str) -> str:
-    """Cycle text to ``struct(months, days, long_stub)``; null if malformed or of no length."""
-    parts = f"split(regexp_replace({text}, {quoted(CYCLE_PATTERN)}, '$1 $2 $3'), ' ')"
-    count = "try_cast(__part[0] AS int)"
+    """Cycle text to ``struct(months, days, long_stub)``; null if malformed or of no length.
+
+    Lengths are longs, so that ten digits of years still are the number they say.
+    """
+
+    def group(number: int) -> str:
+        return f"regexp_extract(__cycle, {quoted(CYCLE_PATTERN)}, {number})"
 
     def length(units: dict[str, int]) -> str:
-        sizes = " ".join(f"WHEN {quoted(unit)} THEN {size}" for unit, size in units.items())
-        return f"{count} * CASE __part[1] {sizes} ELSE 0 END"
+        sizes = " ".join(f"WHEN {quoted(unit)} THEN {size}L" for unit, size in units.items())
+        return f"try_multiply(__count, CASE {group(2)} {sizes} ELSE 0L END)"
 
     step = (
-        f"CASE WHEN size(__part) = 3 AND {count} > 0 THEN named_struct('months', {length(UNIT_MONTHS)},"
-        f" 'days', {length(UNIT_DAYS)}, 'long_stub', __part[2] IN ({quoted_list(LONG_STUBS)})) END"
+        f"named_struct('months', {length(UNIT_MONTHS)}, 'days', {length(UNIT_DAYS)},"
+        f" 'long_stub', {group(3)} IN ({quoted_list(LONG_STUBS)}))"
     )
-    return let("__part", parts, step)
+    count = f"CASE WHEN __cycle RLIKE {quoted(CYCLE_PATTERN)} THEN try_cast({group(1)} AS bigint) END"
+    counted = let("__count", count, f"CASE WHEN __count > 0 THEN {let('__step', step, _whole_step())} END")
+    return let("__cycle", text, counted)
+
+
+def _whole_step() -> str:
+    """Null if the length is beyond a long."""
+    return "CASE WHEN __step.months IS NOT NULL AND __step.days IS NOT NULL THEN __step END"
 
 
 def tenor_years(text: str) -> str:
@@ -40,16 +54,24 @@ def month_number(date: str) -> str:
 
 
 def plus_cycle(date: str, step: str) -> str:
-    return f"CASE WHEN {step}.months > 0 THEN add_months({date}, {step}.months) ELSE date_add({date}, {step}.days) END"
+    """The date a step later; null if that is beyond the calendar."""
+    return (
+        f"CASE WHEN {step}.months >= {CALENDAR_MONTHS} OR {step}.days >= {CALENDAR_DAYS} THEN NULL"
+        f" WHEN {step}.months > 0 THEN add_months({date}, cast({step}.months AS int))"
+        f" ELSE date_add({date}, cast({step}.days AS int)) END"
+    )
 
 
 def regular_dates(anchor: str, step: str, until: str) -> str:
     """The dates ``anchor + k * step`` up to ``until``, ascending.
 
-    Each is counted from the anchor, so a month-end anchor keeps its month ends.
+    Each is counted from the anchor, so a month-end anchor keeps its month ends. A step as long as
+    the calendar leaves the anchor alone.
     """
-    interval = f"make_interval(0, {step}.months, 0, {step}.days)"
-    return f"coalesce(CASE WHEN {anchor} <= {until} THEN sequence({anchor}, {until}, {interval}) END, {NO_DATES})"
+    months = f"cast(least({step}.months, {CALENDAR_MONTHS}) AS int)"
+    days = f"cast(least({step}.days, {CALENDAR_DAYS}) AS int)"
+    interval = f"make_interval(0, {months}, 0, {days})"
+    return f"coalesce(CASE WHEN {step} IS NOT NULL AND {anchor} <= {until} THEN sequence({anchor}, {until}, {interval}) END, {NO_DATES})"
 
 
 def without_stub(dates: str, step: str, end: str) -> str:

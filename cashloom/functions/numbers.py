@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-# An exact half can come out of the arithmetic a little below itself. Half-up rounding takes what
-# lies this close below a half, in units of the last digit kept, as the half.
-HALF_TOLERANCE = 0.001
+# From here on every double is a whole number.
+WHOLE_DOUBLES = float(1 << 52)
 
 
-def half_up(value: str, digits: int) -> str:
-    """``value`` rounded half up to ``digits`` decimals; never negative zero."""
-    return f"({scaled(value, digits)} / 1e{digits}D)"
+def half_up(value: str, digits: int, nudge: float = 0.0) -> str:
+    """``value`` rounded half up to ``digits`` decimals; never negative zero.
 
-
-def scaled(value: str, digits: int) -> str:
-    """``value`` rounded half up, in whole units of its last digit, as a long."""
-    return f"floor(({value}) * 1e{digits}D + {0.5 + HALF_TOLERANCE}D)"
+    A value too large to have that many digits, an infinite one and NaN stay as they are. What lies
+    less than ``nudge`` units of the last digit below a half counts as one.
+    """
+    scale = f"1e{digits}D"
+    rounded = f"floor(({value}) * {scale} + {0.5 + nudge!r}D) / {scale}"
+    return f"CASE WHEN abs({value}) < {WHOLE_DOUBLES / 10**digits!r}D THEN {rounded} ELSE {value} END"

@@ -18,13 +18,16 @@ def split_trimmed(text: str, separator: str) -> str:
     """Tokens of ``text`` without the empty ones at its end.
 
     Inner and leading empty tokens stay. An empty text is one empty token, a text of
-    separators only has none.
+    separators only has none. The separator is a text of one or more characters, not a pattern.
     """
-    mark = quoted(separator)
-    trimmed = f"rtrim({mark}, {text})"
+    if not separator:
+        raise ValueError("a separator has at least one character")
+    mark = "".join(f"[{c}]" if c not in "[]^\\&" else f"\\{c}" for c in separator)
+    single = f"rtrim({quoted(separator)}, {text})"
+    trimmed = single if len(separator) == 1 else f"regexp_replace({text}, {quoted(f'({mark})+$')}, '')"
     return (
         f"CASE WHEN {text} = '' THEN array('') WHEN {trimmed} = '' THEN {NO_TEXTS}"
-        f" ELSE split({trimmed}, {mark}) END"
+        f" ELSE split({trimmed}, {quoted(mark)}) END"
     )
 
 
@@ -39,8 +42,12 @@ def to_double(text: str) -> str:
 
 
 def to_date(text: str) -> str:
-    """``yyyy-MM-dd`` or ``yyyy-MM-ddTHH`` to a date, anything else to null."""
-    return f"CASE WHEN {text} RLIKE {quoted(DATE_PATTERN)} THEN try_cast(left({text}, 10) AS date) END"
+    """``yyyy-MM-dd`` or ``yyyy-MM-ddTHH`` to a date, anything else to null.
+
+    Hours are dropped, but hour 24 is the midnight that opens the next day.
+    """
+    day = f"try_cast(left({text}, 10) AS date)"
+    return f"CASE WHEN {text} RLIKE {quoted(DATE_PATTERN)} THEN if({text} LIKE '%T24', date_add({day}, 1), {day}) END"
 
 
 def doubles(text: str) -> str:

@@ -78,7 +78,7 @@ def money(value: str) -> str:
 
 def half_up(value: str, digits: int) -> str:
     scale = f"1e{digits}"
-    return f"(floor(({value}) * {scale} + 0.501e0) / {scale})"
+    return f"(floor(({value}) * {scale} + 0.50001e0) / {scale})"
 
 
 def years(a: str, b: str, convention: str) -> str:
@@ -230,7 +230,7 @@ def segments(curve: str) -> str:
 
 
 def _micro(value: str) -> str:
-    return f"floor(({value}) * 10000e0 + 0.501e0)::BIGINT::VARCHAR"
+    return f"floor(({value}) * 10000e0 + 0.50001e0)::BIGINT::VARCHAR"
 
 
 FULL_TERMS = {
@@ -332,14 +332,20 @@ CYCLE_PARSE = f"""
 WITH parts AS (
   SELECT o_orderkey, {_parts('o_orderkey // 2', ['', 'P'])} AS p, o_orderkey % 13 AS n,
     {_parts('o_orderkey // 3', list('DWMQHYX'))} AS u,
-    {_parts('o_orderkey // 5', ['', '-', '+', 'L0', 'L1', 'L2'])} AS s
+    {_parts('o_orderkey // 5', ['', '-', '+', 'L0', 'L1', 'L2'])} AS s,
+    CASE WHEN o_orderkey % 19 = 0 THEN (o_orderkey // 19) % 8 END AS odd
   FROM orders
-), judged AS (SELECT *, n > 0 AND u <> 'X' AND s <> 'L2' AS good FROM parts)
-SELECT o_orderkey, p || n || u || s AS cycle,
-  CASE WHEN good THEN n * CASE u WHEN 'M' THEN 1 WHEN 'Q' THEN 3 WHEN 'H' THEN 6 WHEN 'Y' THEN 12 ELSE 0 END END AS months,
-  CASE WHEN good THEN n * CASE u WHEN 'D' THEN 1 WHEN 'W' THEN 7 ELSE 0 END END AS days,
-  CASE WHEN good THEN CASE WHEN s IN ('+', 'L0') THEN 1 ELSE 0 END END AS long_stub
-FROM judged"""
+), judged AS (SELECT *, n > 0 AND u <> 'X' AND s <> 'L2' AS good FROM parts),
+odd_cycles(odd, text, odd_months, odd_days) AS (VALUES
+  (0, '3 M -', NULL, NULL), (1, '3 X -', NULL, NULL), (2, '999999999Y', 11999999988, 0), (3, '200000000M', 200000000, 0),
+  (4, '9999999999D', 0, 9999999999), (5, '99999999999999999999D', NULL, NULL), (6, '', NULL, NULL), (7, '-3M', NULL, NULL))
+SELECT o_orderkey, coalesce(text, p || n || u || s) AS cycle,
+  CASE WHEN text IS NOT NULL THEN odd_months
+    WHEN good THEN n * CASE u WHEN 'M' THEN 1 WHEN 'Q' THEN 3 WHEN 'H' THEN 6 WHEN 'Y' THEN 12 ELSE 0 END END AS months,
+  CASE WHEN text IS NOT NULL THEN odd_days WHEN good THEN n * CASE u WHEN 'D' THEN 1 WHEN 'W' THEN 7 ELSE 0 END END AS days,
+  CASE WHEN text IS NOT NULL THEN CASE WHEN odd_months IS NOT NULL THEN 0 END
+    WHEN good THEN CASE WHEN s IN ('+', 'L0') THEN 1 ELSE 0 END END AS long_stub
+FROM judged LEFT JOIN odd_cycles USING (odd)"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,30 +23,49 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows over all cores if a small input has come as fewer splits than there are cores.
+    """Rows over all cores if a small input has fewer splits' worth of bytes than there are cores.
 
-    An input with a split per core or more, as any large one has, is left where it is.
+    A larger one is left where it is. The size is the optimizer's estimate of the input.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes").lower()
+    )
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows if size >= cores * split else rows.repartition(cores, *keys)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``, or set on the context."""
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="cashloom-")
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def use_temporary_folder(spark: SparkSession) -> None:
+    """For runs on one machine: a shared folder of this process, if none is set, gone at its end."""
+    context = spark.sparkContext
+    unset = spark.conf.get(CHECKPOINT_DIR, None) is None and context.getCheckpointDir() is None
+    if unset and context.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="cashloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing else uses; not created yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses; not created yet.
+
+    What is written there is removed when the driver's JVM ends.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return folder
 
 
 def materialised(frame: DataFrame) -> DataFrame:

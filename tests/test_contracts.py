@@ -188,6 +188,17 @@ def test_stub(spark, cycle, days):
     assert result[-2][2] == pytest.approx({4: 1000 * 0.12 * 44 / 360, 3: 1000 * 0.12 * 134 / 360}[days], abs=1e-6)
 
 
+@pytest.mark.parametrize("cycle", ["3 M -", "3 X -", "999999999Y", "200000000M", "9999999999D"])
+@pytest.mark.parametrize("anchor", ["2015-05-01", "NULL"])
+def test_no_cycle_text_ends_the_job(spark, cycle, anchor):
+    """A cycle longer than the calendar has its anchor only, a malformed one no date; others go on."""
+    terms = {"interest_cycle": cycle, "reset_cycle": cycle, "interest_anchor": anchor, "reset_code": "REF"}
+    result = run(spark, [line(**terms), line(contract_id="D")], market=MARKET)
+    paid = [e[0] for e in result if e[1] == "IP"]
+    first = ["2015-05-01"] if anchor != "NULL" and " " not in cycle else []
+    assert sorted(paid) == sorted([*first, "2016-02-01", "2015-05-01", "2015-08-01", "2015-11-01", "2016-02-01"])
+
+
 def test_equal_lines_are_separate_contracts(spark):
     assert len(run(spark, [line()] * 3)) == 18
 

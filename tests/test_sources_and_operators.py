@@ -22,7 +22,7 @@ from cashloom.operators.tokens import token_arrays, token_counts, token_rows
 from cashloom.plans.pam import evaluate, event_records
 from cashloom.plans.testdata import BEFORE_ALL, DISCOUNT_CURVE, SHIFTS, contract_lines, market_table
 from cashloom.sources.analysis_date import first_date, with_analysis_date
-from cashloom.sources.catalog import create_table, insert_rows, select_all
+from cashloom.sources.catalog import create_table, drop_table, insert_rows, select_all
 from cashloom.sources.contracts import TRUNCATE, parse_contracts
 from cashloom.sources.layouts import FULL_LAYOUT, SHORT_LAYOUT
 from cashloom.sources.lines import lines_from, read_lines
@@ -50,6 +50,34 @@ def test_split_drops_trailing_empty_tokens(spark, text, tokens):
     assert value(spark, split_trimmed(f"'{text}'", ";")) == tokens
 
 
+@pytest.mark.parametrize(
+    ("text", "separator", "tokens"),
+    [
+        ("a|b||", "|", ["a", "b"]),
+        ("a.b..", ".", ["a", "b"]),
+        ("ab..", "..", ["ab"]),
+        ("a.b.", "..", ["a.b."]),
+        ("x^y^]z^]", "^]", ["x^y", "z"]),
+        ("1\\\\2\\\\", "\\", ["1", "2"]),
+        ("a&&b[c&&", "&&", ["a", "b[c"]),
+        ("$a$", "$", ["", "a"]),
+    ],
+)
+def test_separators_are_text(spark, text, separator, tokens):
+    assert value(spark, split_trimmed(f"'{text}'", separator)) == tokens
+
+
+def test_separator_must_not_be_empty():
+    with pytest.raises(ValueError):
+        split_trimmed("'a'", "")
+
+
+def test_hour_24_is_the_next_day(spark):
+    texts = ["2015-04-01T24", "2015-12-31T24", "2015-02-30T24", "2015-04-01T25"]
+    days = [value(spark, to_date(f"'{t}'")) for t in texts]
+    assert [d and d.isoformat() for d in days] == ["2015-04-02", "2016-01-01", None, None]
+
+
 def test_dates_and_numbers(spark):
     texts = ["2015-04-01", "2015-04-01T00", "2015-04-01T23", "2015-02-29", "2015-4-1", "NULL", "", "2015-04-01T99"]
     days = [value(spark, to_date(f"'{t}'")) for t in texts]
@@ -65,6 +93,11 @@ def test_cycles(spark):
         None, None, None, None, None,
     ]
     assert value(spark, tenor_years("'18M'")) == 1.5
+    texts = ["3 M -", "3 X -", " 3M", "3M ", "999999999Y", "200000000M", "9999999999D", "9" * 30 + "D", "9" * 19 + "Y"]
+    steps = [value(spark, parse_cycle(f"'{t}'")) for t in texts]
+    assert [s and tuple(s) for s in steps] == [
+        None, None, None, None, (11999999988, 0, False), (200000000, 0, False), (0, 9999999999, False), None, None,
+    ]
     assert value(spark, tenor_years("'73D'")) == 0.2
 
 
@@ -82,6 +115,18 @@ def test_day_counts(spark):
 def test_half_up(spark):
     assert [value(spark, half_up(f"{v}D", 4)) for v in (0.00005, -0.00005, 1.00005, 2.5)] == [0.0001, 0.0, 1.0001, 2.5]
     assert math.copysign(1, value(spark, half_up("-0.00001D", 4))) == 1
+    assert [value(spark, half_up(f"double('{v}')", 4)) for v in (1e16, -1e300, math.inf, 1.23454991, 922337203685477.9)] == [
+        1e16, -1e300, math.inf, 1.2345, 922337203685477.9,
+    ]
+    assert math.isnan(value(spark, half_up("double('NaN')", 4))) and value(spark, half_up("cast(NULL AS double)", 4)) is None
+    assert value(spark, half_up("1.23454991D", 4, nudge=0.001)) == 1.2346
+    assert units_of(spark, "1e16D") == "100000000000000000000" and units_of(spark, "double('NaN')") == "NaN"
+
+
+def units_of(spark, expression):
+    from cashloom.plans.registry import units
+
+    return value(spark, units(expression, 4))
 
 
 def contract_line(layout, **terms) -> str:
@@ -264,6 +309,9 @@ def test_catalog(spark):
     insert_rows(spark.sql("VALUES (1, '09.09.2016')"), "days_test")
     insert_rows(spark.sql("VALUES (2, '10.09.2016')"), "days_test")
     assert {tuple(r) for r in select_all(spark, "days_test").collect()} == {(1, "09.09.2016"), (2, "10.09.2016")}
+    kept = select_all(spark, "days_test")
+    drop_table(spark, "days_test")
+    assert kept.count() == 2 and not spark.catalog.tableExists("days_test")
 
 
 def test_run_log(spark):
@@ -296,3 +344,14 @@ def test_shared_folder(spark):
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
     assert spark.sparkContext.getCheckpointDir() is not None
     assert session.materialised(spark.range(3)).count() == 3
+
+
+def test_spread_moves_only_small_inputs(spark, small):
+    rows = spark.read.parquet(f"{small}/orders.parquet")
+    assert session.spread(rows).rdd.getNumPartitions() == 4
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        assert "Exchange" not in plan_of(session.spread(spark.read.parquet(f"{small}/orders.parquet")))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
