@@ -2,8 +2,8 @@
 
 The notional is constant between the initial exchange and the end, so the interest due at an
 event follows from the last payment before it and the resets since. For contracts with resets a
-``timeline`` of payments and resets in one order gives the rank of either among the other. Only
-resets without a payment between them have to be added up, which is done once per reset, in
+``timeline`` of payments and resets in one order, gone through once, gives the rank of either among
+the other. What accrues between resets is added up from payment to payment in one running sum,
 ``reset_dues``; amounts and values are computed event by event, after the dates are exploded.
 """
 
@@ -33,6 +33,9 @@ CLEARING = f"({IP}, {TD}, {MD})"
 CLOSING = f"({TD}, {MD})"
 RESETTING = f"({RRF}, {RR})"
 
+# Steps that are summed by growing one array.
+BLOCK = 64
+
 
 def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") -> DataFrame:
     """Add the rates from the resets on, the interest due at them, and the event dates.
@@ -46,37 +49,36 @@ def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") ->
     rate = f"if({fixed}, next_reset_rate, coalesce(seen, next_reset_rate, nominal_rate))"
     opening = "if(next_reset_rate IS NULL, 0, 1)"
     timeline = (
-        f"sort_array(concat(transform(interest_dates, d -> {_payment_mark('d')}),"
-        f" transform(reset_dates, d -> {_reset_mark('d')})))"
+        f"transform(sort_array(concat(transform(interest_dates, (d, i) -> {_mark('d', 0)}),"
+        f" transform(reset_dates, (d, i) -> {_mark('d', 1)}))),"
+        " (m, i) -> named_struct('resets', m.resets, 'earlier', cast(i - m.rank AS int)))"
     )
-    rated = scheduled.selectExpr(
-        "*",
-        "sign * notional AS principal",
-        f"transform(reset_dates, d -> {observed}) AS observed_rates",
-        f"if(size(reset_dates) > 0, {timeline}, NULL) AS timeline",
-    ).selectExpr(
-        "*",
-        f"transform(observed_rates, (seen, rank) -> {rate}) AS reset_rates",
-        f"get(observed_rates, {opening}) IS NULL AND size(reset_dates) > {opening} AS unobserved",
-        f"transform(reset_dates, (d, rank) -> {_before(_reset_mark('d'), 'rank')}) AS payments_at_reset",
-        *_single("purchase", "purchased_on"),
-        *_single("termination", "terminated_on"),
+    rated = (
+        scheduled.selectExpr(
+            "*",
+            "sign * notional AS principal",
+            f"transform(reset_dates, d -> {observed}) AS observed_rates",
+            f"if(size(reset_dates) > 0, {timeline}, NULL) AS timeline",
+        )
+        .selectExpr(
+            "*",
+            f"transform(observed_rates, (seen, rank) -> {rate}) AS reset_rates",
+            f"get(observed_rates, {opening}) IS NULL AND size(reset_dates) > {opening} AS unobserved",
+            "filter(timeline, m -> m.resets = 1).earlier AS payments_at_reset",
+            "filter(timeline, m -> m.resets = 0).earlier AS resets_at_payment",
+            *_single("purchase", "purchased_on"),
+            *_single("termination", "terminated_on"),
+        )
+        .drop("timeline")
     )
-    return with_event_dates(rated.selectExpr("*", f"transform(reset_dates, (d, rank) -> {_reset_due('rank')}) AS reset_dues"))
-
-
-def _payment_mark(date: str) -> str:
-    """Place of a payment on the timeline; a reset on the same day comes after it."""
-    return f"unix_date({date}) * 2"
+    steps = f"transform(reset_dates, (d, rank) -> {_reset_step('rank')})"
+    dues = f"if(size(reset_dates) > 0, {_running(steps)}, cast(array() AS array<double>))"
+    return with_event_dates(rated.selectExpr("*", f"{dues} AS reset_dues"))
 
 
-def _reset_mark(date: str) -> str:
-    return f"unix_date({date}) * 2 + 1"
-
-
-def _before(mark: str, rank: str) -> str:
-    """How many marks of the other kind come before the one that is ``rank``-th of its own."""
-    return f"cast(array_position(timeline, {mark}) - 1 - {rank} AS int)"
+def _mark(date: str, resets: int) -> str:
+    """Place of a payment or a reset on the timeline; a reset comes after a payment of its day."""
+    return f"named_struct('day', {date}, 'resets', {resets}, 'rank', i)"
 
 
 def _single(name: str, date: str) -> list[str]:
@@ -104,15 +106,37 @@ def _interest(start: str, end: str, rate: str) -> str:
     return f"({year_fraction(start, end, 'day_count')}) * {rate} * principal"
 
 
-def _reset_due(rank: str) -> str:
-    """Interest accrued up to a reset since the last payment, reset by reset."""
+def _reset_step(rank: str) -> str:
+    """What accrues up to a reset: since the payment before it, or the reset if that is later."""
     payments = f"get(payments_at_reset, {rank})"
-    last_payment = f"get(interest_dates, {payments} - 1)"
-    first = f"if({payments} = 0, 0, {_before(_payment_mark(last_payment), f'({payments} - 1)')})"
-    opening = _interest(_paid_before(payments), "get(reset_dates, first)", _rate_after("first"))
-    later = f"if(first < {rank}, sequence(first + 1, {rank}), cast(array() AS array<int>))"
-    step = _interest("get(reset_dates, r - 1)", "get(reset_dates, r)", "get(reset_rates, r - 1)")
-    return let("first", first, f"aggregate({later}, {opening}, (due, r) -> due + {step})")
+    since_payment = _interest(_paid_before(payments), f"get(reset_dates, {rank})", _rate_after(rank))
+    since_reset = _interest(
+        f"get(reset_dates, {rank} - 1)", f"get(reset_dates, {rank})", f"get(reset_rates, {rank} - 1)"
+    )
+    first = f"{rank} = 0 OR {payments} > get(payments_at_reset, {rank} - 1)"
+    return f"named_struct('first', {first}, 'due', if({first}, {since_payment}, {since_reset}))"
+
+
+def _running(steps: str) -> str:
+    """Running sums of ``steps.due``, begun anew at every ``first``.
+
+    An array that grows by an element at a time is copied each time, so the sums are taken in
+    blocks, and what a block ends with is carried into the next.
+    """
+    grown = (
+        "concat(sums, array(named_struct('first', step.first OR coalesce(get(sums, size(sums) - 1).first, false),"
+        " 'due', if(step.first, step.due, coalesce(get(sums, size(sums) - 1).due, 0D) + step.due))))"
+    )
+    empty = "cast(array() AS array<struct<first: boolean, due: double>>)"
+    block = f"aggregate(slice(steps, block * {BLOCK} + 1, {BLOCK}), {empty}, (sums, step) -> {grown})"
+    blocks = f"transform(sequence(0, (size(steps) - 1) div {BLOCK}), block -> {block})"
+    end = "get(block, size(block) - 1)"
+    carried = (
+        f"aggregate(blocks, array(0D), (carry, block) -> concat(carry, array(if({end}.first, {end}.due,"
+        f" get(carry, size(carry) - 1) + {end}.due))))"
+    )
+    whole = "flatten(transform(blocks, (block, i) -> transform(block, s -> if(s.first, s.due, get(carry, i) + s.due))))"
+    return let("steps", steps, let("blocks", blocks, let("carry", carried, whole)))
 
 
 def paid_before(kind: str, position: str) -> str:
@@ -123,9 +147,9 @@ def paid_before(kind: str, position: str) -> str:
     )
 
 
-def resets_before(date: str, kind: str, position: str) -> str:
+def resets_before(kind: str, position: str) -> str:
     """How many resets come before the event, where that matters."""
-    of_payment = _before(_payment_mark(date), f"({position} - kind_ends[0])")
+    of_payment = f"get(resets_at_payment, {position} - kind_ends[0])"
     return (
         f"CASE {kind} WHEN {IP} THEN coalesce({of_payment}, 0)"
         f" WHEN {PRD} THEN resets_at_purchase WHEN {TD} THEN resets_at_termination ELSE 0 END"
@@ -181,7 +205,7 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ranked = event_rows(evaluated).selectExpr(
         "*",
         f"{paid_before('kind', 'position')} AS paid",
-        f"{resets_before('date', 'kind', 'position')} AS resets",
+        f"{resets_before('kind', 'position')} AS resets",
     )
     started = ranked.withColumn("start", F.expr(f"if(paid IS NULL, NULL, {accrual_start('paid', 'resets')})"))
     owed = started.withColumn("due", F.expr(event_due("date", "kind", "position", "paid", "resets", "start")))
@@ -212,7 +236,7 @@ def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per contract with parallel arrays in event order, empty ones for no events."""
     paid = paid_before("e.kind", "e.position")
-    resets = resets_before("e.date", "e.kind", "e.position")
+    resets = resets_before("e.kind", "e.position")
     due = event_due("e.date", "e.kind", "e.position", "e.paid", "e.resets", "start")
     due = let("start", accrual_start("e.paid", "e.resets"), due)
     rows = (
