@@ -7,6 +7,7 @@ ACTUAL_365 = "A/365"
 ACTUAL_360 = "A/360"
 THIRTY_E_360 = "30E/360"
 ACTUAL_ACTUAL = "A/A ISDA"
+CONVENTIONS = (ACTUAL_365, ACTUAL_360, THIRTY_E_360, ACTUAL_ACTUAL)
 
 
 def year_fraction(start: str, end: str, convention: str) -> str:

@@ -9,7 +9,7 @@ from cashloom.functions import let, quoted_list
 from cashloom.functions.cycles import month_number
 from cashloom.functions.text import to_date
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup
-from cashloom.sources.market import DATED_KINDS
+from cashloom.sources.market import DATED_KINDS, readable_points
 
 
 def with_series(market: DataFrame, kinds: tuple[str, ...] = DATED_KINDS) -> DataFrame:
@@ -17,11 +17,12 @@ def with_series(market: DataFrame, kinds: tuple[str, ...] = DATED_KINDS) -> Data
 
     ``series.counts`` holds, for every month from the first observation to the last, how many
     observations lie up to the end of that month. A date therefore finds its place from its
-    month number and a look at the observations of that one month.
+    month number and a look at the observations of that one month. An object with a date or number
+    that does not read, or with more of one than the other, has no series.
     """
     pairs = f"zip_with(points, values, (p, v) -> named_struct('date', {to_date('p')}, 'value', v))"
     ranked = f"transform({pairs}, (o, i) -> named_struct('date', o.date, 'rank', i, 'value', o.value))"
-    usable = f"filter({ranked}, o -> o.date IS NOT NULL AND o.value IS NOT NULL)"
+    usable = let("__all", ranked, f"if({readable_points('__all', 'date', 'value')}, sort_array(__all), NULL)")
     # An observation opens as many months as pass until the next one; the last closes its own.
     next_month = month_number("get(observations, i + 1).date")
     months = f"coalesce({next_month} - {month_number('o.date')}, 1)"
@@ -31,7 +32,7 @@ def with_series(market: DataFrame, kinds: tuple[str, ...] = DATED_KINDS) -> Data
         f" 'first_month', {month_number('get(observations, 0).date')})"
     )
     observed = market.selectExpr(
-        "*", f"if(kind IN ({quoted_list(kinds)}), sort_array({usable}), NULL) AS observations"
+        "*", f"if(kind IN ({quoted_list(kinds)}), {usable}, NULL) AS observations"
     )
     return observed.withColumn("series", F.expr(f"if(size(observations) > 0, {series}, NULL)")).drop("observations")
 

@@ -1,61 +1,52 @@
-"""Term structures: rates between tenors and discount factors."""
+"""Term structures: rates between tenors and discount factors.
+
+A curve is one array in one row, for it has as many points as there are tenors, and a rate is found
+by a look along it. So a curve is joined by its code alone, and one that everything uses by nothing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashloom.functions import quoted
+from cashloom.functions import let
 from cashloom.functions.cycles import DAYS_PER_YEAR, tenor_years
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup
-from cashloom.sources.market import TERM_STRUCTURE
+from cashloom.sources.market import TERM_STRUCTURE, readable_points
 
 
-def curve_segments(market: DataFrame) -> DataFrame:
-    """Straight pieces of every curve, flat before the first and after the last tenor.
+def with_curve(market: DataFrame) -> DataFrame:
+    """Add ``curve``: ``years`` and ``rate`` in the order of tenors; null for other kinds.
 
-    One row per piece and the other columns of ``market`` but its points and values:
-    ``from_years <= t < to_years`` with the rate ``base_rate + (t - base_years) * slope``.
+    A curve with a point or rate that does not read, or with more of one than the other, is null.
     """
-    pairs = f"zip_with(points, values, (p, v) -> named_struct('years', {tenor_years('p')}, 'rate', v))"
-    usable = f"filter({pairs}, p -> p.years IS NOT NULL AND p.rate IS NOT NULL)"
-    follower = "get(curve, i + 1)"
-    rise = f"coalesce(try_divide({follower}.rate - p.rate, {follower}.years - p.years), 0D)"
-    until = f"coalesce({follower}.years, double('Infinity'))"
+    pairs = "zip_with(points, values, (p, v) -> named_struct('years', " + tenor_years("p") + ", 'rate', v))"
+    curve = let("__curve", pairs, f"if({readable_points('__curve', 'years', 'rate')}, sort_array(__curve), NULL)")
+    return market.withColumn("curve", F.expr(f"if(kind = '{TERM_STRUCTURE}', {curve}, NULL)"))
 
-    def piece(low: str, high: str, years: str, rate: str, slope: str) -> str:
-        values = {"from_years": low, "to_years": high, "base_years": years, "base_rate": rate, "slope": slope}
-        return f"named_struct({', '.join(f'{quoted(k)}, {v}' for k, v in values.items())})"
 
-    first = "get(curve, 0)"
-    before = piece("double('-Infinity')", f"{first}.years", f"{first}.years", f"{first}.rate", "0D")
-    after = piece("p.years", until, "p.years", "p.rate", rise)
-    pieces = f"concat(array({before}), transform(curve, (p, i) -> {after}))"
-    kept = [c for c in market.columns if c not in ("points", "values", "place", "kind", "series")]
-    curves = market.where(f"kind = '{TERM_STRUCTURE}'").selectExpr(*kept, f"sort_array({usable}) AS curve")
-    return curves.selectExpr(*kept, f"inline_outer({pieces})").where("base_years IS NOT NULL")
+def curve_rate(curve: str, years: str) -> str:
+    """The rate at ``years``: on a straight line between tenors, flat before the first and after the last."""
+    low, high = "get(__points, __place - 1)", "get(__points, __place)"
+    slope = f"coalesce(try_divide({high}.rate - {low}.rate, {high}.years - {low}.years), 0D)"
+    rate = f"if(__place = 0, {high}.rate, {low}.rate + (__at - {low}.years) * {slope})"
+    place = "size(filter(__points, __point -> __point.years <= __at))"
+    found = let("__points", curve, let("__at", years, let("__place", place, rate)))
+    return f"if({curve} IS NULL OR {years} IS NULL, NULL, {found})"
 
 
 def interpolate(
     probes: DataFrame,
-    segments: DataFrame,
+    market: DataFrame,
     on: dict[str, str],
     years: str,
     rate: str,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``probes`` plus the curve rate at ``years``; ``on`` maps probe columns to segment columns."""
-    pieces = segments.selectExpr(
-        *[f"{s} AS segment_{s}" for s in on.values()], "from_years", "to_years", "base_years", "base_rate", "slope"
-    )
-    keys = " AND ".join(f"{probe} = segment_{segment}" for probe, segment in on.items())
-    found = lookup(
-        probes.withColumn("at_years", F.expr(years)),
-        pieces,
-        F.expr(f"{keys} AND at_years >= from_years AND at_years < to_years"),
-        limit,
-    )
-    return found.selectExpr(*probes.columns, f"base_rate + (at_years - base_years) * slope AS {rate}")
+    """``probes`` plus the curve rate at ``years``; ``on`` maps probe columns to market columns."""
+    curves = with_curve(market).selectExpr(*[f"{m} AS {p}" for p, m in on.items()], "curve AS __found_curve")
+    found = lookup(probes, curves, list(on), limit)
+    return found.withColumn(rate, F.expr(curve_rate("__found_curve", years))).select(*probes.columns, rate)
 
 
 def years_after(t0: str, date: str) -> str:

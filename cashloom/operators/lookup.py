@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,8 @@ from cashloom.functions import quoted_list
 from cashloom.sources.market import RATE_KINDS, REFERENCE_INDEX
 
 BROADCAST_BYTES = 256 * 1024 * 1024
-SALTS = 16
+# Rows of one key that one task joins.
+HOT_ROWS = 1_000_000
 
 
 def row_bytes(schema: T.StructType) -> str:
@@ -37,22 +38,30 @@ def fits_broadcast(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
-def lookup(rows: DataFrame, table: DataFrame, on: Column | list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``rows`` with the matching row of ``table``, or nulls.
+def lookup(
+    rows: DataFrame, table: DataFrame, on: list[str], limit: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``rows`` with the matching row of ``table``, or nulls; a null key matches nothing.
 
     A table within ``limit`` is broadcast, so ``rows`` are not moved. A larger one is joined by
-    sort-merge, on a salt as well: the rows of one key, or of none, are spread over ``SALTS``
-    groups by a hash of their content, and the table goes to each. The hash is the same when a
-    lost task is run again. What is still uneven is left to adaptive execution.
+    sort-merge, and then rows without a key stay where they are, and a key of more than
+    ``hot_rows`` rows is spread over as many groups as that takes, by a hash of their content,
+    which is the same when a lost task is run again. The table's row goes to each of the groups.
     """
     if fits_broadcast(table, limit):
         return rows.join(F.broadcast(table), on, "left")
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    if isinstance(on, list):
-        copies = table.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS __salt")
-        return salted.join(copies, [*on, "__salt"], "left").drop("__salt")
-    copies = table.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS __copy")
-    return salted.join(copies, on & F.expr("__salt = __copy"), "left").drop("__salt", "__copy")
+    here = " AND ".join(f"{key} IS NOT NULL" for key in on)
+    keyed = rows.where(here)
+    # at most one key for hot_rows rows, which bounds what is broadcast
+    hot = keyed.groupBy(*on).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows)
+    hot = F.broadcast(hot.select(*on, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__groups")))
+    groups = F.coalesce("__groups", F.lit(1))
+    content = F.xxhash64(*[c for c in rows.columns if "map" not in dict(rows.dtypes)[c]])
+    salted = keyed.join(hot, on, "left").withColumn("__salt", F.pmod(content, groups).cast("int")).drop("__groups")
+    copies = table.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), groups - 1)))
+    found = salted.join(copies.drop("__groups"), [*on, "__salt"], "left").drop("__salt")
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name not in on]
+    return found.unionByName(rows.where(f"NOT ({here})").select("*", *added))
 
 
 def with_reset_object(contracts: DataFrame, market: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -16,11 +16,15 @@ from cashloom.functions.cycles import (
     regular_dates,
     without_stub,
 )
+from cashloom.functions.daycount import CONVENTIONS
 
 # Order of events on one day.
 IED, IP, RRF, RR, PRD, TD, MD = range(1, 8)
 EVENT_NAMES = ["IED", "IP", "RRF", "RR", "PRD", "TD", "MD"]
 
+# Contract status without a fault.
+OK = "ok"
+
 # Contract roles.
 ASSET, LIABILITY = "RPA", "RPL"
 
@@ -34,16 +38,37 @@ def event_name(kind: str) -> str:
     return f"element_at(array({quoted_list(EVENT_NAMES)}), {kind})"
 
 
+def contract_status() -> str:
+    """What is wrong with the terms, comma-separated, or ``ok``: nothing is evaluated in silence.
+
+    Names the terms whose text did not read, those that every contract needs and this one lacks,
+    and texts that stand for no cycle, day count or role.
+    """
+    needed = ["initial_exchange_date", "maturity_date", "notional", "nominal_rate"]
+    faults = [f"if({t} IS NULL AND NOT array_contains(term_errors, '{t}'), 'missing {t}', NULL)" for t in needed]
+    for cycle, step in (("interest_cycle", "interest_step"), ("reset_cycle", "reset_step")):
+        faults.append(f"if({cycle} IS NOT NULL AND {step} IS NULL, 'unknown {cycle}', NULL)")
+    faults.append(f"if(coalesce(day_count IN ({quoted_list(CONVENTIONS)}), false), NULL, 'unknown day_count')")
+    faults.append("if(sign IS NULL, 'unknown role', NULL)")
+    faults.append("if(maturity_date < initial_exchange_date, 'matures before its exchange', NULL)")
+    unread = "transform(coalesce(term_errors, cast(array() AS array<string>)), e -> concat('unreadable ', e))"
+    listed = f"array_compact(concat({unread}, array({', '.join(faults)})))"
+    return f"coalesce(nullif(array_join({listed}, ', '), ''), '{OK}')"
+
+
 def with_schedule(contracts: DataFrame) -> DataFrame:
     """Add the future interest and reset dates and the facts of the contract's life.
 
-    Needs the terms of the full layout and ``t0``. Events lie after the analysis date and not
+    Needs the terms of the full layout and ``t0``; ``term_errors`` are taken into ``contract_status``,
+    which tells what is wrong with a contract and stays with it to its events. Events lie after the analysis date and not
     after the last day, which is the termination or the maturity. ``running`` contracts are past
     their initial exchange at the analysis date; interest accrues from ``since``, their last
     payment up to then.
     """
     ied, md = "initial_exchange_date", "maturity_date"
     stop = f"if(termination_date >= {ied} AND termination_date <= {md}, termination_date, NULL)"
+    if "term_errors" not in contracts.columns:
+        contracts = contracts.selectExpr("*", "cast(array() AS array<string>) AS term_errors")
     life = contracts.selectExpr(
         "*",
         f"{role_sign('role')} AS sign",
@@ -55,6 +80,7 @@ def with_schedule(contracts: DataFrame) -> DataFrame:
         f"{parse_cycle('reset_cycle')} AS reset_step",
     ).selectExpr(
         "*",
+        f"{contract_status()} AS contract_status",
         f"coalesce(last_day <= t0 OR {md} < {ied}, true) AS ended",
         f"if(purchase_date > t0 AND purchase_date >= {ied} AND purchase_date <= last_day, purchase_date, NULL)"
         " AS purchased_on",

@@ -191,8 +191,34 @@ def rate_set(kind: str, position: str) -> str:
     return f"if({kind} IN {RESETTING}, get(reset_rates, {position} - kind_ends[1]), NULL)"
 
 
+def in_each_scenario(rows: DataFrame) -> DataFrame:
+    """Rows that stand for several ``scenarios`` once for each, as ``scenario``."""
+    if "scenarios" not in rows.columns:
+        return rows
+    others = [f"`{c}`" for c in rows.columns if c != "scenarios"]
+    return rows.selectExpr(*others, "explode(scenarios) AS scenario")
+
+
+def _kept(evaluated: DataFrame, keep: tuple[str, ...]) -> list[str]:
+    """The columns to keep, ``scenarios`` in place of ``scenario`` where rows share them."""
+    if "scenarios" not in evaluated.columns:
+        return list(keep)
+    return [*[c for c in keep if c != "scenario"], "scenarios"]
+
+
+def _in_order(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Rows in each scenario, with the kept columns first and ``scenario`` only if it is one."""
+    if "scenarios" not in rows.columns:
+        return rows
+    others = [c for c in rows.columns if c != "scenarios" and c not in keep]
+    return in_each_scenario(rows).select(*keep, *others)
+
+
 def event_rows(evaluated: DataFrame) -> DataFrame:
-    """One row per event of the schedule, contract columns kept: ``position, date, kind``."""
+    """One row per event of the schedule, contract columns kept: ``position, date, kind``.
+
+    Contracts that share a row over ``scenarios`` still do.
+    """
     # The outer form: from an inner one the optimizer derives a filter on the array's size and
     # pushes it to the scan, where the whole schedule would be built a second time.
     rows = evaluated.selectExpr("*", "posexplode_outer(event_dates) AS (position, date)")
@@ -209,8 +235,8 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
     started = ranked.withColumn("start", F.expr(f"if(paid IS NULL, NULL, {accrual_start('paid', 'resets')})"))
     owed = started.withColumn("due", F.expr(event_due("date", "kind", "position", "paid", "resets", "start")))
-    return owed.selectExpr(
-        *keep,
+    events = owed.selectExpr(
+        *_kept(owed, keep),
         "contract_id",
         "date",
         "kind",
@@ -221,6 +247,7 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         f"{accrued_after('kind', 'due')} AS accrued",
         f"{rate_set('kind', 'position')} AS rate",
     )
+    return _in_order(events, keep)
 
 
 def _given_events() -> str:
@@ -230,7 +257,8 @@ def _given_events() -> str:
 
 def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``n_events`` of every contract, without computing them."""
-    return evaluated.selectExpr(*keep, "contract_id", f"size({_given_events()}) AS n_events")
+    counts = evaluated.selectExpr(*_kept(evaluated, keep), "contract_id", f"size({_given_events()}) AS n_events")
+    return _in_order(counts, keep)
 
 
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -254,8 +282,8 @@ def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
             f" 'accrued', {accrued_after('e.kind', 'e.due')})) AS events",
         )
     )
-    return rows.selectExpr(
-        *keep,
+    nested = rows.selectExpr(
+        *_kept(rows, keep),
         "array_repeat(contract_id, size(events)) AS id",
         "events.date AS date",
         "events.type AS type",
@@ -264,6 +292,7 @@ def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
         "events.nominal AS nominal",
         "events.accrued AS accrued",
     )
+    return _in_order(nested, keep)
 
 
 def unnested(nested: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

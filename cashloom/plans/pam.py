@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashloom.functions import quoted, quoted_list
 from cashloom.functions.cycles import tenor_years
 from cashloom.functions.text import date_text
 from cashloom.operators.asof import as_of, with_series
-from cashloom.operators.curve import curve_segments, discount_factor, interpolate, years_after
+from cashloom.operators.curve import curve_rate, discount_factor, with_curve, years_after
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup, reset_status
 from cashloom.operators.schedule import with_schedule
 from cashloom.operators.states import flat_events, with_states
@@ -27,43 +27,86 @@ def evaluate(
     scenarios: Sequence[str] = (BASE_SCENARIO,),
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per contract and scenario, ready for its events, with ``reset_status``.
+    """Contracts ready for their events, with ``contract_status`` and ``reset_status``.
 
-    ``market`` is a table of market objects, one row per code, or per scenario and code when it
-    has a ``scenario`` column. Without it every contract keeps the rates of its own terms.
+    ``market`` is a table of market objects, one row per code, or per scenario and code when it has
+    a ``scenario`` column; a scenario that it has no object of is an error. Without it every contract
+    keeps the rates of its own terms. There is one row a contract and scenario, with ``scenario``; but
+    of several scenarios, those in which a contract can't differ share a row, and ``scenarios`` lists
+    them: the events come out in each.
     """
     dated = with_analysis_date(with_full_terms(contracts), t0)
-    scheduled = with_schedule(dated).selectExpr("*", f"explode(array({quoted_list(scenarios)})) AS scenario")
+    names = f"array({quoted_list(scenarios)})"
+    one = len(scenarios) == 1
     if market is None:
+        column = f"{quoted(scenarios[0])} AS scenario" if one else f"{names} AS scenarios"
+        scheduled = with_schedule(dated).selectExpr("*", column)
         return with_states(scheduled).withColumn("reset_status", F.lit("none"))
-    if "scenario" not in market.columns:
-        market = market.withColumn("scenario", F.lit(BASE_SCENARIO))
+    # the market is attached to the terms, before the schedule makes the rows wide
+    priced = lookup(dated, _objects_by_code(market, scenarios), ["reset_code"], limit)
+    scheduled = with_schedule(priced)
+    if one:
+        spread = scheduled.selectExpr("*", f"{quoted(scenarios[0])} AS scenario", "get(objects, 0) AS found")
+    else:
+        each = f"if(size(reset_dates) > 0, transform({names}, n -> array(n)), array({names}))"
+        spread = scheduled.selectExpr("*", f"explode({each}) AS scenarios").selectExpr(
+            "*", "get(filter(objects, o -> o.scenario = scenarios[0]), 0) AS found"
+        )
+    spread = spread.selectExpr(
+        "*",
+        "found.kind AS reset_kind",
+        "found.series AS series",
+        f"{curve_rate('found.curve', tenor_years('rate_term'))} AS curve_rate",
+    )
     seen = f"coalesce(curve_rate, {as_of('series', 'd')})"
     rate = f"coalesce(rate_multiplier, 1D) * {seen} + coalesce(rate_spread, 0D)"
-    rated = with_states(_with_market_rates(scheduled, market, limit), rate)
-    status = f"CASE {reset_status()} WHEN 'ok' THEN if(unobserved, 'no_observation', 'ok') ELSE {reset_status()} END"
-    return rated.withColumn("reset_status", F.expr(status)).drop("series", "curve_rate")
+    status = (
+        f"CASE {reset_status()} WHEN 'ok' THEN CASE WHEN found.series IS NULL AND found.curve IS NULL THEN 'unreadable'"
+        f" WHEN unobserved THEN 'no_observation' ELSE 'ok' END ELSE {reset_status()} END"
+    )
+    rated = with_states(spread, rate)
+    return rated.withColumn("reset_status", F.expr(status)).drop("objects", "found", "series", "curve_rate")
 
 
-def _with_market_rates(contracts: DataFrame, market: DataFrame, limit: int) -> DataFrame:
-    """Attach what a reset date needs: the series of the reset code, or the rate of its curve."""
-    series = with_series(market, (REFERENCE_RATE,)).selectExpr(
-        "scenario", "code AS reset_code", "kind AS reset_kind", "series"
-    )
-    on_curve = {"scenario": "scenario", "reset_code": "code"}
-    priced = interpolate(contracts, curve_segments(market), on_curve, tenor_years("rate_term"), "curve_rate", limit)
-    return lookup(priced, series, ["scenario", "reset_code"], limit)
+def _objects_by_code(market: DataFrame, scenarios: Sequence[str]) -> DataFrame:
+    """``reset_code`` and its ``objects``, one for each scenario asked for that has the code."""
+    if "scenario" not in market.columns:
+        if list(scenarios) != [BASE_SCENARIO]:
+            raise ValueError(f"market data without scenarios is {BASE_SCENARIO!r}, not {list(scenarios)}")
+        market = market.withColumn("scenario", F.lit(BASE_SCENARIO))
+    asked = market.where(f"scenario IN ({quoted_list(scenarios)})")
+    there = asked.agg(F.collect_set("scenario").alias("s")).scalar()
+    unknown = F.array_except(F.expr(f"array({quoted_list(scenarios)})"), there)
+    usable = with_curve(with_series(asked, (REFERENCE_RATE,)))
+    one = F.struct("scenario", "kind", "series", "curve")
+    if len(scenarios) == 1:
+        table = usable.select(F.col("code").alias("reset_code"), F.array(one).alias("objects"))
+    else:
+        table = usable.groupBy(F.col("code").alias("reset_code")).agg(F.collect_list(one).alias("objects"))
+    return with_error_row(table, unknown)
+
+
+def with_error_row(table: DataFrame, unknown: Column) -> DataFrame:
+    """``table``; reading it fails if ``unknown`` scenarios are left, even if it has no row."""
+    complaint = F.concat(F.lit("no market data for scenario "), F.array_join(unknown, ", "))
+    checked = table.sparkSession.range(1).where(F.size(unknown) > 0).select(F.raise_error(complaint).cast("string").alias("reset_code"))
+    return table.unionByName(checked, allowMissingColumns=True)
 
 
-def discounted(events: DataFrame, market: DataFrame, curve: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def discounted(events: DataFrame, market: DataFrame, curve: str) -> DataFrame:
     """Add ``discount``: the factor of the event date on the curve, from the analysis date on.
 
-    ``events`` carry ``scenario``, ``t0`` and ``date``.
+    ``events`` carry ``scenario``, ``t0`` and ``date``. The curve of every scenario is one value of the
+    plan: as many points as scenarios and tenors.
     """
-    segments = curve_segments(market.where(f"code = {quoted(curve)}"))
+    if "scenario" not in market.columns:
+        market = market.withColumn("scenario", F.lit(BASE_SCENARIO))
+    curves = with_curve(market.where(f"code = {quoted(curve)}"))
+    by_scenario = curves.agg(F.map_from_entries(F.collect_list(F.struct("scenario", "curve"))).alias("curves")).scalar()
     years = years_after("t0", "date")
-    rated = interpolate(events, segments, {"scenario": "scenario"}, years, "zero_rate", limit)
-    return rated.withColumn("discount", F.expr(discount_factor("zero_rate", years))).drop("zero_rate")
+    found = events.withColumn("__curve_now", F.try_element_at(by_scenario, F.col("scenario")))
+    rated = found.withColumn("zero_rate", F.expr(curve_rate("__curve_now", years)))
+    return rated.withColumn("discount", F.expr(discount_factor("zero_rate", years))).drop("zero_rate", "__curve_now")
 
 
 def event_records(evaluated: DataFrame, market: DataFrame, curve: str) -> DataFrame:

@@ -13,7 +13,7 @@ from cashloom.functions.daycount import ACTUAL_360, ACTUAL_365, ACTUAL_ACTUAL, T
 from cashloom.functions.text import date_text
 from cashloom.operators.asof import asof_join
 from cashloom.operators import states
-from cashloom.operators.curve import curve_segments, interpolate
+from cashloom.operators.curve import interpolate
 from cashloom.operators.hits import hit_ratio, spread_points
 from cashloom.operators.lookup import reset_status, scaling_status, with_reset_object, with_scaling_object
 from cashloom.operators.schedule import event_name, role_sign
@@ -254,8 +254,7 @@ def curve_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey", "concat('CRV_', o_orderkey % 5) AS curve", "o_orderkey % 4380 AS days"
     )
-    segments = curve_segments(market_table(spark, sf_dir))
-    found = interpolate(probes, segments, {"curve": "code"}, "days / 365D", "rate")
+    found = interpolate(probes, market_table(spark, sf_dir), {"curve": "code"}, "days / 365D", "rate")
     return found.selectExpr("o_orderkey", "curve", "days", f"{half_up('rate', RATE_DIGITS)} AS rate")
 
 

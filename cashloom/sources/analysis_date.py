@@ -21,6 +21,10 @@ def checked_date(text: str) -> str:
 
 
 def with_analysis_date(contracts: DataFrame, t0: str | DataFrame) -> DataFrame:
-    """Attach the analysis date: a constant, or the single row of ``first_date``."""
-    value = F.expr(checked_date(quoted(t0))) if isinstance(t0, str) else t0.scalar()
+    """Attach the analysis date: a constant, or the single row of ``first_date``.
+
+    A file without a line has no such row, which is an error like any other text that is no date.
+    """
+    none = F.raise_error("not an analysis date: the file is empty").cast("date")
+    value = F.expr(checked_date(quoted(t0))) if isinstance(t0, str) else F.coalesce(t0.scalar(), none)
     return contracts.withColumn("t0", value)

@@ -34,6 +34,12 @@ def parse_market(lines: DataFrame) -> DataFrame:
     )
 
 
+def readable_points(pairs: str, *fields: str) -> str:
+    """Whether an object has points and every one reads; ``pairs`` come from points and values."""
+    bad = " OR ".join(f"__pair.{f} IS NULL" for f in fields)
+    return f"coalesce(size({pairs}) > 0 AND NOT exists({pairs}, __pair -> {bad}), false)"
+
+
 def last_per_code(market: DataFrame) -> DataFrame:
     """One row per code: the one furthest down the input."""
     fields = [c for c in market.columns if c not in ("code", "place")]
