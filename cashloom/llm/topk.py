@@ -28,8 +28,8 @@ K, SCALE = 5, 256
 BLOCK_VECTORS, BLOCK_QUERIES = 8192, 2048
 #: Places of all lists read before the bound is first tried; twice as many each time after.
 FIRST_DEPTH = 32
-#: Products below this are exact in double precision.
-EXACT = float(1 << 53)
+#: Whole numbers below these are exact in double and in single precision.
+EXACT, EXACT_SINGLE = float(1 << 53), float(1 << 24)
 
 
 def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -44,6 +44,8 @@ def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "emb
 def as_matrix(vectors: list[np.ndarray]) -> np.ndarray:
     """Rows of one length; shorter vectors are filled up with zeros."""
     width = max(map(len, vectors), default=0)
+    if width and min(map(len, vectors)) == width:
+        return np.stack(vectors)
     out = np.zeros((len(vectors), width), dtype=np.int64)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
@@ -55,13 +57,17 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
-        self.order = np.argsort(x, axis=0, kind="stable").T.copy()
+        self.order = np.argsort(x, axis=0, kind="stable").T.astype(np.int32)
         most = float(np.abs(x).max(initial=0))
-        self.plain = x.astype(np.float64)
-        self.limit = EXACT / max(1.0, most * max(1, x.shape[1]))
+        self.size = max(1.0, most * max(1, x.shape[1]))
+        self.short, self.plain = x.astype(np.float32), x.astype(np.float64)
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        if np.abs(query).max(initial=0) < self.limit:
+        """Exact products: with single or double precision where that holds every partial sum."""
+        largest = float(np.abs(query).max(initial=0)) * self.size
+        if largest < EXACT_SINGLE:
+            return (self.short[rows] @ query.astype(np.float32)).astype(np.int64)
+        if largest < EXACT:
             return (self.plain[rows] @ query.astype(np.float64)).astype(np.int64)
         return np.array([sum(int(a) * int(b) for a, b in zip(self.x[r], query)) for r in rows], dtype=object)
 
@@ -77,20 +83,21 @@ class Lists:
         while True:
             stop = min(depth, n) if len(used) else n
             if stop < n:
-                lists = self.order[used]
-                met = np.where(up[:, None], lists[:, n - stop : n - done], lists[:, done:stop])
-                fresh = np.unique(met.ravel())
+                met = np.zeros(n, dtype=bool)
+                met[self.order[used[up], n - stop : n - done].ravel()] = True
+                met[self.order[used[~up], done:stop].ravel()] = True
+                fresh = np.flatnonzero(met & ~seen)
             else:
-                fresh = np.arange(n)
-            fresh = fresh[~seen[fresh]]
+                fresh = np.flatnonzero(~seen)
             seen[fresh] = True
             scored += len(fresh)
             fresh = fresh[self.ids[fresh] != own]
             rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, self.scores(fresh, query)])
             if len(rows) > k:
-                keep = np.lexsort((self.ids[rows], -scores))[:k]
+                enough = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+                keep = enough[np.lexsort((self.ids[rows[enough]], -scores[enough]))[:k]]
                 rows, scores = rows[keep], scores[keep]
-            if stop == n:
+            if stop == n or scored == n:
                 break
             at = np.where(up, self.order[used, n - stop], self.order[used, stop - 1])
             bound = sum(int(a) * int(b) for a, b in zip(self.x[at, used], query[used]))
