@@ -27,8 +27,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces packed together in one task.
 GROUP_PIECES = 16_384
-#: Words whose ids a worker remembers, some 60 MB.
-REMEMBERED_WORDS = 400_000
+#: Words of a generation whose ids a worker remembers; two generations take some 70 MB.
+REMEMBERED_WORDS = 200_000
 #: Token bytes handed on at once.
 BATCH_BYTES = 4 << 20
 
@@ -44,7 +44,8 @@ class WordIds(dict):
     """Ids of white-space separated words, as little-endian 32-bit integers, filled as words come up.
 
     Made for tokenizers that drop white space, ignore ASCII case, and separate letters from
-    punctuation: there the ids of a text are those of its words, one after another.
+    punctuation: there the ids of a text are those of its words, one after another. When the table is
+    full it becomes the older generation, from which words still in use come back.
     """
 
     def __init__(self, path: str):
@@ -53,11 +54,16 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        low = word.lower()
         if len(self) >= REMEMBERED_WORDS:
+            self.older = dict(self)
             self.clear()
+        if (ids := self.older.get(word)) is not None:
+            self[word] = ids
+            return ids
+        low = word.lower()
         if b"<|" in word:  # perhaps a special token, whose case counts
             ids = self._encoded(word)
         elif low != word:
