@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cashloom.functions import let, quoted_list
 from cashloom.functions.cycles import month_number
 from cashloom.functions.text import to_date
-from cashloom.operators.lookup import BROADCAST_BYTES, lookup
+from cashloom.operators.lookup import BROADCAST_BYTES, HOT_ROWS, lookup
 from cashloom.sources.market import DATED_KINDS, readable_points
 
 
@@ -48,9 +48,15 @@ def as_of(series: str, date: str) -> str:
 
 
 def asof_join(
-    probes: DataFrame, market: DataFrame, code: str, date: str, value: str, limit: int = BROADCAST_BYTES
+    probes: DataFrame,
+    market: DataFrame,
+    code: str,
+    date: str,
+    value: str,
+    limit: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``probes`` plus the value at ``date`` of the series named by ``code``."""
     table = with_series(market).selectExpr(f"code AS {code}", "series")
-    found = lookup(probes, table, [code], limit)
+    found = lookup(probes, table, [code], limit, hot_rows)
     return found.withColumn(value, F.expr(as_of("series", date))).drop("series")

@@ -109,13 +109,13 @@ def interest_dates(condition: str) -> str:
     UNION ALL SELECT k, md AS d FROM contracts WHERE {condition.replace(' d ', ' md ')}"""
 
 
-def schedule(t0: str, full: bool) -> str:
+def schedule(t0: str, full: bool, resets_only: str = "true") -> str:
     """CTEs up to ``steps``: events in order with the rate a reset observes or fixes."""
     term = "td" if full else "NULL::DATE"
     resets = f"""
     SELECT k, d, 4 AS seq FROM (
       SELECT c.*, ((ied + to_months(6))::DATE + to_months((6 * j)::INT))::DATE AS d
-      FROM contracts c, range(0, 12) AS g(j) WHERE reset_code IS NOT NULL
+      FROM contracts c, range(0, 12) AS g(j) WHERE reset_code IS NOT NULL AND {resets_only}
     ) WHERE d > ied AND d < md""" if full else "SELECT NULL::BIGINT AS k, NULL::DATE AS d, 4 AS seq WHERE false"
     return f"""
 terms AS (
@@ -348,6 +348,47 @@ SELECT o_orderkey, coalesce(text, p || n || u || s) AS cycle,
 FROM judged LEFT JOIN odd_cycles USING (odd)"""
 
 
+def _spoiled(policy: str) -> str:
+    """Status and number of events of every contract with the planted faults."""
+    names = list(FULL_TERMS)
+    raw = CONTRACTS.replace("contracts AS (", "raw AS (", 1)
+    cuts = {"maturity_date": "k % 103 = 0"} | BREAKING if policy == "truncate" else {}
+    cases = " ".join(f"WHEN {test} THEN {names.index(name)}" for name, test in cuts.items())
+    cut = f"CASE {cases} ELSE 99 END" if cuts else "99"
+    broken = " ".join(f"WHEN {test} THEN 'unreadable {name}'" for name, test in cuts.items())
+    unread = (
+        [f"CASE {broken} END"]
+        if cuts
+        else ["CASE WHEN k % 103 = 0 THEN 'unreadable maturity_date' END", "CASE WHEN k % 101 = 0 THEN 'unreadable purchase_price' END"]
+    )
+    faults = [
+        *unread,
+        f"CASE WHEN cut <= {names.index('notional')} THEN 'missing notional' END",
+        "CASE WHEN k % 107 = 0 OR k % 127 = 0 THEN 'unknown interest_cycle' END",
+        "CASE WHEN k % 109 = 0 THEN 'unknown day_count' END",
+        "CASE WHEN k % 113 = 0 THEN 'unknown role' END",
+    ]
+
+    def upto(term: str, value: str) -> str:
+        return f"CASE WHEN cut > {names.index(term)} THEN {value} END"
+
+    return f"""WITH {raw},
+cut_terms AS (SELECT *, {cut} AS cut FROM raw),
+contracts AS (SELECT * REPLACE (
+    CASE WHEN k % 103 <> 0 THEN md END AS md, CASE WHEN k % 107 <> 0 AND k % 127 <> 0 THEN ip_months END AS ip_months,
+    {upto('purchase_date', 'prd')} AS prd, {upto('termination_date', 'td')} AS td,
+    {upto('reset_cycle', "CASE WHEN k % 131 <> 0 OR reset_code IS NOT NULL THEN reset_code END")} AS reset_code,
+    {upto('next_reset_rate', 'next_rate')} AS next_rate) FROM cut_terms),
+{schedule(BEFORE_ALL, True, "(k % 131 <> 0 OR j = 0)")},
+given AS (
+  SELECT n.k, count(*) AS n FROM named n JOIN terms t ON n.k = t.k
+  WHERE md IS NOT NULL AND (bought IS NULL OR bought > coalesce(stop, md) OR n.d > bought OR (n.d = bought AND seq >= 5))
+  GROUP BY n.k)
+SELECT '{policy}' AS policy, contract_id, coalesce(n, 0) AS n_events,
+  coalesce(nullif(concat_ws(', ', {', '.join(faults)}), ''), 'ok') AS contract_status
+FROM contracts LEFT JOIN given USING (k)"""
+
+
 def oracle_sql() -> dict[str, str]:
     spans = "SELECT *, l_shipdate::DATE AS a, (l_shipdate::DATE + (l_orderkey % 2000)::INT)::DATE AS b FROM lineitem"
     fractions = ", ".join(
@@ -425,6 +466,17 @@ SELECT e.scenario AS "riskScenario", c_mktsegment AS portfolio, contract_id AS i
 FROM events e LEFT JOIN customer ON custkey = c_custkey
 LEFT JOIN pieces p ON e.scenario = p.key AND date_diff('day', DATE '{BEFORE_ALL}', d) / 365e0 >= lo
   AND date_diff('day', DATE '{BEFORE_ALL}', d) / 365e0 < hi""",
+        "events_spoiled": f"SELECT * FROM ({_spoiled('keep_good')}) UNION ALL SELECT * FROM ({_spoiled('truncate')})",
+        "events_from_files": event_table(MIDWAY, full=True, market=True),
+        "rf_lookup_large": """WITH probes AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'PRT_1' ELSE 'PRT_' || o_custkey END AS code,
+    (o_orderdate::DATE + to_months(12))::DATE AS date FROM orders),
+rates AS (
+  SELECT 'PRT_' || l_partkey AS code, date_trunc('month', l_shipdate)::DATE AS m,
+    ((2 * sum(round(l_discount * 100)::BIGINT) * 10000 + count(*)) // (2 * count(*)))::BIGINT / 1000000e0 AS v
+  FROM lineitem GROUP BY ALL)
+SELECT way, o_orderkey, p.code, date::VARCHAR AS date, r.v AS rate
+FROM probes p ASOF LEFT JOIN rates r ON p.code = r.code AND p.date >= r.m, (VALUES ('broadcast'), ('merged')) AS ways(way)""",
         "discount_factor": f"""WITH {CONTRACTS}, {MARKET}, {shifts(True)},
 pieces AS ({segments(zero_curve)}),
 ahead AS (SELECT contract_id, md, date_diff('day', DATE '{MIDWAY}', md) / 365e0 AS y FROM contracts WHERE md > DATE '{MIDWAY}')

@@ -19,6 +19,7 @@ from cashloom.operators.lookup import reset_status, scaling_status, with_reset_o
 from cashloom.operators.schedule import event_name, role_sign
 from cashloom.operators.states import event_rows, flat_events, nested_events, unnested
 from cashloom.operators.tokens import token_arrays, token_counts
+from cashloom.plans import job
 from cashloom.plans.pam import discounted, evaluate, event_records
 from cashloom.plans.testdata import (
     BEFORE_ALL,
@@ -28,13 +29,14 @@ from cashloom.plans.testdata import (
     contract_lines,
     market_lines,
     market_table,
+    part_market,
     short_contract_lines,
     table,
 )
 from cashloom.session import configure, new_folder, spread
 from cashloom.sources.analysis_date import first_date, with_analysis_date
 from cashloom.sources.catalog import create_table, drop_table, insert_rows, select_all
-from cashloom.sources.contracts import TRUNCATE, parse_contracts
+from cashloom.sources.contracts import KEEP_GOOD, TRUNCATE, parse_contracts
 from cashloom.sources.layouts import DATE, FULL_LAYOUT, SHORT_LAYOUT, Term
 from cashloom.sources.lines import read_lines
 from cashloom.sources.market import curve_points, dated_points, last_per_code, parse_market
@@ -238,6 +240,21 @@ def rf_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rf_lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate of the part that an order is given, by broadcast and by the join for markets beyond it.
+
+    A third of the orders have one part, a fifth have none.
+    """
+    part = "CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'PRT_1' ELSE concat('PRT_', o_custkey) END"
+    probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
+        "o_orderkey", f"{part} AS code", "add_months(cast(o_orderdate AS date), 12) AS date"
+    )
+    market = part_market(spark, sf_dir)
+    broadcast = asof_join(probes, market, "code", "date", "rate").withColumn("way", F.lit("broadcast"))
+    merged = asof_join(probes, market, "code", "date", "rate", limit=0, hot_rows=500).withColumn("way", F.lit("merged"))
+    return broadcast.unionByName(merged).selectExpr("way", "o_orderkey", "code", f"{date_text('date')} AS date", "rate")
+
+
 def rate_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference rate per order at dates from before the first observation to after the last."""
     probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
@@ -329,6 +346,29 @@ def events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested_table(_floating_nested(spark, sf_dir))
 
 
+def events_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row of status for every line of a file with faults, under both fault policies."""
+
+    def judged(policy: str) -> DataFrame:
+        contracts = parse_contracts(contract_lines(spark, sf_dir, faults=True), FULL_LAYOUT, on_error=policy)
+        counted = states.event_counts(evaluate(contracts, BEFORE_ALL), keep=("contract_status",))
+        return counted.withColumn("policy", F.lit(policy))
+
+    return judged(KEEP_GOOD).unionByName(judged(TRUNCATE))
+
+
+def events_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts, market data and analysis date through files, and the events out of one."""
+    paths = {name: new_folder(spark, name) for name in ("contracts", "market", "date", "events", "statuses")}
+    contract_lines(spark, sf_dir).write.text(paths["contracts"])
+    market_lines(spark, sf_dir).orderBy("place").select("value").write.text(paths["market"])
+    days = table(spark, sf_dir, "orders").selectExpr(f"concat({quoted(MIDWAY)}, 'T00;', max(o_orderkey)) AS value")
+    days.write.text(paths["date"])
+    job.events_from_files(spark, **paths)
+    events = spark.read.parquet(paths["events"]).withColumnRenamed("id", "contract_id")
+    return events.selectExpr("contract_id", "date", "type", "currency", *_money("value", "nominal", "accrued"))
+
+
 def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event of every contract in every scenario, with portfolio and discount factor."""
     contracts = _full_contracts(spark, sf_dir, portfolio=True)
@@ -432,6 +472,7 @@ ALL = [
     rf_lookup_reset,
     rf_lookup_scaling,
     rf_status,
+    rf_lookup_large,
     rate_asof,
     curve_interpolate,
     pam_schedule,
@@ -443,6 +484,8 @@ ALL = [
     event_counts,
     events_nested,
     events_flat,
+    events_spoiled,
+    events_from_files,
     discount_factor,
     events_text_lines,
     csv_append_roundtrip,

@@ -37,11 +37,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def contract_terms(spoiled: bool = False) -> dict[str, str]:
+# Texts planted in the lines with faults: term, every how many contracts, text.
+FAULTS = [
+    ("maturity_date", 103, "2016-13-01"),
+    ("interest_cycle", 107, "quarterly"),
+    ("interest_cycle", 127, "3 X -"),
+    ("day_count", 109, "ACT/360"),
+    ("role", 113, "BUY"),
+    ("reset_cycle", 131, "200000000M"),
+]
+
+
+def contract_terms(spoiled: bool = False, faults: bool = False) -> dict[str, str]:
     """Each term as the text of a contract line, null where the term is absent.
 
-    ``spoiled`` plants an unreadable purchase price in every 101st contract.
+    ``spoiled`` plants an unreadable purchase price in every 101st contract, ``faults`` the texts of
+    ``FAULTS`` as well.
     """
+    terms = _plain_terms(spoiled or faults)
+    for term, every, text in FAULTS if faults else []:
+        terms[term] = f"if(o_orderkey % {every} = 0, {quoted(text)}, {terms[term]})"
+    return terms
+
+
+def _plain_terms(spoiled: bool) -> dict[str, str]:
     k, priority, start = "o_orderkey", "left(o_orderpriority, 1)", "cast(o_orderdate AS date)"
     resets = f"({k} % 17 = 0 OR {k} % 2 = 1)"
     price = f"if({k} % 11 = 0, cast(0.99D * o_totalprice AS string), NULL)"
@@ -103,6 +122,7 @@ def contract_lines(
     layout: Sequence[Term] = FULL_LAYOUT,
     spoiled: bool = False,
     portfolio: bool = False,
+    faults: bool = False,
 ) -> DataFrame:
     """Contract lines as ``value``, on request with the customer's segment as ``portfolio``."""
     orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
@@ -111,7 +131,7 @@ def contract_lines(
         customer = table(spark, sf_dir, "customer")
         orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         kept = ["c_mktsegment AS portfolio"]
-    return orders.selectExpr(f"{rendered(contract_terms(spoiled), layout)} AS value", *kept)
+    return orders.selectExpr(f"{rendered(contract_terms(spoiled, faults), layout)} AS value", *kept)
 
 
 def short_contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,3 +209,22 @@ def market_table(spark: SparkSession, sf_dir: str, scenarios: bool = False) -> D
     """One row per market object, kept in shared storage: it is small and read more than once."""
     market = last_per_code(parse_market(market_lines(spark, sf_dir)))
     return materialised(in_scenarios(market, SHIFTS) if scenarios else market)
+
+
+def part_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reference rate for every part: its average discount by ship month, in millionths.
+
+    As many objects as parts, each with at most a point for every calendar month.
+    """
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey", "trunc(cast(l_shipdate AS date), 'MM') AS month", "cast(round(l_discount * 100) AS bigint) AS discount"
+    )
+    months = items.groupBy("l_partkey", "month").agg(F.count("*").alias("n"), F.sum("discount").alias("discount"))
+    rates = months.selectExpr("l_partkey", "month", f"(2 * discount * {MICRO // 100} + n) div (2 * n) AS micros")
+    series = rates.groupBy("l_partkey").agg(F.sort_array(F.collect_list(F.struct("month", "micros"))).alias("m"))
+    return series.selectExpr(
+        "concat('PRT_', l_partkey) AS code",
+        f"{quoted(REFERENCE_RATE)} AS kind",
+        "transform(m, p -> concat(cast(p.month AS string), 'T00')) AS points",
+        f"transform(m, p -> p.micros / {MICRO}) AS values",
+    )

@@ -9,7 +9,7 @@ import pytest
 from evaluator import add_months, events
 from pyspark.sql import functions as F
 
-from cashloom.operators.states import event_rows, flat_events, nested_events, unnested
+from cashloom.operators.states import event_counts, event_rows, flat_events, nested_events, unnested
 from cashloom.plans.pam import evaluate
 from cashloom.plans.testdata import contract_lines, market_table, rendered
 from cashloom.sources.contracts import parse_contracts
@@ -208,7 +208,38 @@ def test_unreadable_terms(spark):
     row = contracts.select("purchase_price", "maturity_date", "notional", "term_errors").first()
     assert tuple(row) == (None, None, 1000.0, ["maturity_date", "purchase_price"])
     assert flat_events(evaluate(contracts, T0)).count() == 0
-    assert nested_events(evaluate(contracts, T0)).first()["id"] == []
+    evaluated = evaluate(contracts, T0)
+    assert nested_events(evaluated).first()["id"] == []
+    assert evaluated.first()["contract_status"] == "unreadable maturity_date, unreadable purchase_price"
+
+
+@pytest.mark.parametrize(
+    ("terms", "status"),
+    [
+        ({}, "ok"),
+        ({"role": "BUY"}, "unknown role"),
+        ({"day_count": "ACT/360"}, "unknown day_count"),
+        ({"day_count": "NULL"}, "unknown day_count"),
+        ({"interest_cycle": "quarterly"}, "unknown interest_cycle"),
+        ({"interest_cycle": "NULL"}, "ok"),
+        ({"reset_cycle": "3 X -", "role": "NULL"}, "unknown reset_cycle, unknown role"),
+        ({"maturity_date": "NULL", "notional": "x"}, "unreadable notional, missing maturity_date"),
+        ({"maturity_date": "2014-01-01"}, "matures before its exchange"),
+    ],
+)
+def test_contract_status_comes_with_the_events(spark, terms, status):
+    evaluated = evaluate(parse_contracts(lines_from(spark, [line(**terms)])), T0)
+    assert evaluated.first()["contract_status"] == status
+    assert event_counts(evaluated, keep=("contract_status",)).first()["contract_status"] == status
+    assert {r["contract_status"] for r in flat_events(evaluated, keep=("contract_status",)).collect()} <= {status}
+
+
+def test_unreadable_market_objects(spark):
+    market = ["REF;x;ReferenceRate;2015-05-01T00!bad;0.06!0.24", "CRV;x;TermStructure;6M!1Y;0.05"]
+    table = last_per_code(parse_market(lines_from(spark, market)))
+    terms = {"reset_anchor": "2015-06-01", "reset_cycle": "1Q-", "rate_term": "6M"}
+    contracts = parse_contracts(lines_from(spark, [line(**terms, reset_code=c) for c in ("REF", "CRV")]))
+    assert {r["reset_status"] for r in evaluate(contracts, T0, table).collect()} == {"unreadable"}
 
 
 def random_contract(rng: random.Random, number: int) -> dict:
@@ -231,7 +262,7 @@ def random_contract(rng: random.Random, number: int) -> dict:
         "interest_cycle": some(rng.choice(cycles), 0.9),
         "interest_anchor": some(start + timedelta(rng.randrange(-40, 200))),
         "reset_code": some(rng.choice(["REF", "NOWHERE"]), 0.8),
-        "reset_cycle": some(rng.choice(cycles), 0.8),
+        "reset_cycle": some(rng.choice([*cycles, "1D", "2D"]), 0.8),
         "reset_anchor": some(start + timedelta(rng.randrange(-40, 200))),
         "next_reset_rate": some(0.03),
         "rate_spread": some(0.01),

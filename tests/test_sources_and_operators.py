@@ -16,9 +16,10 @@ from cashloom.functions.text import split_trimmed, to_date, to_double
 from cashloom.operators.asof import asof_join
 from cashloom.operators.curve import interpolate
 from cashloom.operators.hits import hit_ratio, random_points
-from cashloom.operators.lookup import fits_broadcast, with_reset_object
+from cashloom.operators.lookup import fits_broadcast, lookup, with_reset_object
 from cashloom.operators.states import flat_events
 from cashloom.operators.tokens import token_arrays, token_counts, token_rows
+from cashloom.plans.job import EVENT_SCHEMA, declared
 from cashloom.plans.pam import evaluate, event_records
 from cashloom.plans.testdata import BEFORE_ALL, DISCOUNT_CURVE, SHIFTS, contract_lines, market_table
 from cashloom.sources.analysis_date import first_date, with_analysis_date
@@ -246,6 +247,49 @@ def test_large_market_gives_the_same_events(spark, small):
     assert sorted(map(str, large)) == sorted(map(str, broadcast)) and len(large) > 3000
 
 
+def test_rows_without_a_key_stay_where_they_are(spark, small):
+    """Beyond the broadcast bound: hot keys in several groups, rows without a key in no join."""
+    rows = spark.range(0, 5000, 1, 4).selectExpr("id", "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 3 = 0 THEN 'HOT' ELSE concat('K', id % 50) END AS code")
+    table = spark.range(40).selectExpr("concat('K', id) AS code", "id AS v").unionByName(spark.sql("SELECT 'HOT' AS code, 99L AS v"))
+    merged = lookup(rows, table, ["code"], limit=0, hot_rows=100)
+    assert merged.columns == ["code", "id", "v"] or set(merged.columns) == {"id", "code", "v"}
+    plain = lookup(rows, table, ["code"])
+    key = lambda r: (r["id"], str(r["code"]), str(r["v"]))
+    assert sorted(map(key, merged.collect())) == sorted(map(key, plain.collect()))
+    plan = plan_of(merged)
+    branch = plan[plan.rindex("Exchange") :]  # the rows without a key come last, after the last exchange
+    assert "isnull(CASE" in branch and "isnull(CASE" not in plan[: plan.rindex("Exchange")]
+
+
+def test_scenarios_must_be_known(spark):
+    contracts = parse_contracts(lines_from(spark, [contract_line(FULL_LAYOUT, contract_id="C")]))
+    market = last_per_code(parse_market(lines_from(spark, MARKET)))
+    with pytest.raises(ValueError, match="without scenarios"):
+        evaluate(contracts, BEFORE_ALL, market, ["up"])
+    shifted = in_scenarios(market, {"base": 0.0, "up": 1.0})
+    with pytest.raises(Exception, match="no market data for scenario sideways"):
+        evaluate(contracts, BEFORE_ALL, shifted, ["up", "sideways"]).collect()
+
+
+def test_event_records_of_a_plain_market(spark, small):
+    market = market_table(spark, small)
+    contracts = parse_contracts(contract_lines(spark, small, portfolio=True), FULL_LAYOUT, keep=["portfolio"])
+    records = event_records(evaluate(contracts, BEFORE_ALL, market), market, DISCOUNT_CURVE)
+    assert {r[0] for r in records.select("riskScenario").distinct().collect()} == {"base"}
+    assert records.where("discount IS NULL").count() == 0
+    assert "NestedLoop" not in plan_of(records)
+
+
+def test_declared_schema_is_asserted(spark):
+    rows = spark.sql("SELECT 'C' AS id, '2015-01-01' AS date, 'IP' AS type, 'EUR' AS currency, 1D AS value, 2D AS nominal, 3D AS accrued, 4 AS other")
+    out = declared(rows, EVENT_SCHEMA)
+    assert out.schema == EVENT_SCHEMA and out.count() == 1
+    with pytest.raises(Exception, match="value is null"):
+        declared(rows.withColumn("value", F.lit(None).cast("double")), EVENT_SCHEMA).collect()
+    with pytest.raises(PySparkException):
+        declared(rows.drop("value"), EVENT_SCHEMA)
+
+
 def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
@@ -286,7 +330,7 @@ def test_analysis_date(spark):
     dated = first_date(lines_from(spark, ["2015-04-01T00;x", "1999-01-01"]))
     for t0 in ("2015-04-01T00", dated):
         assert with_analysis_date(contracts, t0).first()["t0"].isoformat() == "2015-04-01"
-    for wrong in ("tomorrow", first_date(lines_from(spark, ["tomorrow;x"]))):
+    for wrong in ("tomorrow", first_date(lines_from(spark, ["tomorrow;x"])), first_date(lines_from(spark, ["x"]).limit(0))):
         with pytest.raises(Exception, match="not an analysis date"):
             with_analysis_date(contracts, wrong).collect()
 
