@@ -40,6 +40,23 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letters that byte-level models write bytes as: visible ones as they are, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 256 + n for n, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = _byte_letters()
+#: If these words come out alike with and without the steps before the model, all such words do.
+PLAIN_PROBES = ("a", "the", "thereining", "über", "çané", "ñoñez", "straße", "łódź")
+
+
+def _is_plain(word: str) -> bool:
+    """Lower-case letters of the Latin blocks only: no step before the model changes or splits them."""
+    return word.isalpha() and word == word.lower() and max(word) < "\u0250"
+
+
 class WordIds(dict):
     """Ids of white-space separated words, as little-endian 32-bit integers, filled as words come up.
 
@@ -54,7 +71,9 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
+        self.plain = all(self._of_letters(w) == self._encoded(w) for w in map(str.encode, PLAIN_PROBES))
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= REMEMBERED_WORDS:
@@ -70,11 +89,18 @@ class WordIds(dict):
             ids = self[low]
         elif len(word) > 1 and word[-1] in b".," and word[-2:-1].isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
+        elif self.plain and _is_plain(word.decode()):
+            ids = self._of_letters(word)
         else:
             ids = self._encoded(word)
         self[word] = ids
         return ids
 
+    def _of_letters(self, word: bytes) -> bytes:
+        """By the model alone: lower-case Latin letters are one token text as they are, byte by byte."""
+        ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(BYTE_LETTERS))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _encoded(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
