@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashloom.llm.components import components
-from cashloom.llm.storage import stored
+from cashloom.llm.storage import WORD, stored
 from cashloom.llm.vantage import Tree, close_groups, grow, route
 
 SHINGLE_WORDS = 3
@@ -29,6 +29,11 @@ SAMPLE_PRINTS = 20_000
 LEAF_PRINTS = 2_000
 #: A leaf of more is compared in tiles of pairs of its parts, each part of about this many.
 TILE_PRINTS = 8_000
+#: For documents that are to be similar in truth: bits that candidates differ in at most, words of the
+#: shingles and Jaccard similarity that decide, and candidates compared in one task.
+WIDE_REACH, VERIFIED_WORDS, SIMILARITY, VERIFIED_TOGETHER = 11, 5, 0.8, 500
+#: Similar documents have numbers of words that differ by no more than this factor.
+SIZE_RATIO = 1.25
 #: Shingle hashes whose bits are counted at once.
 BLOCK_HASHES = 1 << 16
 
@@ -93,17 +98,11 @@ def close_links(
             yield pd.DataFrame({"fingerprint": batch["fingerprint"].to_numpy(np.int64)[index], "leaf": leaves})
 
     visited = stored(prints.select("fingerprint").mapInPandas(visits, "fingerprint long, leaf long"), "visits")
-    sizes = visited.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts")).where("parts > 1")
-    cut = {r["leaf"]: r["parts"] for r in sizes.collect()}  # at most one for each leaf of the sampled tree
-    parts = F.lit(1)
-    if cut:
-        many = F.create_map(*[F.lit(x) for pair in cut.items() for x in pair])
-        parts = F.coalesce(many[F.col("leaf")], F.lit(1))
-    dealt = visited.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tiles = dealt.select("fingerprint", "leaf", "part", other.alias("other")).select(
-        "fingerprint", "leaf", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
-    )
+    return _linked_in_tiles(visited, reach, tile)
+
+
+def _linked_in_tiles(visited: DataFrame, reach: int, tile: int) -> DataFrame:
+    """Links (a, b) that connect the close fingerprints of each ``leaf`` of ``visited``, a stored table."""
 
     def linked(group: pd.DataFrame) -> pd.DataFrame:
         values = np.unique(group["fingerprint"].to_numpy(np.int64))
@@ -111,7 +110,54 @@ def close_links(
         moved = np.flatnonzero(roots != np.arange(len(values)))
         return pd.DataFrame({"a": values[moved], "b": values[roots[moved]]})
 
-    return tiles.groupBy("leaf", "low", "high").applyInPandas(linked, "a long, b long")
+    return _tiles(visited, "leaf", tile).groupBy("leaf", "low", "high").applyInPandas(linked, "a long, b long")
+
+
+def _tiles(rows: DataFrame, group: str, size: int) -> DataFrame:
+    """``rows`` with ``low`` and ``high``: a group of over ``size`` in parts, and each pair of parts a tile.
+
+    Rows are dealt by their ``fingerprint``; a row of a group of n parts is in n tiles.
+    """
+    sizes = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("parts")).where("parts > 1")
+    dealt = rows.join(sizes, group, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    tiled = dealt.withColumn("part", part).withColumn("other", every)
+    return tiled.select(*rows.columns, F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The different shingle hashes of a text, sorted."""
+    found = text.lower().split()
+    shingles = {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, HASH_SEED) for x in shingles), np.uint64, len(shingles)))
+
+
+def verified_links(candidates: DataFrame, reach: int, words: int, similarity: float, tile: int = VERIFIED_TOGETHER) -> DataFrame:
+    """Links (a, b) that connect the ``candidates`` (group, fingerprint, text) that are really similar.
+
+    Those within ``reach`` bits of each other in a group are compared by the Jaccard similarity of their
+    shingles, unless they are connected already.
+    """
+
+    def compared(group: pa.Table) -> pa.Table:
+        prints = group.column("fingerprint").to_numpy().astype(np.int64)
+        values = prints.view(np.uint64)
+        sets = [shingle_set(t.as_py(), words) for t in group.column("text")]
+        label, links = np.arange(len(values)), []
+        close = np.bitwise_count(values[:, None] ^ values[None, :]) <= reach
+        for i in range(len(values)):
+            for j in np.flatnonzero(close[i]):
+                if j <= i or label[i] == label[j]:
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                    label[label == label[j]] = label[i]
+                    links.append((prints[i], prints[j]))
+        a, b = (pa.array([x[k] for x in links], pa.int64()) for k in (0, 1))
+        return pa.table({"a": a, "b": b})
+
+    return _tiles(candidates, "group", tile).groupBy("group", "low", "high").applyInArrow(compared, "a long, b long")
 
 
 def near_duplicates(
@@ -137,22 +183,59 @@ def near_duplicates(
     return hashed.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "row")
 
 
-def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each component.
+def distinct_documents(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    reach: int = REACH,
+    wide_reach: int = WIDE_REACH,
+    words: int = VERIFIED_WORDS,
+    similarity: float = SIMILARITY,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one document of each group.
+
+    Documents are linked within ``reach`` bits, by the tree. Then one document of each group so far is
+    compared with those of other groups within ``wide_reach`` bits and of about its size, and linked if
+    the Jaccard similarity of their shingles is ``similarity`` or more. So far apart triangle bounds no
+    longer prune, and documents are kept apart by their size instead.
 
-    The smallest doc_id of a component stays, null last; a document is its id and text, so that repeated
+    The smallest doc_id of a group stays, null last; a document is its id and text, so that repeated
     rows stay or go together. Only the ones that go are brought to the rows.
     """
     columns = docs.columns
-    key = F.xxhash64(F.coalesce(text, F.lit(""))).alias("key")
-    source = docs.select(F.col(doc_id).alias("doc_id"), key, F.col(text).alias("text"))
-    hashed = stored(with_fingerprints(source, options.pop("words", SHINGLE_WORDS), "text", ("doc_id", "key")), "fingerprints")
+    value = F.coalesce(text, F.lit(""))
+    key = F.xxhash64(value)
+    source = docs.select(
+        F.col(doc_id).alias("doc_id"), key.alias("key"), F.regexp_count(value, F.lit(WORD)).alias("size"), value.alias("text")
+    )
+    hashed = stored(with_fingerprints(source, SHINGLE_WORDS, "text", ("doc_id", "key", "size")), "fingerprints")
     prints = stored(hashed.select("fingerprint").distinct(), "different-fingerprints")
-    groups = components(close_links(prints, **options)).withColumnRenamed("node", "fingerprint")
-    rooted = hashed.join(groups, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    near = stored(close_links(prints, reach), "near-links")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "size", "fingerprint"))
+    heads = _rooted(hashed, components(near)).groupBy("root").agg(first.alias("first"))
+    heads = stored(heads.select("first.doc_id", "first.key", "first.size", "first.fingerprint"), "heads")
+
+    band = F.floor(F.ln(F.col("size") + 1.0) / F.ln(F.lit(SIZE_RATIO)))
+    banded = heads.select("fingerprint", F.explode(F.array(band, band + 1)).alias("leaf"))
+    wide = components(_linked_in_tiles(stored(banded, "bands"), wide_reach, TILE_PRINTS))
+    wide = wide.select(F.col("node").alias("fingerprint"), F.col("root").alias("group"))
+    asked = heads.join(wide, "fingerprint").select(F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"), "fingerprint", "group")
+    asked = stored(asked, "candidates")
+    is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
+    texts = source.join(asked, is_head).select("group", "fingerprint", F.encode("text", "UTF-8").alias("text"))
+    candidates = stored(texts.dropDuplicates(["group", "fingerprint"]), "candidate-texts")
+    similar = verified_links(candidates, wide_reach, words, similarity)
+
+    rooted = _rooted(hashed, components(near.unionByName(similar)))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     firsts = rooted.groupBy("root").agg(F.min(order).alias("first"))
     going = rooted.join(firsts, "root").where(order != F.col("first"))
     going = stored(going.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct(), "near-copies")
     is_gone = F.col(doc_id).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key"))
     return docs.join(going, is_gone, "left_anti").select(*columns)
+
+
+def _rooted(hashed: DataFrame, groups: DataFrame) -> DataFrame:
+    """``hashed`` with the ``root`` of its fingerprint's group, itself if it is alone."""
+    named = groups.withColumnRenamed("node", "fingerprint")
+    return hashed.join(named, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
