@@ -35,6 +35,15 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
     return pairs.where("a <> b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none: then the links are the result."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.where("out > 1 OR (out = 1 AND into = 1)").limit(1).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node it is linked with) of every node in ``links`` (a, b).
 
@@ -43,12 +52,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     first = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, path = _written(first, None)
-    mark = None
-    while True:
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if state["n"] == 0 or (state["n"], state["s"]) == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
-        mark = state["n"], state["s"]
+    while not _settled(now):
         now, path = _written(_stars(_stars(now, large=True), large=False), path)
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashloom.llm.components import components
-from cashloom.llm.storage import WORD, stored
+from cashloom.llm.storage import hash_sample, stored
 from cashloom.llm.vantage import Tree, close_groups, grow, route
 
 SHINGLE_WORDS = 3
@@ -31,9 +31,7 @@ LEAF_PRINTS = 2_000
 TILE_PRINTS = 8_000
 #: For documents that are to be similar in truth: bits that candidates differ in at most, words of the
 #: shingles and Jaccard similarity that decide, and candidates compared in one task.
-WIDE_REACH, VERIFIED_WORDS, SIMILARITY, VERIFIED_TOGETHER = 11, 5, 0.8, 500
-#: Similar documents have numbers of words that differ by no more than this factor.
-SIZE_RATIO = 1.25
+WIDE_REACH, VERIFIED_WORDS, SIMILARITY, VERIFIED_TOGETHER = 6, 5, 0.8, 500
 #: Shingle hashes whose bits are counted at once.
 BLOCK_HASHES = 1 << 16
 
@@ -71,8 +69,9 @@ def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, text: str = "
 
 
 def sampled_tree(prints: DataFrame, count: int, sample: int = SAMPLE_PRINTS, leaf: int = LEAF_PRINTS) -> Tree:
-    """A tree grown from the ``sample`` fingerprints of the smallest hashes; its bound is ``sample``."""
-    rows = prints.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
+    """A tree grown from ``sample`` of the ``count`` fingerprints at most, taken by their hash."""
+    some = hash_sample(prints.select("fingerprint"), ["fingerprint"], count, sample)
+    rows = some.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
     taken = np.array([r["fingerprint"] for r in rows], dtype=np.int64).view(np.uint64)
     return grow(taken, leaf * len(taken) // max(1, count))
 
@@ -194,10 +193,9 @@ def distinct_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each group.
 
-    Documents are linked within ``reach`` bits, by the tree. Then one document of each group so far is
-    compared with those of other groups within ``wide_reach`` bits and of about its size, and linked if
-    the Jaccard similarity of their shingles is ``similarity`` or more. So far apart triangle bounds no
-    longer prune, and documents are kept apart by their size instead.
+    Documents within ``reach`` bits are linked. Then one document of each group so far is compared with
+    those of other groups within ``wide_reach`` bits, found by a tree too, and linked if the Jaccard
+    similarity of their shingles is ``similarity`` or more.
 
     The smallest doc_id of a group stays, null last; a document is its id and text, so that repeated
     rows stay or go together. Only the ones that go are brought to the rows.
@@ -205,19 +203,14 @@ def distinct_documents(
     columns = docs.columns
     value = F.coalesce(text, F.lit(""))
     key = F.xxhash64(value)
-    source = docs.select(
-        F.col(doc_id).alias("doc_id"), key.alias("key"), F.regexp_count(value, F.lit(WORD)).alias("size"), value.alias("text")
-    )
-    hashed = stored(with_fingerprints(source, SHINGLE_WORDS, "text", ("doc_id", "key", "size")), "fingerprints")
+    source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), value.alias("text"))
+    hashed = stored(with_fingerprints(source, SHINGLE_WORDS, "text", ("doc_id", "key")), "fingerprints")
     prints = stored(hashed.select("fingerprint").distinct(), "different-fingerprints")
-    near = stored(close_links(prints, reach), "near-links")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "size", "fingerprint"))
-    heads = _rooted(hashed, components(near)).groupBy("root").agg(first.alias("first"))
-    heads = stored(heads.select("first.doc_id", "first.key", "first.size", "first.fingerprint"), "heads")
-
-    band = F.floor(F.ln(F.col("size") + 1.0) / F.ln(F.lit(SIZE_RATIO)))
-    banded = heads.select("fingerprint", F.explode(F.array(band, band + 1)).alias("leaf"))
-    wide = components(_linked_in_tiles(stored(banded, "bands"), wide_reach, TILE_PRINTS))
+    near = stored(components(close_links(prints, reach)), "near-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "fingerprint"))
+    heads = _rooted(hashed, near).groupBy("root").agg(first.alias("first"))
+    heads = stored(heads.select("first.doc_id", "first.key", "first.fingerprint"), "heads")
+    wide = components(close_links(heads.select("fingerprint"), wide_reach))
     wide = wide.select(F.col("node").alias("fingerprint"), F.col("root").alias("group"))
     asked = heads.join(wide, "fingerprint").select(F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"), "fingerprint", "group")
     asked = stored(asked, "candidates")
@@ -226,7 +219,8 @@ def distinct_documents(
     candidates = stored(texts.dropDuplicates(["group", "fingerprint"]), "candidate-texts")
     similar = verified_links(candidates, wide_reach, words, similarity)
 
-    rooted = _rooted(hashed, components(near.unionByName(similar)))
+    links = near.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(similar)
+    rooted = _rooted(hashed, components(links))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     firsts = rooted.groupBy("root").agg(F.min(order).alias("first"))
     going = rooted.join(firsts, "root").where(order != F.col("first"))

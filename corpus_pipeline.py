@@ -1,4 +1,11 @@
-"""From raw documents to packed sequences: the stages of a corpus, each written before the next begins."""
+"""From raw documents to packed sequences: the stages of a corpus, each written before the next begins.
+
+Every stage but the last returns rows of the documents with the columns it was given, whatever those are
+named. Defined results: a null or empty text, or one without a letter, goes in the first stage; of
+equal texts one row stays, and of near copies one document; a null source is a source of its own; a
+null id is carried along, and sorts last where the smallest id stays; texts of any length are read
+whole; every stage makes an empty table of an empty one.
+"""
 
 from __future__ import annotations
 

@@ -15,7 +15,7 @@ from cashloom.llm.url_filter import judged, with_rules
 @pytest.fixture
 def pages(spark):
     def made(urls):
-        return spark.createDataFrame([(i, u, 0, "x") for i, u in enumerate(urls)], "page_id long, url string, gram int, score string").select("page_id", "url")
+        return spark.createDataFrame([(i, u, 0, "x") for i, u in enumerate(urls)], "page_id long, url string, gram int, score string")
 
     return made
 
