@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 #: The white space of the text contracts: blank, and tab to carriage return.
@@ -49,3 +50,13 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = new_path(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def hash_sample(frame: DataFrame, columns: list[str], count: int, size: int) -> DataFrame:
+    """About ``size`` of the ``count`` rows, by the hash of ``columns``: the same rows in every run.
+
+    Tasks leave out the others, so that a limit above doesn't bring ``size`` rows of each to the driver.
+    """
+    if count <= size:
+        return frame
+    return frame.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < -(-(size << 40) // count))

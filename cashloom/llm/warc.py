@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashloom.llm.storage import drop_path, new_path, stored
+from cashloom.llm.storage import drop_path, hash_sample, new_path, stored
 
 #: Payload bytes of a shard, before compression; compressed bytes after which a file is full.
 SHARD_BYTES, ROLL_BYTES = 32 << 20, 64 << 20
@@ -125,9 +125,11 @@ class Archive:
         return self.name, self.temporary, self.shard, self.records, self.bytes, self.sha1.hexdigest()
 
 
-def _bounds(keys: DataFrame, shards: int) -> list[tuple[int, int]]:
-    """Keys at which a new shard starts, from the sampled ones with the lowest hashes."""
-    rows = keys.orderBy(F.xxhash64("page_key", "tie"), "page_key", "tie").limit(SAMPLE_KEYS).collect()
+def _bounds(keys: DataFrame, count: int, shards: int) -> list[tuple[int, int]]:
+    """Keys at which a new shard starts, from those sampled by their hash; a repeated key with the bytes of all its rows."""
+    some = hash_sample(keys, ["page_key", "tie"], count, SAMPLE_KEYS)
+    some = some.groupBy("page_key", "tie").agg(F.sum("payload_bytes").alias("payload_bytes"))
+    rows = some.orderBy(F.xxhash64("page_key", "tie"), "page_key", "tie").limit(SAMPLE_KEYS).collect()
     rows = sorted((r["page_key"], r["tie"], r["payload_bytes"]) for r in rows)
     ends = np.cumsum([r[2] + 1 for r in rows])
     wanted = [ends[-1] * k / shards for k in range(1, shards)] if rows else []
@@ -162,8 +164,8 @@ def write_archives(
         F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("n")
     )
     groups = groups.where((F.col("n") > 1) & (F.col("b") >= least_bytes))
-    total = light.agg(F.sum("payload_bytes")).first()[0] or 0
-    bounds = _bounds(light, max(1, -(-total // shard_bytes)))
+    count, total = light.agg(F.count(F.lit(1)), F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()
+    bounds = _bounds(light, count, max(1, -(-total // shard_bytes)))
 
     @F.pandas_udf("int")
     def shard_of(page_key: pd.Series, tie: pd.Series) -> pd.Series:
