@@ -29,9 +29,6 @@ SAMPLE_PRINTS = 20_000
 LEAF_PRINTS = 2_000
 #: A leaf of more is compared in tiles of pairs of its parts, each part of about this many.
 TILE_PRINTS = 8_000
-#: For documents that are to be similar in truth: bits that candidates differ in at most, words of the
-#: shingles and Jaccard similarity that decide, and candidates compared in one task.
-WIDE_REACH, VERIFIED_WORDS, SIMILARITY, VERIFIED_TOGETHER = 6, 5, 0.8, 500
 #: Shingle hashes whose bits are counted at once.
 BLOCK_HASHES = 1 << 16
 
@@ -125,40 +122,6 @@ def _tiles(rows: DataFrame, group: str, size: int) -> DataFrame:
     return tiled.select(*rows.columns, F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The different shingle hashes of a text, sorted."""
-    found = text.lower().split()
-    shingles = {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, HASH_SEED) for x in shingles), np.uint64, len(shingles)))
-
-
-def verified_links(candidates: DataFrame, reach: int, words: int, similarity: float, tile: int = VERIFIED_TOGETHER) -> DataFrame:
-    """Links (a, b) that connect the ``candidates`` (group, fingerprint, text) that are really similar.
-
-    Those within ``reach`` bits of each other in a group are compared by the Jaccard similarity of their
-    shingles, unless they are connected already.
-    """
-
-    def compared(group: pa.Table) -> pa.Table:
-        prints = group.column("fingerprint").to_numpy().astype(np.int64)
-        values = prints.view(np.uint64)
-        sets = [shingle_set(t.as_py(), words) for t in group.column("text")]
-        label, links = np.arange(len(values)), []
-        close = np.bitwise_count(values[:, None] ^ values[None, :]) <= reach
-        for i in range(len(values)):
-            for j in np.flatnonzero(close[i]):
-                if j <= i or label[i] == label[j]:
-                    continue
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
-                    label[label == label[j]] = label[i]
-                    links.append((prints[i], prints[j]))
-        a, b = (pa.array([x[k] for x in links], pa.int64()) for k in (0, 1))
-        return pa.table({"a": a, "b": b})
-
-    return _tiles(candidates, "group", tile).groupBy("group", "low", "high").applyInArrow(compared, "a long, b long")
-
-
 def near_duplicates(
     docs: DataFrame,
     words: int = SHINGLE_WORDS,
@@ -182,54 +145,22 @@ def near_duplicates(
     return hashed.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "row")
 
 
-def distinct_documents(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    reach: int = REACH,
-    wide_reach: int = WIDE_REACH,
-    words: int = VERIFIED_WORDS,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group.
+def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one document of each component.
 
-    Documents within ``reach`` bits are linked. Then one document of each group so far is compared with
-    those of other groups within ``wide_reach`` bits, found by a tree too, and linked if the Jaccard
-    similarity of their shingles is ``similarity`` or more.
-
-    The smallest doc_id of a group stays, null last; a document is its id and text, so that repeated
+    The smallest doc_id of a component stays, null last; a document is its id and text, so that repeated
     rows stay or go together. Only the ones that go are brought to the rows.
     """
     columns = docs.columns
-    value = F.coalesce(text, F.lit(""))
-    key = F.xxhash64(value)
-    source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), value.alias("text"))
-    hashed = stored(with_fingerprints(source, SHINGLE_WORDS, "text", ("doc_id", "key")), "fingerprints")
+    key = F.xxhash64(F.coalesce(text, F.lit("")))
+    source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
+    hashed = stored(with_fingerprints(source, options.pop("words", SHINGLE_WORDS), "text", ("doc_id", "key")), "fingerprints")
     prints = stored(hashed.select("fingerprint").distinct(), "different-fingerprints")
-    near = stored(components(close_links(prints, reach)), "near-groups")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "fingerprint"))
-    heads = _rooted(hashed, near).groupBy("root").agg(first.alias("first"))
-    heads = stored(heads.select("first.doc_id", "first.key", "first.fingerprint"), "heads")
-    wide = components(close_links(heads.select("fingerprint"), wide_reach))
-    wide = wide.select(F.col("node").alias("fingerprint"), F.col("root").alias("group"))
-    asked = heads.join(wide, "fingerprint").select(F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"), "fingerprint", "group")
-    asked = stored(asked, "candidates")
-    is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
-    texts = source.join(asked, is_head).select("group", "fingerprint", F.encode("text", "UTF-8").alias("text"))
-    candidates = stored(texts.dropDuplicates(["group", "fingerprint"]), "candidate-texts")
-    similar = verified_links(candidates, wide_reach, words, similarity)
-
-    links = near.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(similar)
-    rooted = _rooted(hashed, components(links))
+    groups = components(close_links(prints, **options)).withColumnRenamed("node", "fingerprint")
+    rooted = hashed.join(groups, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     firsts = rooted.groupBy("root").agg(F.min(order).alias("first"))
     going = rooted.join(firsts, "root").where(order != F.col("first"))
     going = stored(going.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct(), "near-copies")
     is_gone = F.col(doc_id).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key"))
     return docs.join(going, is_gone, "left_anti").select(*columns)
-
-
-def _rooted(hashed: DataFrame, groups: DataFrame) -> DataFrame:
-    """``hashed`` with the ``root`` of its fingerprint's group, itself if it is alone."""
-    named = groups.withColumnRenamed("node", "fingerprint")
-    return hashed.join(named, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
