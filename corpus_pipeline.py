@@ -1,10 +1,12 @@
 """From raw documents to packed sequences: the stages of a corpus, each written before the next begins.
 
 Every stage but the last returns rows of the documents with the columns it was given, whatever those are
-named. Defined results: a null or empty text, or one without a letter, goes in the first stage; of
-equal texts one row stays, and of near copies one document; a null source is a source of its own; a
-null id is carried along, and sorts last where the smallest id stays; texts of any length are read
-whole; every stage makes an empty table of an empty one.
+named. Defined results: a null or empty text, or one without a letter, goes in the first stage, and so
+does a text with letters of which no language reaches ``LEAST_SCORE``; where no document to learn from
+has a language, there is no model and every text with a letter stays; of equal texts one row stays, and
+of near copies one document; a null source is a source of its own; a null id is carried along, and sorts
+last where the smallest id stays; texts of any length are read whole; every stage makes an empty table
+of an empty one.
 """
 
 from __future__ import annotations
@@ -28,9 +30,14 @@ LEAST_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in a language that the model knows; learned from those not held out."""
+    """The documents in a language that the model knows; learned from those not held out.
+
+    Without a label to learn from, the documents with a letter.
+    """
     columns = docs.columns
     model = trained(docs.where(~held_out(F.col("doc_id"))))
+    if model.network is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = identified(docs, model)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*columns)
 

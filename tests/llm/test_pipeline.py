@@ -165,3 +165,10 @@ def test_extra_columns_of_clashing_names(spark):
     extra = docs.withColumns({n: F.lit(1) for n in names})
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, extra, "/root/testdata/sf0.001").count() > 0, name
+
+
+def test_unlabelled_documents_with_a_letter_stay(spark, documents):
+    rows = [(1, "The thing with that"), (2, "é"), (3, None), (4, ""), (5, "1 2 3"), (None, "a")]
+    docs = documents(rows).withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.language_id(spark, docs, "")
+    assert out.columns == COLUMNS and Counter(r.doc_id for r in out.collect()) == Counter([1, 2, None])
