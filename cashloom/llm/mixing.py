@@ -6,7 +6,10 @@ the hash of its id lies below the fraction, so that a rerun draws the same.
 
 Defined results: a null text has no words; a null source is a source of its own and comes last; a
 source without words has target and rate zero; repeated rows draw alike; an empty table gives an empty
-one. One row a source is brought together in a task, never the documents.
+one. Documents that share an id draw alike too, whatever their texts, so that a source with much of its
+words under one id may miss its target by them. Those without an id are such a block, as in the SQL of
+the query, unless ``null_text`` names a text: then each of them draws by its own. One row a source is
+brought together in a task, never the documents.
 """
 
 from __future__ import annotations
@@ -29,9 +32,12 @@ def words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def drawn(doc_id: Column, seed: str = SEED) -> Column:
-    """A number of 0 to 1 that the id decides."""
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def drawn(doc_id: Column, seed: str = SEED, null_text: Column | None = None) -> Column:
+    """A number of 0 to 1 that the id decides, and for a null id the hash of ``null_text`` as well if given."""
+    missing = F.lit("null")
+    if null_text is not None:
+        missing = F.concat(F.lit("null:"), F.md5(F.encode(F.coalesce(null_text, F.lit("")), "UTF-8")))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), missing))
     digits = F.substring(F.md5(F.encode(key, "UTF-8")), 1, DIGITS)
     return F.conv(digits, 16, 10).cast("long").cast("double") / F.lit(float(16**DIGITS))
 
@@ -75,10 +81,12 @@ def mixed(
     share: float = SHARE,
     most: float = MOST,
     seed: str = SEED,
+    null_text: str | None = None,
 ) -> DataFrame:
     """``docs`` with ``mix``: a struct of size, source_size, target, rate and copies.
 
-    ``size`` is the number of words by default. The rates are stored, one row a source, so that their
+    ``size`` is the number of words by default. Rows without an id draw by the hash of the column
+    ``null_text``, or all alike. The rates are stored, one row a source, so that their
     size is known where they are joined. Columns named mix, mix_source, mix_rate and mix_copy are
     replaced.
     """
@@ -88,7 +96,8 @@ def mixed(
     known = stored(found, "rates").select(F.col("source").alias("mix_source"), F.struct("source_size", "target", "rate").alias("mix_rate"))
     joined = docs.join(known, F.col(source).eqNullSafe(F.col("mix_source")))
     rate = F.col("mix_rate.rate")
-    copies = F.floor(rate) + (drawn(F.col(doc_id), seed) < rate - F.floor(rate)).cast("long")
+    draw = drawn(F.col(doc_id), seed, None if null_text is None else F.col(null_text))
+    copies = F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")
     mix = F.struct(
         sized.alias("size"),
         F.col("mix_rate.source_size").alias("source_size"),

@@ -53,8 +53,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of every source as often as its target asks."""
-    return copied(mixed(docs))
+    """Documents of every source as often as its target asks; those without an id draw by their texts."""
+    return copied(mixed(docs, null_text="text"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from compare import connect, difference
 from pyspark.sql import functions as F
 
 from cashloom.llm import queries
-from cashloom.llm.mixing import copied, mixed, rates
+from cashloom.llm.mixing import copied, drawn, mixed, rates
 
 
 def refilled(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
@@ -70,3 +70,15 @@ def test_query_agrees_with_sql(spark, middle):
     assert difference(spark, connect(middle), queries.queries()[name], queries.oracle_sql()[name], middle) == ""
     for r in queries.queries()[name](spark, middle).collect():
         assert r.taken <= 2 * r.size
+
+
+def test_rows_without_an_id_draw_by_their_texts_if_asked(spark):
+    rows = [(None, f"t{k}") for k in range(50)] * 2 + [(None, None), (None, ""), (7, "a"), (7, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = docs.select("doc_id", "text", drawn(F.col("doc_id"), null_text=F.col("text")).alias("u"), drawn(F.col("doc_id")).alias("plain")).collect()
+    by_text = defaultdict(set)
+    for r in got:
+        assert r.doc_id is None or r.u == r.plain
+        by_text[r.doc_id, r.text or ""].add(r.u)
+    assert all(len(u) == 1 for u in by_text.values()) and len({min(u) for (i, _), u in by_text.items() if i is None}) == 51
+    assert len({r.plain for r in got if r.doc_id is None}) == 1

@@ -172,3 +172,14 @@ def test_unlabelled_documents_with_a_letter_stay(spark, documents):
     docs = documents(rows).withColumn("lang", F.lit(None).cast("string"))
     out = corpus_pipeline.language_id(spark, docs, "")
     assert out.columns == COLUMNS and Counter(r.doc_id for r in out.collect()) == Counter([1, 2, None])
+
+
+def test_documents_without_an_id_draw_by_their_texts(spark, documents):
+    """Weights 3, 1 and 2 over equal sources: the second gets less than its words, so some documents stay out."""
+    rows = [(None if k % 3 == 1 else k, f"w{k} " * 5) for k in range(900)]
+    out = corpus_pipeline.mixing(spark, documents(rows), "")
+    taken = Counter(r.text for r in out.where("source = 's1'").collect())
+    # a budget of 4.5 sources: the first stops at 2, the others share 2.5 by weight, so 250 of its 300 documents
+    assert set(taken.values()) == {1} and 215 < len(taken) < 285
+    again = corpus_pipeline.mixing(spark, documents(rows), "")
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, out.collect()))
