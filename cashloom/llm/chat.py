@@ -84,6 +84,33 @@ def examples(turns: DataFrame) -> DataFrame:
     )
 
 
+def trained_texts(formatted: Column, found: Column) -> Column:
+    """The texts under the loss mask of a conversation's examples, cut out of ``formatted``.
+
+    ``found`` is the array of its examples (example, loss_start, loss_end, end) in order. It is an error if
+    the formatted conversation up to ``end`` doesn't hold just the turns up to the example's, or the loss
+    doesn't lie between its last TEXT and END. Each example is checked from the end of the one before.
+    """
+
+    def cut(x: Column, i: Column) -> Column:
+        before = F.get(found, i - 1)
+        since, turn = F.coalesce(before["end"], F.lit(0)), F.coalesce(before["example"], F.lit(-1))
+
+        def text(start: Column, end: Column) -> Column:
+            return F.substring(formatted, (start + 1).cast("int"), (end - start).cast("int"))
+
+        holds = (
+            (F.size(F.split(text(since, x["end"]), "<\\|end\\|>", -1)) - 1 == x["example"] - turn)
+            & (text(x["loss_start"] - len(TEXT), x["loss_start"]) == TEXT)
+            & (text(x["loss_end"], x["end"]) == END)
+            & ~F.contains(text(x["loss_start"], x["loss_end"]), F.lit("<"))
+        )
+        wrong = F.raise_error(F.concat(F.lit("offsets of example "), x["example"].cast("string"), F.lit(" don't fit its conversation")))
+        return F.when(holds, unescaped(text(x["loss_start"], x["loss_end"]))).otherwise(wrong.cast("string"))
+
+    return F.transform(found, cut)
+
+
 def example_texts(turns: DataFrame) -> DataFrame:
     """Examples with ``text``, context included: as many characters as all contexts together have."""
     whole = conversation_texts(turns).withColumnRenamed("conv_id", "of")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, unescaped
+from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, trained_texts
 from cashloom.llm.exact_dedup import deduplicated
 from cashloom.llm.language_id import held_out, identified, trained
 from cashloom.llm.mixing import mixed
@@ -73,26 +73,24 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = formatted_turns(given.unionByName(odd))
-    whole = conversation_texts(turns).withColumn("turns", parsed_turns(F.col("formatted")))
-    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    read = whole.select(
+    offsets = F.array_sort(F.collect_list(F.struct("example", "loss_start", "loss_end", "end")))
+    found = examples(turns).groupBy(F.col("conv_id").alias("of")).agg(offsets.alias("found"))
+    whole = conversation_texts(turns).join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    cut = trained_texts(F.col("formatted"), F.col("found"))
+    both = whole.select(
         "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
-    )
-    replies = F.array_sort(F.collect_list(F.struct("example", unescaped(F.col("reply")).alias("text"))))
-    loss = examples(turns).groupBy(F.col("conv_id").alias("of")).agg(
-        F.array_join(F.transform(replies, lambda r: r["text"]), "").alias("loss")
+        "formatted",
+        parsed_turns(F.col("formatted")).alias("turns"),
+        F.coalesce(F.array_join(cut, ""), F.lit("")).alias("loss"),
     )
-    both = read.join(loss, F.col("conv_id").eqNullSafe(F.col("of")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return both.select(
         "conv_id",
-        "n_turns",
-        "turns_sha256",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
-        "formatted_chars",
+        F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
 

@@ -74,3 +74,11 @@ def test_query_agrees_with_sql(spark, middle):
     text = "</s>[INST] ok [/INST]"
     assert row.loss_chars == len(text) and row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("shifts", [{"loss_start": 1}, {"loss_end": -1}, {"loss_start": -9, "loss_end": -9, "end": -9}, {"example": 1}])
+def test_query_reads_the_loss_by_offsets(spark, middle, monkeypatch, shifts):
+    moved = {c: F.col(c) + n for c, n in shifts.items()}
+    monkeypatch.setattr(queries, "examples", lambda turns: examples(turns).withColumns(moved))
+    with pytest.raises(Exception, match="offsets of example"):
+        queries.op4_chat_formatting(spark, middle).collect()
