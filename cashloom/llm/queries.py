@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from cashloom.llm.audit import audited
+from cashloom.llm.backoff import scored
 from cashloom.llm.chat import conversation_texts, examples, formatted_turns, parsed_turns, trained_texts
 from cashloom.llm.exact_dedup import deduplicated
 from cashloom.llm.language_id import held_out, identified, trained
 from cashloom.llm.mixing import mixed
 from cashloom.llm.packing import packed, token_pieces, tokenizer_file
+from cashloom.llm.runs import with_runs
 from cashloom.llm.sharding import sharded
 from cashloom.llm.simhash import near_duplicates
+from cashloom.llm.storage import SPACES
 from cashloom.llm.topk import searched_table
 from cashloom.llm.url_filter import ALLOW, BLOCK, judged
 from cashloom.llm.warc import archive_folder, read_archives, write_archives
@@ -248,6 +252,98 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def repeated(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents a part of the text is written again and again.
+
+    With h the CRC-32 of the id, n the number of words, g = h div 10, a = g % n and
+    p = 1 + (n - a) div (3 + g % 8): where h ends in 0 the words from a on repeat the p words there.
+    """
+    picked = docs.selectExpr(
+        "doc_id", "text", "crc32(encode(cast(doc_id AS string), 'UTF-8')) AS h"
+    ).selectExpr(
+        "doc_id",
+        "text",
+        "h div 10 AS g",
+        f"if(h % 10 = 0, filter(split(text, '[{SPACES}]+'), w -> w <> ''), NULL) AS words".replace("\\", "\\\\"),
+    )
+    placed = picked.selectExpr("*", "if(size(words) > 0, cast(g % size(words) AS int), NULL) AS a")
+    placed = placed.selectExpr("*", "cast(1 + (size(words) - a) div (3 + g % 8) AS int) AS p")
+    copies = "array_repeat(slice(words, a + 1, p), cast(ceil((size(words) - a) / p) AS int))"
+    again = f"concat(slice(words, 1, a), slice(flatten({copies}), 1, size(words) - a))"
+    return placed.selectExpr("doc_id", f"if(a IS NULL, text, array_join({again}, ' ')) AS text")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and what it is without their repetitions."""
+    found = with_runs(repeated(_table(spark, sf_dir, "documents")))
+    better = (
+        "aggregate(runs, cast(NULL AS struct<start: bigint, length: bigint, period: bigint>), (top, r) ->"
+        " if(top IS NULL OR r.length * top.period > top.length * r.period, r, top))"
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("top", F.expr(better)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-probability of every document, learnt from nine tenths of them."""
+    kept_back = held_out(F.col("doc_id"), 10, 0)
+    found = scored(_table(spark, sf_dir, "documents").select("doc_id", "text"), ~kept_back)
+    return found.withColumn("held_out", ~F.col("learnt_from")).drop("learnt_from")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every source, in every order."""
+    return audited(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM docs),
+tested AS (
+  SELECT doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+    100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > first, false) AS e FROM words),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+    coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM tested LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+steps AS (
+  SELECT concat(l1.f, l2.f, l3.f, l4.f, l5.f) AS filter_order,
+    unnest([1, 2, 3, 4, 5]) AS step, unnest([l1.bit, l2.bit, l3.bit, l4.bit, l5.bit]) AS own,
+    unnest([0, l1.bit, l1.bit + l2.bit, l1.bit + l2.bit + l3.bit, l1.bit + l2.bit + l3.bit + l4.bit]) AS earlier
+  FROM letters l1 JOIN letters l2 ON l2.f <> l1.f JOIN letters l3 ON l3.f NOT IN (l1.f, l2.f)
+    JOIN letters l4 ON l4.f NOT IN (l1.f, l2.f, l3.f) JOIN letters l5 ON l5.f NOT IN (l1.f, l2.f, l3.f, l4.f)),
+results AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN mask & (own | earlier) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & earlier = 0 AND mask & own > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & earlier > 0 AND mask & own > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & earlier = 0 AND mask & own > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & earlier = 0 AND mask & own > 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM results
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -260,6 +356,9 @@ def queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_warc": op9_warc,
         "op10_language_id": op10_language_id,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_lm_scoring": op12_lm_scoring,
+        "op13_filter_audit": op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -271,4 +370,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_url_filter": _op5_sql(),
         "op6_mixing": OP6_SQL,
         "op7_exact_topk": OP7_SQL,
+        "op13_filter_audit": OP13_SQL,
     }

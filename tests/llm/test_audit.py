@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import itertools
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from compare import connect, difference
+
+from cashloom.llm import audit, queries
+from cashloom.llm.audit import audited, counters
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def masks(rows, labels):
+    """Counters of (part, mask, quality, toxic) by plain counting."""
+    good, bad = ({i for i, q, t in labels if i is not None and (q, t)[k] == 1} for k in (0, 1))
+    least = {}
+    for i, t, *_ in rows:
+        if i is not None:
+            least[t or ""] = min(i, least.get(t or "", i))
+    out = Counter()
+    for i, t, _, source, _ in rows:
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = [len(words) < 50, 100 * len(set(words)) < 65 * len(words), 100 * len(re.findall("[A-Z]", t)) > 5 * len(t)]
+        fails += [bool(re.search("[#$%&*|]", t)), i is not None and i > least[t]]
+        out[(source or "", sum(1 << k for k, f in enumerate(fails) if f), i in good, i in bad)] += 1
+    return out
+
+
+def expected(rows, labels):
+    counted, out = masks(rows, labels), {}
+    shapley = defaultdict(int)
+    for order in itertools.permutations("ABCDE"):
+        for part in {k[0] for k in counted}:
+            gone = 0
+            for step, f in enumerate(order, start=1):
+                bit = 1 << "ABCDE".index(f)
+                n = lambda test, k=None: sum(c for key, c in counted.items() if key[0] == part and test(key[1]) and (k is None or key[k]))
+                removed = lambda m: not m & gone and m & bit
+                values = [n(lambda m: not m & (gone | bit)), n(removed), n(lambda m: m & gone and m & bit), n(lambda m: m == bit), n(removed, 2), n(removed, 3)]
+                shapley[(part, f)] += values[1]
+                out[(part, "".join(order), step)] = values
+                gone |= bit
+    return {k: (*v, shapley[(k[0], k[1][k[2] - 1])]) for k, v in out.items()}
+
+
+def got(frame):
+    columns = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    return {(r.part, r.filter_order, r.step): tuple(r[c] for c in columns) for r in frame.collect()}
+
+
+LONG = " ".join(f"word{i}" for i in range(60))
+ROWS = [
+    (9, LONG, "en", "a", 1), (3, LONG, "en", "b", 1), (3, LONG, "en", "b", 1), (3, LONG, "en", "a", 1), (1, LONG, "en", None, 1), (7, LONG, "en", "", 1),
+    (None, LONG, "en", "a", 1), (None, "few words", "en", "a", 1), (4, None, "en", "c", None), (2, "", "en", "c", 0), (5, " \t", "en", "c", 2),
+    (6, LONG + " #", "en", "a", 1), (8, LONG.upper(), "en", "b", 1), (10, "x " * 80, "en", "b", 1), (11, LONG + " x", None, "b", 1),
+]
+MARKS = [(9, 1, 0), (9, 0, 1), (3, 1, None), (1, 0, 0), (None, 1, 1), (8, None, 1), (77, 1, 1)]
+
+
+@pytest.mark.parametrize("files, batch_bytes, keys", [(1, None, None), (5, 1, 1), (8, 1, 4)])
+def test_retractions_in_any_order_of_files(spark, tmp_path, files, batch_bytes, keys):
+    path, labels = str(tmp_path / "documents.parquet"), spark.createDataFrame(MARKS, LABELS)
+    for n in range(files):  # later files hold smaller ids of earlier texts
+        spark.createDataFrame(ROWS[n::files], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    counted = counters(spark, path, labels, batch_bytes=batch_bytes, keys=keys).collect()
+    assert {(r.part, r["mask"], r.quality, r.toxic): r.n for r in counted} == masks(ROWS, MARKS)
+    assert got(audited(spark, path, labels, batch_bytes=batch_bytes, keys=keys)) == expected(ROWS, MARKS)
+
+
+def test_rows_added_up_in_the_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit, "COMBINED_ROWS", 3)
+    path, labels = str(tmp_path / "documents.parquet"), spark.createDataFrame(MARKS, LABELS)
+    rows = ROWS * 3
+    spark.createDataFrame(rows, SCHEMA).repartition(2).write.parquet(path)
+    counted = counters(spark, path, labels).collect()
+    assert {(r.part, r["mask"], r.quality, r.toxic): r.n for r in counted} == masks(rows, MARKS)
+
+
+def test_empty_tables(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([], SCHEMA).write.parquet(path)
+    assert audited(spark, path, spark.createDataFrame([], LABELS)).count() == 0
+    spark.createDataFrame(ROWS, SCHEMA).write.mode("append").parquet(path)
+    assert got(audited(spark, path, spark.createDataFrame([], LABELS))) == expected(ROWS, [])
+
+
+def test_other_columns_of_any_name(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    docs = spark.createDataFrame(ROWS, SCHEMA).selectExpr("*", "1 AS mask", "2 AS `key`", "3 AS part", "4 AS n", "5 AS id", "true AS quality")
+    docs.write.parquet(path)
+    labels = spark.createDataFrame(MARKS, LABELS)
+    assert got(audited(spark, path, labels)) == expected(ROWS, MARKS)
+
+
+def test_query_agrees_with_sql(spark, small):
+    assert difference(spark, connect(small), queries.op13_filter_audit, queries.OP13_SQL, small) == ""
