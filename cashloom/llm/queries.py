@@ -188,7 +188,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(coalesce(text, '')) AS digest FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, digest, source) AS n FROM sizes),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
 weighed AS (
   SELECT source, source_size, [3, 1, 2][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3]::DOUBLE AS weight,
@@ -202,9 +204,9 @@ targets AS (
   SELECT source, source_size, least(top, coalesce(max(share) FILTER (WHERE share <= level) OVER () * weight, top)) AS target FROM tried),
 rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0e0 END AS rate FROM targets)
 SELECT doc_id, size, source_size, target,
-  (size * (floor(rate) + (('0x' || left(md5(concat('mix-1:', coalesce(doc_id::VARCHAR, 'null'))), 13))::BIGINT::DOUBLE / 4503599627370496e0
+  (size * (floor(rate) + (('0x' || left(md5(concat('mix-1:', coalesce(doc_id::VARCHAR, 'null'), ':', digest, ':', n)), 13))::BIGINT::DOUBLE / 4503599627370496e0
     < rate - floor(rate))::INT))::BIGINT AS taken
-FROM sizes JOIN rates ON sizes.source IS NOT DISTINCT FROM rates.source
+FROM numbered JOIN rates ON numbered.source IS NOT DISTINCT FROM rates.source
 """
 
 

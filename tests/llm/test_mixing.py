@@ -2,14 +2,14 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
 
 from cashloom.llm import queries
-from cashloom.llm.mixing import copied, drawn, mixed, rates
+from cashloom.llm.mixing import copied, mixed, numbered, rates, text_md5
 
 
 def refilled(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
@@ -40,6 +40,12 @@ def test_targets_against_refilling(spark, seed):
         assert r.rate <= 2 and r.rate == (r.target / sizes[s] if sizes[s] else 0)
 
 
+def draw(doc_id, text, n=1):
+    digest = hashlib.md5((text or "").encode()).hexdigest()
+    key = f"mix-1:{'null' if doc_id is None else doc_id}:{digest}:{n}"
+    return int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 16**13
+
+
 def test_taken_words_come_near_the_targets(spark, documents):
     rng = random.Random(1)
     rows = [(i, " ".join(["w"] * rng.randint(1, 40))) for i in range(6000)]
@@ -47,7 +53,7 @@ def test_taken_words_come_near_the_targets(spark, documents):
     taken, target = defaultdict(int), {}
     for r in mixed(docs).select("source", "doc_id", "mix.*").collect():
         assert r.size == len(rows[r.doc_id][1].split()) and r.copies <= 2
-        u = int(hashlib.md5(f"mix-1:{r.doc_id}".encode()).hexdigest()[:13], 16) / 16**13
+        u = draw(r.doc_id, rows[r.doc_id][1])
         assert r.copies == int(r.rate) + (u < r.rate - int(r.rate))
         taken[r.source] += r.copies * r.size
         target[r.source] = r.target
@@ -72,13 +78,36 @@ def test_query_agrees_with_sql(spark, middle):
         assert r.taken <= 2 * r.size
 
 
-def test_rows_without_an_id_draw_by_their_texts_if_asked(spark):
-    rows = [(None, f"t{k}") for k in range(50)] * 2 + [(None, None), (None, ""), (7, "a"), (7, "b")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = docs.select("doc_id", "text", drawn(F.col("doc_id"), null_text=F.col("text")).alias("u"), drawn(F.col("doc_id")).alias("plain")).collect()
-    by_text = defaultdict(set)
+@pytest.mark.parametrize("block", ["null", "one id", "equal rows"])
+def test_targets_with_a_third_of_the_rows_in_one_block(spark, block):
+    """Without an id, under one id, or all the same: the block draws row by row and its source comes near."""
+    rng = random.Random(2)
+    rows = []
+    for k in range(6000):
+        i, text = k, f"w{k} " + "w " * rng.randint(0, 30)
+        if k % 3 == 0:
+            i, text = {"null": (None, text), "one id": (5, text), "equal rows": (None, "same words in all")}[block]
+        rows.append((i, text, f"s{k % 3 if k % 7 else 1}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixed(docs).select("doc_id", "text", "source", "mix.*").collect()
+    taken, target, seen, want = defaultdict(int), {}, Counter(), Counter()
     for r in got:
-        assert r.doc_id is None or r.u == r.plain
-        by_text[r.doc_id, r.text or ""].add(r.u)
-    assert all(len(u) == 1 for u in by_text.values()) and len({min(u) for (i, _), u in by_text.items() if i is None}) == 51
-    assert len({r.plain for r in got if r.doc_id is None}) == 1
+        taken[r.source] += r.copies * r.size
+        target[r.source] = r.target
+        seen[r.doc_id, r.text, r.source] += 1
+        n = seen[r.doc_id, r.text, r.source]
+        want[r.doc_id, r.text, r.source] += int(r.rate) + (draw(r.doc_id, r.text, n) < r.rate - int(r.rate))
+    assert all(abs(taken[s] - target[s]) < 0.03 * target[s] for s in target)
+    copies = Counter()
+    for r in got:
+        copies[r.doc_id, r.text, r.source] += r.copies
+    assert +copies == +want and len(got) == len(rows)
+    again = mixed(docs.repartition(7)).select("doc_id", "text", "source", "mix.*").collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
+def test_equal_rows_are_numbered(spark):
+    rows = [(1, "a", "x", 1), (1, "a", "x", 1), (1, "a", "x", 2), (1, "a", "y", 1), (None, None, None, None), (None, None, None, None), (2, "b", "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other int")
+    got = Counter(map(tuple, numbered(docs, [F.col("doc_id"), text_md5(F.col("text")), F.col("source")], "n").select("doc_id", "source", "n").collect()))
+    assert got == Counter([(1, "x", 1), (1, "x", 2), (1, "x", 3), (1, "y", 1), (None, None, 1), (None, None, 2), (2, "x", 1)])
