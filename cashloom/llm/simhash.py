@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashloom.llm.components import components
@@ -28,10 +28,9 @@ HASH_SEED = 42
 SAMPLE_PRINTS = 20_000
 LEAF_PRINTS = 2_000
 #: A leaf of more is compared in tiles of pairs of its parts, each part of about this many.
-TILE_PRINTS = 8_000
-#: For documents that are to be similar in truth: bits that candidates differ in at most, words of the
-#: shingles and Jaccard similarity that decide, and candidates compared in one task.
-WIDE_REACH, VERIFIED_WORDS, SIMILARITY, VERIFIED_TOGETHER = 6, 5, 0.8, 500
+TILE_PRINTS = 200_000
+#: A leaf of more gets a tree of its own, grown from so many of its fingerprints at most.
+PLAIN_PRINTS, OWN_SAMPLE = 4_000, 20_000
 #: Shingle hashes whose bits are counted at once.
 BLOCK_HASHES = 1 << 16
 
@@ -82,12 +81,13 @@ def close_links(
     sample: int = SAMPLE_PRINTS,
     leaf: int = LEAF_PRINTS,
     tile: int = TILE_PRINTS,
+    plain: int = PLAIN_PRINTS,
 ) -> DataFrame:
     """Links (a, b) between different fingerprints that connect just those within ``reach`` bits.
 
     ``prints`` has the different fingerprints, as a stored table. Each leaf of the tree gives one link
-    a member of a group of close ones. Leaves that hold more than a task should, such as dense groups
-    of near copies, are cut into parts and each pair of parts is a task of its own.
+    a member of a group of close ones. A leaf of over ``plain`` is searched by a tree of its own in its
+    task; one that holds more than a task should is cut into parts, and each pair of parts is a task.
     """
     tree = sampled_tree(prints, prints.count(), sample, leaf)
 
@@ -97,17 +97,40 @@ def close_links(
             yield pd.DataFrame({"fingerprint": batch["fingerprint"].to_numpy(np.int64)[index], "leaf": leaves})
 
     visited = stored(prints.select("fingerprint").mapInPandas(visits, "fingerprint long, leaf long"), "visits")
-    return _linked_in_tiles(visited, reach, tile)
+    return _linked_in_tiles(visited, reach, tile, plain)
 
 
-def _linked_in_tiles(visited: DataFrame, reach: int, tile: int) -> DataFrame:
+def connecting(prints: np.ndarray, reach: int, plain: int = PLAIN_PRINTS) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the different ``prints`` that connect just those within ``reach`` bits.
+
+    More than ``plain`` of them are searched by a tree of their own, so that a leaf of the whole tree may
+    hold many times what it aims at without all its pairs being compared.
+    """
+    if len(prints) <= plain:
+        parts = [np.arange(len(prints))]
+    else:
+        every = max(1, len(prints) // OWN_SAMPLE)
+        # any members will do as a sample; the leaves of the whole tree mix them well
+        tree = grow(prints[::every], plain // 4 // every)
+        index, leaves = route(tree, prints, reach)
+        order = np.argsort(leaves, kind="stable")
+        parts = np.split(index[order], np.flatnonzero(np.diff(leaves[order])) + 1)
+    links: list[tuple[np.ndarray, np.ndarray]] = [(prints[:0], prints[:0])]
+    for part in parts:
+        here = prints[part]
+        roots = close_groups(here, reach)
+        moved = np.flatnonzero(roots != np.arange(len(here)))
+        links.append((here[moved], here[roots[moved]]))
+    return np.concatenate([x for x, _ in links]), np.concatenate([x for _, x in links])
+
+
+def _linked_in_tiles(visited: DataFrame, reach: int, tile: int, plain: int) -> DataFrame:
     """Links (a, b) that connect the close fingerprints of each ``leaf`` of ``visited``, a stored table."""
 
     def linked(group: pd.DataFrame) -> pd.DataFrame:
         values = np.unique(group["fingerprint"].to_numpy(np.int64))
-        roots = close_groups(values.view(np.uint64), reach)
-        moved = np.flatnonzero(roots != np.arange(len(values)))
-        return pd.DataFrame({"a": values[moved], "b": values[roots[moved]]})
+        a, b = connecting(values.view(np.uint64), reach, plain)
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return _tiles(visited, "leaf", tile).groupBy("leaf", "low", "high").applyInPandas(linked, "a long, b long")
 
@@ -125,40 +148,6 @@ def _tiles(rows: DataFrame, group: str, size: int) -> DataFrame:
     return tiled.select(*rows.columns, F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The different shingle hashes of a text, sorted."""
-    found = text.lower().split()
-    shingles = {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, HASH_SEED) for x in shingles), np.uint64, len(shingles)))
-
-
-def verified_links(candidates: DataFrame, reach: int, words: int, similarity: float, tile: int = VERIFIED_TOGETHER) -> DataFrame:
-    """Links (a, b) that connect the ``candidates`` (group, fingerprint, text) that are really similar.
-
-    Those within ``reach`` bits of each other in a group are compared by the Jaccard similarity of their
-    shingles, unless they are connected already.
-    """
-
-    def compared(group: pa.Table) -> pa.Table:
-        prints = group.column("fingerprint").to_numpy().astype(np.int64)
-        values = prints.view(np.uint64)
-        sets = [shingle_set(t.as_py(), words) for t in group.column("text")]
-        label, links = np.arange(len(values)), []
-        close = np.bitwise_count(values[:, None] ^ values[None, :]) <= reach
-        for i in range(len(values)):
-            for j in np.flatnonzero(close[i]):
-                if j <= i or label[i] == label[j]:
-                    continue
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
-                    label[label == label[j]] = label[i]
-                    links.append((prints[i], prints[j]))
-        a, b = (pa.array([x[k] for x in links], pa.int64()) for k in (0, 1))
-        return pa.table({"a": a, "b": b})
-
-    return _tiles(candidates, "group", tile).groupBy("group", "low", "high").applyInArrow(compared, "a long, b long")
-
-
 def near_duplicates(
     docs: DataFrame,
     words: int = SHINGLE_WORDS,
@@ -167,69 +156,38 @@ def near_duplicates(
     text: str = "text",
     **tree: int,
 ) -> DataFrame:
-    """One row per document: doc_id, fingerprint (long), component_id, row.
+    """One row per document: doc_id, text_hash, fingerprint (long), root, component_id, row.
 
     ``component_id`` is the smallest doc_id that links between fingerprints of ``reach`` or fewer
-    different bits lead to. ``row`` numbers the rows as this run has read them.
+    different bits lead to, and ``root`` the fingerprint that names the group. ``text_hash`` is XXH64 of
+    the text by Spark; ``row`` numbers the rows as this run has read them.
     """
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
-    hashed = stored(with_fingerprints(source, words, "text", ("doc_id", "row")), "fingerprints")
+    source = docs.select(
+        F.col(doc_id).alias("doc_id"), text_hash(F.col(text)).alias("text_hash"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text")
+    )
+    hashed = stored(with_fingerprints(source, words, "text", ("doc_id", "text_hash", "row")), "fingerprints")
     prints = stored(hashed.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "different-fingerprints")
     groups = components(close_links(prints, reach, **tree)).withColumnsRenamed({"node": "fingerprint"})
     rooted = prints.join(groups, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(firsts, "root").select("fingerprint", "component_id")
-    return hashed.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "row")
+    labels = rooted.join(firsts, "root").select("fingerprint", "root", "component_id")
+    return hashed.join(labels, "fingerprint").select("doc_id", "text_hash", "fingerprint", "root", "component_id", "row")
 
 
-def distinct_documents(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    reach: int = REACH,
-    wide_reach: int = WIDE_REACH,
-    words: int = VERIFIED_WORDS,
-    similarity: float = SIMILARITY,
-) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group.
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
 
-    Documents within ``reach`` bits are linked. Then one document of each group so far is compared with
-    those of other groups within ``wide_reach`` bits, found by a tree too, and linked if the Jaccard
-    similarity of their shingles is ``similarity`` or more.
+def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, reach: int = REACH) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one document of each group of near copies.
 
     The smallest doc_id of a group stays, null last; a document is its id and text, so that repeated
     rows stay or go together. Only the ones that go are brought to the rows.
     """
-    columns = docs.columns
-    value = F.coalesce(text, F.lit(""))
-    key = F.xxhash64(value)
-    source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), value.alias("text"))
-    hashed = stored(with_fingerprints(source, SHINGLE_WORDS, "text", ("doc_id", "key")), "fingerprints")
-    prints = stored(hashed.select("fingerprint").distinct(), "different-fingerprints")
-    near = stored(components(close_links(prints, reach)), "near-groups")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "fingerprint"))
-    heads = _rooted(hashed, near).groupBy("root").agg(first.alias("first"))
-    heads = stored(heads.select("first.doc_id", "first.key", "first.fingerprint"), "heads")
-    wide = components(close_links(heads.select("fingerprint"), wide_reach))
-    wide = wide.select(F.col("node").alias("fingerprint"), F.col("root").alias("group"))
-    asked = heads.join(wide, "fingerprint").select(F.col("doc_id").alias("head_id"), F.col("key").alias("head_key"), "fingerprint", "group")
-    asked = stored(asked, "candidates")
-    is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
-    texts = source.join(asked, is_head).select("group", "fingerprint", F.encode("text", "UTF-8").alias("text"))
-    candidates = stored(texts.dropDuplicates(["group", "fingerprint"]), "candidate-texts")
-    similar = verified_links(candidates, wide_reach, words, similarity)
-
-    links = near.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(similar)
-    rooted = _rooted(hashed, components(links))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    firsts = rooted.groupBy("root").agg(F.min(order).alias("first"))
-    going = rooted.join(firsts, "root").where(order != F.col("first"))
-    going = stored(going.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct(), "near-copies")
-    is_gone = F.col(doc_id).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key"))
-    return docs.join(going, is_gone, "left_anti").select(*columns)
-
-
-def _rooted(hashed: DataFrame, groups: DataFrame) -> DataFrame:
-    """``hashed`` with the ``root`` of its fingerprint's group, itself if it is alone."""
-    named = groups.withColumnRenamed("node", "fingerprint")
-    return hashed.join(named, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    found = stored(near_duplicates(docs, words, reach, doc_id, text), "near-groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    firsts = found.groupBy("root").agg(F.min(order).alias("first"))
+    going = found.join(firsts, "root").where(order != F.col("first"))
+    going = stored(going.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "near-copies")
+    is_gone = F.col(doc_id).eqNullSafe(F.col("gone_id")) & (text_hash(F.col(text)) == F.col("gone_hash"))
+    return docs.join(going, is_gone, "left_anti").select(*docs.columns)

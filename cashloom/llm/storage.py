@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +14,10 @@ WORD = rf"[^{SPACES}]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset in local mode, one of our own."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    """The folder in ``spark.checkpoint.dir``, or set on the context."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.setCheckpointDir(folder)
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     return folder.rstrip("/")
 
 

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import xxhash
 
+from cashloom.llm import simhash as simhash_module
 from cashloom.llm.components import components
 from cashloom.llm.simhash import close_links, near_duplicates, simhash
 from cashloom.llm.vantage import close_groups, grow, route
@@ -67,6 +68,28 @@ def test_against_brute_force(documents):
 def test_small_leaves_and_tiles(documents):
     rows = near_texts()
     assert found(near_duplicates(documents(rows), sample=150, leaf=4, tile=3)) == expected(rows)
+    assert found(near_duplicates(documents(rows), sample=20, leaf=4, plain=8)) == expected(rows)
+
+
+def test_a_leaf_has_a_tree_of_its_own(monkeypatch):
+    """A sample too small for the table makes large leaves; not all pairs of them are compared."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
+    near = base ^ np.array([1 << int(i) for i in rng.integers(0, 64, len(base))], dtype=np.uint64)
+    prints = np.unique(np.concatenate([base, near]))
+    sizes = []
+    plain = simhash_module.close_groups
+    monkeypatch.setattr(simhash_module, "close_groups", lambda p, reach: (sizes.append(len(p)), plain(p, reach))[1])
+    a, b = simhash_module.connecting(prints, 3, plain=2000)
+    assert max(sizes) < 6000 and sum(n * n for n in sizes) < 0.4 * len(prints) ** 2
+    linked = set(map(tuple, np.sort(np.stack([a, b], axis=1), axis=1).tolist()))
+    assert {tuple(sorted(map(int, p))) for p in zip(base, near)} <= linked
+
+
+def test_clashing_names(documents):
+    rows = near_texts()[:40]
+    odd = documents(rows).selectExpr("*", "1 AS row", "2 AS fingerprint", "3 AS root", "4 AS text_hash", "5 AS component_id", "6 AS simhash_text")
+    assert found(near_duplicates(odd)) == expected(rows)
 
 
 def test_query_against_brute_force(spark, middle):
