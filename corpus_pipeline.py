@@ -48,13 +48,14 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of close fingerprints, or of five-word similarity of 0.8 and more."""
+    """One document of each group of fingerprints that links of three bits or fewer connect."""
     return distinct_documents(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of every source as often as its target asks; those without an id draw by their texts."""
-    return copied(mixed(docs, null_text="text"))
+    """Documents of every source as often as its target asks."""
+    named = docs.withColumnRenamed("mix", "__given_mix")
+    return copied(mixed(named)).withColumnRenamed("__given_mix", "mix")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
