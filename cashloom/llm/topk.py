@@ -11,8 +11,10 @@ Components are whole numbers, and scores are exact. Shorter vectors count as fil
 
 Defined results: a vector that is null, or holds a null or a component that isn't finite, takes no
 part; repeated rows are rows of their own, but no row answers a query of its own id; a null id sorts
-last and asks nothing; ties go to the smaller id; an empty table gives an empty one. Components are
-taken up to 2**31 either way, and vectors of such components up to 2**20 dimensions.
+last and asks nothing; ties go to the smaller id; an empty table gives an empty one. Components and
+scores are longs: a component of 2**63 / ``scale`` or more either way is an error that names the vector's
+id, and so is a query of which the components' sizes, added up and multiplied with the largest
+component of any vector, come to 2**63 or more. Both are found before anything is ranked.
 """
 
 from __future__ import annotations
@@ -37,8 +39,21 @@ def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "emb
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     whole = F.transform(x, lambda c: F.floor(c * scale).cast("long"))
+    fits = F.forall(x, lambda c: F.abs(c * scale) < float(1 << 63))
+    complaint = F.concat(F.lit("a component is too large in the vector of id "), F.coalesce(F.col(vec_id).cast("string"), F.lit("null")))
+    checked = F.when(fits, whole).otherwise(F.raise_error(complaint).cast("array<bigint>"))
     rows = vectors.where(F.col(vector).isNotNull()).where(finite)
-    return rows.select(F.col(vec_id).alias("id"), F.monotonically_increasing_id().alias("row"), whole.alias("x"))
+    return rows.select(F.col(vec_id).alias("id"), F.monotonically_increasing_id().alias("row"), checked.alias("x"))
+
+
+def check_scores(vectors: DataFrame, queries: DataFrame) -> None:
+    """An error if a score, or a sum on the way to it, could be beyond a long."""
+    sizes = F.transform("x", lambda c: F.abs(c.cast("decimal(20, 0)")))
+    largest = vectors.select("id", F.array_max(sizes).alias("n")).agg(F.max("n").alias("n"), F.max_by("id", "n").alias("id")).first()
+    total = F.aggregate(sizes, F.lit(0).cast("decimal(38, 0)"), lambda t, c: (t + c).cast("decimal(38, 0)"))
+    longest = queries.where("id IS NOT NULL").select("id", total.alias("n")).agg(F.max("n").alias("n"), F.max_by("id", "n").alias("id")).first()
+    if int(largest["n"] or 0) * int(longest["n"] or 0) >= 1 << 63:
+        raise ValueError(f"scores of the query of id {longest['id']} with the vector of id {largest['id']} may not fit 64 bits")
 
 
 def as_matrix(vectors: list[np.ndarray]) -> np.ndarray:
@@ -162,4 +177,6 @@ def searched_table(
 ) -> DataFrame:
     """The ``k`` best of all vectors for each one whose id is divisible by ``every``."""
     whole = stored(whole_vectors(vectors, vec_id, vector, scale), "vectors")
-    return top_k(whole, whole.where(F.pmod(F.col("id"), F.lit(every)) == 0), k)
+    queries = whole.where(F.pmod(F.col("id"), F.lit(every)) == 0)
+    check_scores(whole, queries)
+    return top_k(whole, queries, k)

@@ -58,6 +58,34 @@ def test_table_with_odd_rows(spark, monkeypatch, small_blocks):
     assert searched_table(frame.limit(0), 50).count() == 0
 
 
+def table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_scores_up_to_a_long(spark):
+    """A query of 2**30 in whole numbers and components of 2**32: 2**62 fits, and one dimension more doesn't."""
+    large, query = float(1 << 24), float(1 << 22)
+    rows = [(0, [query, 0.0]), (1, [large, 5.0]), (2, [-large, 0.0]), (3, [large, 0.0])]
+    got = [tuple(r) for r in searched_table(table(spark, rows), 50).select("query_id", "rank", "vec_id", "score").orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 1 << 62), (0, 2, 3, 1 << 62), (0, 3, 2, -(1 << 62))]
+    for odd in ([query, query], [query * 2, 0.0]):
+        with pytest.raises(ValueError, match="query of id 0 with the vector of id"):
+            searched_table(table(spark, [(0, odd), *rows[1:]]), 50)
+
+
+@pytest.mark.parametrize("component", [2.0**55, -(2.0**55) - 2**10, 1e20, 2e17])
+def test_components_beyond_a_long(spark, component):
+    rows = [(0, [0.004]), (1, [component]), (2, [1e20])]
+    with pytest.raises(Exception, match="too large in the vector of id [12]"):
+        searched_table(table(spark, rows), 50)
+
+
+def test_vectors_of_mixed_lengths(spark):
+    rows = [(50, [1.0, 2.0, 3.0]), (1, [4.0]), (2, [0.0, -1.0]), (3, []), (4, [1.0, 1.0, 1.0, 9.0]), (100, [2.0**16] + [0.0] * 5)]
+    got = searched_table(table(spark, rows), 50).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_query_agrees_with_sql(spark, middle):
     name = "op7_exact_topk"
     assert difference(spark, connect(middle), queries.queries()[name], queries.oracle_sql()[name], middle) == ""
