@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +28,10 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces packed together in one task.
 GROUP_PIECES = 16_384
-#: Words of a generation whose ids a worker remembers; two generations take some 70 MB.
-REMEMBERED_WORDS = 200_000
-#: Token bytes handed on at once.
-BATCH_BYTES = 4 << 20
+#: Words of a generation whose ids a worker remembers; two generations take some 180 MB.
+REMEMBERED_WORDS = 500_000
+#: Bytes of text tokenised at once, and handed on together.
+PORTION_BYTES = 8 << 20
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -83,7 +84,9 @@ class WordIds(dict):
             self[word] = ids
             return ids
         low = word.lower()
-        if b"<|" in word:  # perhaps a special token, whose case counts
+        if not word:  # between white space and the end of a text
+            ids = b""
+        elif b"<|" in word:  # perhaps a special token, whose case counts
             ids = self._encoded(word)
         elif low != word:
             ids = self[low]
@@ -109,6 +112,20 @@ class WordIds(dict):
         """The ids of a whole text; bytes.split() knows the blank and tab to carriage return only."""
         return b"".join(map(self.__getitem__, text.split()))
 
+    def of_texts(self, texts: pa.LargeStringArray) -> Iterator[bytes]:
+        """The ids of each text. Their different words are looked up once, and put in place by Arrow."""
+        words = pc.ascii_split_whitespace(texts)  # the same white space as above
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        ids = pa.array(map(self.__getitem__, different), pa.large_binary())
+        placed = ids.take(coded.indices)
+        _, offsets, data = placed.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(placed) + 1, placed.offset * 8)
+        edges = ends[np.asarray(words.offsets) - words.offsets[0].as_py()].tolist()
+        values = memoryview(data) if data is not None else memoryview(b"")
+        for start, stop in zip(edges, edges[1:]):
+            yield bytes(values[start:stop])
+
 
 _TABLES: dict[str, WordIds] = {}
 
@@ -120,6 +137,19 @@ def word_ids(path: str) -> WordIds:
     return _TABLES[path]
 
 
+def _portions(texts: pa.LargeStringArray) -> Iterator[tuple[int, pa.LargeStringArray]]:
+    """The texts in slices of about ``PORTION_BYTES``, one at least, with the place of the first of each."""
+    lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    first, held = 0, 0
+    for row, length in enumerate(lengths.tolist()):
+        held += length
+        if held >= PORTION_BYTES:
+            yield first, texts.slice(first, row + 1 - first)
+            first, held = row + 1, 0
+    if first < len(texts):
+        yield first, texts.slice(first)
+
+
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -136,32 +166,23 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, end, step = word_ids(tokenizer_path), struct.pack("<I", end_id), 4 * capacity
         for batch in batches:
-            owners: list[int] = []
-            at: list[int] = []
-            parts: list[bytes] = []
-            held = 0
-
-            def made() -> pa.RecordBatch:
+            for first, texts in _portions(batch.column(1).cast(pa.large_string())):
+                owners: list[int] = []
+                at: list[int] = []
+                parts: list[bytes] = []
+                for row, ids in enumerate(table.of_texts(texts), start=first):
+                    ids += end
+                    for piece in range(-(-len(ids) // step)):
+                        owners.append(row)
+                        at.append(piece)
+                        parts.append(ids[piece * step : (piece + 1) * step])
                 starts = np.array(at, dtype=np.int64) * capacity
                 lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-                return pa.RecordBatch.from_arrays(
+                yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(owners, pa.int64())), pa.array(at, pa.int32()), pa.array(starts), pa.array(lengths), pa.array(parts, pa.binary())],
                     ["doc_id", "piece", "start", "length", "ids"],
                 )
 
-            for row, value in enumerate(batch.column(1)):
-                ids = table.of(value.as_py()) + end
-                for piece in range(-(-len(ids) // step)):
-                    owners.append(row)
-                    at.append(piece)
-                    parts.append(ids[piece * step : (piece + 1) * step])
-                held += len(ids)
-                if held >= BATCH_BYTES:
-                    yield made()
-                    owners, at, parts, held = [], [], [], 0
-            if parts:
-                yield made()
-
     return source.mapInArrow(cut, schema)
 
 

@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import random
 import struct
+import zlib
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from cashloom.llm import packing
 from cashloom.llm.packing import WordIds, best_two_fit, packed, sequences, token_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -91,3 +94,45 @@ def test_query_reads_all_documents(spark, middle):
     total = sum(r.length for r in rows)
     assert used <= 1.01 * total / 4096 + 2
     assert len({r.doc_id for r in rows}) == spark.read.parquet(f"{middle}/documents.parquet").count()
+
+
+def test_query_against_the_tokenizer(spark, small):
+    """Every piece of every document: where it starts, how long it is and the checksum of its ids."""
+    from cashloom.llm.queries import op2_best_fit_packing
+
+    got = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in op2_best_fit_packing(spark, small).collect())
+    want = []
+    for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect():
+        ids = ids_of(r.text) + [1]
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            want.append((r.doc_id, piece, start, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))))
+    assert got == sorted(want)
+
+
+def test_texts_together_are_like_texts_alone():
+    table, alone = WordIds(PATH), WordIds(PATH)
+    texts = [t or "" for t in ODD] + ["", "  a ", "\x0b", "A.", "a\x85b \u2003c"]
+    array = pa.array(texts, pa.large_string())
+    assert list(table.of_texts(array)) == [alone.of(t.encode()) for t in texts]
+    assert list(table.of_texts(array.slice(3, 4))) == [alone.of(t.encode()) for t in texts[3:7]]
+    assert list(table.of_texts(array.slice(0, 0))) == []
+
+
+def test_small_portions_and_memory(documents, monkeypatch):
+    rows = [(k, f"Word{k % 7} and, more. " * (k % 5)) for k in range(40)]
+    want = sorted((r.doc_id, r.piece, bytes(r.ids)) for r in token_pieces(documents(rows), PATH, capacity=16).collect())
+    array, table = pa.array([t for _, t in rows], pa.large_string()), WordIds(PATH)
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
+    monkeypatch.setattr(packing, "PORTION_BYTES", 50)
+    ids = [x for first, part in packing._portions(array) for x in table.of_texts(part)]
+    assert ids == [WordIds(PATH).of(t.encode()) for _, t in rows]
+    assert [first for first, _ in packing._portions(array)][:3] == sorted({first for first, _ in packing._portions(array)})[:3]
+    assert len(want) >= 40
+
+
+def test_clashing_names(documents):
+    docs = documents([(1, "a b c"), (2, None)]).selectExpr("*", "1 AS packing_row", "2 AS packing_group", "3 AS sequence_id", "4 AS length", "5 AS ids")
+    placed = packed(token_pieces(docs, PATH, capacity=64).selectExpr("*", "1 AS packing_row", "2 AS packing_group", "3 AS sequence_id"), capacity=64)
+    assert sorted((r.doc_id, r.length) for r in placed.collect()) == [(1, 4), (2, 1)]
+    assert check_places(placed.collect(), 64) == 1
