@@ -43,7 +43,7 @@ ORDER = 2
 #: Weight of the shorter context in a probability, and what the count of every token is raised by.
 PRIOR, ADDED = 2.0, 0.1
 #: Tokens of a block, and n-grams of all blocks that one range of hashes is to hold.
-BLOCK_TOKENS, RANGE_GRAMS = 1_000_000, 2_000_000
+BLOCK_TOKENS, RANGE_GRAMS = 400_000, 2_000_000
 HASH_SEED = 42
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -90,15 +90,20 @@ class Block:
         ends at each place, -1 where the text isn't so long yet; and a place where each ends."""
         place = np.arange(len(self.words)) - np.repeat(self.starts, self.sizes + 1)
         hashes = self.vocabulary[self.words]
-        out, now = [], hashes
-        for n in range(1, order + 1):
+        order_of_words = np.argsort(self.vocabulary)
+        rank = np.empty_like(order_of_words)
+        rank[order_of_words] = np.arange(len(rank))
+        single = rank[self.words]
+        first = np.empty_like(rank)
+        first[single[::-1]] = np.arange(len(single))[::-1]
+        out, now = [(self.vocabulary[order_of_words], single, first)], hashes
+        for n in range(2, order + 1):
             there = np.flatnonzero(place >= n - 1)
-            if n > 1:
-                longer = np.zeros_like(now)
-                longer[1:] = (now[:-1] * MIX + np.uint64(n)) ^ hashes[1:]
-                longer ^= longer >> np.uint64(31)
-                longer *= MIX
-                now = longer ^ (longer >> np.uint64(29))
+            longer = np.zeros_like(now)
+            longer[1:] = (now[:-1] * MIX + np.uint64(n)) ^ hashes[1:]
+            longer ^= longer >> np.uint64(31)
+            longer *= MIX
+            now = longer ^ (longer >> np.uint64(29))
             keys, first, number = np.unique(now[there], return_index=True, return_inverse=True)
             ends = np.full(len(now), -1, np.int64)
             ends[there] = number
@@ -109,60 +114,61 @@ class Block:
 class Automaton:
     """The part of the model's automaton that a block's texts can reach.
 
-    States are numbered through all lengths, the empty one is 0. ``arcs`` leads from state and word to an
-    arc, which has a weight and the state it goes to; ``fall`` is the weight of a state's failure arc to
-    ``shorter``.
+    States are numbered through all lengths, the empty one is 0; ``depth`` is a state's number of words. An
+    arc has a weight and the state it goes to; ``arcs`` has, for each depth and each place of the texts,
+    the arc for the word there that leaves the state of so many words before it, or -1 if that has none.
+    ``fall`` is the weight of a state's failure arc to ``shorter``.
     """
 
     def __init__(self, block: Block, grams: list, counts: list[np.ndarray], tokens: int, kinds: int, prior: float, added: float):
-        self.width = len(block.vocabulary)
         order = len(grams)
         state_at = [np.zeros(len(block.words), np.int64)]  # state of the last n words at each place
-        first_state, fall, shorter = 1, [np.zeros(1)], [np.zeros(1, np.int64)]
-        arcs, weights, targets = [], [], []
+        fall, shorter, depth = [np.zeros(1)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        self.arcs, weights, targets = [], [], []
+        states = 1
         lower = np.zeros(0)
         for n, (keys, ends, places) in enumerate(grams, start=1):
             seen = counts[n - 1]
             if n == 1:
                 chance = (seen + added) / (tokens + added * (kinds + 1))
-                usable = np.ones(len(keys), bool)
-                before = np.zeros(len(keys), np.int64)
+                leaves = np.ones(len(keys), bool)
             else:
-                context = counts[n - 2][grams[n - 2][1][places - 1]]
-                chance = (seen + prior * lower[grams[n - 2][1][places]]) / (context + prior)
-                usable = seen > 0
-                before = state_at[n - 1][places - 1]
+                context, end = grams[n - 2][1][places - 1], grams[n - 2][1][places]
+                chance = (seen + prior * lower[end]) / (counts[n - 2][context] + prior)
+                leaves = seen > 0
             if n < order:
                 known = seen > 0
-                state = np.where(known, first_state + np.cumsum(known) - 1, state_at[n - 1][places])
-                first_state += int(known.sum())
+                target = np.where(known, states + np.cumsum(known) - 1, state_at[n - 1][places])
+                states += int(known.sum())
                 fall.append(np.log10(prior / (seen[known] + prior)))
                 shorter.append(state_at[n - 1][places][known])
+                depth.append(np.full(int(known.sum()), n))
                 there, longest = ends >= 0, state_at[n - 1].copy()
-                longest[there] = state[ends[there]]
+                longest[there] = target[ends[there]]
                 state_at.append(longest)
-                target = state
             else:
                 target = state_at[n - 1][places]
-            arcs.append((before * self.width + block.words[places])[usable])
-            weights.append(np.log10(chance)[usable])
-            targets.append(target[usable])
+            number = np.where(leaves, sum(map(len, weights)) + np.cumsum(leaves) - 1, -1)
+            # -1 in ends takes the last of number, which is -1
+            self.arcs.append(np.append(number, -1)[ends])
+            weights.append(np.log10(chance)[leaves])
+            targets.append(target[leaves])
             lower = chance
-        self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(sum(map(len, arcs)))))
         self.weights, self.targets = np.concatenate(weights).tolist(), np.concatenate(targets).tolist()
-        self.fall, self.shorter = np.concatenate(fall).tolist(), np.concatenate(shorter).tolist()
+        self.fall, self.shorter, self.depth = (np.concatenate(x).tolist() for x in (fall, shorter, depth))
         self.opening = state_at[1][block.starts].tolist() if order > 1 else [0] * len(block.sizes)
 
-    def log_probability(self, state: int, words: list[int]) -> float:
-        """Of the words, read one after the other from ``state`` on."""
-        arcs, weights, targets, width = self.arcs, self.weights, self.targets, self.width
+    def log_probability(self, state: int, first: int, last: int) -> float:
+        """Of the words from place ``first`` to before ``last``, read one after the other from ``state`` on."""
+        weights, targets, fall, shorter, depth = self.weights, self.targets, self.fall, self.shorter, self.depth
+        arcs = [a[first:last].tolist() for a in self.arcs]
         total = 0.0
-        for word in words:
-            arc = arcs.get(state * width + word)
-            while arc is None:
-                total += self.fall[state]
-                state = self.shorter[state]
-                arc = arcs.get(state * width + word)
+        for place in range(last - first):
+            arc = arcs[depth[state]][place]
+            while arc < 0:
+                total += fall[state]
+                state = shorter[state]
+                arc = arcs[depth[state]][place]
             total += weights[arc]
             state = targets[arc]
         return total
@@ -335,9 +341,8 @@ def scored(
         alone[block.starts] = 0.0
         known = of_token > 0
         known[block.starts] = False
-        words = block.words.tolist()
         scores = [
-            automaton.log_probability(opening, words[start + 1 : start + 1 + size])
+            automaton.log_probability(opening, start + 1, start + 1 + size)
             for opening, start, size in zip(automaton.opening, block.starts.tolist(), block.sizes.tolist())
         ]
         return pa.table(
