@@ -50,7 +50,11 @@ def interpolate(
 
 
 def years_after(t0: str, date: str) -> str:
-    return f"datediff({date}, {t0}) / {DAYS_PER_YEAR}D"
+    return day_years(f"datediff({date}, {t0})")
+
+
+def day_years(days: str) -> str:
+    return f"{days} / {DAYS_PER_YEAR}D"
 
 
 def discount_factor(rate: str, years: str) -> str:

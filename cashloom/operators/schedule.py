@@ -25,6 +25,21 @@ EVENT_NAMES = ["IED", "IP", "RRF", "RR", "PRD", "TD", "MD"]
 # Contract status without a fault.
 OK = "ok"
 
+# Terms without which an event would lack something, whatever the contract.
+NEEDED = ["contract_id", "currency", "initial_exchange_date", "maturity_date", "notional", "nominal_rate"]
+# Prices that a date asks for.
+PRICED = {"purchase_date": "purchase_price", "termination_date": "termination_price"}
+NUMBERS = [
+    "notional",
+    "nominal_rate",
+    "purchase_price",
+    "termination_price",
+    "rate_spread",
+    "next_reset_rate",
+    "rate_multiplier",
+    "premium_discount",
+]
+
 # Contract roles.
 ASSET, LIABILITY = "RPA", "RPL"
 
@@ -41,11 +56,17 @@ def event_name(kind: str) -> str:
 def contract_status() -> str:
     """What is wrong with the terms, comma-separated, or ``ok``: nothing is evaluated in silence.
 
-    Names the terms whose text did not read, those that every contract needs and this one lacks,
-    and texts that stand for no cycle, day count or role.
+    Names the terms whose text did not read, those that every contract needs and this one lacks, a
+    price that its date asks for, numbers that are infinite or none, and texts that stand for no cycle,
+    day count or role. A contract without a fault has events without nulls.
     """
-    needed = ["initial_exchange_date", "maturity_date", "notional", "nominal_rate"]
-    faults = [f"if({t} IS NULL AND NOT array_contains(term_errors, '{t}'), 'missing {t}', NULL)" for t in needed]
+
+    def missing(term: str, asked: str = "true") -> str:
+        return f"if({asked} AND {term} IS NULL AND NOT array_contains(term_errors, '{term}'), 'missing {term}', NULL)"
+
+    faults = [missing(t) for t in NEEDED]
+    faults += [missing(price, f"{date} IS NOT NULL") for date, price in PRICED.items()]
+    faults += [f"if({n} - {n} = 0D, NULL, if({n} IS NULL, NULL, 'not finite {n}'))" for n in NUMBERS]
     for cycle, step in (("interest_cycle", "interest_step"), ("reset_cycle", "reset_step")):
         faults.append(f"if({cycle} IS NOT NULL AND {step} IS NULL, 'unknown {cycle}', NULL)")
     faults.append(f"if(coalesce(day_count IN ({quoted_list(CONVENTIONS)}), false), NULL, 'unknown day_count')")

@@ -9,12 +9,15 @@ the other. What accrues between resets is added up from payment to payment in on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashloom.functions import let
 from cashloom.functions.daycount import year_fraction
 from cashloom.functions.text import date_text
+from cashloom.operators.lookup import HOT_ROWS
 from cashloom.operators.schedule import (
     IED,
     IP,
@@ -28,6 +31,7 @@ from cashloom.operators.schedule import (
     given_out,
     with_event_dates,
 )
+from cashloom.operators.splits import SPLIT, with_splits
 
 CLEARING = f"({IP}, {TD}, {MD})"
 CLOSING = f"({TD}, {MD})"
@@ -37,13 +41,13 @@ RESETTING = f"({RRF}, {RR})"
 BLOCK = 64
 
 
-def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") -> DataFrame:
+def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)", rates: str | None = None) -> DataFrame:
     """Add the rates from the resets on, the interest due at them, and the event dates.
 
-    ``observed`` is the market rate at a reset date ``d``. Where there is none the rate stays as
-    it was. An observation once made stays available, so the resets without one come first, and
-    the rate they keep is the first fixed or the contract's own. ``unobserved`` tells whether
-    there are any.
+    ``observed`` is the market rate at a reset date ``d``, or ``rates`` all of them in the order of the
+    dates. Where there is none the rate stays as it was. An observation once made stays available, so
+    the resets without one come first, and the rate they keep is the first fixed or the contract's own.
+    ``unobserved`` tells whether there are any.
     """
     fixed = "rank = 0 AND next_reset_rate IS NOT NULL"
     rate = f"if({fixed}, next_reset_rate, coalesce(seen, next_reset_rate, nominal_rate))"
@@ -57,7 +61,7 @@ def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)") ->
         scheduled.selectExpr(
             "*",
             "sign * notional AS principal",
-            f"transform(reset_dates, d -> {observed}) AS observed_rates",
+            f"{rates or f'transform(reset_dates, d -> {observed})'} AS observed_rates",
             f"if(size(reset_dates) > 0, {timeline}, NULL) AS timeline",
         )
         .selectExpr(
@@ -295,6 +299,23 @@ def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     return _in_order(nested, keep)
 
 
+def regrouped(
+    events: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], at: str, most: int = HOT_ROWS
+) -> DataFrame:
+    """Event rows back to one row per contract: the ``keys``, ``part``, and an array for each of the ``columns``.
+
+    ``keys`` tell the contracts apart, also two of one id. The arrays are parallel, in the ``order`` given.
+    A contract of more than about ``most`` rows comes in parts that follow each other in the order of the
+    long ``at``, which ``order`` begins with, so that no row or task holds more; others have part 0 alone.
+    Rows that are equal in ``order`` and ``columns`` stay as many as they are.
+    """
+    cut = with_splits(events, keys, at, most)
+    row = F.struct(*[F.col(c).alias(f"by{k}") for k, c in enumerate(order)], F.struct(*columns).alias("event"))
+    listed = cut.groupBy(*keys, SPLIT).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    arrays = [F.col(f"rows.event.`{c}`").alias(c) for c in columns]
+    return listed.select(*keys, F.col(SPLIT).alias("part"), *arrays)
+
+
 def unnested(nested: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parallel arrays back to one row per event."""
     arrays = [c for c in nested.columns if c not in keep]

@@ -169,9 +169,11 @@ UNOBSERVED = f"""
 obs AS (SELECT NULL::BIGINT AS k, NULL::DATE AS d, 'base' AS scenario, NULL::DOUBLE AS seen WHERE false)"""
 
 
-def states(t0: str, full: bool, market: bool, scenarios: bool = False) -> str:
+def states(
+    t0: str, full: bool, market: bool, scenarios: bool = False, contracts: str = CONTRACTS, resets_only: str = "true"
+) -> str:
     """CTEs up to ``events``: every event with value, nominal, accrued and rate after it."""
-    parts = [CONTRACTS] + ([MARKET] if market else []) + [schedule(t0, full)]
+    parts = [contracts] + ([MARKET] if market else []) + [schedule(t0, full, resets_only)]
     parts.append(observed(scenarios) if market else UNOBSERVED)
     premium = "premium" if full else "0e0"
     step = f"""
@@ -212,8 +214,8 @@ events AS (
     return "WITH RECURSIVE " + ",".join(parts) + "," + step
 
 
-def event_table(t0: str, full: bool, market: bool) -> str:
-    return states(t0, full, market) + f"""
+def event_table(t0: str, full: bool, market: bool, contracts: str = CONTRACTS, resets_only: str = "true") -> str:
+    return states(t0, full, market, False, contracts, resets_only) + f"""
 SELECT contract_id, d::VARCHAR AS date, type, currency, {money('value')} AS value, {money('nominal')} AS nominal,
   {money('accrued')} AS accrued
 FROM events"""
@@ -348,47 +350,123 @@ SELECT o_orderkey, coalesce(text, p || n || u || s) AS cycle,
 FROM judged LEFT JOIN odd_cycles USING (odd)"""
 
 
-def _spoiled(policy: str) -> str:
+# The contracts with the texts planted in the terms that the events show.
+PLANTED = CONTRACTS.replace("contracts AS (", "plain AS (", 1) + """,
+raw AS (SELECT * REPLACE (
+    CASE WHEN k % 139 <> 0 THEN contract_id END AS contract_id, CASE WHEN k % 137 <> 0 THEN currency END AS currency,
+    CASE WHEN k % 149 <> 0 THEN pprd END AS pprd, CASE WHEN k % 151 <> 0 THEN ptd END AS ptd) FROM plain)"""
+# Of the planted texts, those that are a fault of a contract.
+FAULTY = """(k % 101 = 0 AND k % 149 <> 0 OR k % 103 = 0 OR k % 107 = 0 OR k % 109 = 0 OR k % 113 = 0 OR k % 127 = 0
+  OR k % 137 = 0 OR k % 139 = 0 OR k % 157 = 0 OR k % 163 = 0 OR k % 11 = 0 AND k % 149 = 0 OR k % 13 = 0 AND k % 151 = 0)"""
+
+
+def _spoiled(policy: str, t0: str = BEFORE_ALL) -> str:
     """Status and number of events of every contract with the planted faults."""
     names = list(FULL_TERMS)
-    raw = CONTRACTS.replace("contracts AS (", "raw AS (", 1)
     cuts = {"maturity_date": "k % 103 = 0"} | BREAKING if policy == "truncate" else {}
     cases = " ".join(f"WHEN {test} THEN {names.index(name)}" for name, test in cuts.items())
     cut = f"CASE {cases} ELSE 99 END" if cuts else "99"
     broken = " ".join(f"WHEN {test} THEN 'unreadable {name}'" for name, test in cuts.items())
-    unread = (
-        [f"CASE {broken} END"]
-        if cuts
-        else ["CASE WHEN k % 103 = 0 THEN 'unreadable maturity_date' END", "CASE WHEN k % 101 = 0 THEN 'unreadable purchase_price' END"]
-    )
+    unread = "CASE WHEN k % 101 = 0 AND k % 149 <> 0 THEN 'unreadable purchase_price' END"
+    errors = [f"CASE {broken} END"] if cuts else ["CASE WHEN k % 103 = 0 THEN 'unreadable maturity_date' END", unread]
+
+    def upto(term: str, value: str) -> str:
+        return f"CASE WHEN cut > {names.index(term)} THEN {value} END"
+
+    def without(price: str, date: str, term: str) -> str:
+        other = "" if cuts else f" AND NOT (k % 101 = 0 AND k % 149 <> 0 AND '{term}' = 'purchase_price')"
+        return f"CASE WHEN cut > {names.index(term)} AND {date} IS NOT NULL AND {price} IS NULL{other} THEN 'missing {term}' END"
+
     faults = [
-        *unread,
+        *errors,
+        "CASE WHEN k % 139 = 0 THEN 'missing contract_id' END",
+        "CASE WHEN k % 137 = 0 THEN 'missing currency' END",
         f"CASE WHEN cut <= {names.index('notional')} THEN 'missing notional' END",
+        without("pprd", "prd", "purchase_price"),
+        without("ptd", "td", "termination_price"),
+        upto("notional", "CASE WHEN k % 157 = 0 THEN 'not finite notional' END"),
+        upto("premium_discount", "CASE WHEN k % 163 = 0 THEN 'not finite premium_discount' END"),
         "CASE WHEN k % 107 = 0 OR k % 127 = 0 THEN 'unknown interest_cycle' END",
         "CASE WHEN k % 109 = 0 THEN 'unknown day_count' END",
         "CASE WHEN k % 113 = 0 THEN 'unknown role' END",
     ]
-
-    def upto(term: str, value: str) -> str:
-        return f"CASE WHEN cut > {names.index(term)} THEN {value} END"
-
-    return f"""WITH {raw},
+    return f"""WITH {PLANTED},
 cut_terms AS (SELECT *, {cut} AS cut FROM raw),
 contracts AS (SELECT * REPLACE (
     CASE WHEN k % 103 <> 0 THEN md END AS md, CASE WHEN k % 107 <> 0 AND k % 127 <> 0 THEN ip_months END AS ip_months,
     {upto('purchase_date', 'prd')} AS prd, {upto('termination_date', 'td')} AS td,
     {upto('reset_cycle', "CASE WHEN k % 131 <> 0 OR reset_code IS NOT NULL THEN reset_code END")} AS reset_code,
     {upto('next_reset_rate', 'next_rate')} AS next_rate) FROM cut_terms),
-{schedule(BEFORE_ALL, True, "(k % 131 <> 0 OR j = 0)")},
+{schedule(t0, True, "(k % 131 <> 0 OR j = 0)")},
 given AS (
   SELECT n.k, count(*) AS n FROM named n JOIN terms t ON n.k = t.k
-  WHERE md IS NOT NULL AND (bought IS NULL OR bought > coalesce(stop, md) OR n.d > bought OR (n.d = bought AND seq >= 5))
+  WHERE md IS NOT NULL AND (bought IS NULL OR bought <= DATE '{t0}' OR bought > coalesce(stop, md) OR n.d > bought
+    OR (n.d = bought AND seq >= 5))
   GROUP BY n.k)
 SELECT '{policy}' AS policy, contract_id, coalesce(n, 0) AS n_events,
   coalesce(nullif(concat_ws(', ', {', '.join(faults)}), ''), 'ok') AS contract_status
 FROM contracts LEFT JOIN given USING (k)"""
 
 
+def _faulty_files() -> str:
+    """Events of the contracts without a fault, and a status of every contract."""
+    good = PLANTED + f", contracts AS (SELECT * FROM raw WHERE NOT {FAULTY})"
+    events = event_table(MIDWAY, True, True, good, "(k % 131 <> 0 OR j = 0)")
+    return f"""
+SELECT 'event' AS record, contract_id, date, type, currency, value, nominal, accrued, NULL AS contract_status,
+  NULL::BIGINT AS n_events FROM ({events})
+UNION ALL
+SELECT 'status', contract_id, NULL, NULL, NULL, NULL, NULL, NULL, contract_status, n_events
+FROM ({_spoiled('keep_good', MIDWAY)})"""
+
+
+def _scenario_values() -> str:
+    """Sums by scenario, with what accrues as running sums over windows."""
+    return f"""WITH {CONTRACTS}, {MARKET}, {schedule(MIDWAY, True)},
+scenarios AS (SELECT n_name || '_' || j AS scenario, (n_nationkey * 8 + j - 100) / 10000e0 AS shift FROM nation, range(0, 8) AS g(j)),
+seen AS (
+  SELECT n.k, n.d, coalesce(s.v, c.v) AS v
+  FROM (SELECT n.k, n.d, reset_code FROM named n JOIN contracts c ON n.k = c.k WHERE seq = 4) n
+  ASOF LEFT JOIN (SELECT * FROM series WHERE kind = 'ReferenceRate') s ON n.reset_code = s.code AND n.d >= s.m
+  LEFT JOIN (SELECT * FROM curves WHERE tenor = '6M') c ON n.reset_code = c.code),
+moving AS (SELECT DISTINCT k FROM seen WHERE v IS NOT NULL),
+opening AS (
+  SELECT t.k, coalesce((SELECT max(p.d) FROM paydays p WHERE p.k = t.k AND p.d <= DATE '{MIDWAY}'), t.ied) AS d FROM terms t),
+dated AS (
+  SELECT n.k, n.d, n.seq, seen.v, coalesce(lag(n.d) OVER (PARTITION BY n.k ORDER BY n.d, n.seq), o.d) AS before
+  FROM named n JOIN opening o ON n.k = o.k LEFT JOIN seen ON n.seq = 4 AND seen.k = n.k AND seen.d = n.d),
+spread AS (
+  SELECT d.*, s.scenario, s.shift FROM dated d JOIN moving USING (k), scenarios s
+  UNION ALL SELECT d.*, '', 0e0 FROM dated d ANTI JOIN moving USING (k)),
+rated AS (
+  SELECT x.*, coalesce(last_value(CASE x.seq WHEN 3 THEN c.next_rate WHEN 4 THEN v + shift + c.spread END IGNORE NULLS)
+      OVER (PARTITION BY x.scenario, x.k ORDER BY x.d, x.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), c.rate) AS r,
+    coalesce(sum(CASE WHEN x.seq IN (2, 6, 7) THEN 1 ELSE 0 END)
+      OVER (PARTITION BY x.scenario, x.k ORDER BY x.d, x.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stretch
+  FROM spread x JOIN contracts c ON x.k = c.k),
+owed AS (
+  SELECT x.*, sum({years('x.before', 'x.d', 'c.dc')} * r * (c.sgn * c.notional))
+    OVER (PARTITION BY x.scenario, x.k, stretch ORDER BY x.d, x.seq ROWS UNBOUNDED PRECEDING) AS due
+  FROM rated x JOIN contracts c ON x.k = c.k),
+valued AS (
+  SELECT scenario, currency, CASE seq WHEN 1 THEN -sgn * (notional + premium) WHEN 2 THEN due WHEN 5 THEN -sgn * pprd - due
+    WHEN 6 THEN sgn * ptd + due WHEN 7 THEN sgn * notional + due ELSE 0e0 END AS value
+  FROM owed JOIN terms t ON owed.k = t.k
+  WHERE bought IS NULL OR bought <= DATE '{MIDWAY}' OR bought > coalesce(stop, md) OR owed.d > bought OR (owed.d = bought AND seq >= 5)),
+sums AS (SELECT scenario, currency, count(*) AS n, sum(value) AS total FROM valued GROUP BY ALL),
+all_sums AS (
+  SELECT * FROM sums WHERE scenario <> ''
+  UNION ALL SELECT s.scenario, currency, n, total FROM sums, scenarios s WHERE sums.scenario = '')
+SELECT scenario, currency, sum(n)::BIGINT AS n_events, floor(sum(total) / 1000e0 + 0.5e0)::BIGINT AS thousands
+FROM all_sums GROUP BY ALL"""
+
+
+PART_RATES = """rates AS (
+  SELECT 'PRT_' || l_partkey AS code, date_trunc('month', l_shipdate)::DATE AS m,
+    ((2 * sum(round(l_discount * 100)::BIGINT) * 10000 + count(*)) // (2 * count(*)))::BIGINT / 1000000e0 AS v
+  FROM lineitem GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     spans = "SELECT *, l_shipdate::DATE AS a, (l_shipdate::DATE + (l_orderkey % 2000)::INT)::DATE AS b FROM lineitem"
     fractions = ", ".join(
@@ -438,6 +516,17 @@ FROM probes p ASOF LEFT JOIN series s ON p.code = s.code AND p.date >= s.m""",
 probes AS (SELECT o_orderkey, 'CRV_' || (o_orderkey % 5) AS curve, o_orderkey % 4380 AS days FROM orders)
 SELECT o_orderkey, curve, days, {half_up('v + (days / 365e0 - base) * slope', 10)} AS rate
 FROM probes LEFT JOIN pieces ON curve = key AND days / 365e0 >= lo AND days / 365e0 < hi""",
+        "asof_events": """WITH types AS (SELECT *, CASE event_type WHEN 'click' THEN 'error' WHEN 'error' THEN 'purchase'
+    WHEN 'purchase' THEN 'signup' WHEN 'signup' THEN 'view' ELSE 'click' END AS asked FROM events),
+seen AS (SELECT user_id, event_type, ts, max(value) AS value FROM events GROUP BY ALL)
+SELECT event_id, t.user_id, asked, s.value AS earlier_value
+FROM types t ASOF LEFT JOIN seen s ON t.user_id = s.user_id AND t.asked = s.event_type AND t.ts > s.ts""",
+        "period_lookup": f"""WITH {CONTRACTS},
+paydays AS ({interest_dates("1 = 1")}),
+bounds AS (SELECT k, ied AS d FROM contracts UNION ALL SELECT k, d FROM paydays),
+periods AS (SELECT k, d AS lo, lead(d) OVER (PARTITION BY k ORDER BY d) AS hi FROM bounds)
+SELECT l_orderkey, l_linenumber, l_shipdate::DATE::VARCHAR AS shipped, lo::VARCHAR AS period_start, hi::VARCHAR AS period_end
+FROM lineitem JOIN periods ON l_orderkey = k AND l_shipdate::DATE >= lo AND l_shipdate::DATE < hi""",
         "pam_schedule": states(BEFORE_ALL, True, False)
         + " SELECT contract_id, d::VARCHAR AS date, type FROM events",
         "pam_rate_path": states(BEFORE_ALL, True, True)
@@ -451,12 +540,14 @@ WHERE type IN ('RR', 'RRF')""",
         "pam_events_fixed": event_table(BEFORE_ALL, full=False, market=False),
         "pam_events_running": event_table(MIDWAY, full=False, market=False),
         "pam_events_floating": event_table(MIDWAY, full=True, market=True),
+        "states_from_rows": event_table(MIDWAY, full=True, market=True),
         "pam_purchase_termination": event_table(BEFORE_ALL, full=True, market=False),
         "event_counts": states(MIDWAY, False, False)
         + """
 SELECT c.contract_id, count(e.k) AS n_events FROM contracts c LEFT JOIN events e ON c.k = e.k GROUP BY ALL""",
         "events_nested": _nested(),
         "events_text_lines": _nested(),
+        "events_regrouped": _nested(),
         "events_flat": states(BEFORE_ALL, True, True, scenarios=True)
         + f""", pieces AS ({segments(zero_curve)})
 SELECT e.scenario AS "riskScenario", c_mktsegment AS portfolio, contract_id AS id, d::VARCHAR AS date, type, currency,
@@ -468,6 +559,7 @@ LEFT JOIN pieces p ON e.scenario = p.key AND date_diff('day', DATE '{BEFORE_ALL}
   AND date_diff('day', DATE '{BEFORE_ALL}', d) / 365e0 < hi""",
         "events_spoiled": f"SELECT * FROM ({_spoiled('keep_good')}) UNION ALL SELECT * FROM ({_spoiled('truncate')})",
         "events_from_files": event_table(MIDWAY, full=True, market=True),
+        "events_from_faulty_files": _faulty_files(),
         "rf_lookup_large": """WITH probes AS (
   SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'PRT_1' ELSE 'PRT_' || o_custkey END AS code,
     (o_orderdate::DATE + to_months(12))::DATE AS date FROM orders),
@@ -477,6 +569,18 @@ rates AS (
   FROM lineitem GROUP BY ALL)
 SELECT way, o_orderkey, p.code, date::VARCHAR AS date, r.v AS rate
 FROM probes p ASOF LEFT JOIN rates r ON p.code = r.code AND p.date >= r.m, (VALUES ('broadcast'), ('merged')) AS ways(way)""",
+        "lookup_bucketed": f"""WITH probes AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'PRT_1' ELSE 'PRT_' || o_custkey END AS code,
+    (o_orderdate::DATE + to_months(12))::DATE AS date FROM orders), {PART_RATES}
+SELECT o_orderkey, p.code, date::VARCHAR AS date, r.v AS rate
+FROM probes p ASOF LEFT JOIN rates r ON p.code = r.code AND p.date >= r.m""",
+        "lookup_filtered": f"""WITH probes AS (
+  SELECT o_orderkey, 'PRT_' || (100 * (o_custkey % 20) + 1) AS code, (o_orderdate::DATE + to_months(12))::DATE AS date
+  FROM orders), {PART_RATES},
+used AS (SELECT count(*) AS n FROM (SELECT DISTINCT code FROM rates) SEMI JOIN probes USING (code))
+SELECT o_orderkey, p.code, date::VARCHAR AS date, r.v AS rate, (SELECT n FROM used) AS lines_parsed
+FROM probes p ASOF LEFT JOIN rates r ON p.code = r.code AND p.date >= r.m""",
+        "scenario_values": _scenario_values(),
         "discount_factor": f"""WITH {CONTRACTS}, {MARKET}, {shifts(True)},
 pieces AS ({segments(zero_curve)}),
 ahead AS (SELECT contract_id, md, date_diff('day', DATE '{MIDWAY}', md) / 365e0 AS y FROM contracts WHERE md > DATE '{MIDWAY}')
@@ -487,6 +591,11 @@ FROM ahead JOIN pieces ON y >= lo AND y < hi""",
 SELECT contract_id AS id, d::VARCHAR AS date, type, currency, {money('value')} AS value, {money('nominal')} AS nominal,
   {money('accrued')} AS accrued
 FROM events, range(0, 2)""",
+        "csv_append_once": states(BEFORE_ALL, False, False)
+        + f"""
+SELECT contract_id AS id, d::VARCHAR AS date, type, currency, {money('value')} AS value, {money('nominal')} AS nominal,
+  {money('accrued')} AS accrued
+FROM events""",
         "catalog_roundtrip": "SELECT o_orderkey::INT AS id, strftime(o_orderdate, '%d.%m.%Y') AS datum FROM orders",
         "run_log_table": f"""WITH {MARKET}
 SELECT 'events' AS class_name, 'parquet' AS output, '4g' AS ram, count(*)::VARCHAR AS contracts,

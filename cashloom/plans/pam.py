@@ -11,14 +11,18 @@ from cashloom.functions import quoted, quoted_list
 from cashloom.functions.cycles import tenor_years
 from cashloom.functions.text import date_text
 from cashloom.operators.asof import as_of, with_series
-from cashloom.operators.curve import curve_rate, discount_factor, with_curve, years_after
+from cashloom.operators.curve import curve_rate, day_years, discount_factor, with_curve, years_after
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup, reset_status
 from cashloom.operators.schedule import with_schedule
 from cashloom.operators.states import flat_events, with_states
+from cashloom.session import materialised
 from cashloom.sources.analysis_date import with_analysis_date
 from cashloom.sources.contracts import with_full_terms
 from cashloom.sources.market import BASE_SCENARIO, REFERENCE_RATE
 
+# Days from the analysis date on whose discount factors are worked out beforehand: fifty years.
+FACTOR_DAYS = 18_262
+
 
 def evaluate(
     contracts: DataFrame,
@@ -93,20 +97,26 @@ def with_error_row(table: DataFrame, unknown: Column) -> DataFrame:
     return table.unionByName(checked, allowMissingColumns=True)
 
 
-def discounted(events: DataFrame, market: DataFrame, curve: str) -> DataFrame:
+def discounted(events: DataFrame, market: DataFrame, curve: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``discount``: the factor of the event date on the curve, from the analysis date on.
 
-    ``events`` carry ``scenario``, ``t0`` and ``date``. The curve of every scenario is one value of the
-    plan: as many points as scenarios and tenors.
+    ``events`` carry ``scenario``, ``t0`` and ``date``. Every scenario has one row with the factors of the days
+    to come, worked out once and joined by the scenario; only for a day beyond them the curve is
+    searched for the event itself.
     """
     if "scenario" not in market.columns:
         market = market.withColumn("scenario", F.lit(BASE_SCENARIO))
     curves = with_curve(market.where(f"code = {quoted(curve)}"))
-    by_scenario = curves.agg(F.map_from_entries(F.collect_list(F.struct("scenario", "curve"))).alias("curves")).scalar()
-    years = years_after("t0", "date")
-    found = events.withColumn("__curve_now", F.try_element_at(by_scenario, F.col("scenario")))
-    rated = found.withColumn("zero_rate", F.expr(curve_rate("__curve_now", years)))
-    return rated.withColumn("discount", F.expr(discount_factor("zero_rate", years))).drop("zero_rate", "__curve_now")
+
+    def factor(years: str, of: str) -> str:
+        return discount_factor(curve_rate(of, years), years)
+
+    by_day = f"transform(sequence(0, {FACTOR_DAYS}), __day -> {factor(day_years('__day'), 'curve')})"
+    factors = curves.selectExpr("scenario", "curve AS __curve_now", f"{by_day} AS __factors")
+    found = lookup(events, materialised(factors), ["scenario"], limit)
+    later = factor(years_after("t0", "date"), "__curve_now")
+    discount = F.expr(f"coalesce(get(__factors, datediff(date, t0)), {later})")
+    return found.withColumn("discount", discount).drop("__factors", "__curve_now")
 
 
 def event_records(evaluated: DataFrame, market: DataFrame, curve: str) -> DataFrame:

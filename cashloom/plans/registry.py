@@ -11,16 +11,20 @@ from cashloom.functions import numbers, quoted, quoted_list
 from cashloom.functions.cycles import parse_cycle
 from cashloom.functions.daycount import ACTUAL_360, ACTUAL_365, ACTUAL_ACTUAL, THIRTY_E_360, year_fraction
 from cashloom.functions.text import date_text
-from cashloom.operators.asof import asof_join
+from cashloom.operators.asof import as_of, asof_join, with_series
 from cashloom.operators import states
 from cashloom.operators.curve import interpolate
 from cashloom.operators.hits import hit_ratio, spread_points
+from cashloom.operators.intervals import interval_join
 from cashloom.operators.lookup import reset_status, scaling_status, with_reset_object, with_scaling_object
 from cashloom.operators.schedule import event_name, role_sign
-from cashloom.operators.states import event_rows, flat_events, nested_events, unnested
+from cashloom.operators.splits import asof_rows
+from cashloom.operators.states import event_rows, flat_events, nested_events, regrouped, unnested
 from cashloom.operators.tokens import token_arrays, token_counts
 from cashloom.plans import job
 from cashloom.plans.pam import discounted, evaluate, event_records
+from cashloom.plans.rows import evaluate_rows
+from cashloom.plans.scenarios import scenario_totals
 from cashloom.plans.testdata import (
     BEFORE_ALL,
     DISCOUNT_CURVE,
@@ -30,18 +34,22 @@ from cashloom.plans.testdata import (
     market_lines,
     market_table,
     part_market,
+    part_market_lines,
+    scenario_table,
     short_contract_lines,
     table,
 )
-from cashloom.session import configure, new_folder, spread
+from cashloom.session import configure, materialised, new_folder, spread
 from cashloom.sources.analysis_date import first_date, with_analysis_date
+from cashloom.sources.batches import append_once, read_batches, written
 from cashloom.sources.catalog import create_table, drop_table, insert_rows, select_all
 from cashloom.sources.contracts import KEEP_GOOD, TRUNCATE, parse_contracts
 from cashloom.sources.layouts import DATE, FULL_LAYOUT, SHORT_LAYOUT, Term
 from cashloom.sources.lines import read_lines
-from cashloom.sources.market import curve_points, dated_points, last_per_code, parse_market
+from cashloom.sources.market import curve_points, dated_points, last_per_code, lines_of, parse_market
 from cashloom.sources.runlog import append_runs, read_runs
 from cashloom.sources.sinks import append_csv, read_csv, read_text_rows, write_text_rows
+from cashloom.sources.stored import drop_stored, lookup_stored, store_by_code
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,6 +263,42 @@ def rf_lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broadcast.unionByName(merged).selectExpr("way", "o_orderkey", "code", f"{date_text('date')} AS date", "rate")
 
 
+def _part_probes(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
+        "o_orderkey", f"{part} AS code", "add_months(cast(o_orderdate AS date), 12) AS date"
+    )
+
+
+def lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and rates of parts stored by code in buckets, and joined without moving either.
+
+    A third of the orders have one part, a fifth have none: these lie apart.
+    """
+    part = "CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'PRT_1' ELSE concat('PRT_', o_custkey) END"
+    location = new_folder(spark, "by_code")
+    probes, objects = (f"{location.rsplit('/', 1)[1].replace('-', '_')}_{n}" for n in ("probes", "objects"))
+    store_by_code(_part_probes(spark, sf_dir, part), "code", probes, f"{location}/probes", buckets=8, hot_rows=500)
+    series = with_series(part_market(spark, sf_dir)).select("code", "series")
+    store_by_code(series, "code", objects, f"{location}/objects", buckets=8)
+    found = lookup_stored(spark, probes, objects, "code")
+    rated = found.selectExpr("o_orderkey", "code", f"{date_text('date')} AS date", f"{as_of('series', 'date')} AS rate")
+    for name in (probes, objects):
+        drop_stored(spark, name)  # the rows stay readable: they lie in the folder of this run
+    return rated
+
+
+def lookup_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates for orders that use a few parts' series of a file, whose other lines are never parsed."""
+    path = new_folder(spark, "parts")
+    part_market_lines(spark, sf_dir).write.text(path)
+    probes = _part_probes(spark, sf_dir, "concat('PRT_', 100 * (o_custkey % 20) + 1)")
+    used = materialised(lines_of(read_lines(spark, path), probes.select("code")))
+    market = last_per_code(parse_market(used))
+    parsed = used.agg(F.count(F.lit(1)).alias("n")).scalar()
+    found = asof_join(probes, market, "code", "date", "rate")
+    return found.select("o_orderkey", "code", F.expr(date_text("date")).alias("date"), "rate", parsed.alias("lines_parsed"))
+
+
 def rate_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference rate per order at dates from before the first observation to after the last."""
     probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
@@ -275,6 +319,44 @@ def curve_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("o_orderkey", "curve", "days", f"{half_up('rate', RATE_DIGITS)} AS rate")
 
 
+# The next of these is what an event asks for.
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def asof_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every event the last earlier value of its user's events of the next type; keys are cut at 400 rows."""
+    asked = f"element_at(array({quoted_list(EVENT_TYPES)}), cast(array_position(array({quoted_list(EVENT_TYPES)}), event_type) % 5 AS int) + 1)"
+    seconds = "unix_date(cast(ts AS date)) * 86400L + hour(ts) * 3600 + minute(ts) * 60"  # of no time zone
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "event_type", "value", f"({seconds}) * 1000000 + cast(extract(SECOND FROM ts) * 1000000 AS bigint) AS micros"
+    )
+    probes = events.selectExpr("event_id", "user_id", "micros", f"{asked} AS asked")
+    seen = events.selectExpr("user_id", "event_type AS asked", "micros", "value AS earlier_value")
+    found = asof_rows(probes, seen, ["user_id", "asked"], "micros", ["earlier_value"], strict=True, hot_rows=400)
+    return found.select("event_id", "user_id", "asked", "earlier_value")
+
+
+def period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interest period of each line item's order that its ship date falls into."""
+    scheduled = evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL)
+    bounds = "concat(array(initial_exchange_date), interest_dates)"
+    periods = scheduled.selectExpr(
+        "cast(substring(contract_id, 3) AS bigint) AS l_orderkey",
+        f"explode_outer(transform({bounds}, (d, i) -> struct(unix_date(d) AS lo, unix_date(get({bounds}, i + 1)) AS hi))) AS p",
+    ).selectExpr("l_orderkey", "cast(p.lo AS bigint) AS lo", "cast(p.hi AS bigint) AS hi")
+    shipped = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "cast(unix_date(cast(l_shipdate AS date)) AS bigint) AS day"
+    )
+    found = interval_join(shipped, periods, ["l_orderkey"], "day", "lo", "hi", width=28)
+
+    def text(day: str) -> str:
+        return f"{date_text(f'date_from_unix_date(cast({day} AS int))')}"
+
+    return found.selectExpr(
+        "l_orderkey", "l_linenumber", f"{text('day')} AS shipped", f"{text('lo')} AS period_start", f"{text('hi')} AS period_end"
+    )
+
+
 # --- contract evaluation ---------------------------------------------------------------------
 
 
@@ -305,6 +387,12 @@ def pam_events_floating(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_table(flat_events(evaluated))
 
 
+def states_from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of ``pam_events_floating`` from rows alone; contracts are cut at 30 events."""
+    events = evaluate_rows(_full_contracts(spark, sf_dir), MIDWAY, market_table(spark, sf_dir), hot_rows=30)
+    return _event_table(events)
+
+
 def pam_purchase_termination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_table(flat_events(evaluate(_full_contracts(spark, sf_dir), BEFORE_ALL)))
 
@@ -346,6 +434,19 @@ def events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested_table(_floating_nested(spark, sf_dir))
 
 
+def events_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``events_nested`` out of a file of flat events, which keeps a number for each contract."""
+    numbered = materialised(_full_contracts(spark, sf_dir).withColumn("contract", F.monotonically_increasing_id()))
+    evaluated = evaluate(numbered, BEFORE_ALL, market_table(spark, sf_dir))
+    path = new_folder(spark, "flat")
+    flat_events(evaluated, keep=("contract",)).write.parquet(path)
+    events = spark.read.parquet(path).withColumnRenamed("date", "on").selectExpr(
+        "*", "contract_id AS id", f"{date_text('`on`')} AS date", "cast(unix_date(`on`) AS bigint) AS day"
+    )
+    columns = ["id", "date", "type", "currency", "value", "nominal", "accrued"]
+    return _nested_table(regrouped(events, ["contract"], columns, ["day", "kind"], "day"))
+
+
 def events_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row of status for every line of a file with faults, under both fault policies."""
 
@@ -357,16 +458,29 @@ def events_spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(KEEP_GOOD).unionByName(judged(TRUNCATE))
 
 
-def events_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contracts, market data and analysis date through files, and the events out of one."""
+def _job(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Contracts, market data and analysis date through files, and the two tables out of them."""
     paths = {name: new_folder(spark, name) for name in ("contracts", "market", "date", "events", "statuses")}
-    contract_lines(spark, sf_dir).write.text(paths["contracts"])
+    contract_lines(spark, sf_dir, **options).write.text(paths["contracts"])
     market_lines(spark, sf_dir).orderBy("place").select("value").write.text(paths["market"])
     days = table(spark, sf_dir, "orders").selectExpr(f"concat({quoted(MIDWAY)}, 'T00;', max(o_orderkey)) AS value")
     days.write.text(paths["date"])
     job.events_from_files(spark, **paths)
     events = spark.read.parquet(paths["events"]).withColumnRenamed("id", "contract_id")
-    return events.selectExpr("contract_id", "date", "type", "currency", *_money("value", "nominal", "accrued"))
+    rounded = events.selectExpr("contract_id", "date", "type", "currency", *_money("value", "nominal", "accrued"))
+    return rounded, spark.read.parquet(paths["statuses"]).withColumnRenamed("id", "contract_id")
+
+
+def events_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts, market data and analysis date through files, and the events out of one."""
+    return _job(spark, sf_dir)[0]
+
+
+def events_from_faulty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with every fault: the events of the contracts without one, and a status of every line."""
+    events, statuses = _job(spark, sf_dir, faults=True)
+    told = statuses.select(F.lit("status").alias("record"), "contract_id", "contract_status", "n_events")
+    return events.select(F.lit("event").alias("record"), "*").unionByName(told, allowMissingColumns=True)
 
 
 def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,6 +500,13 @@ def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scenario_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and their total value, in thousands, by currency in each of 200 scenarios."""
+    contracts, market = _full_contracts(spark, sf_dir), market_table(spark, sf_dir)
+    totals = scenario_totals(contracts, MIDWAY, market, scenario_table(spark, sf_dir), ("currency",), "sum(value)")
+    return totals.selectExpr("scenario", "currency", "n_events", "cast(floor(total / 1000D + 0.5D) AS bigint) AS thousands")
+
+
 def events_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested events written as text lines, one per contract, and read back."""
     path = new_folder(spark, "events-text")
@@ -404,6 +525,18 @@ def csv_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat events appended by batches of a currency each, one of them twice; what is half written is not there."""
+    folder = new_folder(spark, "events-batches")
+    events = unnested(nested_events(evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL)))
+    written(events, folder, "EUR")
+    for currency in ("EUR", "USD", "CHF", "EUR"):
+        append_once(events.where(F.col("currency") == currency), folder, currency)
+    return read_batches(spark, folder, FLAT_SCHEMA).selectExpr(
+        "id", "date", "type", "currency", *_money("value", "nominal", "accrued")
+    )
+
+
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order keys and their dates as text into a catalog table, and everything out of it."""
     location = new_folder(spark, "order_days")
@@ -473,22 +606,31 @@ ALL = [
     rf_lookup_scaling,
     rf_status,
     rf_lookup_large,
+    lookup_bucketed,
+    lookup_filtered,
     rate_asof,
     curve_interpolate,
+    asof_events,
+    period_lookup,
     pam_schedule,
     pam_rate_path,
     pam_events_fixed,
     pam_events_running,
     pam_events_floating,
+    states_from_rows,
     pam_purchase_termination,
     event_counts,
     events_nested,
+    events_regrouped,
     events_flat,
+    scenario_values,
     events_spoiled,
     events_from_files,
+    events_from_faulty_files,
     discount_factor,
     events_text_lines,
     csv_append_roundtrip,
+    csv_append_once,
     catalog_roundtrip,
     run_log_table,
     token_map,

@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Texts planted in the lines with faults: term, every how many contracts, text.
+# Texts planted in the lines with faults: term, every how many contracts, text; none is the marker.
 FAULTS = [
     ("maturity_date", 103, "2016-13-01"),
     ("interest_cycle", 107, "quarterly"),
@@ -45,6 +45,12 @@ FAULTS = [
     ("day_count", 109, "ACT/360"),
     ("role", 113, "BUY"),
     ("reset_cycle", 131, "200000000M"),
+    ("currency", 137, None),
+    ("contract_id", 139, None),
+    ("purchase_price", 149, None),
+    ("termination_price", 151, None),
+    ("notional", 157, "NaN"),
+    ("premium_discount", 163, "Infinity"),
 ]
 
 
@@ -56,7 +62,8 @@ def contract_terms(spoiled: bool = False, faults: bool = False) -> dict[str, str
     """
     terms = _plain_terms(spoiled or faults)
     for term, every, text in FAULTS if faults else []:
-        terms[term] = f"if(o_orderkey % {every} = 0, {quoted(text)}, {terms[term]})"
+        planted = "NULL" if text is None else quoted(text)
+        terms[term] = f"if(o_orderkey % {every} = 0, {planted}, {terms[term]})"
     return terms
 
 
@@ -205,6 +212,12 @@ def market_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated.unionByName(curves)
 
 
+def scenario_table(spark: SparkSession, sf_dir: str, steps: int = 8) -> DataFrame:
+    """Scenarios as data: ``steps`` shifts for each nation, ``scenario`` and ``shift``."""
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_name", f"explode(sequence(0, {steps - 1})) AS step")
+    return nations.selectExpr("concat(n_name, '_', step) AS scenario", f"(n_nationkey * {steps} + step - 100) / 10000D AS shift")
+
+
 def market_table(spark: SparkSession, sf_dir: str, scenarios: bool = False) -> DataFrame:
     """One row per market object, kept in shared storage: it is small and read more than once."""
     market = last_per_code(parse_market(market_lines(spark, sf_dir)))
@@ -228,3 +241,9 @@ def part_market(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transform(m, p -> concat(cast(p.month AS string), 'T00')) AS points",
         f"transform(m, p -> p.micros / {MICRO}) AS values",
     )
+
+
+def part_market_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objects of ``part_market`` as lines, ``value``."""
+    lists = [f"array_join({texts}, {quoted(LIST_SEPARATOR)})" for texts in ("points", "transform(values, v -> cast(v AS string))")]
+    return part_market(spark, sf_dir).selectExpr(f"concat_ws({quoted(FIELD_SEPARATOR)}, code, 'x', kind, {', '.join(lists)}) AS value")

@@ -34,6 +34,21 @@ def parse_market(lines: DataFrame) -> DataFrame:
     )
 
 
+def lines_of(lines: DataFrame, codes: DataFrame, limit: int = 64 * 1024 * 1024, code_bytes: int = 64) -> DataFrame:
+    """The market lines, still text, of the codes that are used; ``codes`` has the column ``code``.
+
+    A line is parsed into series only after that. The used codes are broadcast if they are few enough
+    for ``limit``, and otherwise joined with the lines' own codes.
+    """
+    used = codes.where("code IS NOT NULL").distinct()
+    few = used.limit(limit // code_bytes + 1).count() <= limit // code_bytes
+    first = f"substring_index(value, {quoted(FIELD_SEPARATOR)}, 1)"
+    wanted = used.withColumnRenamed("code", "__code")
+    found = lines.withColumn("__of", F.expr(first))
+    joined = found.join(F.broadcast(wanted) if few else wanted, F.col("__of") == F.col("__code"), "left_semi")
+    return joined.select(*lines.columns)
+
+
 def readable_points(pairs: str, *fields: str) -> str:
     """Whether an object has points and every one reads; ``pairs`` come from points and values."""
     bad = " OR ".join(f"__pair.{f} IS NULL" for f in fields)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cashloom.sources.batches import append_once, read_batches
 from cashloom.sources.sinks import append_csv, read_csv
 
 # Fields of a record, in file order.
@@ -23,3 +24,12 @@ def append_runs(runs: DataFrame, path: str) -> None:
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, RUN_SCHEMA)
+
+
+def append_runs_once(runs: DataFrame, folder: str, batch: str) -> bool:
+    """The records as a batch of that name, which a job that runs again does not add twice."""
+    return append_once(run_records(runs), folder, batch)
+
+
+def read_runs_once(spark: SparkSession, folder: str) -> DataFrame:
+    return read_batches(spark, folder, RUN_SCHEMA)

@@ -10,6 +10,7 @@ from evaluator import add_months, events
 from pyspark.sql import functions as F
 
 from cashloom.operators.states import event_counts, event_rows, flat_events, nested_events, unnested
+from cashloom.plans.job import events_from_files
 from cashloom.plans.pam import evaluate
 from cashloom.plans.testdata import contract_lines, market_table, rendered
 from cashloom.sources.contracts import parse_contracts
@@ -225,6 +226,15 @@ def test_unreadable_terms(spark):
         ({"reset_cycle": "3 X -", "role": "NULL"}, "unknown reset_cycle, unknown role"),
         ({"maturity_date": "NULL", "notional": "x"}, "unreadable notional, missing maturity_date"),
         ({"maturity_date": "2014-01-01"}, "matures before its exchange"),
+        ({"currency": "NULL"}, "missing currency"),
+        ({"contract_id": "NULL"}, "missing contract_id"),
+        ({"purchase_date": "2015-06-01"}, "missing purchase_price"),
+        ({"purchase_date": "2015-06-01", "purchase_price": "990"}, "ok"),
+        ({"purchase_date": "2015-06-01", "purchase_price": "x"}, "unreadable purchase_price"),
+        ({"termination_date": "2015-06-01"}, "missing termination_price"),
+        ({"notional": "NaN"}, "not finite notional"),
+        ({"nominal_rate": "Infinity", "premium_discount": "-Infinity"}, "not finite nominal_rate, not finite premium_discount"),
+        ({"rate_spread": "NaN", "next_reset_rate": "NaN"}, "not finite rate_spread, not finite next_reset_rate"),
     ],
 )
 def test_contract_status_comes_with_the_events(spark, terms, status):
@@ -234,6 +244,25 @@ def test_contract_status_comes_with_the_events(spark, terms, status):
     assert {r["contract_status"] for r in flat_events(evaluated, keep=("contract_status",)).collect()} <= {status}
 
 
+def test_no_line_ends_the_job(spark, tmp_path):
+    """Each fault alone in a file with a good contract: events of the good one, a status of both."""
+    faults = [
+        {"currency": "NULL"}, {"contract_id": "NULL"}, {"notional": "NaN"}, {"notional": "NULL"}, {"nominal_rate": "x"},
+        {"purchase_date": "2015-06-01"}, {"termination_date": "2015-06-01"}, {"role": "BUY"}, {"maturity_date": "2016-13-01"},
+        {"premium_discount": "Infinity"}, {"day_count": "NULL"}, {"interest_cycle": "3 X -"}, {"initial_exchange_date": "NULL"},
+    ]
+    paths = {n: str(tmp_path / n) for n in ("contracts", "market", "date", "events", "statuses")}
+    lines = [line(contract_id="GOOD"), *[line(**f) for f in faults], "", ";;;"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(paths["contracts"])
+    spark.createDataFrame([(x,) for x in MARKET], "value string").write.text(paths["market"])
+    spark.createDataFrame([(f"{T0}T00;x",)], "value string").write.text(paths["date"])
+    events_from_files(spark, **paths)
+    events, statuses = spark.read.parquet(paths["events"]), spark.read.parquet(paths["statuses"])
+    assert {r.id for r in events.collect()} == {"GOOD"} and events.count() == 6
+    assert [r.n_events for r in statuses.where("contract_status = 'ok'").collect()] == [6]
+    assert statuses.where("contract_status <> 'ok'").count() == len(faults) + 2
+
+
 def test_unreadable_market_objects(spark):
     market = ["REF;x;ReferenceRate;2015-05-01T00!bad;0.06!0.24", "CRV;x;TermStructure;6M!1Y;0.05"]
     table = last_per_code(parse_market(lines_from(spark, market)))

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from cashloom.operators.states import regrouped
+from cashloom.plans import registry
+from cashloom.sources.batches import append_once, batches, is_published, published, read_batches, written
+from cashloom.sources.lines import lines_from
+from cashloom.sources.market import lines_of
+from cashloom.sources.runlog import append_runs_once, read_runs_once
+from cashloom.sources.stored import drop_stored, lookup_stored, store_by_code
+
+SCHEMA = "a long, b string"
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(v, f"t{v}") for v in values], SCHEMA)
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_a_batch_comes_once(spark, tmp_path, kind):
+    folder = str(tmp_path / "out")
+    assert read_batches(spark, folder, SCHEMA, kind).count() == 0
+    assert append_once(rows(spark, 1, 2), folder, "day 1/ü", kind) is True
+    assert append_once(rows(spark, 1, 2), folder, "day 1/ü", kind) is False
+    assert append_once(rows(spark, 3), folder, "day 2", kind) is True
+    assert sorted(r.a for r in read_batches(spark, folder, SCHEMA, kind).collect()) == [1, 2, 3]
+    assert is_published(spark, folder, "day 2") and not is_published(spark, folder, "day 3")
+    assert len(batches(spark, folder)) == 2
+
+
+def test_half_written_batches_are_not_there(spark, tmp_path):
+    folder = str(tmp_path)
+    written(rows(spark, 9), folder, "x")  # a job that broke before it published
+    assert read_batches(spark, folder, SCHEMA).count() == 0
+    first, second = written(rows(spark, 1), folder, "x"), written(rows(spark, 1), folder, "x")
+    assert published(spark, folder, "x", first) is True
+    assert published(spark, folder, "x", second) is False  # of two at once one adds
+    assert [r.a for r in read_batches(spark, folder, SCHEMA).collect()] == [1]
+    assert len(list((tmp_path / "_batches").glob("batch-*"))) == 1
+
+
+def test_a_job_that_fails_leaves_nothing(spark, tmp_path):
+    broken = rows(spark, 1).withColumn("b", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        append_once(broken, str(tmp_path), "x")
+    assert read_batches(spark, str(tmp_path), SCHEMA).count() == 0
+    assert append_once(rows(spark, 5), str(tmp_path), "x") is True
+    with pytest.raises(ValueError):
+        append_once(rows(spark, 5), str(tmp_path), "")
+
+
+def test_an_empty_batch_counts(spark, tmp_path):
+    assert append_once(rows(spark, 1).limit(0), str(tmp_path), "x") is True
+    assert append_once(rows(spark, 1), str(tmp_path), "x") is False
+    assert read_batches(spark, str(tmp_path), SCHEMA).count() == 0
+
+
+def test_run_log_once(spark, tmp_path):
+    run = spark.createDataFrame([("c", "o", "4g", 1, 2, "8", "r1", 5, 9)], "class_name string, output string, ram string, contracts long, risk_factors long, nodes string, run string, start long, stop long")
+    assert append_runs_once(run, str(tmp_path), "r1") and not append_runs_once(run, str(tmp_path), "r1")
+    assert [tuple(r) for r in read_runs_once(spark, str(tmp_path)).collect()] == [("c", "o", "4g", "1", "2", "8", "r1", 4)]
+
+
+def test_stored_lookup(spark, tmp_path):
+    given = [(n, None if n % 7 == 0 else "HOT" if n % 3 == 0 else f"c{n % 40}") for n in range(500)]
+    objects = [(f"c{n}", n) for n in range(30)] + [("HOT", 1000), (None, 5), ("unused", 6)]
+    probes = spark.createDataFrame(given, "n long, code string")
+    store_by_code(probes, "code", "t_probes", str(tmp_path / "p"), 4, hot_rows=50)
+    store_by_code(spark.createDataFrame(objects, "code string, v long"), "code", "t_objects", str(tmp_path / "o"), 4)
+    found = lookup_stored(spark, "t_probes", "t_objects", "code")
+    value = {c: v for c, v in objects if c}
+    assert sorted((r.n, r.code, r.v) for r in found.select("n", "code", "v").collect()) == sorted((n, c, value.get(c)) for n, c in given)
+    assert {r.code for r in spark.table("t_probes_others").select("code").distinct().collect()} == {None, "HOT"}
+    for name in ("t_probes", "t_objects"):
+        drop_stored(spark, name)
+    assert not spark.catalog.tableExists("t_probes")
+
+
+def test_stored_tables_are_joined_without_an_exchange(spark, small, tmp_path):
+    big = spark.range(20_000).selectExpr("id AS n", "concat('c', id % 3000) AS code")
+    store_by_code(big, "code", "s_probes", str(tmp_path / "p"), 8)
+    store_by_code(big.select("code").distinct().selectExpr("code", "code AS v"), "code", "s_objects", str(tmp_path / "o"), 8)
+    plan = lookup_stored(spark, "s_probes", "s_objects", "code")._jdf.queryExecution().executedPlan().toString()
+    merged = plan[plan.index("SortMergeJoin") :]
+    side = merged[: merged.index("s_objects")] if "s_objects" in merged else merged[:2500]
+    assert "Exchange" not in side and "Bucketed: true" in plan
+    for name in ("s_probes", "s_objects"):
+        drop_stored(spark, name)
+
+
+@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 64])
+def test_lines_of_used_codes(spark, limit):
+    texts = ["A;x;ReferenceRate;2015-01-01;1", "B;x;ReferenceRate;2015-01-01;2", "A;x;ReferenceRate;2015-01-01;3", "", "C", "AB;x"]
+    codes = spark.createDataFrame([("A",), ("A",), ("C",), ("Z",), (None,), ("",)], "code string")
+    got = lines_of(lines_from(spark, texts), codes, limit)
+    assert Counter(r.value for r in got.collect()) == Counter([texts[0], texts[2], "", "C"])
+    assert got.columns == ["value", "place"]
+
+
+def test_filtered_lookup_parses_a_hundredth(spark, small):
+    frame = registry.queries()["lookup_filtered"](spark, small)
+    parts = spark.read.parquet(f"{small}/part.parquet").count()
+    assert frame.first()["lines_parsed"] <= 0.02 * parts
+
+
+def test_regrouped_in_parts(spark):
+    events = spark.createDataFrame(
+        [(c, d, k, f"{c}{d}", float(d)) for c in (1, 2) for d in range(300 if c == 1 else 20) for k in (2, 1)] + [(3, 5, 1, "x", 0.0)] * 2,
+        "contract long, day long, kind int, id string, value double",
+    )
+    got = regrouped(events.repartition(5), ["contract"], ["id", "kind", "value"], ["day", "kind"], "day", most=100).orderBy("contract", "part").collect()
+    parts = [r for r in got if r.contract == 1]
+    assert len(parts) >= 4 and max(len(r.id) for r in parts) <= 260 and [r.part for r in parts] == sorted({r.part for r in parts})
+    assert [v for r in parts for v in r.value] == [float(d) for d in range(300) for _ in (1, 2)]
+    assert [v for r in parts for v in r.kind] == [1, 2] * 300
+    assert [(r.part, r.id) for r in got if r.contract == 3] == [(0, ["x", "x"])]
+    whole = regrouped(events, ["contract"], ["value"], ["day", "kind"], "day").collect()
+    assert sorted((r.contract, r.part, len(r.value)) for r in whole) == [(1, 0, 600), (2, 0, 40), (3, 0, 2)]
