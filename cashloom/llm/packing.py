@@ -28,10 +28,10 @@ CAPACITY = 4096
 END_ID = 1
 #: Pieces packed together in one task.
 GROUP_PIECES = 16_384
-#: Words of a generation whose ids a worker remembers; two generations take some 180 MB.
-REMEMBERED_WORDS = 500_000
+#: Words of a generation whose ids a worker remembers; two generations take some 70 MB.
+REMEMBERED_WORDS = 200_000
 #: Bytes of text tokenised at once, and handed on together.
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 4 << 20
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
