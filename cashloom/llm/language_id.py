@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashloom.llm.bigru import Network, fresh, probabilities, train
+from cashloom.llm.storage import stored
 
 UNKNOWN = "und"
 HIDDEN, WINDOW = 8, 64
 #: The sample: documents of each language, and windows of each document.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 400, 4
+#: Times as many documents of a language are looked at, by hashes of their ids and windows.
+SPARE = 8
 STEPS, BATCH, RATE, SEED = 240, 256, 0.03, 42
 #: Windows read at once.
 BATCH_WINDOWS = 2048
@@ -49,10 +52,15 @@ def sampled_windows(docs: DataFrame, text: str, lang: str, doc_id: str) -> DataF
     length = F.length(F.col(text))
     starts = [F.floor(length * k / SAMPLE_WINDOWS).cast("int") + 1 for k in range(SAMPLE_WINDOWS)]
     parts = F.array(*[F.substring(F.col(text), start, F.lit(WINDOW)) for start in starts])
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "parts")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "parts"), "id", "parts")
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     rows = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), parts.alias("parts"))
-    chosen = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    # a language's hashes are cut first at a height that leaves some times what is taken, so that a
+    # language's task doesn't get rows of every other task; a language of fewer documents keeps all
+    sizes = stored(usable.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("of_lang")), "languages")
+    place = (F.shiftright(F.xxhash64("id", "parts"), 24) + F.lit(1 << 39)).cast("double") / F.lit(float(1 << 40))
+    low = rows.join(sizes, "lang").where(place * F.col("of_lang") < SPARE * SAMPLE_DOCS)
+    chosen = low.drop("of_lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
     return chosen.select("lang", "n", F.posexplode("parts").alias("k", "part"))
 
 

@@ -75,3 +75,29 @@ def test_sample_is_bounded_and_learns_only_from_text_and_lang(spark, middle):
     many = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 10_000)).unionByName(docs.withColumn("lang", F.lit(None).cast("string")))
     counts = sampled_windows(many, "text", "lang", "doc_id").groupBy("lang").agg(F.max("n").alias("n")).collect()
     assert {r.lang for r in counts} == {"de", "en", "es", "fr"} and max(r.n for r in counts) == 400
+
+
+def test_one_language_of_nearly_all_documents(spark):
+    """Each language has its sample, and little more than that of the large one is brought together."""
+    hot = spark.range(20_000).selectExpr("id AS doc_id", "concat('the words of ', id) AS text", "'en' AS lang")
+    few = spark.range(300).selectExpr("id + 90000 AS doc_id", "concat('die Worte von ', id) AS text", "'de' AS lang")
+    nobody = spark.range(9000).selectExpr("CAST(NULL AS long) AS doc_id", "concat('les mots de ', id) AS text", "'fr' AS lang")
+    docs = hot.unionByName(few).unionByName(nobody)
+    sample = sampled_windows(docs, "text", "lang", "doc_id")
+    counts = {r.lang: r.n for r in sample.groupBy("lang").agg(F.max("n").alias("n")).collect()}
+    assert counts == {"en": 400, "de": 300, "fr": 400}
+    again = sampled_windows(docs.repartition(9), "text", "lang", "doc_id")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, sample.collect()))
+
+
+def test_query_against_one_text_at_a_time(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    model = trained(docs.where(~held_out(F.col("doc_id"))))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in queries.op10_language_id(spark, small).collect()}
+    for r in docs.collect():
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        chance = pooled(model.network, [r.text.encode()])[0]
+        assert got[r.doc_id][0] == model.languages[int(chance.argmax())] or sorted(chance)[-1] - sorted(chance)[-2] < 1e-4
+        assert got[r.doc_id][1] == pytest.approx(float(chance.max()), abs=2e-4)
