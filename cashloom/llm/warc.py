@@ -39,8 +39,11 @@ from cashloom.llm.storage import drop_path, hash_sample, new_path, stored
 
 #: Payload bytes of a shard, before compression; compressed bytes after which a file is full.
 SHARD_BYTES, ROLL_BYTES = 32 << 20, 64 << 20
-#: Keys from which the bounds of shards are chosen.
-SAMPLE_KEYS = 20_000
+#: Keys from which the bounds of shards are chosen: so many for each shard, and in all at least. They are
+#: sorted on the driver, so a table of very many shards asks for larger ones.
+SHARD_KEYS, SAMPLE_KEYS = 8, 20_000
+#: Names that Hadoop has for stores which Arrow opens under another.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,6 +51,12 @@ MANIFEST = "name string, temporary string, shard int, records long, bytes long,
 RECORDS = "page_id long, url string, record_type string, record_id string, refers_to long, payload_bytes long, payload_digest string"
 
 
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store of a folder that all tasks reach, and the folder in it: file, hdfs, s3 (s3a, s3n), gs, abfs(s)."""
+    scheme, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{mark}{rest}")
+
+
 def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -127,9 +136,10 @@ class Archive:
 
 def _bounds(keys: DataFrame, count: int, shards: int) -> list[tuple[int, int]]:
     """Keys at which a new shard starts, from those sampled by their hash; a repeated key with the bytes of all its rows."""
-    some = hash_sample(keys, ["page_key", "tie"], count, SAMPLE_KEYS)
+    size = max(SAMPLE_KEYS, SHARD_KEYS * shards)
+    some = hash_sample(keys, ["page_key", "tie"], count, size)
     some = some.groupBy("page_key", "tie").agg(F.sum("payload_bytes").alias("payload_bytes"))
-    rows = some.orderBy(F.xxhash64("page_key", "tie"), "page_key", "tie").limit(SAMPLE_KEYS).collect()
+    rows = some.orderBy(F.xxhash64("page_key", "tie"), "page_key", "tie").limit(size).collect()
     rows = sorted((r["page_key"], r["tie"], r["payload_bytes"]) for r in rows)
     ends = np.cumsum([r[2] + 1 for r in rows])
     wanted = [ends[-1] * k / shards for k in range(1, shards)] if rows else []
@@ -179,11 +189,11 @@ def write_archives(
     )
     shards = len(bounds) + 1
     sorted_rows = typed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_key", "tie", "url")
-    store, path = fs.FileSystem.from_uri(folder)
+    store, path = _store(folder)
     store.create_dir(f"{path}/temporary", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, place = fs.FileSystem.from_uri(folder)
+        target, place = _store(folder)
         archive: Archive | None = None
         done: list[tuple] = []
         last, again = None, 0
@@ -211,7 +221,7 @@ def write_archives(
     written = stored(sorted_rows.mapInArrow(write, MANIFEST), "written-archives")
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, place = fs.FileSystem.from_uri(folder)
+        target, place = _store(folder)
         for batch in batches:
             for name, temporary in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 old, new = f"{place}/temporary/{temporary}", f"{place}/{name}"
@@ -275,7 +285,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
     columns = [f.strip().split(" ")[0] for f in schema.split(",")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, place = fs.FileSystem.from_uri(folder)
+        target, place = _store(folder)
 
         def batch_of(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in zip(columns, kinds)], columns)
