@@ -8,11 +8,14 @@ smaller id arrives, the earlier documents' masks are taken back from the counter
 counted again with the bit. The counters are sums of such changes, one row for each part, mask and kind
 of document, so that they are the same whatever the order of files and batches.
 
-Texts are told apart by their SHA-256. A key of the stream's state is a range of these hashes with an
-entry for each text; equal rows are added up in the tasks that read them, and the repeats of a text
-among them too, so that copies of one text reach the state as a few rows. State lies in the state store
-and changes in a folder for each batch below ``spark.checkpoint.dir``: a lost executor's tasks, or a
-batch, run again with the same result.
+Texts are told apart by the first half of their SHA-256. A key of the stream's state is a share of these
+hashes with an entry for each text. The tasks that read add up equal rows, and settle the repeats of a
+text among what they read together: those go to any key, so that copies of one text meet at its key
+as a few rows a task. Ids of very many rows are found in a sample, and their labels broadcast, for the
+join with the labels goes by id. State lies in the session's state store and changes in a folder for each
+batch, both below ``spark.checkpoint.dir``: a lost executor's tasks, or a batch, run again with the same
+result. The default store holds its share of the state in an executor's memory, some 50 bytes a text;
+a larger one is for the session to set.
 
 Defined results: a null text counts as empty; a null part is the empty string; a document without an id
 repeats none and is repeated by none; rows of one id and text are documents of their own, and neither
@@ -26,37 +29,45 @@ import itertools
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from cashloom.llm.storage import WORD, new_path, stored
+from cashloom.llm.storage import SPACES, new_path, stored
 
 #: The filters, a bit of the mask each; the last is the repeat of a smaller id's text.
 FILTERS = "ABCDE"
 REPEAT = 1 << FILTERS.index("E")
 #: A run has about this many micro-batches, unless they would be smaller than ``LEAST_BYTES``.
-BATCHES, LEAST_BYTES = 8, 16 << 20
+BATCHES, LEAST_BYTES = 4, 32 << 20
 #: Texts of which one key of the state holds the entries, by an estimate of ``TEXT_BYTES`` of input a text.
 KEY_TEXTS, TEXT_BYTES = 4096, 1024
 #: Rows added up at once in a task that reads.
 COMBINED_ROWS = 100_000
-#: Parts into which the labels are dealt, so that documents of one id need not meet in one task.
-LABEL_PARTS = 16
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: An id of more rows than this has its labels broadcast; of so many rows ``SAMPLED`` are looked at.
+HOT_ROWS, SAMPLED = 1_000_000, 20
+#: Bytes of a text's hash that tell it apart.
+HASH_BYTES = 16
 
 
-def failed(text: Column) -> Column:
-    """The mask of the filters that a text fails by itself: all but the last."""
-    found = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
-    words, different = F.size(found), F.size(F.array_distinct(found))
-    capitals, length = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", "")), F.length(text)
-    tests = [words < 50, 100 * different < 65 * words, 100 * capitals > 5 * length, text.rlike("[#$%&*|]")]
-    bits = [F.when(test, 1 << bit).otherwise(0) for bit, test in enumerate(tests)]
-    return sum(bits[1:], bits[0]).cast("int")
+def failed(text: str, parts: str) -> str:
+    """The mask of the filters that a text fails by itself: all but the last.
+
+    ``parts`` are the text's pieces between white space, of which the first and last may be empty.
+    """
+    ends = f"if({parts}[0] = '', 1, 0) + if(size({parts}) > 1 AND {parts}[size({parts}) - 1] = '', 1, 0)"
+    different = f"size(array_distinct({parts})) - if({parts}[0] = '' OR {parts}[size({parts}) - 1] = '', 1, 0)"
+    tests = [
+        f"size({parts}) - ({ends}) < 50",
+        f"100L * ({different}) < 65L * (size({parts}) - ({ends}))",
+        f"100L * regexp_count({text}, '[A-Z]') > 5L * length({text})",
+        f"{text} RLIKE '[#$%&*|]'",
+    ]
+    return " + ".join(f"if({test}, {1 << bit}, 0)" for bit, test in enumerate(tests))
 
 
 def _measured(spark: SparkSession, path: str) -> tuple[int, str]:
@@ -67,40 +78,64 @@ def _measured(spark: SparkSession, path: str) -> tuple[int, str]:
     return size, path if system.getFileStatus(target).isDirectory() else f"{path[:-1]}[{path[-1]}]"
 
 
-def _added_up(rows: DataFrame, schema: str, repeats: bool) -> DataFrame:
-    """Equal rows as one with the sum of ``n``, task by task; with ``repeats`` those of a text as well.
+def _added_up(rows: DataFrame, keys: int) -> DataFrame:
+    """Equal rows as one with the sum of ``n``, and repeats settled, among what a task reads together.
 
-    Of a text's rows met together, those above the smallest id are repeats for good: they get the bit,
-    lose their id, and so become equal.
+    Of a text's rows met together, those above the smallest id are repeats for good: they get the bit
+    and need their text no more.
     """
 
-    def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-
-        def summed(frame: pd.DataFrame) -> pd.DataFrame:
-            if repeats:
-                least = frame["id"].where(frame["open"]).groupby(frame["text"]).transform("min")
-                late = (frame["open"] & (frame["id"] > least)).to_numpy(bool)
-                frame = frame.assign(
-                    mask=frame["mask"].where(~late, frame["mask"] | REPEAT), open=frame["open"] & ~late, id=frame["id"].where(~late, 0)
-                )
-            keys = [c for c in frame.columns if c != "n"]
-            return frame.groupby(keys, as_index=False, sort=False, dropna=False)["n"].sum()
-
-        for frame in frames:
-            if len(frame):
-                held.append(summed(frame))
-            if sum(map(len, held)) >= COMBINED_ROWS:
-                yield summed(pd.concat(held, ignore_index=True))
+    def summed(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        coded = table.column("text").combine_chunks().dictionary_encode()
+        texts, ids, alive = coded.indices.to_numpy(), table.column("id").to_numpy(), table.column("open").to_numpy()
+        least = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
+        np.minimum.at(least, texts[alive], ids[alive])
+        late = alive & (ids > least[texts])
+        settled = {
+            "key": pa.array(np.where(late, ids % keys, table.column("key").to_numpy()), pa.int32()),
+            "text": pc.if_else(pa.array(late), pa.scalar(b""), table.column("text")),
+            "mask": pa.array(np.where(late, table.column("mask").to_numpy() | REPEAT, table.column("mask").to_numpy()), pa.int32()),
+            "open": pa.array(alive & ~late),
+        }
+        for name, column in settled.items():
+            table = table.set_column(table.schema.get_field_index(name), name, column)
+        columns = [c for c in table.column_names if c != "n"]
+        out = table.group_by(columns, use_threads=False).aggregate([("n", "sum")]).rename_columns([*columns, "n"])
+        return out.combine_chunks().to_batches()[0]
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= COMBINED_ROWS:
+                yield summed(pa.Table.from_batches(held))
                 held = []
         if held:
-            yield summed(pd.concat(held, ignore_index=True))
+            yield summed(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(added, f"{ROW}, n long")
 
-    return rows.mapInPandas(added, schema)
 
+def _labelled(rows: DataFrame, files: DataFrame, labels: DataFrame, doc_id: str, hot_rows: int) -> DataFrame:
+    """``rows`` of the stream with ``quality`` and ``toxic``, by id; rows without an id or label have neither."""
+    marks = [F.max(F.coalesce(F.col(n) == 1, F.lit(False))).alias(n) for n in ("quality", "toxic")]
+    known = stored(labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(*marks), "labels")
+    ids = files.select(F.col(doc_id).cast("long").alias("id")).where("id IS NOT NULL")
+    each = max(1, min(SAMPLED, hot_rows))
+    some = ids if each >= hot_rows else ids.where(F.rand(42) < each / hot_rows)
+    hot = stored(some.groupBy("id").count().where(F.col("count") > each).select("id"), "hot-ids")
+    of_hot = F.broadcast(hot.join(known, "id", "left").select("id", F.lit(True).alias("hot"), F.col("quality").alias("hot_quality"), F.col("toxic").alias("hot_toxic")))
+    marked = rows.join(of_hot, "id", "left")
+    # labels have apart = 0; what finds nothing there, or has found it, is dealt out by its text
+    alone = F.when(F.col("hot").isNull() & F.col("named"), 0).otherwise(1 + F.pmod(F.xxhash64("text", "part", "mask"), F.lit(1 << 20)))
+    found = marked.withColumn("apart", alone.cast("int")).join(known.withColumn("apart", F.lit(0)), ["id", "apart"], "left")
+    quality, toxic = (F.coalesce(n, f"hot_{n}", F.lit(False)).alias(n) for n in ("quality", "toxic"))
+    return found.select(*[c.split()[0] for c in ROW.split(", ") if c != "named boolean"], quality, toxic, "n")
 
-ROW = "key int, text binary, id long, open boolean, part string, mask int"
-LABELLED_ROW = f"{ROW}, quality boolean, toxic boolean, n long"
+
+ROW = "key int, text binary, id long, named boolean, open boolean, part string, mask int"
 CHANGE = "part string, mask int, quality boolean, toxic boolean, n long"
 KIND = ["part", "mask", "quality", "toxic"]
 
@@ -127,7 +162,7 @@ def _changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
         kept = new[~late].groupby(["text", "id", *KIND], as_index=False, sort=False)["n"].sum()
         table = pa.Table.from_pandas(kept, preserve_index=False)
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as writer:
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(table)
         state.update((sink.getvalue().to_pybytes(),))
     total = pd.concat([c[[*KIND, "n"]] for c in changes], ignore_index=True).groupby(KIND, as_index=False, sort=False)["n"].sum()
@@ -143,6 +178,7 @@ def counters(
     part: str = "source",
     batch_bytes: int | None = None,
     keys: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """part, mask, quality, toxic, n: how many documents of a part fail just the filters of the mask.
 
@@ -155,42 +191,26 @@ def counters(
     files = spark.read.parquet(path)
     stream = spark.readStream.schema(files.schema).option("maxBytesPerTrigger", batch_bytes).parquet(watched)
     value = F.coalesce(F.col(text), F.lit(""))
-    digest = F.unhex(F.sha2(value, 256))
-    named = F.col(doc_id).isNotNull()
-    rows = stream.select(
-        F.pmod(F.xxhash64(digest), F.lit(keys)).cast("int").alias("key"),
-        digest.alias("text"),
+    read = stream.select(
+        F.unhex(F.substring(F.sha2(value, 256), 1, 2 * HASH_BYTES)).alias("text"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id"),
-        named.alias("open"),
+        F.col(doc_id).isNotNull().alias("named"),
         F.coalesce(F.col(part), F.lit("")).alias("part"),
-        failed(value).alias("mask"),
-        F.lit(1).cast("long").alias("n"),
-    )
-    rows = _added_up(rows, f"{ROW}, n long", repeats=False)
-    one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(F.coalesce(c == 1, F.lit(False))).alias(n) for n, c in (("quality", F.col("quality")), ("toxic", F.col("toxic")))])
-    dealt = one.withColumn("label_part", F.explode(F.sequence(F.lit(0), F.lit(LABEL_PARTS - 1))))
-    known = stored(dealt.withColumn("open", F.lit(True)), "labels").withColumnRenamed("doc_id", "id")
-    spread = rows.withColumn("label_part", F.pmod(F.xxhash64("text"), F.lit(LABEL_PARTS)).cast("int"))
-    labelled = spread.join(known, ["id", "open", "label_part"], "left").select(
-        *[c.split()[0] for c in ROW.split(", ")],
-        F.coalesce("quality", F.lit(False)).alias("quality"),
-        F.coalesce("toxic", F.lit(False)).alias("toxic"),
-        "n",
+        value.alias("value"),
+        F.split(value, f"[{SPACES}]+").alias("parts"),
     )
-    changes = _added_up(labelled, LABELLED_ROW, repeats=True).groupBy("key").applyInPandasWithState(
+    key = F.pmod(F.xxhash64("text"), F.lit(keys)).cast("int").alias("key")
+    rows = read.select(key, "text", "id", "named", F.col("named").alias("open"), "part", F.expr(failed("value", "parts")).alias("mask"), F.lit(1).cast("long").alias("n"))
+    changes = _labelled(_added_up(rows, keys), files, labels, doc_id, hot_rows).groupBy("key").applyInPandasWithState(
         _changes, CHANGE, "texts binary", "update", GroupStateTimeout.NoTimeout
     )
     said = new_path(spark, "changes")
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.groupBy(*KIND).agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{said}/batch={number}")
-
-    before = spark.conf.get(STATE_STORE_KEY)
-    spark.conf.set(STATE_STORE_KEY, STATE_STORE)
-    try:
-        query = changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", new_path(spark, "stream")).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(STATE_STORE_KEY, before)
+        batch.write.mode("overwrite").parquet(f"{said}/batch={number}")
+
+    out = changes.writeStream.outputMode("update").foreachBatch(write)
+    query = out.option("checkpointLocation", new_path(spark, "stream")).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.lastProgress is None:
         return spark.createDataFrame([], CHANGE)

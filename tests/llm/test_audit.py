@@ -72,12 +72,13 @@ def test_retractions_in_any_order_of_files(spark, tmp_path, files, batch_bytes,
     assert got(audited(spark, path, labels, batch_bytes=batch_bytes, keys=keys)) == expected(ROWS, MARKS)
 
 
-def test_rows_added_up_in_the_tasks(spark, tmp_path, monkeypatch):
+def test_hot_ids_and_texts(spark, tmp_path, monkeypatch):
+    """One id, and one text, of many rows: labels of the id are broadcast, repeats settled where they are read."""
     monkeypatch.setattr(audit, "COMBINED_ROWS", 3)
     path, labels = str(tmp_path / "documents.parquet"), spark.createDataFrame(MARKS, LABELS)
-    rows = ROWS * 3
+    rows = ROWS * 3 + [(3, f"{LONG} {k}", "en", "b", 1) for k in range(30)] + [(50 + k, LONG, "en", "b", 1) for k in range(30)]
     spark.createDataFrame(rows, SCHEMA).repartition(2).write.parquet(path)
-    counted = counters(spark, path, labels).collect()
+    counted = counters(spark, path, labels, hot_rows=10).collect()
     assert {(r.part, r["mask"], r.quality, r.toxic): r.n for r in counted} == masks(rows, MARKS)
 
 
