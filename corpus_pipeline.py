@@ -29,17 +29,30 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LEAST_SCORE = 0.4
 
 
+#: Names that the operators give to columns of their own.
+LANGUAGE_NAMES, MIXING_NAMES = ("lang_pred", "score", "language_text"), ("mix",)
+
+
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``docs`` with the columns of these names under others."""
+    return docs.withColumnsRenamed({n: f"__given_{n}" for n in names})
+
+
+def _back(docs: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    return docs.withColumnsRenamed({f"__given_{n}": n for n in names})
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in a language that the model knows; learned from those not held out.
 
     Without a label to learn from, the documents with a letter.
     """
-    columns = docs.columns
     model = trained(docs.where(~held_out(F.col("doc_id"))))
     if model.network is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = identified(docs, model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*columns)
+    found = identified(_aside(docs, LANGUAGE_NAMES), model)
+    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return _back(kept.drop(*LANGUAGE_NAMES), LANGUAGE_NAMES)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +67,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of every source as often as its target asks."""
-    named = docs.withColumnRenamed("mix", "__given_mix")
-    return copied(mixed(named)).withColumnRenamed("__given_mix", "mix")
+    return _back(copied(mixed(_aside(docs, MIXING_NAMES))), MIXING_NAMES)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
