@@ -218,21 +218,29 @@ def _in_order(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return in_each_scenario(rows).select(*keep, *others)
 
 
-def event_rows(evaluated: DataFrame) -> DataFrame:
+def event_rows(evaluated: DataFrame, closing: bool = False) -> DataFrame:
     """One row per event of the schedule, contract columns kept: ``position, date, kind``.
 
-    Contracts that share a row over ``scenarios`` still do.
+    Contracts that share a row over ``scenarios`` still do. With ``closing`` every contract has one more
+    row, of which ``date`` and ``kind`` are null, so that none is without a row.
     """
     # The outer form: from an inner one the optimizer derives a filter on the array's size and
     # pushes it to the scan, where the whole schedule would be built a second time.
-    rows = evaluated.selectExpr("*", "posexplode_outer(event_dates) AS (position, date)")
+    dates = "concat(event_dates, array(cast(NULL AS date)))" if closing else "event_dates"
+    rows = evaluated.selectExpr("*", f"posexplode_outer({dates}) AS (position, date)")
+    if closing:
+        placed = rows.withColumn("kind", F.expr(f"if(date IS NULL, NULL, {event_kind('position')})"))
+        return placed.where(f"date IS NULL OR {given_out('date', 'kind')}")
     placed = rows.where("date IS NOT NULL").withColumn("kind", F.expr(event_kind("position")))
     return placed.where(given_out("date", "kind"))
 
 
-def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per event: ``contract_id, date, kind, type, currency, value, nominal, accrued, rate``."""
-    ranked = event_rows(evaluated).selectExpr(
+def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = (), closing: bool = False) -> DataFrame:
+    """One row per event: ``contract_id, date, kind, type, currency, value, nominal, accrued, rate``.
+
+    With ``closing`` one more row for each contract, as in ``event_rows``.
+    """
+    ranked = event_rows(evaluated, closing).selectExpr(
         "*",
         f"{paid_before('kind', 'position')} AS paid",
         f"{resets_before('kind', 'position')} AS resets",
@@ -259,9 +267,14 @@ def _given_events() -> str:
     return f"if(purchased_on IS NULL, {listed}, filter({listed}, e -> {given_out('e.date', 'e.kind')}))"
 
 
+def number_of_events() -> str:
+    """How many events of a contract are given out."""
+    return f"size({_given_events()})"
+
+
 def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``n_events`` of every contract, without computing them."""
-    counts = evaluated.selectExpr(*_kept(evaluated, keep), "contract_id", f"size({_given_events()}) AS n_events")
+    counts = evaluated.selectExpr(*_kept(evaluated, keep), "contract_id", f"{number_of_events()} AS n_events")
     return _in_order(counts, keep)
 
 

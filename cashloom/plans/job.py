@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cashloom.operators.schedule import OK
-from cashloom.operators.states import event_counts, flat_events
+from cashloom.operators.states import flat_events, number_of_events
 from cashloom.plans.pam import evaluate
+from cashloom.session import drop_folder, new_folder
 from cashloom.sources.analysis_date import first_date
 from cashloom.sources.contracts import KEEP_GOOD, parse_contracts
 from cashloom.sources.lines import read_lines
@@ -57,7 +58,14 @@ def events_from_files(
     terms = parse_contracts(read_lines(spark, contracts), on_error=on_error)
     objects = last_per_code(parse_market(read_lines(spark, market)))
     evaluated = evaluate(terms, first_date(read_lines(spark, date)), objects)
-    clean = flat_events(evaluated.where(F.col("contract_status") == OK))
-    declared(clean.withColumnRenamed("contract_id", "id"), EVENT_SCHEMA).write.parquet(events)
-    counted = event_counts(evaluated, keep=("contract_status", "reset_status"))
-    counted.withColumnRenamed("contract_id", "id").write.parquet(statuses)
+    # evaluated once: events and, for every line, a row with its status, in one stored table
+    counted = evaluated.withColumn("n_events", F.expr(number_of_events()))
+    kept = ("contract_status", "reset_status", "n_events")
+    staged = new_folder(spark, "evaluated")
+    rows = flat_events(counted, keep=kept, closing=True).drop("kind", "rate").withColumnRenamed("contract_id", "id")
+    rows.write.parquet(staged)
+    stored = spark.read.schema(rows.schema).parquet(staged)
+    clean = stored.where(F.col("date").isNotNull() & (F.col("contract_status") == OK))
+    declared(clean, EVENT_SCHEMA).write.parquet(events)
+    stored.where("date IS NULL").select(*kept[:2], "id", "n_events").write.parquet(statuses)
+    drop_folder(spark, staged)

@@ -15,7 +15,6 @@ from cashloom.operators.curve import curve_rate, day_years, discount_factor, wit
 from cashloom.operators.lookup import BROADCAST_BYTES, lookup, reset_status
 from cashloom.operators.schedule import with_schedule
 from cashloom.operators.states import flat_events, with_states
-from cashloom.session import materialised
 from cashloom.sources.analysis_date import with_analysis_date
 from cashloom.sources.contracts import with_full_terms
 from cashloom.sources.market import BASE_SCENARIO, REFERENCE_RATE
@@ -97,12 +96,11 @@ def with_error_row(table: DataFrame, unknown: Column) -> DataFrame:
     return table.unionByName(checked, allowMissingColumns=True)
 
 
-def discounted(events: DataFrame, market: DataFrame, curve: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def discounted(events: DataFrame, market: DataFrame, curve: str) -> DataFrame:
     """Add ``discount``: the factor of the event date on the curve, from the analysis date on.
 
-    ``events`` carry ``scenario``, ``t0`` and ``date``. Every scenario has one row with the factors of the days
-    to come, worked out once and joined by the scenario; only for a day beyond them the curve is
-    searched for the event itself.
+    ``events`` carry ``scenario``, ``t0`` and ``date``. Every scenario has the factors of the days to come, worked
+    out once, in one value of the plan; only for a day beyond them the curve is searched for the event.
     """
     if "scenario" not in market.columns:
         market = market.withColumn("scenario", F.lit(BASE_SCENARIO))
@@ -112,11 +110,12 @@ def discounted(events: DataFrame, market: DataFrame, curve: str, limit: int = BR
         return discount_factor(curve_rate(of, years), years)
 
     by_day = f"transform(sequence(0, {FACTOR_DAYS}), __day -> {factor(day_years('__day'), 'curve')})"
-    factors = curves.selectExpr("scenario", "curve AS __curve_now", f"{by_day} AS __factors")
-    found = lookup(events, materialised(factors), ["scenario"], limit)
-    later = factor(years_after("t0", "date"), "__curve_now")
-    discount = F.expr(f"coalesce(get(__factors, datediff(date, t0)), {later})")
-    return found.withColumn("discount", discount).drop("__factors", "__curve_now")
+    entry = F.struct("scenario", F.struct("curve", F.expr(by_day).alias("factors")))
+    by_scenario = curves.agg(F.map_from_entries(F.collect_list(entry)).alias("curves")).scalar()
+    found = events.withColumn("__now", F.try_element_at(by_scenario, F.col("scenario")))
+    later = factor(years_after("t0", "date"), "__now.curve")
+    discount = F.expr(f"coalesce(get(__now.factors, datediff(date, t0)), {later})")
+    return found.withColumn("discount", discount).drop("__now")
 
 
 def event_records(evaluated: DataFrame, market: DataFrame, curve: str) -> DataFrame:

@@ -68,6 +68,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialised(frame: DataFrame) -> DataFrame:
     """``frame`` computed once and read back from shared storage, with its lineage cut."""
     shared_dir(frame.sparkSession)
