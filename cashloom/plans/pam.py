@@ -109,13 +109,15 @@ def discounted(events: DataFrame, market: DataFrame, curve: str) -> DataFrame:
     def factor(years: str, of: str) -> str:
         return discount_factor(curve_rate(of, years), years)
 
+    def by_scenario(value: Column) -> Column:
+        return curves.agg(F.map_from_entries(F.collect_list(F.struct("scenario", value))).alias("values")).scalar()
+
     by_day = f"transform(sequence(0, {FACTOR_DAYS}), __day -> {factor(day_years('__day'), 'curve')})"
-    entry = F.struct("scenario", F.struct("curve", F.expr(by_day).alias("factors")))
-    by_scenario = curves.agg(F.map_from_entries(F.collect_list(entry)).alias("curves")).scalar()
-    found = events.withColumn("__now", F.try_element_at(by_scenario, F.col("scenario")))
-    later = factor(years_after("t0", "date"), "__now.curve")
-    discount = F.expr(f"coalesce(get(__now.factors, datediff(date, t0)), {later})")
-    return found.withColumn("discount", discount).drop("__now")
+    # used where it stands: as a column the factors of all days would be copied into every event's row
+    known = F.get(F.try_element_at(by_scenario(F.expr(by_day)), F.col("scenario")), F.datediff("date", "t0"))
+    found = events.withColumn("__curve_now", F.try_element_at(by_scenario(F.col("curve")), F.col("scenario")))
+    later = F.expr(factor(years_after("t0", "date"), "__curve_now"))
+    return found.withColumn("discount", F.coalesce(known, later)).drop("__curve_now")
 
 
 def event_records(evaluated: DataFrame, market: DataFrame, curve: str) -> DataFrame:

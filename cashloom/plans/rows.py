@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cashloom.functions.cycles import tenor_years
 from cashloom.functions.daycount import year_fraction
+from cashloom.operators.asof import with_series
 from cashloom.operators.curve import interpolate
 from cashloom.operators.lookup import BROADCAST_BYTES, HOT_ROWS
 from cashloom.operators.schedule import RR, RRF, event_kind, event_name, given_out, with_event_dates, with_schedule
@@ -21,7 +22,7 @@ from cashloom.operators.states import CLEARING, RESETTING, accrued_after, event_
 from cashloom.session import materialised
 from cashloom.sources.analysis_date import with_analysis_date
 from cashloom.sources.contracts import with_full_terms
-from cashloom.sources.market import REFERENCE_RATE, dated_points
+from cashloom.sources.market import REFERENCE_RATE
 
 # Terms that a contract's events need.
 TERMS = [
@@ -43,9 +44,13 @@ def schedule_rows(contracts: DataFrame, t0: str | DataFrame) -> DataFrame:
 
 def with_reset_rates(rows: DataFrame, market: DataFrame, hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``set_rate``: what a reset fixes or observes; null where it observes nothing, and at other events."""
-    points = dated_points(market, REFERENCE_RATE).selectExpr("code AS reset_code", "cast(unix_date(date) AS bigint) AS day", "value AS seen")
+    # only of objects that read as a whole; of two observations on one day the one further on counts
+    series = with_series(market, (REFERENCE_RATE,)).where("series IS NOT NULL")
+    points = series.selectExpr("code AS reset_code", "posexplode(arrays_zip(series.dates, series.values)) AS (place, point)").selectExpr(
+        "reset_code", "cast(unix_date(point.dates) AS bigint) AS day", "place", "point.values AS seen"
+    )
     observing = f"kind = {RR}"
-    seen = asof_rows(rows.where(observing), points, ["reset_code"], "day", ["seen"], hot_rows=hot_rows)
+    seen = asof_rows(rows.where(observing), points, ["reset_code"], "day", ["place", "seen"], hot_rows=hot_rows).drop("place")
     seen = interpolate(seen, market, {"reset_code": "code"}, tenor_years("rate_term"), "curve_rate", limit)
     rate = "coalesce(rate_multiplier, 1D) * coalesce(curve_rate, seen) + coalesce(rate_spread, 0D)"
     observed = seen.withColumn("set_rate", F.expr(rate)).drop("seen", "curve_rate")

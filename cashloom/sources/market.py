@@ -49,9 +49,9 @@ def lines_of(lines: DataFrame, codes: DataFrame, limit: int = 64 * 1024 * 1024,
     return joined.select(*lines.columns)
 
 
-def readable_points(pairs: str, *fields: str) -> str:
-    """Whether an object has points and every one reads; ``pairs`` come from points and values."""
-    bad = " OR ".join(f"__pair.{f} IS NULL" for f in fields)
+def readable_points(pairs: str, place: str, number: str) -> str:
+    """Whether an object has points, every one reads, and every number is finite; ``pairs`` come from points and values."""
+    bad = f"__pair.{place} IS NULL OR __pair.{number} IS NULL OR __pair.{number} - __pair.{number} <> 0D"
     return f"coalesce(size({pairs}) > 0 AND NOT exists({pairs}, __pair -> {bad}), false)"
 
 

@@ -264,11 +264,14 @@ def test_no_line_ends_the_job(spark, tmp_path):
 
 
 def test_unreadable_market_objects(spark):
-    market = ["REF;x;ReferenceRate;2015-05-01T00!bad;0.06!0.24", "CRV;x;TermStructure;6M!1Y;0.05"]
+    market = [
+        "REF;x;ReferenceRate;2015-05-01T00!bad;0.06!0.24", "CRV;x;TermStructure;6M!1Y;0.05",
+        "NAN;x;ReferenceRate;2015-05-01;NaN", "INF;x;TermStructure;6M!1Y;0.05!Infinity",
+    ]
     table = last_per_code(parse_market(lines_from(spark, market)))
     terms = {"reset_anchor": "2015-06-01", "reset_cycle": "1Q-", "rate_term": "6M"}
-    contracts = parse_contracts(lines_from(spark, [line(**terms, reset_code=c) for c in ("REF", "CRV")]))
-    assert {r["reset_status"] for r in evaluate(contracts, T0, table).collect()} == {"unreadable"}
+    contracts = parse_contracts(lines_from(spark, [line(**terms, reset_code=c) for c in ("REF", "CRV", "NAN", "INF")]))
+    assert [r["reset_status"] for r in evaluate(contracts, T0, table).collect()] == ["unreadable"] * 4
 
 
 def random_contract(rng: random.Random, number: int) -> dict:

@@ -99,7 +99,9 @@ def test_probes_at_one_place_are_dealt_out(spark):
 
 
 TERMS = "{id};x;;;2015-01-01;{role};;{id};;2015-02-01;{cycle};0.05;A/365;;;;EUR;2015-01-01;2015-01-01;{end};1000;{bought};990;{stop};1010;;;;;;2015-03-01;1M-;0.01;{code};;;{next};1.0;6M;-5"
-MARKET = ["REF;x;ReferenceRate;2015-06-01!2016-01-01!2018-01-01;0.06!0.07!0.08", "CRV;x;TermStructure;6M!1Y;0.05!0.07"]
+MARKET = [
+    "REF;x;ReferenceRate;2015-06-01!2016-01-01!2016-01-01!2018-01-01;0.06!0.09!0.07!0.08", "BAD;x;ReferenceRate;2015-06-01!no;0.5!0.5", "CRV;x;TermStructure;6M!1Y;0.05!0.07",
+]
 
 
 def test_states_of_rows_against_states_of_arrays(spark):
@@ -107,7 +109,7 @@ def test_states_of_rows_against_states_of_arrays(spark):
     lines = [
         TERMS.format(id=f"C{k}", role=("RPA", "RPL")[k % 2], cycle=("1M-", "1Q-", "NULL", "1D-")[k % 4], end=f"20{17 + k}-06-15",
                      bought=("NULL", "2016-05-05")[k % 3 == 0], stop=("NULL", "2016-11-11")[k % 5 == 0],
-                     code=("REF", "CRV", "NULL", "MISSING")[k // 2 % 4], next=("NULL", "0.03")[k % 2])
+                     code=("REF", "CRV", "BAD", "MISSING")[k // 2 % 4], next=("NULL", "0.03")[k % 2])
         for k in range(16)
     ]
     lines += lines[:2] + [TERMS.format(id="LONG", role="RPA", cycle="1D-", end="2115-01-01", bought="NULL", stop="NULL", code="REF", next="NULL")]
