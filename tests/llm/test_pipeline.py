@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 import re
+import struct
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -12,6 +14,7 @@ from test_packing import check_places, ids_of
 from test_simhash import expected as near_groups
 
 import corpus_pipeline
+from cashloom.llm.language_id import held_out, pooled, trained
 from cashloom.llm.simhash import distinct_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -115,6 +118,36 @@ def test_run(spark):
     assert [f for _, f in corpus_pipeline.STAGES][-1] is corpus_pipeline.packing
 
 
+def test_whole_run_against_plain_stages(spark):
+    """All pieces of a whole run, from each stage's brute-force version one after the other."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = trained(docs.where(~held_out(F.col("doc_id"))))
+    rows = []
+    for r in docs.collect():
+        if re.search(r"[^\W\d_]", r.text or "") and pooled(model.network, [r.text.encode()])[0].max() >= corpus_pipeline.LEAST_SCORE:
+            rows.append(r)
+    keep = {k for _, k, _, _ in exact_groups([(r.doc_id, r.text) for r in rows])}
+    rows = [r for r in rows if r.doc_id in keep]
+    heads = {c for _, _, c in near_groups([(r.doc_id, r.text) for r in rows])}
+    rows = [r for r in rows if r.doc_id in heads]
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.source] += len(r.text.split())
+    target = refilled(dict(sizes))
+    want = Counter()
+    for r in rows:
+        rate = target[r.source] / sizes[r.source]
+        ids = ids_of(r.text) + [1]
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            crc = zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+            want[r.doc_id, piece, start, len(part), crc] += int(rate) + (draw(r.doc_id, r.text) < rate - int(rate))
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == +want
+    check_places(got, 4096)
+
+
 def test_stages_of_an_empty_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
