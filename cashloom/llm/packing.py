@@ -31,7 +31,7 @@ GROUP_PIECES = 16_384
 #: Words of a generation whose ids a worker remembers; two generations take some 70 MB.
 REMEMBERED_WORDS = 200_000
 #: Bytes of text tokenised at once, and handed on together.
-PORTION_BYTES = 4 << 20
+PORTION_BYTES = 1 << 20
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -166,6 +166,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, end, step = word_ids(tokenizer_path), struct.pack("<I", end_id), 4 * capacity
         for batch in batches:
+            pa.default_memory_pool().release_unused()  # or each worker keeps what its largest portion took
             for first, texts in _portions(batch.column(1).cast(pa.large_string())):
                 owners: list[int] = []
                 at: list[int] = []
