@@ -269,7 +269,7 @@ def _given_events() -> str:
 
 def number_of_events() -> str:
     """How many events of a contract are given out."""
-    return f"size({_given_events()})"
+    return f"if(purchased_on IS NULL, size(event_dates), size({_given_events()}))"
 
 
 def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

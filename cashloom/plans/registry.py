@@ -21,10 +21,9 @@ from cashloom.operators.schedule import event_name, role_sign
 from cashloom.operators.splits import asof_rows
 from cashloom.operators.states import event_rows, flat_events, nested_events, regrouped, unnested
 from cashloom.operators.tokens import token_arrays, token_counts
-from cashloom.plans import job
+from cashloom.plans import job, scenarios
 from cashloom.plans.pam import discounted, evaluate, event_records
 from cashloom.plans.rows import evaluate_rows
-from cashloom.plans.scenarios import scenario_totals
 from cashloom.plans.testdata import (
     BEFORE_ALL,
     DISCOUNT_CURVE,
@@ -503,7 +502,7 @@ def events_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scenario_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events and their total value, in thousands, by currency in each of 200 scenarios."""
     contracts, market = _full_contracts(spark, sf_dir), market_table(spark, sf_dir)
-    totals = scenario_totals(contracts, MIDWAY, market, scenario_table(spark, sf_dir), ("currency",), "sum(value)")
+    totals = scenarios.scenario_values(contracts, MIDWAY, market, scenario_table(spark, sf_dir), ("currency",))
     return totals.selectExpr("scenario", "currency", "n_events", "cast(floor(total / 1000D + 0.5D) AS bigint) AS thousands")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cashloom.operators.states import flat_events
 from cashloom.plans.pam import evaluate
-from cashloom.plans.scenarios import evaluate_scenarios, scenario_blocks, scenario_totals
+from cashloom.plans.scenarios import evaluate_scenarios, exposures, scenario_blocks, scenario_totals, scenario_values
 from cashloom.plans.testdata import MIDWAY, SHIFTS, contract_lines, market_table
 from cashloom.sources.contracts import parse_contracts
 from cashloom.sources.market import in_scenarios
@@ -68,3 +68,17 @@ def test_blocks(spark):
     assert [(r.block, r.names) for r in got] == [(0, ["s0", "s1", "s2"]), (1, ["s3", "s4", "s5"]), (2, ["s6"])]
     assert got[1].shifts == [0.3, 0.4, 0.5]
     assert scenario_blocks(spark.createDataFrame([], "scenario string, shift double")).count() == 0
+
+
+def test_values_from_sums_over_contracts(spark, small):
+    """As event by event, faulty contracts too, and before the scenarios there are no more rows than observations."""
+    contracts, market = parse_contracts(contract_lines(spark, small, faults=True)), market_table(spark, small)
+    named = shifts(spark, SHIFTS)
+    got = scenario_values(contracts, MIDWAY, market, named, ("currency",)).collect()
+    want = {(r.scenario, r.currency): r for r in scenario_totals(contracts, MIDWAY, market, named, ("currency",), "sum(value)").collect()}
+    assert len(got) == len(want)
+    for r in got:
+        of = want[r.scenario, r.currency]
+        assert r.n_events == of.n_events and r.total == pytest.approx(of.total, rel=1e-9, nan_ok=True)
+    sums = exposures(contracts, MIDWAY, market, ("currency",))
+    assert sums.select("currency", "reset_code", "years", "place").distinct().count() == sums.count()
