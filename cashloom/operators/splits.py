@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cashloom.operators.lookup import HOT_ROWS
+from cashloom.operators.lookup import HOT_ROWS, fits_broadcast
 from cashloom.session import materialised
 
 # Rows sampled for each split that a key is cut into.
@@ -45,7 +45,7 @@ def with_splits(
     sampled = some.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys]).agg(places).where(F.size("places") > each)
     taken = f"transform(sequence(1, cast(ceil(size(places) / {each}D) AS int) - 1), i -> places[i * {each} - 1])"
     # stored, so that every use of it cuts alike: at most one key for about hot_rows rows
-    cuts = F.broadcast(materialised(sampled.withColumn("__cuts", F.expr(taken)).drop("places")))
+    cuts = _small(materialised(sampled.withColumn("__cuts", F.expr(taken)).drop("places")))
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"__of_{key}"))
@@ -59,9 +59,14 @@ def with_splits(
     return joined.select(*rows.columns, split, F.col("__cuts").isNotNull().alias(CUT))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """To be broadcast if its measured size allows; with a small ``hot_rows`` as many keys as rows may be cut."""
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def _carried(rows: DataFrame, keys: Sequence[str], ends: DataFrame, name: str) -> DataFrame:
     """``rows`` with ``name`` of ``ends``, which has a row for each split of the keys that were cut."""
-    few = F.broadcast(materialised(ends.select(*[F.col(k).alias(f"__of_{k}") for k in keys], F.col(SPLIT).alias("__of_split"), name)))
+    few = _small(materialised(ends.select(*[F.col(k).alias(f"__of_{k}") for k in keys], F.col(SPLIT).alias("__of_split"), name)))
     same = F.col(SPLIT) == F.col("__of_split")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"__of_{key}"))

@@ -19,7 +19,7 @@ from cashloom.operators.lookup import BROADCAST_BYTES, HOT_ROWS
 from cashloom.operators.schedule import RR, RRF, event_kind, event_name, given_out, with_event_dates, with_schedule
 from cashloom.operators.splits import asof_rows, with_last, with_running, with_splits
 from cashloom.operators.states import CLEARING, RESETTING, accrued_after, event_value, nominal_after
-from cashloom.session import materialised
+from cashloom.session import materialised, stored
 from cashloom.sources.analysis_date import with_analysis_date
 from cashloom.sources.contracts import with_full_terms
 from cashloom.sources.market import REFERENCE_RATE
@@ -62,7 +62,7 @@ def states_from_rows(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The events of ``rows`` (with ``set_rate``) that are given out, with value, nominal, accrued and rate."""
     order, keys = [F.col("day"), F.col("kind")], ["contract"]
     cut = with_splits(rows, keys, "day", hot_rows)
-    last = with_last(cut, keys, order, {"rate_before": "set_rate", "date_before": "date"})
+    last = stored(with_last(cut, keys, order, {"rate_before": "set_rate", "date_before": "date"}), "last")
     accrued = f"({year_fraction('coalesce(date_before, since)', 'date', 'day_count')}) * coalesce(rate_before, nominal_rate) * principal"
     steps = last.selectExpr("*", "sign * notional AS principal").selectExpr("*", f"{accrued} AS step", f"kind IN {CLEARING} AS clears")
     owed = with_running(steps, keys, order, "step", "clears", "due")
@@ -85,5 +85,6 @@ def evaluate_rows(
     contracts: DataFrame, t0: str | DataFrame, market: DataFrame, hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """From terms and market objects to one row per event, as ``flat_events`` of ``evaluate``."""
-    rows = schedule_rows(contracts, t0)
-    return states_from_rows(with_reset_rates(rows, market, hot_rows, limit), hot_rows)
+    # stored, because each is read several times
+    rows = stored(schedule_rows(contracts, t0), "schedule")
+    return states_from_rows(stored(with_reset_rates(rows, market, hot_rows, limit), "rated"), hot_rows)

@@ -77,3 +77,10 @@ def materialised(frame: DataFrame) -> DataFrame:
     """``frame`` computed once and read back from shared storage, with its lineage cut."""
     shared_dir(frame.sparkSession)
     return frame.checkpoint()
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` computed once and read back from columns in shared storage, so that a reader takes those it needs."""
+    folder = new_folder(frame.sparkSession, label)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
