@@ -34,6 +34,8 @@ def row_bytes(schema: T.StructType) -> str:
 
 
 def fits_broadcast(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    if limit <= 0:
+        return False  # nothing to measure
     total = frame.selectExpr(f"sum({row_bytes(frame.schema)})").first()[0]
     return (total or 0) <= limit
 

@@ -19,7 +19,7 @@ from cashloom.operators.intervals import interval_join
 from cashloom.operators.lookup import reset_status, scaling_status, with_reset_object, with_scaling_object
 from cashloom.operators.schedule import event_name, role_sign
 from cashloom.operators.splits import asof_rows
-from cashloom.operators.states import event_rows, flat_events, nested_events, regrouped, unnested
+from cashloom.operators.states import event_rows, flat_events, nested_events, regrouped
 from cashloom.operators.tokens import token_arrays, token_counts
 from cashloom.plans import job, scenarios
 from cashloom.plans.pam import discounted, evaluate, event_records
@@ -38,7 +38,7 @@ from cashloom.plans.testdata import (
     short_contract_lines,
     table,
 )
-from cashloom.session import configure, materialised, new_folder, spread
+from cashloom.session import configure, materialised, new_folder, spread, stored
 from cashloom.sources.analysis_date import first_date, with_analysis_date
 from cashloom.sources.batches import append_once, read_batches, written
 from cashloom.sources.catalog import create_table, drop_table, insert_rows, select_all
@@ -256,7 +256,7 @@ def rf_lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     probes = spread(table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey", f"{part} AS code", "add_months(cast(o_orderdate AS date), 12) AS date"
     )
-    market = part_market(spark, sf_dir)
+    market = stored(part_market(spark, sf_dir), "part_market")  # looked at by each of the ways
     broadcast = asof_join(probes, market, "code", "date", "rate").withColumn("way", F.lit("broadcast"))
     merged = asof_join(probes, market, "code", "date", "rate", limit=0, hot_rows=500).withColumn("way", F.lit("merged"))
     return broadcast.unionByName(merged).selectExpr("way", "o_orderkey", "code", f"{date_text('date')} AS date", "rate")
@@ -513,12 +513,19 @@ def events_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested_table(read_text_rows(spark, path, NESTED_SCHEMA))
 
 
+def _csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat events as CSV takes them, evaluated once for all that is appended."""
+    events = flat_events(evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL))
+    named = events.selectExpr("contract_id AS id", f"{date_text('date')} AS date", "type", "currency", "value", "nominal", "accrued")
+    return stored(named, "events")
+
+
 def csv_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat events appended to one CSV folder twice, so every event comes back twice."""
     path = new_folder(spark, "events-csv")
-    nested = nested_events(evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL))
+    events = _csv_events(spark, sf_dir)
     for _ in range(2):
-        append_csv(unnested(nested), path)
+        append_csv(events, path)
     return read_csv(spark, path, FLAT_SCHEMA).selectExpr(
         "id", "date", "type", "currency", *_money("value", "nominal", "accrued")
     )
@@ -527,7 +534,7 @@ def csv_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat events appended by batches of a currency each, one of them twice; what is half written is not there."""
     folder = new_folder(spark, "events-batches")
-    events = unnested(nested_events(evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL)))
+    events = _csv_events(spark, sf_dir)
     written(events, folder, "EUR")
     for currency in ("EUR", "USD", "CHF", "EUR"):
         append_once(events.where(F.col("currency") == currency), folder, currency)
