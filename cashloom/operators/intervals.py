@@ -2,7 +2,7 @@
 
 Intervals are put on a grid whose cells are as wide as they are: one of length up to ``width * 2**n`` goes to
 level n, where it meets two cells at most, so that wide and narrow intervals cost the same. A point is in
-one cell of each level that has intervals. Cells are joined by equality and the ends are checked in it;
+one cell of each level that its key has intervals of. Cells are joined by equality and the ends are checked in it;
 a point and an interval share one cell of one level, so every pair comes once.
 
 A cell of more than ``hot_rows`` points is dealt over as many groups as that takes, with a copy of its
@@ -16,7 +16,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashloom.operators.lookup import HOT_ROWS
+from cashloom.operators.lookup import HOT_ROWS, lookup
+from cashloom.session import stored
+
+
+def on_levels(points: DataFrame, given: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``points`` once for each ``__level``, 65 at most, that the intervals ``given`` of their keys have."""
+    if not on:
+        levels = sorted(row["__level"] for row in given.select("__level").distinct().collect())
+        return points.withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    of_key = stored(given.groupBy(*on).agg(F.collect_set("__level").alias("__levels")), "levels")
+    found = lookup(points, of_key, list(on), hot_rows=hot_rows)
+    # not the inner form, of which the optimizer makes a filter on the levels
+    each = found.select(*points.columns, F.explode_outer("__levels").alias("__level"))
+    return each.where("__level IS NOT NULL")
 
 
 def interval_join(
@@ -45,11 +58,11 @@ def interval_join(
     def cell(value: str) -> str:
         return f"cast(floor(cast({value} AS decimal(20, 0)) / ({width} * cast(pow(2D, __level) AS decimal(20, 0)))) AS bigint)"
 
-    given = intervals.where(f"`{lo}` < `{hi}`").select(*on, F.struct(*added).alias("__interval"), F.expr(level).alias("__level"))
-    levels = sorted(row["__level"] for row in given.select("__level").distinct().collect())  # 65 at most
-    each = F.array(*map(F.lit, levels)).cast("array<int>")
+    given = stored(
+        intervals.where(f"`{lo}` < `{hi}`").select(*on, F.struct(*added).alias("__interval"), F.expr(level).alias("__level")), "intervals"
+    )
     there = " AND ".join(f"`{c}` IS NOT NULL" for c in [*on, x])
-    placed = points.where(there).withColumn("__level", F.explode(each)).withColumn("__cell", F.expr(cell(f"`{x}`")))
+    placed = on_levels(points.where(there), given, on, hot_rows).withColumn("__cell", F.expr(cell(f"`{x}`")))
     ends = (cell(f"__interval.`{lo}`"), cell(f"(__interval.`{hi}` - 1)"))
     gridded = given.withColumn("__cell", F.explode(F.expr(f"sequence({ends[0]}, {ends[1]})")))
     keys = [*on, "__level", "__cell"]
