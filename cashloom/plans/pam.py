@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cashloom.functions import quoted, quoted_list
+from cashloom.functions import let, quoted, quoted_list
 from cashloom.functions.cycles import tenor_years
 from cashloom.functions.text import date_text
 from cashloom.operators.asof import as_of, with_series
@@ -61,13 +61,15 @@ def evaluate(
         "found.series AS series",
         f"{curve_rate('found.curve', tenor_years('rate_term'))} AS curve_rate",
     )
-    seen = f"coalesce(curve_rate, {as_of('series', 'd')})"
-    rate = f"coalesce(rate_multiplier, 1D) * {seen} + coalesce(rate_spread, 0D)"
+    seen = f"coalesce(__curve_rate, {as_of('__series', 'd')})"
+    rates = f"transform(reset_dates, d -> coalesce(rate_multiplier, 1D) * {seen} + coalesce(rate_spread, 0D))"
+    # bound, because the optimizer would put what they stand for inside, to be worked out for every reset
+    rates = let("__curve_rate", "curve_rate", let("__series", "series", rates))
     status = (
         f"CASE {reset_status()} WHEN 'ok' THEN CASE WHEN found.series IS NULL AND found.curve IS NULL THEN 'unreadable'"
         f" WHEN unobserved THEN 'no_observation' ELSE 'ok' END ELSE {reset_status()} END"
     )
-    rated = with_states(spread, rate)
+    rated = with_states(spread, rates=rates)
     return rated.withColumn("reset_status", F.expr(status)).drop("objects", "found", "series", "curve_rate")
 
 
