@@ -250,6 +250,28 @@ def _read_block(words: bytes, vocabulary: bytes, sizes: bytes) -> Block:
     return Block(_from_planes(vocabulary, np.uint64), _from_planes(words, np.int32), _from_planes(sizes, np.int64))
 
 
+def _totals(keys: pa.ChunkedArray, own: pa.ChunkedArray) -> tuple[list[int], np.ndarray, int]:
+    """Where each block's n-grams begin, the count in all blocks of each, and how many that isn't 0 for but the start.
+
+    A range is a worker's largest load, so arrays of its length are as few at a time as that takes.
+    """
+    cuts = [0, *np.cumsum([len(k.as_buffer()) // 8 for k in keys]).tolist()]
+    grams, counts = np.empty(cuts[-1], np.uint64), np.empty(cuts[-1], np.uint32)
+    for a, b, k, c in zip(cuts, cuts[1:], keys, own):
+        grams[a:b], counts[a:b] = _from_ascending(k.as_buffer()), _from_planes(c.as_buffer(), np.uint32)
+    order = np.argsort(grams)
+    grams, counts = grams[order], counts[order]
+    first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    different = grams[first]
+    del grams
+    sums = np.add.reduceat(counts, first, dtype=np.int64)
+    kinds = int(((sums > 0) & (different != np.uint64(START))).sum())
+    del different, counts
+    totals = np.empty(len(order), np.int64)
+    totals[order] = np.repeat(sums, np.diff(first, append=len(order)))
+    return cuts, totals, kinds
+
+
 def _counted(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
     """block, range, n, counts: how often the training texts hold the block's n-grams of a range of hashes.
 
@@ -259,7 +281,9 @@ def _counted(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            pa.default_memory_pool().release_unused()
+            for at in range(batch.num_rows):  # one by one: blocks are large
+                row = batch.slice(at, 1).to_pylist()[0]
                 block = _read_block(row["words"], row["vocabulary"], row["sizes"])
                 learnt = np.repeat(np.array(row["learns"], bool), block.sizes + 1)
                 for n, (keys, ends, _) in enumerate(block.grams(order), start=1):
@@ -282,22 +306,17 @@ def _counted(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
     )
 
     def answered(group: pa.Table) -> pa.Table:
-        keys = [_from_ascending(k.as_py()) for k in group.column("keys")]
-        own = np.concatenate([_from_planes(c.as_py(), np.uint32) for c in group.column("own")]).astype(np.float64)
-        different, number = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(number, own, len(different)).astype(np.int64)
-        cuts = np.cumsum([0, *map(len, keys)])
-        back = [_planes(totals[number[a:b]]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        blocks, kinds = group.column("block").to_pylist(), 0
+        pa.default_memory_pool().release_unused()  # or each worker keeps what its largest group took
+        cuts, totals, kinds = _totals(group.column("keys"), group.column("own"))
+        back = [_planes(totals[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        blocks = group.column("block").to_pylist()
         n, r = group.column("n")[0].as_py(), group.column("range")[0].as_py()
-        if n == 1:
-            kinds = int(((totals > 0) & (different != np.uint64(START))).sum())
         return pa.table(
             {
                 "block": pa.array([*blocks, -1], pa.int64()),
                 "range": pa.array([r] * (len(blocks) + 1), pa.int32()),
                 "n": pa.array([n] * (len(blocks) + 1), pa.int32()),
-                "kinds": pa.array([0] * len(blocks) + [kinds], pa.int64()),
+                "kinds": pa.array([0] * len(blocks) + [kinds if n == 1 else 0], pa.int64()),
                 "counts": pa.array([*back, b""], pa.binary()),
             }
         )
@@ -329,14 +348,18 @@ def scored(
     kind = docs.schema[doc_id].dataType
 
     def traversed(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        row = texts.slice(0, 1).to_pydict()
-        block = _read_block(row["words"][0], row["vocabulary"][0], row["sizes"][0])
+        pa.default_memory_pool().release_unused()
+        block = _read_block(*(texts.column(c)[0].as_buffer() for c in ("words", "vocabulary", "sizes")))
         grams = block.grams(order)
-        parts = sorted(zip(answers.column("n").to_pylist(), answers.column("range").to_pylist(), answers.column("counts").to_pylist()))
-        none = np.zeros(0, np.int64)
-        counts = [np.concatenate([none, *(_from_planes(c, np.int64) for m, _, c in parts if m == n)]) for n in range(1, order + 1)]
+        places = sorted(zip(answers.column("n").to_pylist(), answers.column("range").to_pylist(), range(len(answers))))
+        none, found = np.zeros(0, np.int64), answers.column("counts")
+        counts = [
+            np.concatenate([none, *(_from_planes(found[at].as_buffer(), np.int64) for m, _, at in places if m == n)])
+            for n in range(1, order + 1)
+        ]
         automaton = Automaton(block, grams, counts, tokens, kinds, prior, added)
         of_token = counts[0][grams[0][1]]
+        del grams, counts
         alone = np.log10((of_token + added) / (tokens + added * (kinds + 1)))
         alone[block.starts] = 0.0
         known = of_token > 0
@@ -348,7 +371,7 @@ def scored(
         return pa.table(
             {
                 "doc_id": texts.column("ids").combine_chunks().flatten(),
-                "learnt_from": pa.array(row["learns"][0], pa.bool_()),
+                "learnt_from": texts.column("learns").combine_chunks().flatten(),
                 "n_tokens": pa.array(block.sizes),
                 "n_known": pa.array(np.add.reduceat(known.astype(np.int64), block.starts)),
                 "train_tokens": pa.array(np.full(len(scores), tokens, np.int64)),

@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cashloom.llm import queries
-from cashloom.llm.backoff import ADDED, PRIOR, scored
+from cashloom.llm.backoff import ADDED, PRIOR, START, _ascending, _planes, _totals, scored
 
 
 def brute_force(rows, order=2, held=lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0):
@@ -121,3 +124,19 @@ def _end(learnt, words):
 def test_better_than_single_words_on_held_out(spark, small):
     rows = [r for r in queries.op12_lm_scoring(spark, small).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_counts_of_a_range_take_few_arrays():
+    draw = np.random.default_rng(1)
+    keys = [np.unique(np.append(draw.integers(0, 400_000, 30_000).astype(np.uint64) << np.uint64(40), np.uint64(START))) for _ in range(10)]
+    own = [draw.integers(0, 3, len(k)).astype(np.uint32) for k in keys]
+    columns = [pa.chunked_array([pa.array([pack(v) for v in values], pa.binary())]) for pack, values in ((_ascending, keys), (_planes, own))]
+    tracemalloc.start()
+    cuts, totals, kinds = _totals(*columns)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    different, number = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.bincount(number, np.concatenate(own)).astype(np.int64)
+    assert (totals == sums[number]).all() and cuts == [0, *np.cumsum([len(k) for k in keys]).tolist()]
+    assert kinds == ((sums > 0) & (different != START)).sum()
+    assert peak < 48 * len(totals)  # grouping by unique() took 88 bytes for each n-gram
