@@ -49,6 +49,8 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+#: Marks that end words; not the apostrophe, which tokenizers may join with letters.
+MARKS = b'!"#$%&()*+,-./:;=?@[\\]^_`{|}~'
 #: If these words come out alike with and without the steps before the model, all such words do.
 PLAIN_PROBES = ("a", "the", "thereining", "über", "çané", "ñoñez", "straße", "łódź")
 
@@ -62,7 +64,8 @@ class WordIds(dict):
     """Ids of white-space separated words, as little-endian 32-bit integers, filled as words come up.
 
     Made for tokenizers that drop white space, ignore ASCII case, and separate letters from
-    punctuation: there the ids of a text are those of its words, one after another. When the table is
+    punctuation: there the ids of a text are those of its words, one after another. A word in capitals
+    or with marks at its end has no entry of its own, which leaves room for others. When the table is
     full it becomes the older generation, from which words still in use come back.
     """
 
@@ -89,9 +92,9 @@ class WordIds(dict):
         elif b"<|" in word:  # perhaps a special token, whose case counts
             ids = self._encoded(word)
         elif low != word:
-            ids = self[low]
-        elif len(word) > 1 and word[-1] in b".," and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
+            return self[low]
+        elif (stem := word.rstrip(MARKS)) != word and stem[-1:].isalpha():
+            return self[stem] + self[word[len(stem) :]]
         elif self.plain and _is_plain(word.decode()):
             ids = self._of_letters(word)
         else:

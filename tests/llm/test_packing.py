@@ -136,3 +136,20 @@ def test_clashing_names(documents):
     placed = packed(token_pieces(docs, PATH, capacity=64).selectExpr("*", "1 AS packing_row", "2 AS packing_group", "3 AS sequence_id"), capacity=64)
     assert sorted((r.doc_id, r.length) for r in placed.collect()) == [(1, 4), (2, 1)]
     assert check_places(placed.collect(), 64) == 1
+
+
+def test_marks_and_capitals_take_no_entry_and_no_whole_encoding():
+    encoded = []
+
+    class Seen(packing.WordIds):
+        def _encoded(self, word):
+            encoded.append(word)
+            return super()._encoded(word)
+
+    text = "thereining$$$ Thereining,*** THEREINING. it's, x'sab!! stra\u00dfe%% a<|endoftext|> -- 12.5% e\u0301."
+    table = Seen(packing.tokenizer_file())
+    encoded.clear()
+    whole = table.tokenizer.encode(text, add_special_tokens=False).ids
+    assert table.of(text.encode()) == struct.pack(f"<{len(whole)}I", *whole)
+    assert not [w for w in encoded if b"reining" in w]
+    assert {b"thereining", b"$$$", b",***"} <= table.keys() and not {b"thereining$$$", b"THEREINING."} & table.keys()
