@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from cashloom.functions import let
 from cashloom.functions.daycount import year_fraction
-from cashloom.functions.text import date_text
 from cashloom.operators.lookup import HOT_ROWS
 from cashloom.operators.schedule import (
     IED,
@@ -278,35 +277,59 @@ def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return _in_order(counts, keep)
 
 
+def _payments() -> str:
+    """Payments as events; without resets each accrues at one rate from the one before."""
+    paid = "slice(concat(array(since), interest_dates), 1, size(interest_dates))"
+    plain = _event("__day", IP, f"if(__paid IS NULL, 0D, 0D + {_interest('__paid', '__day', 'nominal_rate')})")
+    due = let("__start", accrual_start("__paid", "__resets"), event_due("__day", f"{IP}", "__i", "__paid", "__resets", "__start"))
+    due = let("__resets", "coalesce(get(resets_at_payment, __i), 0)", let("__paid", _paid_before("__i"), due))
+    return (
+        f"if(size(reset_dates) > 0, transform(interest_dates, (__day, __i) -> {_event('__day', IP, due)}),"
+        f" zip_with(interest_dates, {paid}, (__day, __paid) -> {plain}))"
+    )
+
+
+def _event(date: str, kind: int | str, value: str, accrued: str = "0D") -> str:
+    return f"named_struct('date', {date}, 'kind', {kind}, 'value', {value}, 'accrued', {accrued})"
+
+
+def _single_event(date: str, kind: int, name: str) -> str:
+    """The purchase or the termination, whose dates are null if a contract has none."""
+    paid, resets = f"paid_at_{name}", f"resets_at_{name}"
+    due = let("__start", accrual_start(paid, resets), event_due(date, f"{kind}", "0", paid, resets, "__start"))
+    event = _event(date, kind, event_value(f"{kind}", "__due"), accrued_after(f"{kind}", "__due"))
+    return let("__due", due, event)
+
+
+def _listed_events() -> str:
+    """The events that a contract gives out, in order: kind by kind, since a kind's values need no choice."""
+    none = "cast(array() AS array<struct<date: date, kind: int, value: double, accrued: double>>)"
+    fixed = f"if(__i = 0 AND next_reset_rate IS NOT NULL, {RRF}, {RR})"
+    kinds = [
+        f"if(running, {none}, array({_event('initial_exchange_date', IED, event_value(f'{IED}', '0D'))}))",
+        _payments(),
+        f"transform(reset_dates, (__day, __i) -> {_event('__day', fixed, '0D', 'get(reset_dues, __i)')})",
+        f"if(purchased_on IS NULL, {none}, array({_single_event('purchased_on', PRD, 'purchase')}))",
+        f"if(terminated_on IS NULL, {none}, array({_single_event('terminated_on', TD, 'termination')}))",
+        f"if(terminated_on IS NULL, array({_event('maturity_date', MD, event_value(f'{MD}', '0D'))}), {none})",
+    ]
+    # but for resets and a purchase the kinds follow each other in time
+    listed = let("__all", f"concat({', '.join(kinds)})", "if(size(reset_dates) > 0 OR purchased_on IS NOT NULL, sort_array(__all), __all)")
+    given = f"filter({listed}, __e -> {given_out('__e.date', '__e.kind')})"
+    return f"if(ended, {none}, if(purchased_on IS NULL, {listed}, {given}))"
+
+
 def nested_events(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per contract with parallel arrays in event order, empty ones for no events."""
-    paid = paid_before("e.kind", "e.position")
-    resets = resets_before("e.kind", "e.position")
-    due = event_due("e.date", "e.kind", "e.position", "e.paid", "e.resets", "start")
-    due = let("start", accrual_start("e.paid", "e.resets"), due)
-    rows = (
-        evaluated.selectExpr("*", f"{_given_events()} AS given")
-        .selectExpr(
-            "*",
-            "transform(sort_array(given), e -> named_struct('date', e.date, 'kind', e.kind,"
-            f" 'position', e.position, 'paid', {paid}, 'resets', {resets})) AS placed",
-        )
-        .selectExpr("*", f"transform(placed, e -> named_struct('date', e.date, 'kind', e.kind, 'due', {due})) AS owed")
-        .selectExpr(
-            "*",
-            f"transform(owed, e -> named_struct('date', {date_text('e.date')}, 'type', {event_name('e.kind')},"
-            f" 'value', {event_value('e.kind', 'e.due')}, 'nominal', {nominal_after('e.kind')},"
-            f" 'accrued', {accrued_after('e.kind', 'e.due')})) AS events",
-        )
-    )
+    rows = evaluated.selectExpr("*", f"{_listed_events()} AS events")
     nested = rows.selectExpr(
         *_kept(rows, keep),
         "array_repeat(contract_id, size(events)) AS id",
-        "events.date AS date",
-        "events.type AS type",
+        "cast(events.date AS array<string>) AS date",
+        f"transform(events.kind, __kind -> {event_name('__kind')}) AS type",
         "array_repeat(currency, size(events)) AS currency",
         "events.value AS value",
-        "events.nominal AS nominal",
+        f"transform(events.kind, __kind -> {nominal_after('__kind')}) AS nominal",
         "events.accrued AS accrued",
     )
     return _in_order(nested, keep)

@@ -58,6 +58,8 @@ FACTOR_DIGITS = 8
 # For comparison only: an exact half can come out of the arithmetic a little below itself. In units
 # of the last digit, some ten times what sums of a few hundred amounts are off.
 COMPARISON_TOLERANCE = 1e-5
+# Fewer units than these come out of dividing and multiplying again as they were.
+WHOLE_UNITS = float(1 << 50)
 
 NESTED_SCHEMA = (
     "id array<string>, date array<string>, type array<string>, currency array<string>, "
@@ -72,9 +74,14 @@ def half_up(value: str, digits: int) -> str:
 
 
 def units(value: str, digits: int) -> str:
-    """The rounded value in units of its last digit, as text; a value without such a unit as it is."""
+    """The rounded value in units of its last digit, as text; a value without such a unit as it is.
+
+    Up to ``WHOLE_UNITS`` the units are counted as a whole number, beyond by way of the rounded value.
+    """
+    counted = f"floor(({value}) * 1e{digits}D + {0.5 + COMPARISON_TOLERANCE!r}D)"
     whole = f"try_cast(({half_up(value, digits)}) * 1e{digits}D AS decimal(38, 0))"
-    return f"coalesce(cast({whole} AS string), cast({value} AS string))"
+    text = f"coalesce(cast({whole} AS string), cast({value} AS string))"
+    return f"CASE WHEN abs({value}) < {WHOLE_UNITS / 10**digits!r}D THEN cast({counted} AS string) ELSE {text} END"
 
 
 def _money(*names: str) -> list[str]:

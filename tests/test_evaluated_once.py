@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cashloom.operators.intervals import on_levels
 from cashloom.operators.lookup import fits_broadcast
+from cashloom.operators.states import nested_events
 from cashloom.plans import registry
 from cashloom.plans.pam import evaluate
 from cashloom.plans.rows import evaluate_rows
@@ -51,3 +52,16 @@ def test_points_go_to_the_levels_of_their_key(spark):
 def test_table_that_may_not_be_broadcast_is_not_measured(spark):
     broken = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("code"))
     assert not fits_broadcast(broken, 0)
+
+
+def test_nested_events_are_listed_once_kind_by_kind(spark, small):
+    contracts = parse_contracts(contract_lines(spark, small))
+    lines = plan(nested_events(evaluate(contracts, MIDWAY, market_table(spark, small))))
+    assert "AS placed" not in lines and "AS owed" not in lines
+
+
+def test_units_around_the_largest_counted(spark):
+    values = "array(0.00005D, 0.00004D, -0.00005D, 12345.67895D, 112589990684.2624D, -112589990684.2623D, 5e11D, double('NaN'), -double('Infinity'), NULL)"
+    found = spark.range(1).selectExpr(f"transform({values}, v -> {registry.units('v', 4)}) AS u").first().u
+    assert found[:7] == ["1", "0", "0", "123456790", "1125899906842624", "-1125899906842623", "5000000000000000"]
+    assert found[7:] == ["NaN", "-Infinity", None]
