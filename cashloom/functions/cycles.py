@@ -6,6 +6,7 @@ from cashloom.functions import let, quoted, quoted_list
 
 # Fixed values of the cycle text: count, unit, optional stub sign.
 CYCLE_PATTERN = r"^P?([0-9]+)([DWMQHY])([+-]|L[01])?$"
+CYCLE_PARTS = r"(?s)^P?([0-9]+)([DWMQHY])([+-]|L[01])?.*"  # of a text that the pattern fits
 UNIT_MONTHS = {"M": 1, "Q": 3, "H": 6, "Y": 12}
 UNIT_DAYS = {"D": 1, "W": 7}
 LONG_STUBS = ("+", "L0")
@@ -22,26 +23,26 @@ def parse_cycle(text: str) -> str:
 
     Lengths are longs, so that ten digits of years still are the number they say.
     """
+    return let("__parts", cycle_parts(text), cycle_step("__parts"))
 
-    def group(number: int) -> str:
-        return f"regexp_extract(__cycle, {quoted(CYCLE_PATTERN)}, {number})"
 
-    def length(units: dict[str, int]) -> str:
-        sizes = " ".join(f"WHEN {quoted(unit)} THEN {size}L" for unit, size in units.items())
-        return f"try_multiply(__count, CASE {group(2)} {sizes} ELSE 0L END)"
+def cycle_parts(text: str) -> str:
+    """Count, unit and stub sign of a cycle text, or null; a column of them spares ``cycle_step`` a binding."""
+    parts = f"split(regexp_replace({text}, {quoted(CYCLE_PARTS)}, '$1 $2 $3'), ' ')"
+    return f"CASE WHEN {text} RLIKE {quoted(CYCLE_PATTERN)} THEN {parts} END"
 
-    step = (
-        f"named_struct('months', {length(UNIT_MONTHS)}, 'days', {length(UNIT_DAYS)},"
-        f" 'long_stub', {group(3)} IN ({quoted_list(LONG_STUBS)}))"
-    )
-    count = f"CASE WHEN __cycle RLIKE {quoted(CYCLE_PATTERN)} THEN try_cast({group(1)} AS bigint) END"
-    counted = let("__count", count, f"CASE WHEN __count > 0 THEN {let('__step', step, _whole_step())} END")
-    return let("__cycle", text, counted)
 
+def cycle_step(parts: str) -> str:
+    """What ``parse_cycle`` gives, from the parts; null also if the length is beyond a long."""
+    count = f"try_cast(get({parts}, 0) AS bigint)"
+
+    def length(units: dict[str, int]) -> str:
+        sizes = " ".join(f"WHEN {quoted(unit)} THEN {size}L" for unit, size in units.items())
+        return f"try_multiply({count}, CASE get({parts}, 1) {sizes} ELSE 0L END)"
 
-def _whole_step() -> str:
-    """Null if the length is beyond a long."""
-    return "CASE WHEN __step.months IS NOT NULL AND __step.days IS NOT NULL THEN __step END"
+    months, days = length(UNIT_MONTHS), length(UNIT_DAYS)
+    step = f"named_struct('months', {months}, 'days', {days}, 'long_stub', get({parts}, 2) IN ({quoted_list(LONG_STUBS)}))"
+    return f"CASE WHEN {count} > 0 AND {months} IS NOT NULL AND {days} IS NOT NULL THEN {step} END"
 
 
 def tenor_years(text: str) -> str:
@@ -81,3 +82,13 @@ def without_stub(dates: str, step: str, end: str) -> str:
         f"CASE WHEN size({dates}) > 0 AND (get({dates}, {last}) = {end} OR {step}.long_stub)"
         f" THEN slice({dates}, 1, {last}) ELSE {dates} END"
     )
+
+
+def steps_upto(date: str, anchor: str, step: str) -> str:
+    """How many of the dates ``anchor + k * step`` are not after ``date``: counted, not looked through."""
+    # as many as whole steps of months lie between the two, and one more if its day is there too
+    steps = f"(({month_number(date)} - {month_number(anchor)}) div {step}.months)"
+    by_months = f"{steps} + if(add_months({anchor}, cast({steps} * {step}.months AS int)) <= {date}, 1, 0)"
+    by_days = f"datediff({date}, {anchor}) div {step}.days + 1"
+    counted = f"if({step}.months > 0, {by_months}, {by_days})"
+    return f"if({date} >= {anchor} AND {step} IS NOT NULL, cast({counted} AS int), 0)"

@@ -12,6 +12,7 @@ NULL_MARKER = "NULL"
 DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}(T([01][0-9]|2[0-4]))?$"
 
 NO_TEXTS = "cast(array() AS array<string>)"
+PATTERN_CHARACTERS = "\\^$.|?*+()[]{}"
 
 
 def split_trimmed(text: str, separator: str) -> str:
@@ -22,12 +23,13 @@ def split_trimmed(text: str, separator: str) -> str:
     """
     if not separator:
         raise ValueError("a separator has at least one character")
-    mark = "".join(f"[{c}]" if c not in "[]^\\&" else f"\\{c}" for c in separator)
+    # a character that is none of a pattern stands as it is: Java splits at a single one without a pattern
+    mark = "".join(f"\\{c}" if c in PATTERN_CHARACTERS else c for c in separator)
     single = f"rtrim({quoted(separator)}, {text})"
     trimmed = single if len(separator) == 1 else f"regexp_replace({text}, {quoted(f'({mark})+$')}, '')"
     return (
-        f"CASE WHEN {text} = '' THEN array('') WHEN {trimmed} = '' THEN {NO_TEXTS}"
-        f" ELSE split({trimmed}, {quoted(mark)}) END"
+        f"CASE WHEN {text} = '' THEN array('') WHEN NOT endswith({text}, {quoted(separator)}) THEN split({text}, {quoted(mark)})"
+        f" WHEN {trimmed} = '' THEN {NO_TEXTS} ELSE split({trimmed}, {quoted(mark)}) END"
     )
 
 

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from cashloom.functions import quoted_list
 from cashloom.functions.cycles import (
     NO_DATES,
-    parse_cycle,
+    cycle_parts,
+    cycle_step,
     plus_cycle,
     regular_dates,
+    steps_upto,
     without_stub,
 )
 from cashloom.functions.daycount import CONVENTIONS
@@ -72,9 +74,9 @@ def contract_status() -> str:
     faults.append(f"if(coalesce(day_count IN ({quoted_list(CONVENTIONS)}), false), NULL, 'unknown day_count')")
     faults.append("if(sign IS NULL, 'unknown role', NULL)")
     faults.append("if(maturity_date < initial_exchange_date, 'matures before its exchange', NULL)")
-    unread = "transform(coalesce(term_errors, cast(array() AS array<string>)), e -> concat('unreadable ', e))"
-    listed = f"array_compact(concat({unread}, array({', '.join(faults)})))"
-    return f"coalesce(nullif(array_join({listed}, ', '), ''), '{OK}')"
+    # texts, no arrays gone through by a lambda: such expressions are interpreted, with all that they are given
+    unread = "if(size(term_errors) > 0, concat('unreadable ', array_join(term_errors, ', unreadable ')), NULL)"
+    return f"coalesce(nullif(concat_ws(', ', {unread}, {', '.join(faults)}), ''), '{OK}')"
 
 
 def with_schedule(contracts: DataFrame) -> DataFrame:
@@ -97,8 +99,12 @@ def with_schedule(contracts: DataFrame) -> DataFrame:
         f"greatest({ied}, t0) AS begin",
         f"{stop} AS terminated_on",
         f"coalesce({stop}, {md}) AS last_day",
-        f"{parse_cycle('interest_cycle')} AS interest_step",
-        f"{parse_cycle('reset_cycle')} AS reset_step",
+        f"{cycle_parts('interest_cycle')} AS interest_parts",
+        f"{cycle_parts('reset_cycle')} AS reset_parts",
+    ).selectExpr(
+        "* EXCEPT (interest_parts, reset_parts)",
+        f"{cycle_step('interest_parts')} AS interest_step",
+        f"{cycle_step('reset_parts')} AS reset_step",
     ).selectExpr(
         "*",
         f"{contract_status()} AS contract_status",
@@ -117,17 +123,36 @@ def with_schedule(contracts: DataFrame) -> DataFrame:
         f"{without_stub('interest_all', 'interest_step', md)} AS interest_grid",
         f"{without_stub('reset_all', 'reset_step', md)} AS reset_grid",
     )
-    listed = gridded.selectExpr(
+
+    def upto(date: str, kind: str) -> str:
+        return f"least({steps_upto(date, f'{kind}_from', f'{kind}_step')}, size({kind}_grid))"
+
+    counted = gridded.selectExpr(
+        "*",
+        f"{upto('begin', 'interest')} AS interest_gone",
+        f"{upto('begin', 'reset')} AS reset_gone",
+        f"{upto('last_day', 'interest')} AS interest_ahead",
+        f"{upto('last_day', 'reset')} AS reset_ahead",
+    )
+
+    def within(kind: str) -> str:
+        """The dates after ``begin`` and up to the last day."""
+        gone, ahead = f"{kind}_gone", f"{kind}_ahead"
+        return f"if(begin <= last_day AND {ahead} > {gone}, slice({kind}_grid, {gone} + 1, {ahead} - {gone}), {NO_DATES})"
+
+    listed = counted.selectExpr(
         "*",
-        "filter(interest_grid, d -> d > begin AND d <= last_day) AS regular_payments",
-        "filter(reset_grid, d -> d > begin AND d <= last_day) AS reset_dates",
-        f"if(running, array_max(filter(interest_grid, d -> d > {ied} AND d <= t0)), NULL) AS last_paid",
+        f"{within('interest')} AS regular_payments",
+        f"{within('reset')} AS reset_dates",
+        "if(running, get(interest_grid, interest_gone - 1), NULL) AS last_paid",
     )
     return listed.selectExpr(
         "*",
         f"if(last_day = {md}, concat(regular_payments, array({md})), regular_payments) AS interest_dates",
-        f"coalesce(last_paid, {ied}) AS since",
-    ).drop("interest_all", "reset_all", "interest_grid", "reset_grid", "regular_payments", "last_paid")
+        f"if(last_paid > {ied}, last_paid, {ied}) AS since",
+    ).drop(
+        "interest_all", "reset_all", "interest_grid", "reset_grid", "interest_ahead", "reset_ahead", "regular_payments", "last_paid"
+    )
 
 
 def with_event_dates(scheduled: DataFrame) -> DataFrame:

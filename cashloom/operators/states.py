@@ -1,9 +1,8 @@
 """Contract states at the events, and the event values.
 
 The notional is constant between the initial exchange and the end, so the interest due at an
-event follows from the last payment before it and the resets since. For contracts with resets a
-``timeline`` of payments and resets in one order, gone through once, gives the rank of either among
-the other. What accrues between resets is added up from payment to payment in one running sum,
+event follows from the last payment before it and the resets since. Payments and resets are regular,
+so how many of either come before the other is counted from the dates, not looked up. What accrues between resets is added up from payment to payment in one running sum,
 ``reset_dues``; amounts and values are computed event by event, after the dates are exploded.
 """
 
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashloom.functions import let
+from cashloom.functions.cycles import steps_upto
 from cashloom.functions.daycount import year_fraction
 from cashloom.operators.lookup import HOT_ROWS
 from cashloom.operators.schedule import (
@@ -36,6 +36,14 @@ CLEARING = f"({IP}, {TD}, {MD})"
 CLOSING = f"({TD}, {MD})"
 RESETTING = f"({RRF}, {RR})"
 
+# What the events of an evaluated contract are made of, but for its scenario, once ``with_event_dates`` has listed them again.
+EVENT_TERMS = [
+    "contract_id", "currency", "day_count", "sign", "notional", "principal", "nominal_rate", "next_reset_rate", "premium_discount",
+    "purchase_price", "termination_price", "initial_exchange_date", "maturity_date", "running", "ended", "since", "purchased_on",
+    "terminated_on", "paid_at_purchase", "paid_at_termination", "resets_at_purchase", "resets_at_termination", "resets_at_payment",
+    "interest_dates", "reset_dates", "reset_rates", "reset_dues",
+]
+
 # Steps that are summed by growing one array.
 BLOCK = 64
 
@@ -51,48 +59,55 @@ def with_states(scheduled: DataFrame, observed: str = "CAST(NULL AS double)", ra
     fixed = "rank = 0 AND next_reset_rate IS NOT NULL"
     rate = f"if({fixed}, next_reset_rate, coalesce(seen, next_reset_rate, nominal_rate))"
     opening = "if(next_reset_rate IS NULL, 0, 1)"
-    timeline = (
-        f"transform(sort_array(concat(transform(interest_dates, (d, i) -> {_mark('d', 0)}),"
-        f" transform(reset_dates, (d, i) -> {_mark('d', 1)}))),"
-        " (m, i) -> named_struct('resets', m.resets, 'earlier', cast(i - m.rank AS int)))"
-    )
     rated = (
         scheduled.selectExpr(
             "*",
             "sign * notional AS principal",
             f"{rates or f'transform(reset_dates, d -> {observed})'} AS observed_rates",
-            f"if(size(reset_dates) > 0, {timeline}, NULL) AS timeline",
         )
         .selectExpr(
             "*",
             f"transform(observed_rates, (seen, rank) -> {rate}) AS reset_rates",
             f"get(observed_rates, {opening}) IS NULL AND size(reset_dates) > {opening} AS unobserved",
-            "filter(timeline, m -> m.resets = 1).earlier AS payments_at_reset",
-            "filter(timeline, m -> m.resets = 0).earlier AS resets_at_payment",
+            f"if(size(reset_dates) > 0, transform(reset_dates, __day -> {_payments_upto('__day')}), NULL) AS payments_at_reset",
             *_single("purchase", "purchased_on"),
             *_single("termination", "terminated_on"),
         )
-        .drop("timeline")
+        .selectExpr("*", f"{_resets_at_payment()} AS resets_at_payment")
     )
     steps = f"transform(reset_dates, (d, rank) -> {_reset_step('rank')})"
     dues = f"if(size(reset_dates) > 0, {_running(steps)}, cast(array() AS array<double>))"
     return with_event_dates(rated.selectExpr("*", f"{dues} AS reset_dues"))
 
 
-def _mark(date: str, resets: int) -> str:
-    """Place of a payment or a reset on the timeline; a reset comes after a payment of its day."""
-    return f"named_struct('day', {date}, 'resets', {resets}, 'rank', i)"
+def _payments_upto(date: str) -> str:
+    """How many payments there are up to a date in the contract's life; that at maturity may be off the regular dates."""
+    regular = "if(last_day = maturity_date, greatest(size(interest_dates) - 1, 0), size(interest_dates))"
+    gone = f"least({_regular_upto(date, 'interest')}, {regular})"
+    return f"{gone} + if(last_day = maturity_date AND {date} >= maturity_date, 1, 0)"
 
 
-def _single(name: str, date: str) -> list[str]:
-    """What came before an event that a contract has at most once, that day's events included."""
+def _resets_upto(date: str) -> str:
+    """How many resets there are up to a date."""
+    return f"if(size(reset_dates) > 0, least({_regular_upto(date, 'reset')}, size(reset_dates)), 0)"
+
+
+def _resets_at_payment() -> str:
+    """How many resets come before each payment; one reset stays the last up to the payments before the next."""
+    upto = "concat(payments_at_reset, array(size(interest_dates)))"
+    each = f"transform({upto}, (upto, resets) -> array_repeat(resets, upto - coalesce(get(payments_at_reset, resets - 1), 0)))"
+    return f"if(size(reset_dates) > 0, flatten({each}), NULL)"
+
 
-    def upto(dates: str) -> str:
-        return f"size(filter({dates}, d -> d <= {date}))"
+def _regular_upto(date: str, kind: str) -> str:
+    return f"greatest({steps_upto(date, f'{kind}_from', f'{kind}_step')} - {kind}_gone, 0)"
 
+
+def _single(name: str, date: str) -> list[str]:
+    """What came before an event that a contract has at most once, that day's events included."""
     return [
-        f"if({date} IS NULL, NULL, {_paid_before(upto('interest_dates'))}) AS paid_at_{name}",
-        f"if({date} IS NULL, 0, {upto('reset_dates')}) AS resets_at_{name}",
+        f"if({date} IS NULL, NULL, {_paid_before(_payments_upto(date))}) AS paid_at_{name}",
+        f"if({date} IS NULL, 0, {_resets_upto(date)}) AS resets_at_{name}",
     ]
 
 
@@ -112,12 +127,10 @@ def _interest(start: str, end: str, rate: str) -> str:
 def _reset_step(rank: str) -> str:
     """What accrues up to a reset: since the payment before it, or the reset if that is later."""
     payments = f"get(payments_at_reset, {rank})"
-    since_payment = _interest(_paid_before(payments), f"get(reset_dates, {rank})", _rate_after(rank))
-    since_reset = _interest(
-        f"get(reset_dates, {rank} - 1)", f"get(reset_dates, {rank})", f"get(reset_rates, {rank} - 1)"
-    )
+    since = f"if(__first, {_paid_before(payments)}, get(reset_dates, {rank} - 1))"
+    due = let("__since", since, _interest("__since", f"get(reset_dates, {rank})", _rate_after(rank)))
     first = f"{rank} = 0 OR {payments} > get(payments_at_reset, {rank} - 1)"
-    return f"named_struct('first', {first}, 'due', if({first}, {since_payment}, {since_reset}))"
+    return let("__first", first, f"named_struct('first', __first, 'due', {due})")
 
 
 def _running(steps: str) -> str:
@@ -127,11 +140,12 @@ def _running(steps: str) -> str:
     blocks, and what a block ends with is carried into the next.
     """
     grown = (
-        "concat(sums, array(named_struct('first', step.first OR coalesce(get(sums, size(sums) - 1).first, false),"
-        " 'due', if(step.first, step.due, coalesce(get(sums, size(sums) - 1).due, 0D) + step.due))))"
+        "array_append(sums, named_struct('first', step.first OR coalesce(get(sums, size(sums) - 1).first, false),"
+        " 'due', if(step.first, step.due, coalesce(get(sums, size(sums) - 1).due, 0D) + step.due)))"
     )
     empty = "cast(array() AS array<struct<first: boolean, due: double>>)"
-    block = f"aggregate(slice(steps, block * {BLOCK} + 1, {BLOCK}), {empty}, (sums, step) -> {grown})"
+    summed = f"aggregate(%s, {empty}, (sums, step) -> {grown})"
+    block = summed % f"slice(steps, block * {BLOCK} + 1, {BLOCK})"
     blocks = f"transform(sequence(0, (size(steps) - 1) div {BLOCK}), block -> {block})"
     end = "get(block, size(block) - 1)"
     carried = (
@@ -139,7 +153,9 @@ def _running(steps: str) -> str:
         f" get(carry, size(carry) - 1) + {end}.due))))"
     )
     whole = "flatten(transform(blocks, (block, i) -> transform(block, s -> if(s.first, s.due, get(carry, i) + s.due))))"
-    return let("steps", steps, let("blocks", blocks, let("carry", carried, whole)))
+    several = let("blocks", blocks, let("carry", carried, whole))
+    one = f"if(forall(steps, step -> step.first), steps.due, {summed % 'steps'}.due)"
+    return let("steps", steps, f"if(size(steps) <= {BLOCK}, {one}, {several})")
 
 
 def paid_before(kind: str, position: str) -> str:
@@ -261,14 +277,11 @@ def flat_events(evaluated: DataFrame, keep: tuple[str, ...] = (), closing: bool
     return _in_order(events, keep)
 
 
-def _given_events() -> str:
-    listed = f"transform(event_dates, (d, i) -> named_struct('date', d, 'kind', {event_kind('i')}, 'position', i))"
-    return f"if(purchased_on IS NULL, {listed}, filter({listed}, e -> {given_out('e.date', 'e.kind')}))"
-
-
 def number_of_events() -> str:
-    """How many events of a contract are given out."""
-    return f"if(purchased_on IS NULL, size(event_dates), size({_given_events()}))"
+    """How many events of a contract are given out; of a purchased one the purchase, what is after it, and the end."""
+    dates = "size(interest_dates) + size(reset_dates)"
+    before = f"{_payments_upto('purchased_on')} + {_resets_upto('purchased_on')}"
+    return f"CASE WHEN ended THEN 0 WHEN purchased_on IS NULL THEN if(running, 0, 1) + {dates} + 1 ELSE {dates} - ({before}) + 2 END"
 
 
 def event_counts(evaluated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

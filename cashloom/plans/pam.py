@@ -49,7 +49,7 @@ def evaluate(
     priced = lookup(dated, _objects_by_code(market, scenarios), ["reset_code"], limit)
     scheduled = with_schedule(priced)
     if one:
-        spread = scheduled.selectExpr("*", f"{quoted(scenarios[0])} AS scenario", "get(objects, 0) AS found")
+        spread = scheduled.selectExpr("*", f"{quoted(scenarios[0])} AS scenario")
     else:
         each = f"if(size(reset_dates) > 0, transform({names}, n -> array(n)), array({names}))"
         spread = scheduled.selectExpr("*", f"explode({each}) AS scenarios").selectExpr(
@@ -74,7 +74,7 @@ def evaluate(
 
 
 def _objects_by_code(market: DataFrame, scenarios: Sequence[str]) -> DataFrame:
-    """``reset_code`` and its ``objects``, one for each scenario asked for that has the code."""
+    """``reset_code`` and its ``objects``, one for each scenario asked for that has the code; of one scenario ``found``."""
     if "scenario" not in market.columns:
         if list(scenarios) != [BASE_SCENARIO]:
             raise ValueError(f"market data without scenarios is {BASE_SCENARIO!r}, not {list(scenarios)}")
@@ -85,7 +85,7 @@ def _objects_by_code(market: DataFrame, scenarios: Sequence[str]) -> DataFrame:
     usable = with_curve(with_series(asked, (REFERENCE_RATE,)))
     one = F.struct("scenario", "kind", "series", "curve")
     if len(scenarios) == 1:
-        table = usable.select(F.col("code").alias("reset_code"), F.array(one).alias("objects"))
+        table = usable.select(F.col("code").alias("reset_code"), one.alias("found"))
     else:
         table = usable.groupBy(F.col("code").alias("reset_code")).agg(F.collect_list(one).alias("objects"))
     return with_error_row(table, unknown)

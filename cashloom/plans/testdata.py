@@ -119,8 +119,8 @@ def rendered(terms: dict[str, str], layout: Sequence[Term]) -> str:
     """One ``;`` line; positions the layout does not read stay empty."""
     tokens = ["''"] * (max(t.position for t in layout) + 1)
     for term in layout:
-        tokens[term.position] = terms[term.name]
-    return f"array_join(array({', '.join(tokens)}), {quoted(FIELD_SEPARATOR)}, {quoted(NULL_MARKER)})"
+        tokens[term.position] = f"coalesce({terms[term.name]}, {quoted(NULL_MARKER)})"
+    return f"concat_ws({quoted(FIELD_SEPARATOR)}, {', '.join(tokens)})"
 
 
 def contract_lines(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from cashloom.functions import quoted, quoted_list
-from cashloom.functions.text import FIELD_SEPARATOR, split_trimmed, to_date, to_double, unmarked
+from cashloom.functions.text import FIELD_SEPARATOR, NO_TEXTS, split_trimmed, to_date, to_double, unmarked
 from cashloom.sources.layouts import DATE, DOUBLE, FULL_LAYOUT, TEXT, Term
 
 KEEP_GOOD, TRUNCATE = "keep_good", "truncate"
@@ -34,14 +34,17 @@ def parse_contracts(
     typed = tokens.selectExpr(*keep, "tokens", *[f"{_READERS[t.kind](_token(t))} AS {t.name}" for t in layout])
     if on_error == KEEP_GOOD:
         errors = ", ".join(f"if({_unreadable(t)}, {quoted(t.name)}, NULL)" for t in layout if t.kind != TEXT)
-        return typed.selectExpr(*keep, *[t.name for t in layout], f"array_compact(array({errors})) AS term_errors")
+        # as text, which generated code puts together; a filter of an array would be interpreted
+        named = f"concat_ws(',', {errors})"
+        listed = f"if({named} = '', {NO_TEXTS}, split({named}, ',')) AS term_errors"
+        return typed.selectExpr(*keep, *[t.name for t in layout], listed)
     failed = ", ".join(f"if({_fails(t)}, {rank}, NULL)" for rank, t in enumerate(layout))
     ranked = typed.selectExpr("*", f"coalesce(least({failed}), {len(layout)}) AS cut")
     names = quoted_list(t.name for t in layout)
     return ranked.selectExpr(
         *keep,
         *[f"if(cut > {rank}, {t.name}, NULL) AS {t.name}" for rank, t in enumerate(layout)],
-        f"array_compact(array(get(array({names}), cut))) AS term_errors",
+        f"if(cut < {len(layout)}, array(get(array({names}), cut)), {NO_TEXTS}) AS term_errors",
     )
 
 

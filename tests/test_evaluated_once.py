@@ -1,16 +1,22 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from cashloom.functions.cycles import parse_cycle, steps_upto
 from cashloom.operators.intervals import on_levels
 from cashloom.operators.lookup import fits_broadcast
-from cashloom.operators.states import nested_events
-from cashloom.plans import registry
+from cashloom.operators.schedule import with_event_dates, with_schedule
+from cashloom.operators.states import EVENT_TERMS, event_counts, event_rows, flat_events, nested_events
+from cashloom.plans import job, registry
 from cashloom.plans.pam import evaluate
 from cashloom.plans.rows import evaluate_rows
-from cashloom.plans.testdata import MIDWAY, contract_lines, market_table
-from cashloom.sources.contracts import parse_contracts
+from cashloom.plans.testdata import BEFORE_ALL, MIDWAY, contract_lines, market_table
+from cashloom.session import COMPILED_METHOD_BYTES, materialised
+from cashloom.sources.analysis_date import with_analysis_date
+from cashloom.sources.contracts import parse_contracts, with_full_terms
 
 
 def plan(frame):
@@ -65,3 +71,41 @@ def test_units_around_the_largest_counted(spark):
     found = spark.range(1).selectExpr(f"transform({values}, v -> {registry.units('v', 4)}) AS u").first().u
     assert found[:7] == ["1", "0", "0", "123456790", "1125899906842624", "-1125899906842623", "5000000000000000"]
     assert found[7:] == ["NaN", "-Infinity", None]
+
+
+def lambdas(frame):
+    """What is interpreted, with all that it is given: filters of arrays, and other expressions with a lambda."""
+    found = plan(frame)
+    return [word for word in ("filter(", "transform(", "lambdafunction(") if word in found]
+
+
+def test_terms_and_schedule_are_generated_code(spark, small):
+    contracts = parse_contracts(contract_lines(spark, small))
+    assert lambdas(contracts) == []
+    assert lambdas(with_schedule(with_analysis_date(with_full_terms(contracts), MIDWAY))) == []
+
+
+def test_counting_events_needs_no_lambda(spark, small):
+    contracts = parse_contracts(contract_lines(spark, small, faults=True))
+    assert lambdas(event_counts(evaluate(contracts, BEFORE_ALL), keep=("contract_status",))) == []
+
+
+@pytest.mark.parametrize("t0", [BEFORE_ALL, "1996-07-01", MIDWAY, "2003-05-05"])
+def test_counts_are_those_of_the_rows(spark, small, t0):
+    evaluated = evaluate(parse_contracts(contract_lines(spark, small)), t0)
+    rows = event_rows(evaluated).groupBy("contract_id").agg(F.count("*").alias("n_rows"))
+    compared = event_counts(evaluated).join(rows, "contract_id", "left")
+    assert compared.where("n_events <> coalesce(n_rows, 0)").count() == 0
+
+
+def test_steps_up_to_a_date(spark):
+    cases = [
+        ("2015-01-31", "1M-", "2015-01-30", 0), ("2015-01-31", "1M-", "2015-01-31", 1), ("2015-01-31", "1M-", "2015-02-27", 1),
+        ("2015-01-31", "1M-", "2015-02-28", 2), ("2015-01-31", "1M-", "2015-04-29", 3), ("2015-01-31", "1M-", "2015-04-30", 4),
+        ("2015-01-31", "1Q-", "2016-01-30", 4), ("2015-01-31", "10D-", "2015-02-09", 1), ("2015-01-31", "10D-", "2015-02-10", 2),
+        ("2015-01-31", "9999Y", "2015-02-10", 1), ("2015-01-31", "200000000M", "9999-12-31", 1), ("2015-01-31", "odd", "2016-01-01", 0),
+        ("2015-01-31", "1M-", None, 0), (None, "1M-", "2015-01-31", 0),
+    ]
+    rows = spark.createDataFrame(cases, "anchor string, cycle string, day string, n int")
+    typed = rows.selectExpr("date(anchor) AS anchor", "date(day) AS day", f"{parse_cycle('cycle')} AS step", "n")
+    assert [r for r in typed.selectExpr("n", f"{steps_upto('day', 'anchor', 'step')} AS found").collect() if r.n != r.found] == []
