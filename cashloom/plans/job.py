@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cashloom.operators.schedule import OK
-from cashloom.operators.states import flat_events, number_of_events
+from cashloom.operators.schedule import OK, with_event_dates
+from cashloom.operators.states import EVENT_TERMS, flat_events, number_of_events
 from cashloom.plans.pam import evaluate
 from cashloom.session import drop_folder, new_folder
 from cashloom.sources.analysis_date import first_date
@@ -58,14 +58,13 @@ def events_from_files(
     terms = parse_contracts(read_lines(spark, contracts), on_error=on_error)
     objects = last_per_code(parse_market(read_lines(spark, market)))
     evaluated = evaluate(terms, first_date(read_lines(spark, date)), objects)
-    # evaluated once: events and, for every line, a row with its status, in one stored table
-    counted = evaluated.withColumn("n_events", F.expr(number_of_events()))
-    kept = ("contract_status", "reset_status", "n_events")
+    # evaluated once, and stored a row a contract, which is a fraction of its events; those are written once
+    kept = ["contract_status", "reset_status"]
+    rows = evaluated.selectExpr(*kept, f"{number_of_events()} AS n_events", *EVENT_TERMS)
     staged = new_folder(spark, "evaluated")
-    rows = flat_events(counted, keep=kept, closing=True).drop("kind", "rate").withColumnRenamed("contract_id", "id")
     rows.write.parquet(staged)
     stored = spark.read.schema(rows.schema).parquet(staged)
-    clean = stored.where(F.col("date").isNotNull() & (F.col("contract_status") == OK))
-    declared(clean, EVENT_SCHEMA).write.parquet(events)
-    stored.where("date IS NULL").select(*kept[:2], "id", "n_events").write.parquet(statuses)
+    given = flat_events(with_event_dates(stored.where(F.col("contract_status") == OK))).withColumnRenamed("contract_id", "id")
+    declared(given, EVENT_SCHEMA).write.parquet(events)
+    stored.select(*kept, F.col("contract_id").alias("id"), "n_events").write.parquet(statuses)
     drop_folder(spark, staged)

@@ -468,7 +468,8 @@ def _job(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFr
     """Contracts, market data and analysis date through files, and the two tables out of them."""
     paths = {name: new_folder(spark, name) for name in ("contracts", "market", "date", "events", "statuses")}
     contract_lines(spark, sf_dir, **options).write.text(paths["contracts"])
-    market_lines(spark, sf_dir).orderBy("place").select("value").write.text(paths["market"])
+    market = materialised(market_lines(spark, sf_dir))  # or a sort would work it out twice, for its ranges and its rows
+    market.orderBy("place").select("value").write.text(paths["market"])
     days = table(spark, sf_dir, "orders").selectExpr(f"concat({quoted(MIDWAY)}, 'T00;', max(o_orderkey)) AS value")
     days.write.text(paths["date"])
     job.events_from_files(spark, **paths)

@@ -109,3 +109,21 @@ def test_steps_up_to_a_date(spark):
     rows = spark.createDataFrame(cases, "anchor string, cycle string, day string, n int")
     typed = rows.selectExpr("date(anchor) AS anchor", "date(day) AS day", f"{parse_cycle('cycle')} AS step", "n")
     assert [r for r in typed.selectExpr("n", f"{steps_upto('day', 'anchor', 'step')} AS found").collect() if r.n != r.found] == []
+
+
+def test_files_job_stores_a_row_a_contract(spark, small, monkeypatch):
+    stored, drop = [], job.drop_folder
+    monkeypatch.setattr(job, "drop_folder", lambda session, path: (stored.append(session.read.parquet(path).count()), drop(session, path)))
+    registry.queries()["events_from_faulty_files"](spark, small)
+    assert stored == [contract_lines(spark, small).count()]
+
+
+def test_events_of_files_are_compiled(spark, small, capsys):
+    """Code beyond what HotSpot compiles is not used, and then every column is copied for each event."""
+    evaluated = evaluate(parse_contracts(contract_lines(spark, small)), MIDWAY, market_table(spark, small))
+    kept = materialised(evaluated.select(*EVENT_TERMS))
+    events = flat_events(with_event_dates(kept)).withColumnRenamed("contract_id", "id")
+    capsys.readouterr()
+    job.declared(events, job.EVENT_SCHEMA).explain("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:([0-9]+)", capsys.readouterr().out)
+    assert sizes and max(map(int, sizes)) < COMPILED_METHOD_BYTES
