@@ -49,7 +49,7 @@ def with_splits(
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"__of_{key}"))
-    low, high = (F.expr(f"size(filter(__cuts, c -> c {sign} `{at}`))") for sign in ("<", "<="))
+    low, high = (F.expr(cuts_before("__cuts", f"`{at}`", sign)) for sign in ("<", "<="))
     place = low if later is None else F.when(later, high).otherwise(low)
     if spread is not None:
         content = F.xxhash64(*[c for c, kind in rows.dtypes if "map" not in kind])
@@ -59,6 +59,13 @@ def with_splits(
     return joined.select(*rows.columns, split, F.col("__cuts").isNotNull().alias(CUT))
 
 
+def cuts_before(cuts: str, at: str, sign: str) -> str:
+    """How many of the ordered ``cuts`` are ``<`` or ``<=`` a place, found by halving: a key of many rows has many cuts."""
+    strides = f"transform(sequence(length(bin(size({cuts}))) - 1, 0, -1), bit -> shiftleft(1, bit))"
+    passed = f"found + stride <= size({cuts}) AND get({cuts}, found + stride - 1) {sign} {at}"
+    return f"aggregate({strides}, 0, (found, stride) -> if({passed}, found + stride, found))"
+
+
 def _small(table: DataFrame) -> DataFrame:
     """To be broadcast if its measured size allows; with a small ``hot_rows`` as many keys as rows may be cut."""
     return F.broadcast(table) if fits_broadcast(table) else table
@@ -99,10 +106,11 @@ def with_running(rows: DataFrame, keys: Sequence[str], order: Sequence[Column],
     closing = F.coalesce(F.col(closes), F.lit(False)).cast("int")
     amount = F.coalesce(F.col(value), F.lit(0.0))
     closed = F.coalesce(F.sum(closing).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    stretched = rows.withColumn("__stretch", closed)
     of_stretch = Window.partitionBy(*keys, SPLIT, "__stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = stretched.withColumn(name, F.sum(amount).over(of_stretch))
-    tails = stretched.where(CUT).groupBy(*keys, SPLIT, "__stretch").agg(F.sum(amount).alias("__sum"), F.max(closing).alias("__closed"))
+    near = rows.withColumn("__stretch", closed).withColumn(name, F.sum(amount).over(of_stretch))
+    # first the rows of cut keys, then the window: a filter behind it would leave it all rows
+    stretched = rows.where(CUT).withColumn("__stretch", closed)
+    tails = stretched.groupBy(*keys, SPLIT, "__stretch").agg(F.sum(amount).alias("__sum"), F.max(closing).alias("__closed"))
     # a stretch that was not closed is the split's last, and goes on in the next split
     per_split = tails.groupBy(*keys, SPLIT).agg(
         F.sum(F.when(F.col("__closed") == 0, F.col("__sum")).otherwise(0.0)).alias("__tail"), F.max("__closed").alias("__closed")

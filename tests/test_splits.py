@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cashloom.operators import splits
 from cashloom.operators.splits import CUT, SPLIT, asof_rows, with_last, with_running, with_splits
 from cashloom.operators.states import flat_events
+from cashloom.plans import rows as row_plans
 from cashloom.plans.pam import evaluate
 from cashloom.plans.rows import evaluate_rows
 from cashloom.sources.contracts import parse_contracts
@@ -133,3 +134,32 @@ def test_a_contract_of_many_events_is_spread_over_tasks(spark, monkeypatch):
     assert events.count() > 43_000
     sizes = found[0].groupBy(SPLIT).count().collect()
     assert len(sizes) > 10 and max(r["count"] for r in sizes) < 10_000
+
+
+def test_cuts_are_found_by_halving(spark):
+    rng = random.Random(5)
+    lists = [sorted(rng.randrange(-20, 20) for _ in range(n)) for n in (1, 2, 3, 7, 8, 9, 64, 100)]
+    cases = [(cuts, at) for cuts in lists for at in (-21, -20, -3, 0, 7, 19, 20)]
+    found = {sign: splits.cuts_before("cuts", "at", sign) for sign in ("<", "<=")}
+    got = spark.createDataFrame(cases, "cuts array<long>, at long").selectExpr("cuts", "at", f"{found['<']} AS low", f"{found['<=']} AS high")
+    assert [r for r in got.collect() if (r.low, r.high) != (sum(c < r.at for c in r.cuts), sum(c <= r.at for c in r.cuts))] == []
+    _, frame = table(spark)
+    assert "filter(" not in with_splits(frame, ["k"], "at", 40, spread=F.lit(True))._jdf.queryExecution().optimizedPlan().toString()
+
+
+RESETTING = "{id};x;;;2015-01-01;RPA;;{id};;2015-02-01;1Q-;0.05;A/365;;;;EUR;2015-01-01;2015-01-01;2017-06-15;1000;NULL;NULL;NULL;NULL;;;;;;2015-03-01;1M-;0.01;{code};;;NULL;1.0;{term};-5"
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_a_day_of_a_code_is_observed_once(spark, monkeypatch, limit):
+    """However many resets there are; also of contracts without a code or a term, joined and broadcast."""
+    lines = [RESETTING.format(id=f"C{k}", code=("REF", "CRV", "NULL")[k % 3], term=("6M", "NULL", "1Y")[k // 3 % 3]) for k in range(27)]
+    contracts, market = parse_contracts(lines_from(spark, lines)), last_per_code(parse_market(lines_from(spark, MARKET)))
+    asked = []
+    monkeypatch.setattr(row_plans, "asof_rows", lambda probes, *a, **b: asked.append(probes) or asof_rows(probes, *a, **b))
+    key = lambda r: (r.contract_id, r.date, r.kind, round(r.value, 6), round(r.accrued, 6), r.rate and round(r.rate, 9))
+    rows = evaluate_rows(contracts, "2014-01-01", market, hot_rows=10, limit=limit).collect()
+    arrays = flat_events(evaluate(contracts, "2014-01-01", market)).collect()
+    assert sorted(map(key, rows)) == sorted(map(key, arrays))
+    days = {r.date for r in rows if r.type == "RR"}
+    assert [probes.count() for probes in asked] == [2 * len(days)]
