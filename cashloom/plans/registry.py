@@ -38,7 +38,7 @@ from cashloom.plans.testdata import (
     short_contract_lines,
     table,
 )
-from cashloom.session import configure, materialised, new_folder, spread, stored
+from cashloom.session import configure, drop_folder, materialised, new_folder, spread, stored, stored_at
 from cashloom.sources.analysis_date import first_date, with_analysis_date
 from cashloom.sources.batches import append_once, read_batches, written
 from cashloom.sources.catalog import create_table, drop_table, insert_rows, select_all
@@ -521,19 +521,20 @@ def events_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested_table(read_text_rows(spark, path, NESTED_SCHEMA))
 
 
-def _csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat events as CSV takes them, evaluated once for all that is appended."""
+def _csv_events(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Flat events as CSV takes them, evaluated once for all that is appended and stored in the folder."""
     events = flat_events(evaluate(_short_contracts(spark, sf_dir), BEFORE_ALL))
     named = events.selectExpr("contract_id AS id", f"{date_text('date')} AS date", "type", "currency", "value", "nominal", "accrued")
-    return stored(named, "events")
+    return stored_at(named, folder)
 
 
 def csv_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat events appended to one CSV folder twice, so every event comes back twice."""
-    path = new_folder(spark, "events-csv")
-    events = _csv_events(spark, sf_dir)
+    path, staged = new_folder(spark, "events-csv"), new_folder(spark, "events")
+    events = _csv_events(spark, sf_dir, staged)
     for _ in range(2):
         append_csv(events, path)
+    drop_folder(spark, staged)
     return read_csv(spark, path, FLAT_SCHEMA).selectExpr(
         "id", "date", "type", "currency", *_money("value", "nominal", "accrued")
     )
@@ -541,8 +542,8 @@ def csv_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat events appended by batches of a currency each, one of them twice; what is half written is not there."""
-    folder = new_folder(spark, "events-batches")
-    events = _csv_events(spark, sf_dir)
+    folder, staged = new_folder(spark, "events-batches"), new_folder(spark, "events")
+    events = _csv_events(spark, sf_dir, staged)
     written(events, folder, "EUR")
     for currency in ("EUR", "USD", "CHF", "EUR"):
         append_once(events.where(F.col("currency") == currency), folder, currency)

@@ -81,6 +81,10 @@ def materialised(frame: DataFrame) -> DataFrame:
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` computed once and read back from columns in shared storage, so that a reader takes those it needs."""
-    folder = new_folder(frame.sparkSession, label)
+    return stored_at(frame, new_folder(frame.sparkSession, label))
+
+
+def stored_at(frame: DataFrame, folder: str) -> DataFrame:
+    """``stored`` in a folder of its own, for one who drops it when it has been read."""
     frame.write.parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)

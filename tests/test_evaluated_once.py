@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gzip
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from cashloom.plans.pam import evaluate
 from cashloom.plans.rows import evaluate_rows
 from cashloom.plans.testdata import BEFORE_ALL, MIDWAY, contract_lines, market_table
 from cashloom.session import COMPILED_METHOD_BYTES, materialised
+from cashloom.sources import sinks
 from cashloom.sources.analysis_date import with_analysis_date
 from cashloom.sources.contracts import parse_contracts, with_full_terms
 
@@ -127,3 +130,30 @@ def test_events_of_files_are_compiled(spark, small, capsys):
     job.declared(events, job.EVENT_SCHEMA).explain("codegen")
     sizes = re.findall(r"maxMethodCodeSize:([0-9]+)", capsys.readouterr().out)
     assert sizes and max(map(int, sizes)) < COMPILED_METHOD_BYTES
+
+
+def text_files(folder):
+    return sorted(str(p) for p in Path(folder).rglob("part-*") if not p.name.endswith(".parquet"))
+
+
+def query_folders(spark, monkeypatch):
+    """Labels and paths of the folders that a query asks for from now on."""
+    asked, new = {}, registry.new_folder
+    monkeypatch.setattr(registry, "new_folder", lambda session, label: asked.setdefault(label, new(session, label)))
+    return asked
+
+
+def test_csv_is_compressed_and_what_it_came_from_dropped(spark, small, monkeypatch):
+    asked = query_folders(spark, monkeypatch)
+    rows = registry.queries()["csv_append_roundtrip"](spark, small)
+    files = text_files(asked["events-csv"])
+    assert files and all(f.endswith(".csv.gz") for f in files) and not Path(asked["events"]).exists()
+    plain = sum(len(line) + 1 for f in files for line in gzip.open(f, "rt"))
+    assert sum(Path(f).stat().st_size for f in files) < plain / 4
+    counted = rows.groupBy(*rows.columns).count()
+    assert counted.where("count % 2 <> 0").count() == 0 and counted.count() > 0
+
+
+def test_compressed_files_end_after_so_many_rows(spark, tmp_path):
+    sinks.text_writer(spark.range(10, numPartitions=1).selectExpr("cast(id AS string) AS value"), 4).text(str(tmp_path / "t"))
+    assert [sum(1 for _ in gzip.open(f)) for f in text_files(tmp_path)] == [4, 4, 2]
