@@ -14,7 +14,10 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cashloom.sources.sinks import text_writer
+
 MANIFESTS, DATA = "_batches", "data"
+TEXT_KINDS = ("csv", "json", "text")
 
 
 def _path(spark: SparkSession, path: str):
@@ -36,7 +39,8 @@ def is_published(spark: SparkSession, folder: str, batch: str) -> bool:
 def written(rows: DataFrame, folder: str, batch: str, kind: str = "csv") -> str:
     """``rows`` in a folder of this attempt, which no reader sees; its path below ``folder``."""
     part = f"{DATA}/{_file_name(batch)}/{uuid.uuid4().hex}"
-    rows.write.format(kind).save(f"{folder}/{part}")
+    writer = text_writer(rows) if kind in TEXT_KINDS else rows.write
+    writer.format(kind).save(f"{folder}/{part}")
     return part
 
 

@@ -157,3 +157,13 @@ def test_csv_is_compressed_and_what_it_came_from_dropped(spark, small, monkeypat
 def test_compressed_files_end_after_so_many_rows(spark, tmp_path):
     sinks.text_writer(spark.range(10, numPartitions=1).selectExpr("cast(id AS string) AS value"), 4).text(str(tmp_path / "t"))
     assert [sum(1 for _ in gzip.open(f)) for f in text_files(tmp_path)] == [4, 4, 2]
+
+
+def test_batches_are_compressed_and_what_they_came_from_dropped(spark, small, monkeypatch):
+    asked = query_folders(spark, monkeypatch)
+    rows = registry.queries()["csv_append_once"](spark, small)
+    files = text_files(asked["events-batches"])
+    assert files and all(f.endswith(".csv.gz") for f in files) and not Path(asked["events"]).exists()
+    # the half-written batch holds the events of all currencies, and those published each once
+    lines = sum(sum(1 for _ in gzip.open(f)) for f in files)
+    assert lines == 2 * rows.count() > 0
