@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 
-# Rows of a file.
-FLAT_ROWS = 4_000_000
+# Rows of a file: flat ones, and nested ones, which hold a contract's events.
+FLAT_ROWS, NESTED_ROWS = 4_000_000, 250_000
 
 
 def text_writer(rows: DataFrame, most: int = FLAT_ROWS) -> DataFrameWriter:
@@ -22,7 +22,7 @@ def text_writer(rows: DataFrame, most: int = FLAT_ROWS) -> DataFrameWriter:
 
 def write_text_rows(rows: DataFrame, path: str, mode: str = "error") -> None:
     """One JSON text line per row; nested columns are welcome."""
-    rows.select(F.to_json(F.struct("*")).alias("value")).write.mode(mode).text(path)
+    text_writer(rows.select(F.to_json(F.struct("*")).alias("value")), NESTED_ROWS).mode(mode).text(path)
 
 
 def read_text_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -167,3 +167,11 @@ def test_batches_are_compressed_and_what_they_came_from_dropped(spark, small, mo
     # the half-written batch holds the events of all currencies, and those published each once
     lines = sum(sum(1 for _ in gzip.open(f)) for f in files)
     assert lines == 2 * rows.count() > 0
+
+
+def test_text_lines_are_compressed(spark, small, monkeypatch):
+    asked = query_folders(spark, monkeypatch)
+    rows = registry.queries()["events_text_lines"](spark, small)
+    files = text_files(asked["events-text"])
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    assert sum(sum(1 for _ in gzip.open(f)) for f in files) == contract_lines(spark, small).count() == rows.count()
